@@ -1,0 +1,624 @@
+"""Query catalogue on the driver tables (TPC-H-like), one entry per operator.
+
+Entities are role-mapped onto the driver tables:
+
+* transactions <- ``lineitem`` (status ``l_returnflag = 'R'``, eligibility flag
+  ``l_linestatus = 'F'``, amount ``l_extendedprice``, rate ``l_discount``)
+* policy <- ``orders`` (active statuses O, P); agent <- ``o_custkey``
+* feature <- ``part``; exchange <- ``supplier`` (positive balance)
+* coverage / rider <- distinct (order, line) subsets of ``lineitem``
+* arrivals and metric events <- ``events`` (cycle = day, file type = event type)
+
+Every query reads whole tables; each has an ANSI SQL twin in :data:`ORACLE_SQL` that
+DuckDB runs on the same Parquet files.  Every computed column is aliased identically in
+both.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cyclemart.functions.crypto import decrypt_column, encrypt_column
+from cyclemart.operators.aggregates import commission_by_agent_policy, row_count
+from cyclemart.operators.audit import (
+    audit_entries, cycle_completeness, empty_audit_table, expire, update_status, upsert_audit,
+)
+from cyclemart.operators.dedup import distinct_key_count, duplicate_keys, keep_first, latest_per_key
+from cyclemart.operators.filters import (
+    apply_filters, policy_filter, transaction_filter, with_audit_columns, with_commission,
+)
+from cyclemart.operators.joins import COMMISSION_STAR, StarJoin, broadcast_join, join, sort_merge_join
+from cyclemart.operators.merge import ACTION_COL, initial_load, scd1_merge
+from cyclemart.operators.quality import evaluate, evaluate_tables, report_frame
+from cyclemart.session import scratch_path
+from cyclemart.sources.encrypted import read_encrypted_lines, write_encrypted_lines
+from cyclemart.sources.files import read_csv, read_staged, stage_parquet, with_provenance, write_csv
+from cyclemart.sources.tables import read_table
+from cyclemart.streaming.alarms import window_alarm
+
+QueryFn = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, QueryFn] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+# --- fixed parameters of the catalogue -------------------------------------------------
+NOW = dt.datetime(2024, 2, 1, 0, 0, 0)           # injected processing instant
+CYCLE = "20240101"                               # cycle the fact is built for
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+DEMO_KEY = "cyclemart-demo-k"                    # 16-byte AES key of the demo queries
+MERGE_UPDATE_FROM = "1998-01-01"                 # source (delta) = orders from this day on
+MERGE_TARGET_UNTIL = "1999-06-01"                # target = orders before this day
+
+
+def query(name: str, sql: str | None = None):
+    def register(fn: QueryFn) -> QueryFn:
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLE_SQL[name] = sql.strip()
+        return fn
+    return register
+
+
+def _li(spark, root):
+    return read_table(spark, root, "lineitem")
+
+
+def _orders(spark, root):
+    return read_table(spark, root, "orders")
+
+
+def _transactions(spark, root):
+    """FP-2 on lineitem: status R, eligible (line status F), positive amount."""
+    return transaction_filter(_li(spark, root), status_col="l_returnflag", status="R",
+                              flag_col=F.col("l_linestatus") == F.lit("F"),
+                              amount_col="l_extendedprice")
+
+
+_TX_WHERE = "l_returnflag = 'R' AND l_linestatus = 'F' AND l_extendedprice > 0"
+
+# ============================================================== filters (FP-1..FP-4)
+
+
+@query("business_filter", f"SELECT * FROM lineitem WHERE {_TX_WHERE}")
+def business_filter(spark, root):
+    return _transactions(spark, root)
+
+
+@query("membership_filter", "SELECT * FROM orders WHERE o_orderstatus IN ('O', 'P')")
+def membership_filter(spark, root):
+    return policy_filter(_orders(spark, root), status_col="o_orderstatus", statuses=["O", "P"])
+
+
+@query("declarative_filter",
+       "SELECT * FROM lineitem WHERE l_returnflag IN ('A', 'R') AND l_linestatus = 'F'")
+def declarative_filter(spark, root):
+    return apply_filters(_li(spark, root), {"l_returnflag": ["A", "R"], "l_linestatus": "F"})
+
+
+@query("commission", """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice, l_discount,
+       l_extendedprice * l_discount AS commission_amount
+FROM lineitem""")
+def commission(spark, root):
+    li = _li(spark, root).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                                 "l_extendedprice", "l_discount")
+    return with_commission(li, "l_extendedprice", "l_discount")
+
+
+# ============================================================== joins (JN-1..JN-3)
+
+
+@query("broadcast_join", """
+SELECT l.*, o.o_custkey, o.o_orderstatus, o.o_totalprice, o.o_orderdate, o.o_orderpriority
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+WHERE o.o_orderstatus IN ('O', 'P')""")
+def q_broadcast_join(spark, root):
+    policies = membership_filter(spark, root).withColumnRenamed("o_orderkey", "l_orderkey")
+    return broadcast_join(_li(spark, root), policies, "l_orderkey", "inner")
+
+
+@query("sort_merge_join", """
+SELECT l.*, s.s_name, s.s_nationkey, s.s_acctbal
+FROM lineitem l LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) s
+  ON l.l_suppkey = s.s_suppkey""")
+def q_sort_merge_join(spark, root):
+    sup = (read_table(spark, root, "supplier").filter(F.col("s_acctbal") > 0)
+           .withColumnRenamed("s_suppkey", "l_suppkey"))
+    return sort_merge_join(_li(spark, root), sup, ["l_suppkey"], "left")
+
+
+@query("semi_join", f"""
+SELECT * FROM orders o
+WHERE EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND {_TX_WHERE})""")
+def semi_join(spark, root):
+    keys = _transactions(spark, root).select(F.col("l_orderkey").alias("o_orderkey"))
+    return broadcast_join(_orders(spark, root), keys, "o_orderkey", "left_semi")
+
+
+@query("anti_join", f"""
+SELECT * FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND {_TX_WHERE})""")
+def anti_join(spark, root):
+    keys = _transactions(spark, root).select(F.col("l_orderkey").alias("o_orderkey"))
+    return broadcast_join(_orders(spark, root), keys, "o_orderkey", "left_anti")
+
+
+def star_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The six entities of the commission star, role-mapped onto the driver tables."""
+    li = _li(spark, root)
+    return {
+        "transactions": _transactions(spark, root).select(
+            F.col("l_orderkey").alias("policy_id"), F.col("l_linenumber").alias("ln"),
+            F.col("l_partkey").alias("feature_id"), F.col("l_suppkey").alias("exchange_code"),
+            F.col("l_extendedprice").alias("transaction_amount"),
+            F.col("l_discount").alias("commission_rate")),
+        "policy": membership_filter(spark, root).select(
+            F.col("o_orderkey").alias("policy_id"), F.col("o_custkey").alias("agent_id")),
+        "coverage": li.filter(F.col("l_quantity") > 45).select(
+            F.col("l_orderkey").alias("policy_id"), F.col("l_linenumber").alias("coverage_id")).distinct(),
+        "feature": read_table(spark, root, "part").select(
+            F.col("p_partkey").alias("feature_id"), "p_brand"),
+        "exchange": read_table(spark, root, "supplier").filter(F.col("s_acctbal") > 0).select(
+            F.col("s_suppkey").alias("exchange_code"), "s_nationkey"),
+        "rider": li.filter(F.col("l_tax") >= 0.08).select(
+            F.col("l_orderkey").alias("policy_id"), F.col("l_linenumber").alias("rider_id")).distinct(),
+    }
+
+
+_STAR_SQL = """
+WITH t AS (SELECT l_orderkey AS policy_id, l_linenumber AS ln, l_partkey AS feature_id,
+                  l_suppkey AS exchange_code, l_extendedprice AS amt, l_discount AS rate
+           FROM lineitem
+           WHERE l_returnflag = 'R' AND l_linestatus = 'F' AND l_extendedprice > 0),
+     p AS (SELECT o_orderkey AS policy_id, o_custkey AS agent_id
+           FROM orders WHERE o_orderstatus IN ('O', 'P')),
+     c AS (SELECT DISTINCT l_orderkey AS policy_id, l_linenumber AS coverage_id
+           FROM lineitem WHERE l_quantity > 45),
+     f AS (SELECT p_partkey AS feature_id, p_brand FROM part),
+     e AS (SELECT s_suppkey AS exchange_code, s_nationkey FROM supplier WHERE s_acctbal > 0),
+     r AS (SELECT DISTINCT l_orderkey AS policy_id, l_linenumber AS rider_id
+           FROM lineitem WHERE l_tax >= 0.08)
+SELECT t.policy_id, ln, agent_id, coverage_id, rider_id, p_brand, s_nationkey,
+       amt * rate AS commission_amount{extra}
+FROM t JOIN p ON t.policy_id = p.policy_id
+       LEFT JOIN c ON t.policy_id = c.policy_id
+       LEFT JOIN f ON t.feature_id = f.feature_id
+       LEFT JOIN e ON t.exchange_code = e.exchange_code
+       LEFT JOIN r ON t.policy_id = r.policy_id"""
+
+
+def star_fact(spark: SparkSession, root: str) -> DataFrame:
+    joined = StarJoin("transactions", COMMISSION_STAR).apply(star_tables(spark, root))
+    return with_commission(joined).select(
+        "policy_id", "ln", "agent_id", "coverage_id", "rider_id", "p_brand", "s_nationkey",
+        "commission_amount")
+
+
+@query("star_join", _STAR_SQL.format(extra=""))
+def star_join(spark, root):
+    return star_fact(spark, root)
+
+
+@query("commission_fact", _STAR_SQL.format(extra=f""",
+       TIMESTAMP '{NOW:%Y-%m-%d %H:%M:%S}' AS dw_inserted_date,
+       TIMESTAMP '{NOW:%Y-%m-%d %H:%M:%S}' AS dw_updated_date,
+       '{CYCLE}' AS dw_cycle_date, TRUE AS dw_is_active"""))
+def commission_fact(spark, root):
+    """PL-3 shape: star join, commission, warehouse audit columns (FP-5)."""
+    return with_audit_columns(star_fact(spark, root), CYCLE, NOW)
+
+
+# ============================================================== aggregates, windows
+
+
+@query("commission_by_agent_policy", """
+SELECT l_suppkey AS agent_id, l_orderkey AS policy_id,
+       SUM(CAST(l_extendedprice * l_discount AS DECIMAL(18, 4))) AS total_commission,
+       COUNT(*) AS transaction_count
+FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'F'
+GROUP BY l_suppkey, l_orderkey""")
+def q_commission_by_agent_policy(spark, root):
+    tx = _li(spark, root).filter((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"))
+    return commission_by_agent_policy(tx, "l_suppkey", "l_orderkey", "l_extendedprice",
+                                      "l_discount").withColumnsRenamed(
+        {"l_suppkey": "agent_id", "l_orderkey": "policy_id"})
+
+
+@query("row_count", "SELECT COUNT(*) AS row_count FROM lineitem")
+def q_row_count(spark, root):
+    return row_count(_li(spark, root))
+
+
+@query("distinct_keys", """
+SELECT COUNT(*) AS distinct_keys FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) d""")
+def q_distinct_keys(spark, root):
+    return distinct_key_count(_li(spark, root), ["l_orderkey", "l_linenumber"])
+
+
+@query("duplicate_keys", """
+SELECT l_orderkey, l_linenumber, COUNT(*) AS cnt FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1""")
+def q_duplicate_keys(spark, root):
+    return duplicate_keys(_li(spark, root), ["l_orderkey", "l_linenumber"])
+
+
+_DEDUP_TIES = ["l_extendedprice", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax",
+               "l_returnflag", "l_linestatus"]
+
+
+@query("deduplicate", """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
+    ORDER BY l_shipdate DESC NULLS LAST, l_extendedprice DESC NULLS LAST, l_partkey DESC NULLS LAST,
+             l_suppkey DESC NULLS LAST, l_quantity DESC NULLS LAST, l_discount DESC NULLS LAST,
+             l_tax DESC NULLS LAST, l_returnflag DESC NULLS LAST, l_linestatus DESC NULLS LAST) AS rn
+  FROM lineitem) d
+WHERE rn = 1""")
+def q_deduplicate(spark, root):
+    return keep_first(_li(spark, root), ["l_orderkey", "l_linenumber"], "l_shipdate",
+                      tie_breakers=_DEDUP_TIES)
+
+
+@query("latest_version", """
+WITH v AS (
+  SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate AS dw_updated_date FROM orders
+  UNION ALL
+  SELECT o_orderkey, o_orderstatus, o_totalprice * 1.1, o_orderdate + INTERVAL 1 DAY
+  FROM orders WHERE o_orderstatus = 'O')
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY o_orderkey ORDER BY dw_updated_date DESC NULLS LAST) AS rn
+  FROM v) d WHERE rn = 1""")
+def latest_version(spark, root):
+    """WN-2: a table published twice for open orders keeps only the newer row per key."""
+    o = _orders(spark, root)
+    first = o.select("o_orderkey", "o_orderstatus", "o_totalprice",
+                     F.col("o_orderdate").alias("dw_updated_date"))
+    second = o.filter(F.col("o_orderstatus") == "O").select(
+        "o_orderkey", "o_orderstatus", (F.col("o_totalprice") * 1.1).alias("o_totalprice"),
+        (F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).alias("dw_updated_date"))
+    return latest_per_key(first.unionByName(second), ["o_orderkey"])
+
+
+# ============================================================== data quality (DQ-*)
+
+
+def _dq_sql(table: str, rule: str, column: str | None, failing_sql: str, fail_text: str,
+            source: str) -> str:
+    col = "NULL" if column is None else f"'{column}'"
+    return f"""
+SELECT '{table}' AS "table", '{rule}' AS rule, CAST({col} AS VARCHAR) AS "column",
+       n = 0 AS passed, n AS failing_count,
+       CASE WHEN n = 0 THEN 'OK' ELSE CAST(n AS VARCHAR) || '{fail_text}' END AS details
+FROM (SELECT CAST({failing_sql} AS BIGINT) AS n FROM {source}) f"""
+
+
+@query("dq_no_duplicates", _dq_sql(
+    "lineitem", "no_duplicates", "l_orderkey,l_linenumber", "COALESCE(SUM(c - 1), 0)",
+    " duplicate row(s) on [''l_orderkey'', ''l_linenumber'']",
+    "(SELECT COUNT(*) AS c FROM lineitem GROUP BY l_orderkey, l_linenumber) g"))
+def dq_no_duplicates(spark, root):
+    return evaluate(_li(spark, root), "lineitem", {"no_duplicates": ["l_orderkey", "l_linenumber"]}).drop("__dq_order")
+
+
+@query("dq_positive", _dq_sql(
+    "customer", "positive_values", "c_acctbal", "COUNT(*) FILTER (WHERE c_acctbal <= 0)",
+    " non-positive value(s) in ''c_acctbal''", "customer"))
+def dq_positive(spark, root):
+    return evaluate(read_table(spark, root, "customer"), "customer",
+                    {"positive_values": ["c_acctbal"]}).drop("__dq_order")
+
+
+@query("dq_allowed", _dq_sql(
+    "events", "allowed_values", "event_type",
+    "COUNT(*) FILTER (WHERE NOT event_type IN ('click', 'view', 'purchase'))",
+    " value(s) outside [''click'', ''view'', ''purchase''] in ''event_type''", "events"))
+def dq_allowed(spark, root):
+    return evaluate(read_table(spark, root, "events"), "events",
+                    {"allowed_values": {"event_type": ["click", "view", "purchase"]}}).drop("__dq_order")
+
+
+@query("dq_not_null", _dq_sql(
+    "labelled_documents", "not_null", "quality", "COUNT(*) FILTER (WHERE l.quality IS NULL)",
+    " null(s) found in ''quality''", "documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"))
+def dq_not_null(spark, root):
+    docs = read_table(spark, root, "documents").select("doc_id")
+    labelled = join(docs, read_table(spark, root, "labels"), "doc_id", "left")
+    return evaluate(labelled, "labelled_documents", {"not_null": ["quality"]}).drop("__dq_order")
+
+
+CUSTOMER_RULES = {
+    "not_null": ["c_custkey"],
+    "no_duplicates": ["c_custkey"],
+    "positive_values": ["c_acctbal"],
+    "allowed_values": {"c_mktsegment": ["BUILDING", "MACHINERY"]},
+    "min_row_count": 2000,
+}
+
+_RULE_SET_SQL = """
+WITH a AS (SELECT COUNT(*) AS total,
+                  COUNT(*) FILTER (WHERE c_custkey IS NULL) AS f_null,
+                  COUNT(*) FILTER (WHERE c_acctbal <= 0) AS f_pos,
+                  COUNT(*) FILTER (WHERE NOT c_mktsegment IN ('BUILDING', 'MACHINERY')) AS f_allowed
+           FROM customer),
+     d AS (SELECT COALESCE(SUM(c - 1), 0) AS f_dup
+           FROM (SELECT COUNT(*) AS c FROM customer GROUP BY c_custkey) g),
+     r AS (
+       SELECT 1 AS ord, 'not_null' AS rule, 'c_custkey' AS col, f_null AS n,
+              ' null(s) found in ''c_custkey''' AS txt FROM a
+       UNION ALL SELECT 2, 'no_duplicates', 'c_custkey', f_dup,
+              ' duplicate row(s) on [''c_custkey'']' FROM d
+       UNION ALL SELECT 3, 'positive_values', 'c_acctbal', f_pos,
+              ' non-positive value(s) in ''c_acctbal''' FROM a
+       UNION ALL SELECT 4, 'allowed_values', 'c_mktsegment', f_allowed,
+              ' value(s) outside [''BUILDING'', ''MACHINERY''] in ''c_mktsegment''' FROM a),
+     results AS (
+       SELECT ord, 'customer' AS "table", rule, CAST(col AS VARCHAR) AS "column", n = 0 AS passed,
+              CAST(n AS BIGINT) AS failing_count,
+              CASE WHEN n = 0 THEN 'OK' ELSE CAST(n AS VARCHAR) || txt END AS details
+       FROM r
+       UNION ALL
+       SELECT 5, 'customer', 'min_row_count', CAST(NULL AS VARCHAR), total >= 2000,
+              CAST(CASE WHEN total >= 2000 THEN 0 ELSE 2000 - total END AS BIGINT),
+              CASE WHEN total >= 2000 THEN 'Row count ' || CAST(total AS VARCHAR) || ' OK'
+                   ELSE 'Row count ' || CAST(total AS VARCHAR) || ' < minimum 2000' END
+       FROM a)"""
+
+
+@query("dq_rule_set", _RULE_SET_SQL + """
+SELECT "table", rule, "column", passed, failing_count, details FROM results""")
+def dq_rule_set(spark, root):
+    return evaluate_tables({"customer": read_table(spark, root, "customer")},
+                           {"customer": CUSTOMER_RULES})
+
+
+@query("dq_report", _RULE_SET_SQL + """
+SELECT CAST(COUNT(*) AS BIGINT) AS total_checks,
+       CAST(COUNT(*) FILTER (WHERE passed) AS BIGINT) AS passed,
+       CAST(COUNT(*) FILTER (WHERE NOT passed) AS BIGINT) AS failed,
+       CAST(COUNT(*) FILTER (WHERE NOT passed) AS VARCHAR) || ' DQ check(s) failed: ' ||
+         STRING_AGG(CASE WHEN NOT passed THEN "table" || '/' || rule || '/' ||
+                         COALESCE("column", 'None') || ': ' || details END, '; ' ORDER BY ord)
+         AS failure_summary,
+       '""" + CYCLE + """' AS cycle_date
+FROM results""")
+def dq_report(spark, root):
+    """DQ-7 roll-up plus the DQ-8 gate message, computed on the executors."""
+    report = report_frame(dq_rule_set(spark, root), CYCLE, NOW)
+    failed = F.filter(F.col("results"), lambda r: ~r["passed"])
+    text = F.transform(failed, lambda r: F.concat_ws(
+        "", r["table"], F.lit("/"), r["rule"], F.lit("/"), F.coalesce(r["column"], F.lit("None")),
+        F.lit(": "), r["details"]))
+    return report.select(
+        "total_checks", "passed", "failed",
+        F.concat(F.col("failed").cast("string"), F.lit(" DQ check(s) failed: "),
+                 F.array_join(text, "; ")).alias("failure_summary"),
+        "cycle_date")
+
+
+# ============================================================== SCD Type 1 merge (MG-*)
+
+_MERGE_SQL = f"""
+WITH t AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{MERGE_TARGET_UNTIL} 00:00:00'),
+     s AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * 1.1 AS o_totalprice,
+                  o_orderdate,
+                  CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS o_orderpriority
+           FROM orders WHERE o_orderdate >= TIMESTAMP '{MERGE_UPDATE_FROM} 00:00:00')
+SELECT COALESCE(t.o_orderkey, s.o_orderkey) AS o_orderkey,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_custkey ELSE t.o_custkey END AS o_custkey,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_totalprice ELSE t.o_totalprice END AS o_totalprice,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_orderdate ELSE t.o_orderdate END AS o_orderdate,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_orderpriority ELSE t.o_orderpriority END
+         AS o_orderpriority,
+       CASE WHEN t.o_orderkey IS NOT NULL AND s.o_orderkey IS NOT NULL THEN 'updated'
+            WHEN s.o_orderkey IS NOT NULL THEN 'inserted' ELSE 'kept' END AS merge_action
+FROM t FULL OUTER JOIN s ON t.o_orderkey = s.o_orderkey"""
+
+
+def _merge_inputs(spark, root):
+    o = _orders(spark, root)
+    target = o.filter(F.col("o_orderdate") < F.lit(MERGE_TARGET_UNTIL).cast("timestamp_ntz"))
+    source = o.filter(F.col("o_orderdate") >= F.lit(MERGE_UPDATE_FROM).cast("timestamp_ntz")).select(
+        "o_orderkey", "o_custkey", "o_orderstatus",
+        (F.col("o_totalprice") * 1.1).alias("o_totalprice"), "o_orderdate",
+        F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.col("o_orderpriority"))
+         .alias("o_orderpriority"))
+    return target, source
+
+
+@query("scd1_merge", _MERGE_SQL)
+def q_scd1_merge(spark, root):
+    """MG-1 + MG-5: upsert a delta of orders; NULLs in the source overwrite."""
+    target, source = _merge_inputs(spark, root)
+    return scd1_merge(target, source, ["o_orderkey"], with_action=True, on_duplicate="trust",
+                      strategy="full")
+
+
+@query("scd1_merge_broadcast", _MERGE_SQL)
+def q_scd1_merge_broadcast(spark, root):
+    """Same upsert through the small-delta plan (size-checked broadcast of the source)."""
+    target, source = _merge_inputs(spark, root)
+    return scd1_merge(target, source, ["o_orderkey"], with_action=True, on_duplicate="trust",
+                      strategy="auto")
+
+
+@query("initial_load", f"""
+SELECT *, TIMESTAMP '{NOW:%Y-%m-%d %H:%M:%S}' AS dw_inserted_date,
+       TIMESTAMP '{NOW:%Y-%m-%d %H:%M:%S}' AS dw_updated_date,
+       'initial_load' AS dw_updated_by, TRUE AS dw_is_active, '{CYCLE}' AS dw_cycle_date
+FROM orders""")
+def q_initial_load(spark, root):
+    """MG-2: audit columns of a first publication."""
+    return initial_load(_orders(spark, root), NOW, CYCLE)
+
+
+# ============================================================== arrival audit (AU-*)
+
+
+def event_arrivals(spark: SparkSession, root: str) -> DataFrame:
+    """Arrivals synthesised from ``events``: one landed file per event.
+
+    Key ``raw/{event_type}/cycle_{yyyyMMdd}/user_{user_id}.csv.pgp``; a user with several
+    events of one type on a day re-lands the same key.  Size = round(value * 100).
+    """
+    ev = read_table(spark, root, "events")
+    key = F.concat(F.lit("raw/"), F.col("event_type"), F.lit("/cycle_"),
+                   F.date_format("ts", "yyyyMMdd"), F.lit("/user_"),
+                   F.col("user_id").cast("string"), F.lit(".csv.pgp"))
+    return ev.select(
+        key.alias("object_key"),
+        F.lit("landing").alias("bucket"),
+        F.round(F.col("value") * 100).cast("long").alias("length"),
+        F.col("ts").cast("timestamp").alias("modificationTime"),
+        "event_id",
+    )
+
+
+_ARRIVALS_SQL = """
+WITH a AS (
+  SELECT 'raw/' || event_type || '/cycle_' || strftime(ts, '%Y%m%d') || '/user_' ||
+         CAST(user_id AS VARCHAR) || '.csv.pgp' AS object_key,
+         event_type AS file_type, strftime(ts, '%Y%m%d') AS cycle_date,
+         'user_' || CAST(user_id AS VARCHAR) || '.csv.pgp' AS file_name,
+         CAST(ROUND(value * 100) AS BIGINT) AS file_size, ts, event_id
+  FROM events),
+l AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY object_key, cycle_date
+                               ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn
+  FROM a),
+audit AS (
+  SELECT 'landing#' || object_key AS file_key, cycle_date, 'landing' AS bucket, object_key,
+         file_type, file_name, ts AS ingestion_timestamp, 'RECEIVED' AS status, file_size,
+         ts AS created_at, ts AS updated_at
+  FROM l WHERE rn = 1)"""
+
+
+def audit_table(spark: SparkSession, root: str) -> DataFrame:
+    entries = audit_entries(event_arrivals(spark, root), now="modificationTime",
+                            tie_breakers=["event_id"])
+    return upsert_audit(empty_audit_table(spark), entries)
+
+
+@query("audit_entries", _ARRIVALS_SQL + "\nSELECT * FROM audit")
+def q_audit_entries(spark, root):
+    """AU-1 + AU-2: parse keys, one RECEIVED entry per key, upserted into the audit table."""
+    return audit_table(spark, root)
+
+
+@query("status_update", _ARRIVALS_SQL + f"""
+SELECT file_key, cycle_date, bucket, object_key, file_type, file_name, ingestion_timestamp,
+       CASE WHEN file_type = 'error' THEN 'FAILED' ELSE status END AS status, file_size, created_at,
+       CASE WHEN file_type = 'error' THEN TIMESTAMP '{NOW:%Y-%m-%d %H:%M:%S}' ELSE updated_at END
+         AS updated_at
+FROM audit""")
+def q_status_update(spark, root):
+    """AU-3: mark the entries of every ``error`` file FAILED."""
+    audit = audit_table(spark, root)
+    failed = audit.filter(F.col("file_type") == "error").select("file_key", "cycle_date")
+    return update_status(audit, failed, status="FAILED", now=NOW)
+
+
+AUDIT_AS_OF = dt.datetime(2024, 4, 15)
+
+
+@query("audit_expiry", _ARRIVALS_SQL + f"""
+SELECT * FROM audit
+WHERE created_at >= TIMESTAMP '{AUDIT_AS_OF:%Y-%m-%d %H:%M:%S}' - INTERVAL 90 DAY""")
+def q_audit_expiry(spark, root):
+    """AU-6: entries older than 90 days before the as-of instant are dropped."""
+    return expire(audit_table(spark, root), AUDIT_AS_OF)
+
+
+@query("cycle_complete", """
+WITH p AS (SELECT DISTINCT strftime(ts, '%Y%m%d') AS cycle_date, event_type FROM events
+           WHERE event_type IN ('click', 'error', 'purchase', 'signup', 'view')),
+     g AS (SELECT cycle_date, LIST(event_type) AS got FROM p GROUP BY cycle_date)
+SELECT cycle_date, CAST(LEN(got) AS INTEGER) AS n_received, LEN(got) = 5 AS is_complete,
+       ARRAY_TO_STRING(LIST_SORT(LIST_FILTER(['click', 'error', 'purchase', 'signup', 'view'],
+                                            lambda x: NOT LIST_CONTAINS(got, x))), ',') AS missing_types
+FROM g""")
+def q_cycle_complete(spark, root):
+    """AU-4: days on which every expected event type has landed."""
+    done = cycle_completeness(audit_table(spark, root), EVENT_TYPES)
+    return done.select("cycle_date", F.size("received_types").alias("n_received"), "is_complete",
+                       F.array_join("missing_types", ",").alias("missing_types"))
+
+
+# ============================================================== alarms (ST-4, batch form)
+
+
+@query("window_alarm", """
+SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
+       time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end,
+       COUNT(*) AS error_count
+FROM events WHERE event_type = 'error'
+GROUP BY 1, 2 HAVING COUNT(*) >= 2""")
+def q_window_alarm(spark, root):
+    errors = read_table(spark, root, "events").filter(F.col("event_type") == "error")
+    return window_alarm(errors, "ts", F.lit(1), agg="count", op=">=", threshold=2,
+                        out_col="error_count")
+
+
+# ============================================================== crypto and ingest (CR-*, IO-*)
+
+
+@query("encrypt_roundtrip", "SELECT c_custkey, c_name, TRUE AS is_encrypted FROM customer")
+def encrypt_roundtrip(spark, root):
+    c = read_table(spark, root, "customer").select(
+        "c_custkey", encrypt_column("c_name", DEMO_KEY).alias("c_name_enc"), "c_name")
+    return c.select("c_custkey", decrypt_column("c_name_enc", DEMO_KEY).alias("c_name"),
+                    (F.col("c_name_enc") != F.col("c_name")).alias("is_encrypted"))
+
+
+_CUSTOMER_SCHEMA = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+_PROVENANCE_SQL = f"""SELECT *, TIMESTAMP '{NOW:%Y-%m-%d %H:%M:%S}' AS ingestion_date,
+       '{CYCLE}' AS cycle_date, 'customer' AS file_type FROM customer"""
+
+
+def _customer_schema(spark):
+    return spark.createDataFrame([], _CUSTOMER_SCHEMA).schema
+
+
+@query("csv_roundtrip", _PROVENANCE_SQL)
+def csv_roundtrip(spark, root):
+    """IO-3 + IO-4: land customer as CSV, read it back with an explicit schema, tag it."""
+    path = scratch_path(spark, "csv")
+    write_csv(read_table(spark, root, "customer"), path)
+    back = read_csv(spark, path, _customer_schema(spark))
+    return with_provenance(back, CYCLE, "customer", NOW)
+
+
+@query("encrypted_csv", _PROVENANCE_SQL)
+def encrypted_csv(spark, root):
+    """IO-2: line-encrypted CSV, decrypted and parsed on the executors."""
+    path = scratch_path(spark, "enc")
+    write_encrypted_lines(read_table(spark, root, "customer"), path, DEMO_KEY)
+    back = read_encrypted_lines(spark, path, DEMO_KEY, _customer_schema(spark))
+    return with_provenance(back, CYCLE, "customer", NOW)
+
+
+@query("staged_cycle", f"""
+SELECT *, TIMESTAMP '{NOW:%Y-%m-%d %H:%M:%S}' AS ingestion_date, 'orders' AS file_type,
+       strftime(o_orderdate, '%Y%m') AS cycle_date
+FROM orders WHERE strftime(o_orderdate, '%Y%m') = '199801'""")
+def staged_cycle(spark, root):
+    """IO-5 + IO-7: stage orders partitioned by month, read one cycle by partition pruning."""
+    path = scratch_path(spark, "staged")
+    o = _orders(spark, root)
+    tagged = o.withColumns({"ingestion_date": F.lit(NOW).cast("timestamp"),
+                            "file_type": F.lit("orders"),
+                            "cycle_date": F.date_format("o_orderdate", "yyyyMM")})
+    stage_parquet(tagged, path, "orders")
+    schema = tagged.schema
+    return read_staged(spark, path, "orders", "199801", schema)
+
+
+def queries() -> dict[str, QueryFn]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLE_SQL)
