@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from cyclemart.functions.paths import parse_object_key
 from cyclemart.operators.dedup import keep_first
 from cyclemart.operators.merge import scd1_merge
+from cyclemart.session import empty_frame
 from cyclemart.schemas import AUDIT_KEYS, AUDIT_RETENTION_DAYS, AUDIT_SCHEMA
 
 
@@ -81,7 +82,7 @@ def audit_entries(
 
 
 def empty_audit_table(spark) -> DataFrame:
-    return spark.createDataFrame([], AUDIT_SCHEMA)
+    return empty_frame(spark, AUDIT_SCHEMA)
 
 
 def upsert_audit(audit: DataFrame, entries: DataFrame, **merge_kwargs) -> DataFrame:

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from cyclemart.operators.dedup import duplicate_keys, has_duplicate_keys, keep_first
 from cyclemart.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, fits_broadcast
 from cyclemart.schemas import INITIAL_LOAD_BY, MERGE_UPDATED_BY
+from cyclemart.session import materialize
 
 log = logging.getLogger(__name__)
 
@@ -69,6 +70,7 @@ def scd1_merge(
     with_action: bool = False,
     strategy: str = "auto",
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+    materialize_source: bool = False,
 ) -> DataFrame:
     """MG-1: upsert ``source`` into ``target`` by ``keys``; nothing is deleted.
 
@@ -81,6 +83,8 @@ def scd1_merge(
 
     ``on_duplicate``: ``"error"`` raises when the source repeats a key, ``"latest"`` keeps
     the first row per key by ``order_by`` (descending), ``"trust"`` skips the check.
+    ``materialize_source`` checkpoints the (de-duplicated) source once, so an expensive
+    source plan is not re-run by the duplicate check and the broadcast plan's three uses.
     """
     tcols, scols = list(target.columns), list(source.columns)
     unknown = [c for c in scols if c not in tcols]
@@ -95,10 +99,13 @@ def scd1_merge(
             raise MergeError("on_duplicate='latest' needs order_by")
         source = keep_first(source, keys, order_by, tie_breakers=tie_breakers)
     elif on_duplicate == "error":
-        if has_duplicate_keys(source, keys):
-            raise MergeError(f"source repeats keys {keys}; pass on_duplicate='latest'")
+        pass
     elif on_duplicate != "trust":
         raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
+    if materialize_source:
+        source = materialize(source)
+    if on_duplicate == "error" and has_duplicate_keys(source, keys):
+        raise MergeError(f"source repeats keys {keys}; pass on_duplicate='latest'")
 
     if update_columns is None:
         update_columns = [c for c in scols if c not in keys and c != "dw_inserted_date"]
@@ -239,14 +246,26 @@ class VersionedTable:
     def exists(self) -> bool:
         return self.latest() is not None
 
-    def publish(self, df: DataFrame) -> int:
+    def publish(self, df: DataFrame, tag: str | None = None) -> int:
+        """Write ``df`` as the next version; ``tag`` marks it (e.g. a stream batch id)."""
         version = (self.latest() or 0) + 1
         writer = df.write.mode("errorifexists")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(self.path(version))
+        if tag is not None:
+            fs, p = _fs(self.spark, f"{self.path(version)}/_TAG_{tag}")
+            fs.create(p, False).close()
         return version
 
+    def has_tag(self, tag: str) -> bool:
+        """True when some published version carries ``tag``."""
+        for version in reversed(self.versions()):
+            fs, p = _fs(self.spark, f"{self.path(version)}/_TAG_{tag}")
+            if fs.exists(p):
+                return True
+        return False
+
 
 @dataclass
 class MergeOutcome:
@@ -264,6 +283,7 @@ def merge_or_init(
     now: dt.datetime | None = None,
     cycle_date: str | None = None,
     on_integrity: str = "warn",
+    tag: str | None = None,
     **merge_kwargs,
 ) -> MergeOutcome:
     """MG-4: initialise the table if absent, otherwise merge into the latest version.
@@ -274,11 +294,12 @@ def merge_or_init(
     if not table.exists():
         obs = Observation("initial_load")
         loaded = initial_load(df, now, cycle_date).observe(obs, F.count(F.lit(1)).alias("rows"))
-        version = table.publish(loaded)
+        version = table.publish(loaded, tag)
         rows = int(obs.get["rows"])
         return MergeOutcome(version, True, rows, {"inserted": rows, "updated": 0, "kept": 0}, None)
 
     target = table.read()
+    merge_kwargs.setdefault("materialize_source", True)
     merged = scd1_merge(target, df, keys, now=now, with_action=True, **merge_kwargs)
     obs = Observation("merge")
     merged = merged.observe(
@@ -287,7 +308,7 @@ def merge_or_init(
         F.count_if(F.col(ACTION_COL) == "updated").alias("updated"),
         F.count_if(F.col(ACTION_COL) == "kept").alias("kept"),
     ).drop(ACTION_COL)
-    version = table.publish(merged)
+    version = table.publish(merged, tag)
     counts = {k: int(v) for k, v in obs.get.items()}
     ok = integrity_ok(table.read(version).select(*keys), keys)
     if not ok:

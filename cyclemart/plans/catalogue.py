@@ -34,7 +34,7 @@ from cyclemart.operators.filters import (
 from cyclemart.operators.joins import COMMISSION_STAR, StarJoin, broadcast_join, join, sort_merge_join
 from cyclemart.operators.merge import ACTION_COL, initial_load, scd1_merge
 from cyclemart.operators.quality import evaluate, evaluate_tables, report_frame
-from cyclemart.session import scratch_path
+from cyclemart.session import materialize, scratch_path
 from cyclemart.sources.encrypted import read_encrypted_lines, write_encrypted_lines
 from cyclemart.sources.files import read_csv, read_staged, stage_parquet, with_provenance, write_csv
 from cyclemart.sources.tables import read_table
@@ -496,10 +496,12 @@ audit AS (
   FROM l WHERE rn = 1)"""
 
 
-def audit_table(spark: SparkSession, root: str) -> DataFrame:
+def audit_table(spark: SparkSession, root: str, materialized: bool = False) -> DataFrame:
+    """The audit table after one batch of arrivals (optionally checkpointed for reuse)."""
     entries = audit_entries(event_arrivals(spark, root), now="modificationTime",
                             tie_breakers=["event_id"])
-    return upsert_audit(empty_audit_table(spark), entries)
+    audit = upsert_audit(empty_audit_table(spark), entries)
+    return materialize(audit) if materialized else audit
 
 
 @query("audit_entries", _ARRIVALS_SQL + "\nSELECT * FROM audit")
@@ -516,7 +518,7 @@ SELECT file_key, cycle_date, bucket, object_key, file_type, file_name, ingestion
 FROM audit""")
 def q_status_update(spark, root):
     """AU-3: mark the entries of every ``error`` file FAILED."""
-    audit = audit_table(spark, root)
+    audit = audit_table(spark, root, materialized=True)
     failed = audit.filter(F.col("file_type") == "error").select("file_key", "cycle_date")
     return update_status(audit, failed, status="FAILED", now=NOW)
 
@@ -616,6 +618,74 @@ def staged_cycle(spark, root):
     return read_staged(spark, path, "orders", "199801", schema)
 
 
+
+# ============================================================== streaming (ST-1..ST-4)
+# Each streaming query runs over everything available (trigger availableNow) into a sink
+# below the shared checkpoint folder, with a fresh checkpoint; the result is read back.
+
+STREAM_DELAY = "10 minutes"
+
+
+def _events_stream(spark: SparkSession, root: str) -> DataFrame:
+    schema = read_table(spark, root, "events").schema
+    # A glob (not the bare file path): the file stream source needs a directory base.
+    return spark.readStream.schema(schema).parquet(f"{root.rstrip('/')}/events*.parquet")
+
+
+def _stream_to_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    from cyclemart.streaming.arrivals import run_available
+
+    base = scratch_path(spark, name)
+    run_available(df, f"{base}/out", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out")
+
+
+@query("stream_window_alarm", f"""
+WITH w AS (
+  SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
+         time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end,
+         COUNT(*) AS error_count
+  FROM events WHERE event_type = 'error'
+  GROUP BY 1, 2 HAVING COUNT(*) >= 2)
+SELECT * FROM w
+WHERE window_end <= (SELECT MAX(ts) FROM events WHERE event_type = 'error') - INTERVAL {STREAM_DELAY}""")
+def stream_window_alarm(spark, root):
+    """ST-4 streamed: append mode emits each window once the watermark has passed it."""
+    errors = _events_stream(spark, root).filter(F.col("event_type") == "error")
+    alarms = window_alarm(errors, "ts", F.lit(1), agg="count", op=">=", threshold=2,
+                          out_col="error_count", watermark=STREAM_DELAY)
+    return _stream_to_table(spark, alarms, "stream-alarm")
+
+
+@query("stream_complete_cycles", """
+WITH p AS (SELECT DISTINCT strftime(ts, '%Y%m%d') AS cycle_date, event_type FROM events
+           WHERE event_type IN ('click', 'error', 'purchase', 'signup', 'view')),
+     g AS (SELECT cycle_date, LIST_SORT(LIST(event_type)) AS got FROM p GROUP BY cycle_date)
+SELECT cycle_date, ARRAY_TO_STRING(got, ',') AS received_types FROM g WHERE LEN(got) = 5""")
+def stream_complete_cycles(spark, root):
+    """ST-1 + ST-2: arrivals streamed, each complete cycle emitted exactly once."""
+    from cyclemart.streaming.arrivals import completed_cycles
+
+    ev = _events_stream(spark, root)
+    key = F.concat(F.lit("raw/"), F.col("event_type"), F.lit("/cycle_"),
+                   F.date_format("ts", "yyyyMMdd"), F.lit("/user_"),
+                   F.col("user_id").cast("string"), F.lit(".csv.pgp"))
+    arrivals = ev.select(key.alias("object_key"), F.col("ts").cast("timestamp").alias("modificationTime"))
+    done = completed_cycles(arrivals, EVENT_TYPES)
+    return _stream_to_table(spark, done, "stream-cycles").select("cycle_date", "received_types")
+
+
+@query("stream_dedup", """
+SELECT DISTINCT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value, props FROM events""")
+def stream_dedup(spark, root):
+    """ST-3: the event stream delivered twice; repeats inside the watermark are dropped."""
+    from cyclemart.streaming.arrivals import dedupe_within_watermark
+
+    twice = _events_stream(spark, root).unionByName(_events_stream(spark, root))
+    return _stream_to_table(spark, dedupe_within_watermark(twice, ["event_id"], "ts", "1 hour"),
+                            "stream-dedup")
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

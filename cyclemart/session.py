@@ -23,6 +23,7 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -72,3 +73,19 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def empty_frame(spark: SparkSession, schema) -> "DataFrame":  # noqa: F821
+    """An empty DataFrame of ``schema`` planned entirely in the JVM (no Python rows)."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)  # noqa: SLF001
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def materialize(df, eager: bool = True):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cyclemart.functions.paths import route_file_type
+from cyclemart.session import empty_frame
 from cyclemart.schemas import ENTITY_SCHEMAS, EXPECTED_FILE_TYPES
 
 log = logging.getLogger(__name__)
@@ -65,8 +66,8 @@ def discover_cycle_files(
     types = file_types or EXPECTED_FILE_TYPES
     pattern = f"{landing_root.rstrip('/')}/raw/*/cycle_{cycle_date}"
     if not _hadoop_path_exists(spark, pattern):
-        return spark.createDataFrame([], "path string, object_key string, length long, "
-                                         "modificationTime timestamp, file_type string")
+        return empty_frame(spark, "path string, object_key string, length long, "
+                                  "modificationTime timestamp, file_type string")
     files = list_files(spark, pattern, glob)
     keyed = files.withColumn("object_key", relative_key("path", landing_root))
     return (keyed.withColumn("file_type", route_file_type("object_key", types))
