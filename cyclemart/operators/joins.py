@@ -148,11 +148,15 @@ class StarJoin:
         return result
 
 
-# The documented commission chain: policy inner, then five left joins.
+# The commission chain: policy (inner), then left joins with feature, exchange, coverage
+# and rider.  Every join key is a fact column, so the order does not change the rows; the
+# 1:1 lookups come first so they move un-fanned rows, and the two many-per-policy joins
+# come last and share one ``policy_id`` partitioning when they are shuffle joins.
+# Every broadcast is size-checked; above the bound the planner (with AQE) decides.
 COMMISSION_STAR = [
     JoinStep("policy", "policy_id", "inner", "broadcast"),
-    JoinStep("coverage", "policy_id", "left", "broadcast"),
     JoinStep("feature", "feature_id", "left", "broadcast"),
-    JoinStep("exchange", "exchange_code", "left", "merge"),
+    JoinStep("exchange", "exchange_code", "left", "broadcast"),
+    JoinStep("coverage", "policy_id", "left", "broadcast"),
     JoinStep("rider", "policy_id", "left", "broadcast"),
 ]

@@ -19,12 +19,14 @@ being read.  This is a publishing convention, not an ACID table format.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import logging
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cyclemart.operators.dedup import duplicate_keys, has_duplicate_keys, keep_first
 from cyclemart.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, fits_broadcast
@@ -37,6 +39,7 @@ ACTION_COL = "merge_action"
 _T, _S = "__t_", "__s_"
 _TP, _SP, _SPREAD = "__t_present", "__s_present", "__spread"
 NULL_KEY_SPREAD = 1024
+_SCHEMA_FILE = "_schema.json"
 
 
 class MergeError(ValueError):
@@ -238,10 +241,32 @@ class VersionedTable:
         return f"{self.root.rstrip('/')}/version={version:08d}"
 
     def read(self, version: int | None = None) -> DataFrame:
+        """A published version (default: latest), with the schema it was written with.
+
+        The stored schema keeps partition columns at their real type (``dw_cycle_date``
+        would otherwise be inferred as INT from its folder names).
+        """
         version = self.latest() if version is None else version
         if version is None:
             raise FileNotFoundError(f"no published version under {self.root}")
-        return self.spark.read.option("basePath", self.path(version)).parquet(self.path(version))
+        reader = self.spark.read.option("basePath", self.path(version))
+        schema = self._stored_schema(version)
+        if schema is not None:
+            reader = reader.schema(schema)
+        return reader.parquet(self.path(version))
+
+    def _stored_schema(self, version: int) -> T.StructType | None:
+        fs, p = _fs(self.spark, f"{self.path(version)}/{_SCHEMA_FILE}")
+        if not fs.exists(p):
+            return None
+        stream = fs.open(p)
+        try:
+            reader = self.spark._jvm.java.io.BufferedReader(  # noqa: SLF001
+                self.spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))  # noqa: SLF001
+            text = reader.readLine()
+        finally:
+            stream.close()
+        return T.StructType.fromJson(json.loads(text))
 
     def exists(self) -> bool:
         return self.latest() is not None
@@ -253,6 +278,10 @@ class VersionedTable:
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(self.path(version))
+        fs, p = _fs(self.spark, f"{self.path(version)}/{_SCHEMA_FILE}")
+        out = fs.create(p, False)
+        out.write(bytearray(json.dumps(df.schema.jsonValue()).encode("utf-8")))
+        out.close()
         if tag is not None:
             fs, p = _fs(self.spark, f"{self.path(version)}/_TAG_{tag}")
             fs.create(p, False).close()

@@ -82,25 +82,35 @@ def read_csv(
     header: bool = True,
     keep_corrupt: bool = False,
     infer_schema: bool = False,
+    by_name: bool = True,
 ) -> DataFrame:
     """IO-3: CSV with an explicit schema (inference only on request).
 
-    ``keep_corrupt`` adds ``_corrupt_record`` holding malformed lines (PERMISSIVE mode);
+    ``by_name`` (with a header): columns are matched to the schema by header name and
+    cast with ``try_cast`` (a bad value becomes NULL, which the quality rules then see);
+    schema columns absent from the file are NULL.  Without ``by_name`` columns are taken
+    by position; ``keep_corrupt`` then adds ``_corrupt_record`` holding malformed lines,
     otherwise malformed lines are dropped.
     """
+    paths = paths if isinstance(paths, list) else [paths]
     reader = spark.read.option("header", str(header).lower())
     if schema is None:
         if not infer_schema:
             raise ValueError("pass a schema, or infer_schema=True")
-        reader = reader.option("inferSchema", "true")
+        return reader.option("inferSchema", "true").csv(paths)
+    if header and by_name:
+        raw = reader.option("mode", "PERMISSIVE").csv(paths)  # every column as text
+        present = set(raw.columns)
+        return raw.select(*[
+            (F.col(f.name).try_cast(f.dataType) if f.name in present
+             else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in schema.fields])
+    if keep_corrupt:
+        schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType(), True)])
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL)
     else:
-        if keep_corrupt:
-            schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType(), True)])
-            reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL)
-        else:
-            reader = reader.option("mode", "DROPMALFORMED")
-        reader = reader.schema(schema)
-    return reader.csv(paths if isinstance(paths, list) else [paths])
+        reader = reader.option("mode", "DROPMALFORMED")
+    return reader.schema(schema).csv(paths)
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:

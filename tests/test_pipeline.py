@@ -1,0 +1,71 @@
+import datetime as dt
+import os
+
+import pytest
+
+from cyclemart.operators.merge import VersionedTable
+from cyclemart.operators.quality import QualityError
+from cyclemart.plans.pipeline import FACT_KEYS, run_cycle
+from cyclemart.session import local_path
+from cyclemart.sources.encrypted import encrypt_text
+
+KEY = "0123456789abcdef"
+FILES = {
+    "transactions": ("transaction_id,cycle_date,policy_id,transaction_amount,transaction_status,"
+                     "is_commission_eligible,agent_id,commission_rate,exchange_code,feature_id\n"
+                     "T1,{c},P1,100.0,SUCCESS,1,A1,0.1,USD,F1\n"
+                     "T2,{c},P2,200.0,SUCCESS,1,A1,0.2,EUR,F1\n"
+                     "T3,{c},P1,50.0,FAILED,1,A2,0.1,USD,F1\n"
+                     "T4,{c},P3,70.0,SUCCESS,1,A2,0.1,USD,F2\n"),
+    "policy": "policy_id,policy_status\nP1,ACTIVE\nP2,RENEWAL\nP3,LAPSED\n",
+    "coverage": "coverage_id,policy_id\nC1,P1\nC2,P1\n",
+    "feature": "feature_id,feature_name\nF1,basic\n",
+    "exchange": "exchange_id,exchange_code,exchange_rate\nX1,USD,1.0\nX2,EUR,1.1\n",
+    "rider": "rider_id,policy_id\nR1,P2\n",
+}
+
+
+def land_cycle(landing, cycle, overrides=None, encrypted=False, spark=None):
+    for t, text in {**FILES, **(overrides or {})}.items():
+        path = os.path.join(local_path(landing), "raw", t, f"cycle_{cycle}", f"{t}.csv.pgp")
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        body = text.format(c=cycle)
+        with open(path, "wb") as f:
+            f.write(encrypt_text(spark, body, KEY) if encrypted else body.encode())
+
+
+@pytest.mark.parametrize("encrypted", [False, True])
+def test_run_cycle_end_to_end(spark, scratch, encrypted):
+    landing, staged, reports, fact = (scratch(n) for n in ("landing", "staged", "reports", "fact"))
+    land_cycle(landing, "20240101", encrypted=encrypted, spark=spark)
+    now = dt.datetime(2024, 1, 2)
+    run = run_cycle(spark, landing, staged, reports, fact, "20240101", now, KEY,
+                    "files" if encrypted else "none")
+    assert run.files == {t: 1 for t in FILES}
+    assert all(r["passed"] for r in run.quality) and len(run.quality) == 25
+    assert run.merge.initialised and run.merge.version == 1
+    rows = VersionedTable(spark, fact).read().collect()
+    # T1 fans out over 2 coverages; T2 has 1 rider; T3 failed; T4's policy is lapsed.
+    assert sorted((r.transaction_id, r.coverage_id, r.rider_id) for r in rows) == [
+        ("T1", "C1", None), ("T1", "C2", None), ("T2", None, "R1")]
+    t2 = [r for r in rows if r.transaction_id == "T2"][0]
+    assert abs(t2.commission_amount - 40.0) < 1e-9 and t2.exchange_rate == 1.1
+    assert t2.dw_cycle_date == "20240101" and t2.dw_updated_by == "initial_load"
+
+
+def test_second_cycle_merges_and_gate_stops_bad_cycle(spark, scratch):
+    landing, staged, reports, fact = (scratch(n) for n in ("landing", "staged", "reports", "fact"))
+    land_cycle(landing, "20240101")
+    run_cycle(spark, landing, staged, reports, fact, "20240101", dt.datetime(2024, 1, 2))
+    land_cycle(landing, "20240102")
+    second = run_cycle(spark, landing, staged, reports, fact, "20240102", dt.datetime(2024, 1, 3))
+    assert second.merge.version == 2 and second.merge.counts == {"inserted": 3, "updated": 0, "kept": 3}
+    table = VersionedTable(spark, fact, ["dw_cycle_date"])
+    assert table.read().count() == 6 and second.merge.integrity_ok
+    assert len(FACT_KEYS) == 4
+    bad = FILES["transactions"] + "T1,{c},P1,-5.0,SUCCESS,1,A1,0.1,USD,F1\n"
+    land_cycle(landing, "20240103", {"transactions": bad})
+    with pytest.raises(QualityError, match="transactions/no_duplicates"):
+        run_cycle(spark, landing, staged, reports, fact, "20240103", dt.datetime(2024, 1, 4))
+    assert os.path.isdir(os.path.join(local_path(reports), "20240103"))
+    assert table.latest() == 2
