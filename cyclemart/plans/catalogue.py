@@ -25,20 +25,21 @@ from pyspark.sql import functions as F
 from cyclemart.functions.crypto import decrypt_column, encrypt_column
 from cyclemart.operators.aggregates import commission_by_agent_policy, row_count
 from cyclemart.operators.audit import (
-    audit_entries, cycle_completeness, empty_audit_table, expire, update_status, upsert_audit,
+    audit_entries, batch_summary, cycle_completeness, empty_audit_table, expire, update_status,
+    upsert_audit,
 )
 from cyclemart.operators.dedup import distinct_key_count, duplicate_keys, keep_first, latest_per_key
 from cyclemart.operators.filters import (
     apply_filters, policy_filter, transaction_filter, with_audit_columns, with_commission,
 )
 from cyclemart.operators.joins import COMMISSION_STAR, StarJoin, broadcast_join, join, sort_merge_join
-from cyclemart.operators.merge import ACTION_COL, initial_load, scd1_merge
+from cyclemart.operators.merge import ACTION_COL, VersionedTable, initial_load, merge_or_init, scd1_merge
 from cyclemart.operators.quality import evaluate, evaluate_tables, report_frame
 from cyclemart.session import materialize, scratch_path
 from cyclemart.sources.encrypted import read_encrypted_lines, write_encrypted_lines
 from cyclemart.sources.files import read_csv, read_staged, stage_parquet, with_provenance, write_csv
 from cyclemart.sources.tables import read_table
-from cyclemart.streaming.alarms import window_alarm
+from cyclemart.streaming.alarms import default_alarms, window_alarm
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -455,6 +456,71 @@ def q_initial_load(spark, root):
     return initial_load(_orders(spark, root), NOW, CYCLE)
 
 
+# ---------------------------------------------------------- versioned publish (MG-4, IO-9)
+
+T_INIT = dt.datetime(2024, 1, 15)
+INIT_CYCLE = "20240115"
+
+
+def _published_orders(spark: SparkSession, root: str) -> VersionedTable:
+    """Publish the target as version 1, then merge the audited delta as version 2."""
+    target, source = _merge_inputs(spark, root)
+    table = VersionedTable(spark, scratch_path(spark, "orders-published"), ["dw_cycle_date"])
+    merge_or_init(table, target, ["o_orderkey"], now=T_INIT, cycle_date=INIT_CYCLE)
+    merge_or_init(table, with_audit_columns(source, CYCLE, NOW), ["o_orderkey"], now=NOW,
+                  on_duplicate="trust")
+    return table
+
+
+_PUBLISHED_T = f"""
+t AS (SELECT *, TIMESTAMP '{T_INIT:%Y-%m-%d %H:%M:%S}' AS dw_inserted_date,
+             TIMESTAMP '{T_INIT:%Y-%m-%d %H:%M:%S}' AS dw_updated_date,
+             'initial_load' AS dw_updated_by, TRUE AS dw_is_active, '{INIT_CYCLE}' AS dw_cycle_date
+      FROM orders WHERE o_orderdate < TIMESTAMP '{MERGE_TARGET_UNTIL} 00:00:00')"""
+
+
+@query("versioned_merge", f"""
+WITH {_PUBLISHED_T},
+     s AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * 1.1 AS o_totalprice,
+                  o_orderdate,
+                  CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS o_orderpriority
+           FROM orders WHERE o_orderdate >= TIMESTAMP '{MERGE_UPDATE_FROM} 00:00:00')
+SELECT COALESCE(t.o_orderkey, s.o_orderkey) AS o_orderkey,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_custkey ELSE t.o_custkey END AS o_custkey,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_totalprice ELSE t.o_totalprice END AS o_totalprice,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_orderdate ELSE t.o_orderdate END AS o_orderdate,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_orderpriority ELSE t.o_orderpriority END
+         AS o_orderpriority,
+       CASE WHEN t.o_orderkey IS NOT NULL THEN t.dw_inserted_date
+            ELSE TIMESTAMP '{NOW:%Y-%m-%d %H:%M:%S}' END AS dw_inserted_date,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN TIMESTAMP '{NOW:%Y-%m-%d %H:%M:%S}'
+            ELSE t.dw_updated_date END AS dw_updated_date,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN 'glue_job' ELSE t.dw_updated_by END AS dw_updated_by,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN TRUE ELSE t.dw_is_active END AS dw_is_active,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN '{CYCLE}' ELSE t.dw_cycle_date END AS dw_cycle_date
+FROM t FULL OUTER JOIN s ON t.o_orderkey = s.o_orderkey""")
+def q_versioned_merge(spark, root):
+    """MG-4: initialise, then merge into a new immutable version; read the latest."""
+    return _published_orders(spark, root).read()
+
+
+@query("time_travel", f"WITH {_PUBLISHED_T}\nSELECT * FROM t")
+def q_time_travel(spark, root):
+    """IO-9: read the first published version after a later merge."""
+    return _published_orders(spark, root).read(1)
+
+
+@query("published_cycle", f"""
+SELECT o_orderkey, o_totalprice * 1.1 AS o_totalprice, 'glue_job' AS dw_updated_by FROM orders
+WHERE o_orderdate >= TIMESTAMP '{MERGE_UPDATE_FROM} 00:00:00'""")
+def q_published_cycle(spark, root):
+    """IO-7 on a published table: one cycle's partition of the latest version."""
+    latest = _published_orders(spark, root).read()
+    rows = latest.where(F.col("dw_cycle_date") == F.lit(CYCLE))
+    return rows.select("o_orderkey", "o_totalprice", "dw_updated_by")
+
+
 # ============================================================== arrival audit (AU-*)
 
 
@@ -549,6 +615,16 @@ def q_cycle_complete(spark, root):
                        F.array_join("missing_types", ",").alias("missing_types"))
 
 
+@query("arrival_summary", """
+SELECT 'raw/' || event_type || '/cycle_' || strftime(ts, '%Y%m%d') || '/user_' ||
+       CAST(user_id AS VARCHAR) || '.csv.pgp' AS file,
+       event_type AS type, strftime(ts, '%Y%m%d') AS cycle_date, 'AUDITED' AS status
+FROM events""")
+def q_arrival_summary(spark, root):
+    """AU-5: one AUDITED row per valid arrival of the batch."""
+    return batch_summary(event_arrivals(spark, root))
+
+
 # ============================================================== alarms (ST-4, batch form)
 
 
@@ -564,6 +640,40 @@ def q_window_alarm(spark, root):
                         out_col="error_count")
 
 
+def event_metrics(spark: SparkSession, root: str) -> DataFrame:
+    """Monitoring metrics derived from ``events``: errors, job failures (signups), audit
+    writes (purchases) and handler durations (other events, value x 1000 ms)."""
+    ev = read_table(spark, root, "events")
+    name = (F.when(F.col("event_type") == "error", F.lit("handler_errors"))
+             .when(F.col("event_type") == "signup", F.lit("job_failures"))
+             .when(F.col("event_type") == "purchase", F.lit("audit_writes"))
+             .otherwise(F.lit("handler_duration_ms")))
+    value = F.when(name == "handler_duration_ms", F.col("value") * 1000).otherwise(F.lit(1.0))
+    return ev.select("ts", name.alias("metric_name"), value.alias("value"))
+
+
+@query("monitoring_alarms", """
+WITH m AS (
+  SELECT ts,
+         CASE event_type WHEN 'error' THEN 'handler_errors' WHEN 'signup' THEN 'job_failures'
+              WHEN 'purchase' THEN 'audit_writes' ELSE 'handler_duration_ms' END AS metric_name,
+         CASE WHEN event_type IN ('error', 'signup', 'purchase') THEN 1.0 ELSE value * 1000 END AS value
+  FROM events),
+g AS (
+  SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, metric_name,
+         SUM(value) AS s, AVG(value) AS a
+  FROM m GROUP BY 1, 2)
+SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, metric_name AS alarm,
+       ROUND(CASE WHEN metric_name = 'handler_duration_ms' THEN a ELSE s END, 4) AS metric
+FROM g
+WHERE (metric_name = 'handler_errors' AND s >= 5) OR (metric_name = 'handler_duration_ms' AND a > 45000)
+   OR (metric_name = 'job_failures' AND s >= 1) OR (metric_name = 'audit_writes' AND s > 50)""")
+def q_monitoring_alarms(spark, root):
+    """ST-4: every configured alarm rule over 5-minute windows, one pass over the metrics."""
+    alarms = default_alarms(event_metrics(spark, root))
+    return alarms.withColumn("metric", F.round("metric", 4))
+
+
 # ============================================================== crypto and ingest (CR-*, IO-*)
 
 

@@ -12,7 +12,7 @@ DRIVER_TABLES = [
 ]
 
 _lock = threading.Lock()
-_resolved: dict[tuple[int, str], DataFrame] = {}
+_resolved: dict[tuple[str, int, str], DataFrame] = {}
 
 
 def read_table(spark: SparkSession, root: str, name: str, reuse: bool = True) -> DataFrame:
@@ -25,7 +25,7 @@ def read_table(spark: SparkSession, root: str, name: str, reuse: bool = True) ->
     path = f"{root.rstrip('/')}/{name}.parquet"
     if not reuse:
         return spark.read.parquet(path)
-    key = (id(spark._jsparkSession), path)  # noqa: SLF001
+    key = (spark.sparkContext.applicationId, id(spark), path)
     with _lock:
         df = _resolved.get(key)
         if df is None:
