@@ -313,12 +313,15 @@ def merge_or_init(
     cycle_date: str | None = None,
     on_integrity: str = "warn",
     tag: str | None = None,
+    materialize_source: bool = True,
     **merge_kwargs,
 ) -> MergeOutcome:
     """MG-4: initialise the table if absent, otherwise merge into the latest version.
 
     The merge is evaluated once, by the write; action counts come from an observation on
     that write.  The integrity check reads the new version (keys only).
+    ``materialize_source`` (default on) checkpoints the source first, which pays off when
+    it is an expensive plan (a star join); pass False for a plain scan.
     """
     if not table.exists():
         obs = Observation("initial_load")
@@ -328,8 +331,8 @@ def merge_or_init(
         return MergeOutcome(version, True, rows, {"inserted": rows, "updated": 0, "kept": 0}, None)
 
     target = table.read()
-    merge_kwargs.setdefault("materialize_source", True)
-    merged = scd1_merge(target, df, keys, now=now, with_action=True, **merge_kwargs)
+    merged = scd1_merge(target, df, keys, now=now, with_action=True,
+                        materialize_source=materialize_source, **merge_kwargs)
     obs = Observation("merge")
     merged = merged.observe(
         obs,

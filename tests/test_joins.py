@@ -70,3 +70,18 @@ def test_star_join_drops_provenance_and_handles_clashes(spark):
         StarJoin("transactions", steps).apply({"transactions": tx, "policy": policy})
     out = StarJoin("transactions", steps, clash="prefix").apply({"transactions": tx, "policy": policy})
     assert out.columns == ["policy_id", "transaction_id", "cycle_date", "note", "policy_note"]
+
+
+def test_star_join_edge_rows(spark):
+    tx = sized(spark, [("T1", "P1", "F1", "USD"), ("T2", "P9", "F1", "USD"), ("T3", "P1", "F1", "ZZZ")],
+               "transaction_id string, policy_id string, feature_id string, exchange_code string")
+    policy = sized(spark, [("P1", "ACTIVE")], "policy_id string, policy_status string")
+    exchange = sized(spark, [("X1", "USD", 1.0)], "exchange_id string, exchange_code string, exchange_rate double")
+    coverage = sized(spark, [], "coverage_id string, policy_id string")  # empty dimension
+    steps = [JoinStep("policy", "policy_id", "inner"), JoinStep("exchange", "exchange_code", "left"),
+             JoinStep("coverage", "policy_id", "left")]
+    rows = {r.transaction_id: r for r in StarJoin("transactions", steps).apply(
+        {"transactions": tx, "policy": policy, "exchange": exchange, "coverage": coverage}).collect()}
+    assert set(rows) == {"T1", "T3"}  # T2 has no policy: dropped by the inner join
+    assert rows["T1"].exchange_rate == 1.0 and rows["T3"].exchange_rate is None  # unknown code
+    assert rows["T1"].coverage_id is None

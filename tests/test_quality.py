@@ -96,3 +96,17 @@ def test_report_frame(spark):
     rep = one(report_frame(evaluate_tables({"a": df}, {"a": {"not_null": ["k"], "min_row_count": 5}})))
     assert (rep["total_checks"], rep["passed"], rep["failed"]) == (2, 1, 1)
     assert [r["rule"] for r in rep["results"]] == ["not_null", "min_row_count"]
+
+
+def test_allowed_values_empty_set_fails_every_row(spark):
+    df = spark.createDataFrame([("A",), (None,)], "s string")
+    r = one(evaluate(df, "t", {"allowed_values": {"s": []}}))
+    assert r["failing_count"] == 2 and r["details"] == "2 value(s) outside [] in 's'"
+
+
+def test_int_flag_and_string_table_values(spark):
+    df = spark.createDataFrame([(1, "x"), (0, "y"), (None, "z")], "flag int, s string")
+    rows = [r.asDict() for r in evaluate_tables({"t": df}, {"t": {
+        "not_null": ["flag", "s"], "allowed_values": {"flag": [0, 1]}}}).collect()]
+    assert [(r["rule"], r["column"], r["failing_count"]) for r in rows] == [
+        ("not_null", "flag", 1), ("not_null", "s", 0), ("allowed_values", "flag", 0)]
