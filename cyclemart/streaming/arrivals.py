@@ -121,7 +121,11 @@ def completed_cycles(arrivals: DataFrame, expected: list[str] | None = None,
                       .select(F.col("__p.cycle_date").alias("cycle_date"),
                               F.col("__p.file_type").alias("file_type"),
                               F.col("modificationTime").cast("timestamp").alias("modificationTime")))
-    return parsed.groupBy("cycle_date").applyInPandasWithState(
+    # JVM-side de-duplication first: the Python state function then sees each
+    # (cycle, type) pair once, however many records a hot cycle brings in a batch.
+    # Its state holds at most cycles x expected types small rows.
+    pairs = parsed.dropDuplicates(["cycle_date", "file_type"])
+    return pairs.groupBy("cycle_date").applyInPandasWithState(
         _emit_once(expected), COMPLETED_SCHEMA, _STATE_SCHEMA, "append",
         GroupStateTimeout.NoTimeout)
 
