@@ -17,7 +17,7 @@ from cyclemart.functions.paths import parse_object_key
 from cyclemart.operators.dedup import keep_first
 from cyclemart.operators.merge import scd1_merge
 from cyclemart.session import empty_frame
-from cyclemart.schemas import AUDIT_KEYS, AUDIT_RETENTION_DAYS, AUDIT_SCHEMA
+from cyclemart.schemas import AUDIT_KEYS, AUDIT_RETENTION_DAYS, AUDIT_SCHEMA, AUDIT_STATUSES
 
 
 def _ts(now: dt.datetime | Column | str | None) -> Column:
@@ -104,6 +104,8 @@ def update_status(
     ``status``.  As with an update-by-key in a key-value store, an unknown key creates a
     sparse entry holding only the key, status and time.
     """
+    if isinstance(status, str) and status not in AUDIT_STATUSES:
+        raise ValueError(f"status {status!r} is not one of {AUDIT_STATUSES}")
     status_col = F.col("status") if status is None else (
         status if isinstance(status, Column) else F.lit(status))
     src = updates.select(*AUDIT_KEYS, status_col.cast("string").alias("status"),

@@ -1 +1 @@
-"""End-to-end jobs (``pipeline``) and the query catalogue on the driver tables."""
+"""End-to-end cycle jobs (``jobs``) and the query catalogue on the driver tables."""

@@ -5,7 +5,7 @@ import pytest
 
 from cyclemart.operators.merge import VersionedTable
 from cyclemart.operators.quality import QualityError
-from cyclemart.plans.pipeline import FACT_KEYS, run_cycle
+from cyclemart.plans.jobs import FACT_KEYS, run_cycle
 from cyclemart.session import local_path
 from cyclemart.sources.encrypted import encrypt_text
 
