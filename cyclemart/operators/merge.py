@@ -357,7 +357,89 @@ def remove_older_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 __all__ = [
-    "ACTION_COL", "MergeError", "MergeOutcome", "VersionedTable", "duplicate_keys",
+    "ACTION_COL", "MergeError", "MergeOutcome", "PartitionedTable", "VersionedTable", "duplicate_keys",
     "initial_load", "integrity_ok", "merge_counts", "merge_or_init", "remove_older_duplicates",
     "scd1_merge",
 ]
+
+
+# ------------------------------------------------------------ partition-scoped publish
+
+
+@dataclass
+class PartitionedTable:
+    """A table partitioned by one column, merged *in place* partition by partition.
+
+    When the partition column is part of the merge key (the fact: ``cycle_date`` /
+    ``dw_cycle_date``), a delta can only change the partitions its rows name.  Those
+    partitions are read (partition pruning), merged, checkpointed to the shared
+    checkpoint folder (which cuts the lineage to the files about to be replaced) and
+    written back with dynamic partition overwrite.  Cost is proportional to the touched
+    partitions, not to the table.  No earlier versions are kept in this layout; use
+    :class:`VersionedTable` where time travel is needed.
+    """
+
+    spark: SparkSession
+    root: str
+    partition_col: str
+
+    def exists(self) -> bool:
+        # The schema file is written after every successful write (dynamic partition
+        # overwrite leaves no root-level _SUCCESS marker).
+        fs, p = _fs(self.spark, f"{self.root.rstrip('/')}/{_SCHEMA_FILE}")
+        return bool(fs.exists(p))
+
+    def _schema(self) -> T.StructType | None:
+        fs, p = _fs(self.spark, f"{self.root.rstrip('/')}/{_SCHEMA_FILE}")
+        if not fs.exists(p):
+            return None
+        stream = fs.open(p)
+        try:
+            reader = self.spark._jvm.java.io.BufferedReader(  # noqa: SLF001
+                self.spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))  # noqa: SLF001
+            return T.StructType.fromJson(json.loads(reader.readLine()))
+        finally:
+            stream.close()
+
+    def read(self) -> DataFrame:
+        reader = self.spark.read
+        schema = self._schema()
+        if schema is not None:
+            reader = reader.schema(schema)
+        return reader.parquet(self.root)
+
+    def _write(self, df: DataFrame, mode: str) -> None:
+        (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+           .partitionBy(self.partition_col).parquet(self.root))
+        fs, p = _fs(self.spark, f"{self.root.rstrip('/')}/{_SCHEMA_FILE}")
+        out = fs.create(p, True)
+        out.write(bytearray(json.dumps(df.schema.jsonValue()).encode("utf-8")))
+        out.close()
+
+    def merge_or_init(self, df: DataFrame, keys: list[str], now: dt.datetime | None = None,
+                      cycle_date: str | None = None, on_integrity: str = "warn",
+                      **merge_kwargs) -> MergeOutcome:
+        """MG-4 in place: initialise, or merge the delta into the partitions it touches."""
+        if not self.exists():
+            obs = Observation("initial_load")
+            loaded = initial_load(df, now, cycle_date).observe(obs, F.count(F.lit(1)).alias("rows"))
+            self._write(loaded, "overwrite")
+            rows = int(obs.get["rows"])
+            return MergeOutcome(0, True, rows, {"inserted": rows, "updated": 0, "kept": 0}, None)
+        if self.partition_col not in keys and self.partition_col not in df.columns:
+            raise MergeError(f"the delta must carry the partition column {self.partition_col!r}")
+        # The partition values a delta names: one row per touched partition (a handful).
+        touched = [r[0] for r in df.select(self.partition_col).distinct().collect()]
+        target = self.read().where(F.col(self.partition_col).isin(*touched))
+        merged = scd1_merge(target, df, keys, now=now, with_action=True, **merge_kwargs)
+        merged = materialize(merged)  # lineage no longer points at the files being replaced
+        counts = {r[ACTION_COL]: int(r["rows"]) for r in merge_counts(merged).collect()}
+        counts = {k: counts.get(k, 0) for k in ("inserted", "updated", "kept")}
+        self._write(merged.drop(ACTION_COL), "overwrite")
+        ok = integrity_ok(self.read().where(F.col(self.partition_col).isin(*touched)).select(*keys), keys)
+        if not ok:
+            message = f"duplicate keys {keys} in partitions {touched} of {self.root}"
+            if on_integrity == "raise":
+                raise MergeError(message)
+            log.warning(message)
+        return MergeOutcome(0, False, counts["inserted"] + counts["updated"], counts, ok)

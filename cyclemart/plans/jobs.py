@@ -22,7 +22,7 @@ from cyclemart.operators.filters import (
     policy_filter, transaction_filter, with_audit_columns, with_commission,
 )
 from cyclemart.operators.joins import COMMISSION_STAR, StarJoin
-from cyclemart.operators.merge import MergeOutcome, VersionedTable, merge_or_init
+from cyclemart.operators.merge import MergeOutcome, PartitionedTable, VersionedTable, merge_or_init
 from cyclemart.operators.quality import run_gate
 from cyclemart.schemas import DQ_RULES, ENTITY_SCHEMAS, EXPECTED_FILE_TYPES, PRIMARY_KEYS
 from cyclemart.sources.encrypted import read_encrypted_files, read_encrypted_lines
@@ -110,13 +110,16 @@ def commission_summary(tables: dict[str, DataFrame]) -> DataFrame:
     return commission_by_agent_policy(filtered_tables(tables)["transactions"])
 
 
-def publish_fact(table: VersionedTable, fact: DataFrame, now: dt.datetime,
+def publish_fact(table: VersionedTable | PartitionedTable, fact: DataFrame, now: dt.datetime,
                  cycle_date: str, keys: list[str] | None = None) -> MergeOutcome:
     """MG-4 for the fact: NULL-safe keys, because the left joins leave NULL ids.
 
     A fact key that repeats (e.g. two exchange rows share a code) raises instead of
     silently publishing duplicates.
     """
+    if isinstance(table, PartitionedTable):
+        return table.merge_or_init(fact, keys or FACT_KEYS, now=now, cycle_date=cycle_date,
+                                   null_safe_keys=True, on_duplicate="error")
     return merge_or_init(table, fact, keys or FACT_KEYS, now=now, cycle_date=cycle_date,
                          null_safe_keys=True, on_duplicate="error")
 
@@ -139,14 +142,22 @@ def run_cycle(
     now: dt.datetime,
     key: str | bytes | None = None,
     encryption: str = "none",
+    layout: str = "versions",
 ) -> CycleRun:
-    """PL-4: ingest, gate (stops on failure by raising), build and publish one cycle."""
+    """PL-4: ingest, gate (stops on failure by raising), build and publish one cycle.
+
+    ``layout="versions"`` publishes a new immutable version per cycle (time travel);
+    ``layout="partitions"`` rewrites only the cycle's partition of the fact in place, so
+    the cost of a cycle does not grow with the history kept.
+    """
     run = CycleRun(cycle_date)
     run.files = ingest_cycle(spark, landing_root, staged_root, cycle_date, now, key, encryption)
     run.quality = gate_cycle(spark, staged_root, cycle_date, report_root, now)
     tables = load_cycle(spark, staged_root, cycle_date, missing="skip")
     fact = build_fact(tables, cycle_date, now)
-    run.merge = publish_fact(VersionedTable(spark, fact_root, ["dw_cycle_date"]), fact, now, cycle_date)
+    table = (PartitionedTable(spark, fact_root, "dw_cycle_date") if layout == "partitions"
+             else VersionedTable(spark, fact_root, ["dw_cycle_date"]))
+    run.merge = publish_fact(table, fact, now, cycle_date)
     return run
 
 

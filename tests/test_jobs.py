@@ -69,3 +69,15 @@ def test_second_cycle_merges_and_gate_stops_bad_cycle(spark, scratch):
         run_cycle(spark, landing, staged, reports, fact, "20240103", dt.datetime(2024, 1, 4))
     assert os.path.isdir(os.path.join(local_path(reports), "20240103"))
     assert table.latest() == 2
+
+
+def test_partition_layout_rewrites_only_the_cycle(spark, scratch):
+    landing, staged, reports, fact = (scratch(n) for n in ("landing", "staged", "reports", "fact"))
+    for i, cycle in enumerate(["20240101", "20240102"]):
+        land_cycle(landing, cycle)
+        run = run_cycle(spark, landing, staged, reports, fact, cycle, dt.datetime(2024, 1, 2 + i),
+                        layout="partitions")
+    assert run.merge.counts == {"inserted": 3, "updated": 0, "kept": 0}
+    from cyclemart.operators.merge import PartitionedTable
+    rows = PartitionedTable(spark, fact, "dw_cycle_date").read().collect()
+    assert len(rows) == 6 and {r.dw_cycle_date for r in rows} == {"20240101", "20240102"}

@@ -96,3 +96,23 @@ def test_versioned_merge_integrity_without_null_keys(spark, scratch):
 def test_integrity(spark):
     assert integrity_ok(target(spark), ["id"])
     assert not integrity_ok(target(spark).unionByName(target(spark)), ["id"])
+
+
+def test_partitioned_table_merges_only_touched_partitions(spark, scratch):
+    from cyclemart.operators.merge import PartitionedTable
+    import os
+    from cyclemart.session import local_path
+
+    table = PartitionedTable(spark, scratch("ptable"), "cycle")
+    base = sized(spark, [("1", "A", 1.0), ("2", "A", 2.0), ("3", "B", 3.0)], "id string, cycle string, amount double")
+    first = table.merge_or_init(base, ["id", "cycle"], now=T0)
+    assert first.initialised
+    b_files = sorted(os.listdir(os.path.join(local_path(table.root), "cycle=B")))
+    delta = sized(spark, [("2", "A", 20.0), ("4", "A", 4.0)], "id string, cycle string, amount double")
+    out = table.merge_or_init(delta, ["id", "cycle"], now=NOW)
+    assert out.counts == {"inserted": 1, "updated": 1, "kept": 1} and out.integrity_ok
+    rows = {r.id: r for r in table.read().collect()}
+    assert len(rows) == 4 and rows["2"].amount == 20.0 and rows["2"].dw_updated_by == "glue_job"
+    assert rows["3"].dw_updated_by == "initial_load" and rows["2"].dw_inserted_date == T0
+    assert sorted(os.listdir(os.path.join(local_path(table.root), "cycle=B"))) == b_files  # untouched
+    assert dict(table.read().dtypes)["cycle"] == "string"
