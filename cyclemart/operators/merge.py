@@ -314,6 +314,7 @@ def merge_or_init(
     on_integrity: str = "warn",
     tag: str | None = None,
     materialize_source: bool = True,
+    audit_columns: bool = True,
     **merge_kwargs,
 ) -> MergeOutcome:
     """MG-4: initialise the table if absent, otherwise merge into the latest version.
@@ -322,10 +323,13 @@ def merge_or_init(
     that write.  The integrity check reads the new version (keys only).
     ``materialize_source`` (default on) checkpoints the source first, which pays off when
     it is an expensive plan (a star join); pass False for a plain scan.
+    ``audit_columns=False`` publishes the first version without the ``dw_*`` columns
+    (e.g. the arrival audit table, which has its own time columns).
     """
     if not table.exists():
         obs = Observation("initial_load")
-        loaded = initial_load(df, now, cycle_date).observe(obs, F.count(F.lit(1)).alias("rows"))
+        first = initial_load(df, now, cycle_date) if audit_columns else df
+        loaded = first.observe(obs, F.count(F.lit(1)).alias("rows"))
         version = table.publish(loaded, tag)
         rows = int(obs.get["rows"])
         return MergeOutcome(version, True, rows, {"inserted": rows, "updated": 0, "kept": 0}, None)

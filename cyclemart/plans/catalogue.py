@@ -821,6 +821,26 @@ def stream_complete_cycles(spark, root):
     return _stream_to_table(spark, done, "stream-cycles").select("cycle_date", "received_types")
 
 
+@query("stream_audit", _ARRIVALS_SQL.replace("ts AS ingestion_timestamp", "NOW_TS AS ingestion_timestamp")
+       .replace("ts AS created_at, ts AS updated_at", "NOW_TS AS created_at, NOW_TS AS updated_at")
+       .replace("NOW_TS", f"TIMESTAMP '{NOW:%Y-%m-%d %H:%M:%S}'") + "\nSELECT * FROM audit")
+def stream_audit(spark, root):
+    """ST-1: arrivals streamed into the audit table by a foreachBatch upsert (AU-2)."""
+    from cyclemart.streaming.arrivals import audit_sink, run_available_foreach
+
+    ev = _events_stream(spark, root)
+    key = F.concat(F.lit("raw/"), F.col("event_type"), F.lit("/cycle_"),
+                   F.date_format("ts", "yyyyMMdd"), F.lit("/user_"),
+                   F.col("user_id").cast("string"), F.lit(".csv.pgp"))
+    arrivals = ev.select(key.alias("object_key"), F.round(F.col("value") * 100).cast("long").alias("length"),
+                         F.col("ts").cast("timestamp").alias("modificationTime"), "event_id")
+    base = scratch_path(spark, "stream-audit")
+    table = VersionedTable(spark, f"{base}/audit")
+    run_available_foreach(arrivals, audit_sink(table, "landing", now=lambda: NOW,
+                                               tie_breakers=["event_id"]), f"{base}/checkpoint")
+    return table.read()
+
+
 @query("stream_dedup", """
 SELECT DISTINCT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value, props FROM events""")
 def stream_dedup(spark, root):

@@ -61,7 +61,8 @@ def arrival_stream(spark: SparkSession, landing_root: str, glob: str | None = "*
 
 
 def audit_sink(table: VersionedTable, bucket: str,
-               now: Callable[[], dt.datetime] = dt.datetime.utcnow):
+               now: Callable[[], dt.datetime] = dt.datetime.utcnow,
+               tie_breakers: list[str] | None = None):
     """``foreachBatch`` handler: upsert the batch's audit entries into ``table``.
 
     Each batch is published as one new table version tagged with its batch id; a replayed
@@ -71,8 +72,9 @@ def audit_sink(table: VersionedTable, bucket: str,
         tag = f"batch-{batch_id}"
         if table.has_tag(tag):
             return
-        entries = audit_entries(batch, now=now(), bucket=bucket)
-        merge_or_init(table, entries, AUDIT_KEYS, on_duplicate="trust", tag=tag)
+        entries = audit_entries(batch, now=now(), bucket=bucket, tie_breakers=tie_breakers)
+        merge_or_init(table, entries, AUDIT_KEYS, on_duplicate="trust", tag=tag,
+                      audit_columns=False)
     return handle
 
 
