@@ -59,12 +59,17 @@ def _ok_or(failing: Column, message: Column) -> Column:
     return F.when(failing == 0, F.lit("OK")).otherwise(message)
 
 
-def evaluate(df: DataFrame, table: str, rules: dict[str, Any], table_order: int = 0) -> DataFrame | None:
-    """DQ-6: results of one table's rule set, in the fixed rule order.
+def evaluate(df: DataFrame, table: str, rules: dict[str, Any]) -> DataFrame | None:
+    """DQ-6: results of one table's rule set (``DQ_RESULT_SCHEMA``), in the fixed order.
 
     Returns ``None`` when the rule set contains no rule.  Empty or missing entries are
     skipped; ``min_row_count`` runs whenever it is present (even for 0).
     """
+    out = _evaluate(df, table, rules, 0)
+    return None if out is None else out.orderBy(_ORD).drop(_ORD)
+
+
+def _evaluate(df: DataFrame, table: str, rules: dict[str, Any], table_order: int) -> DataFrame | None:
     base = table_order * 10_000
     aggs: list[Column] = [F.count(F.lit(1)).alias("__total")]
     rows: list[Column] = []
@@ -144,7 +149,7 @@ def evaluate_tables(
         if name not in tables or tables[name] is None:
             raise KeyError(f"table {name!r} is missing for the quality gate")
         table_rules = rules.get(name) or {}
-        part = evaluate(tables[name], name, table_rules, i) if table_rules else None
+        part = _evaluate(tables[name], name, table_rules, i) if table_rules else None
         if part is None:
             log.warning("no quality rules for table %r: skipped", name)
             continue

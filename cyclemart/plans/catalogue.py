@@ -301,7 +301,7 @@ FROM (SELECT CAST({failing_sql} AS BIGINT) AS n FROM {source}) f"""
     " duplicate row(s) on [''l_orderkey'', ''l_linenumber'']",
     "(SELECT COUNT(*) AS c FROM lineitem GROUP BY l_orderkey, l_linenumber) g"))
 def dq_no_duplicates(spark, root):
-    return evaluate(_li(spark, root), "lineitem", {"no_duplicates": ["l_orderkey", "l_linenumber"]}).drop("__dq_order")
+    return evaluate(_li(spark, root), "lineitem", {"no_duplicates": ["l_orderkey", "l_linenumber"]})
 
 
 @query("dq_positive", _dq_sql(
@@ -309,7 +309,7 @@ def dq_no_duplicates(spark, root):
     " non-positive value(s) in ''c_acctbal''", "customer"))
 def dq_positive(spark, root):
     return evaluate(read_table(spark, root, "customer"), "customer",
-                    {"positive_values": ["c_acctbal"]}).drop("__dq_order")
+                    {"positive_values": ["c_acctbal"]})
 
 
 @query("dq_allowed", _dq_sql(
@@ -318,7 +318,7 @@ def dq_positive(spark, root):
     " value(s) outside [''click'', ''view'', ''purchase''] in ''event_type''", "events"))
 def dq_allowed(spark, root):
     return evaluate(read_table(spark, root, "events"), "events",
-                    {"allowed_values": {"event_type": ["click", "view", "purchase"]}}).drop("__dq_order")
+                    {"allowed_values": {"event_type": ["click", "view", "purchase"]}})
 
 
 @query("dq_not_null", _dq_sql(
@@ -327,7 +327,7 @@ def dq_allowed(spark, root):
 def dq_not_null(spark, root):
     docs = read_table(spark, root, "documents").select("doc_id")
     labelled = join(docs, read_table(spark, root, "labels"), "doc_id", "left")
-    return evaluate(labelled, "labelled_documents", {"not_null": ["quality"]}).drop("__dq_order")
+    return evaluate(labelled, "labelled_documents", {"not_null": ["quality"]})
 
 
 CUSTOMER_RULES = {

@@ -24,9 +24,15 @@ DEFAULT_ALARMS = {
 }
 
 
-def as_event_time(df: DataFrame, ts_col: str) -> DataFrame:
-    """Watermarks need TIMESTAMP (with zone); Parquet often gives TIMESTAMP_NTZ."""
-    return df.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
+def as_event_time(df: DataFrame, ts_col: str, watermark: str | None) -> DataFrame:
+    """Watermarks need TIMESTAMP (with zone); Parquet often gives TIMESTAMP_NTZ.
+
+    Without a watermark the column is left as it is, so batch windows of an NTZ column
+    do not depend on the session time zone.
+    """
+    if watermark is None:
+        return df
+    return df.withColumn(ts_col, F.col(ts_col).cast("timestamp")).withWatermark(ts_col, watermark)
 
 
 def window_alarm(
@@ -42,9 +48,7 @@ def window_alarm(
     watermark: str | None = None,
 ) -> DataFrame:
     """Windows (``window_start``, ``window_end``) whose aggregate passes the threshold."""
-    data = as_event_time(df, ts_col)
-    if watermark:
-        data = data.withWatermark(ts_col, watermark)
+    data = as_event_time(df, ts_col, watermark)
     col = F.col(measure) if isinstance(measure, str) else measure
     grouped = data.groupBy(F.window(F.col(ts_col), window).alias("__w"), *(group_cols or []))
     out = grouped.agg(_AGGS[agg](col).alias(out_col))
@@ -65,9 +69,7 @@ def default_alarms(metrics: DataFrame, ts_col: str = "ts", name_col: str = "metr
     One pass: the metric table is aggregated once per (window, metric) with every
     aggregate the rules need; each rule then tests its own column.
     """
-    data = as_event_time(metrics, ts_col)
-    if watermark:
-        data = data.withWatermark(ts_col, watermark)
+    data = as_event_time(metrics, ts_col, watermark)
     agg = data.groupBy(F.window(F.col(ts_col), window).alias("__w"), F.col(name_col)).agg(
         F.sum(value_col).alias("__sum"), F.avg(value_col).alias("__avg"))
     tests = None
