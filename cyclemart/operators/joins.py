@@ -1,10 +1,13 @@
 """Equi-joins with an explicit strategy, and the star-join fold (JN-1..JN-4).
 
-Broadcasting is only ever requested behind a size check: the optimizer's size estimate
-for the candidate side must be below ``max_broadcast_bytes``.  When the estimate is larger
-or unknown, no hint is given and the planner (with AQE's runtime statistics) picks the
-strategy; AQE still converts to a broadcast at run time if the real shuffle output is
-small, and splits skewed partitions of sort-merge joins.
+Broadcasting is only ever requested behind a size check.  The optimizer's estimate of
+the candidate side is an upper bound of its *stored* bytes (filters never grow it, column
+pruning is accounted for); it is multiplied by ``BROADCAST_INFLATION`` to bound the
+decompressed, hashed in-memory relation, and that must stay below
+``max_broadcast_bytes``.  When the bound fails or the size is unknown, no hint is given
+and the planner (with AQE's runtime statistics) picks the strategy; AQE still converts to
+a broadcast at run time if the real shuffle output is small, and splits skewed
+partitions of sort-merge joins.
 """
 
 from __future__ import annotations
@@ -19,8 +22,11 @@ from cyclemart.schemas import PROVENANCE_COLUMNS
 
 log = logging.getLogger(__name__)
 
-# Size policy: below this the broadcast side is accepted without further thought.
-DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# Size policy: the in-memory bound of a broadcast relation, and the factor from stored
+# (columnar, compressed) bytes to decompressed hashed rows.  Together they accept a side
+# whose stored size is at most 32 MB.
+DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+BROADCAST_INFLATION = 8
 
 _BROADCAST_RIGHT_OK = {"inner", "left", "leftouter", "left_outer", "semi", "leftsemi",
                        "left_semi", "anti", "leftanti", "left_anti"}
@@ -40,8 +46,9 @@ def estimated_size_bytes(df: DataFrame) -> int | None:
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    """True when the in-memory bound of ``df`` (estimate x inflation) fits ``max_bytes``."""
     size = estimated_size_bytes(df)
-    return size is not None and size <= max_bytes
+    return size is not None and size * BROADCAST_INFLATION <= max_bytes
 
 
 def _keys(on: str | list[str] | tuple[str, ...] | None) -> list[str]:
