@@ -113,3 +113,18 @@ def test_whole_file_encrypted_csv(spark, scratch):
     assert sorted(tuple(r) for r in out.collect()) == [("P1", "ACTIVE"), ("P2", "RENEWAL")]
     both = read_encrypted_files(spark, root, KEY, ENTITY_SCHEMAS["policy"], keep_corrupt=True)
     assert both.filter(F.col("_corrupt_record").isNotNull()).count() == 1
+
+
+def test_strict_decrypt_raises_on_bad_input(spark):
+    bad = spark.createDataFrame([("aGVsbG8=",)], "e string")
+    with pytest.raises(Exception):
+        bad.select(decrypt_column("e", KEY, strict=True)).collect()
+
+
+def test_observed_row_count_needs_no_extra_pass(spark):
+    from cyclemart.operators.aggregates import observe_rows, row_count
+
+    df = spark.range(1234)
+    watched, obs = observe_rows(df)
+    watched.write.format("noop").mode("overwrite").save()
+    assert obs.get["rows"] == 1234 and row_count(df).first().row_count == 1234
