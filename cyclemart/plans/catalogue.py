@@ -1031,7 +1031,9 @@ def cycle_fact(spark, root):
     land_entities(spark, root, f"{base}/landing", unique_transactions=True, encryption="lines")
     run_cycle(spark, f"{base}/landing", f"{base}/staged", f"{base}/reports", f"{base}/fact",
               CYCLE, NOW, DEMO_KEY, "lines")
-    fact = VersionedTable(spark, f"{base}/fact").read()
+    from cyclemart.operators.merge import PartitionedTable
+
+    fact = PartitionedTable(spark, f"{base}/fact", "dw_cycle_date").read()
     return fact.select("transaction_id", "cycle_date", "policy_id", "agent_id", "coverage_id",
                        "rider_id", "feature_name", "exchange_rate", "commission_amount",
                        "dw_cycle_date", "dw_updated_by")

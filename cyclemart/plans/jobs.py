@@ -142,13 +142,13 @@ def run_cycle(
     now: dt.datetime,
     key: str | bytes | None = None,
     encryption: str = "none",
-    layout: str = "versions",
+    layout: str = "partitions",
 ) -> CycleRun:
     """PL-4: ingest, gate (stops on failure by raising), build and publish one cycle.
 
-    ``layout="versions"`` publishes a new immutable version per cycle (time travel);
-    ``layout="partitions"`` rewrites only the cycle's partition of the fact in place, so
-    the cost of a cycle does not grow with the history kept.
+    ``layout="partitions"`` (default) rewrites only the cycle's partition of the fact in
+    place, so the cost of a cycle does not grow with the history kept;
+    ``layout="versions"`` publishes a new immutable version per cycle (time travel).
     """
     run = CycleRun(cycle_date)
     run.files = ingest_cycle(spark, landing_root, staged_root, cycle_date, now, key, encryption)
@@ -162,7 +162,8 @@ def run_cycle(
 
 
 def cycle_trigger(landing_root: str, staged_root: str, report_root: str, fact_root: str,
-                  now=dt.datetime.utcnow, key: str | bytes | None = None, encryption: str = "none"):
+                  now=dt.datetime.utcnow, key: str | bytes | None = None, encryption: str = "none",
+                  layout: str = "partitions"):
     """``foreachBatch`` handler for the emit-once cycle stream (ST-2 -> PL-4).
 
     The batch holds the cycles that just became complete (a handful of rows).
@@ -171,7 +172,7 @@ def cycle_trigger(landing_root: str, staged_root: str, report_root: str, fact_ro
         spark = batch.sparkSession
         for row in batch.select("cycle_date").distinct().collect():
             run_cycle(spark, landing_root, staged_root, report_root, fact_root,
-                      row["cycle_date"], now(), key, encryption)
+                      row["cycle_date"], now(), key, encryption, layout)
     return handle
 
 

@@ -40,7 +40,7 @@ def test_run_cycle_end_to_end(spark, scratch, encrypted):
     land_cycle(landing, "20240101", encrypted=encrypted, spark=spark)
     now = dt.datetime(2024, 1, 2)
     run = run_cycle(spark, landing, staged, reports, fact, "20240101", now, KEY,
-                    "files" if encrypted else "none")
+                    "files" if encrypted else "none", layout="versions")
     assert run.files == {t: 1 for t in FILES}
     assert all(r["passed"] for r in run.quality) and len(run.quality) == 25
     assert run.merge.initialised and run.merge.version == 1
@@ -56,9 +56,10 @@ def test_run_cycle_end_to_end(spark, scratch, encrypted):
 def test_second_cycle_merges_and_gate_stops_bad_cycle(spark, scratch):
     landing, staged, reports, fact = (scratch(n) for n in ("landing", "staged", "reports", "fact"))
     land_cycle(landing, "20240101")
-    run_cycle(spark, landing, staged, reports, fact, "20240101", dt.datetime(2024, 1, 2))
+    run_cycle(spark, landing, staged, reports, fact, "20240101", dt.datetime(2024, 1, 2), layout="versions")
     land_cycle(landing, "20240102")
-    second = run_cycle(spark, landing, staged, reports, fact, "20240102", dt.datetime(2024, 1, 3))
+    second = run_cycle(spark, landing, staged, reports, fact, "20240102", dt.datetime(2024, 1, 3),
+                       layout="versions")
     assert second.merge.version == 2 and second.merge.counts == {"inserted": 3, "updated": 0, "kept": 3}
     table = VersionedTable(spark, fact, ["dw_cycle_date"])
     assert table.read().count() == 6 and second.merge.integrity_ok
@@ -66,7 +67,8 @@ def test_second_cycle_merges_and_gate_stops_bad_cycle(spark, scratch):
     bad = FILES["transactions"] + "T1,{c},P1,-5.0,SUCCESS,1,A1,0.1,USD,F1\n"
     land_cycle(landing, "20240103", {"transactions": bad})
     with pytest.raises(QualityError, match="transactions/no_duplicates"):
-        run_cycle(spark, landing, staged, reports, fact, "20240103", dt.datetime(2024, 1, 4))
+        run_cycle(spark, landing, staged, reports, fact, "20240103", dt.datetime(2024, 1, 4),
+                  layout="versions")
     assert os.path.isdir(os.path.join(local_path(reports), "20240103"))
     assert table.latest() == 2
 
@@ -75,8 +77,7 @@ def test_partition_layout_rewrites_only_the_cycle(spark, scratch):
     landing, staged, reports, fact = (scratch(n) for n in ("landing", "staged", "reports", "fact"))
     for i, cycle in enumerate(["20240101", "20240102"]):
         land_cycle(landing, cycle)
-        run = run_cycle(spark, landing, staged, reports, fact, cycle, dt.datetime(2024, 1, 2 + i),
-                        layout="partitions")
+        run = run_cycle(spark, landing, staged, reports, fact, cycle, dt.datetime(2024, 1, 2 + i))
     assert run.merge.counts == {"inserted": 3, "updated": 0, "kept": 0}
     from cyclemart.operators.merge import PartitionedTable
     rows = PartitionedTable(spark, fact, "dw_cycle_date").read().collect()
