@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cyclemart.operators.dedup import duplicate_keys, has_duplicate_keys, keep_first
+from cyclemart.operators.dedup import has_duplicate_keys, keep_first
 from cyclemart.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, fits_broadcast
 from cyclemart.schemas import INITIAL_LOAD_BY, MERGE_UPDATED_BY
 from cyclemart.session import materialize
@@ -360,11 +360,6 @@ def remove_older_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     return keep_first(df, keys, "dw_updated_date")
 
 
-__all__ = [
-    "ACTION_COL", "MergeError", "MergeOutcome", "PartitionedTable", "VersionedTable", "duplicate_keys",
-    "initial_load", "integrity_ok", "merge_counts", "merge_or_init", "remove_older_duplicates",
-    "scd1_merge",
-]
 
 
 # ------------------------------------------------------------ partition-scoped publish
@@ -447,3 +442,10 @@ class PartitionedTable:
                 raise MergeError(message)
             log.warning(message)
         return MergeOutcome(0, False, counts["inserted"] + counts["updated"], counts, ok)
+
+
+__all__ = [
+    "ACTION_COL", "MergeError", "MergeOutcome", "PartitionedTable", "VersionedTable",
+    "initial_load", "integrity_ok", "merge_counts", "merge_or_init", "remove_older_duplicates",
+    "scd1_merge",
+]

@@ -33,7 +33,7 @@ from cyclemart.operators.filters import (
     apply_filters, policy_filter, transaction_filter, with_audit_columns, with_commission,
 )
 from cyclemart.operators.joins import COMMISSION_STAR, StarJoin, broadcast_join, join, sort_merge_join
-from cyclemart.operators.merge import ACTION_COL, VersionedTable, initial_load, merge_or_init, scd1_merge
+from cyclemart.operators.merge import VersionedTable, initial_load, merge_or_init, scd1_merge
 from cyclemart.operators.quality import evaluate, evaluate_tables, report_frame
 from cyclemart.session import materialize, scratch_path
 from cyclemart.sources.encrypted import read_encrypted_lines, write_encrypted_lines
