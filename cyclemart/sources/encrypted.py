@@ -30,15 +30,26 @@ def _ddl(schema: T.StructType) -> str:
 
 def _parse_lines(lines: DataFrame, schema: T.StructType, keep_corrupt: bool,
                  line_col: str = "__line", raw_col: str = "__raw") -> DataFrame:
+    """Parse decrypted CSV lines once per line.
+
+    A plain ``filter`` on the parsed record would be pushed below the projection by the
+    optimizer and re-run the decryption and parsing inside the predicate.  The record is
+    therefore built once and passed through a Generate (``inline`` of a zero- or
+    one-element array), which keeps the work at one decrypt and one parse per line.
+    """
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL}
     parse_schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType(), True)])
-    parsed = lines.withColumn("__rec", F.from_csv(F.col(line_col), _ddl(parse_schema), opts))
-    out = parsed.select(*[F.col("__rec." + f.name).alias(f.name) for f in schema.fields],
-                        F.when(F.col(line_col).isNull(), F.col(raw_col))
-                         .otherwise(F.col("__rec." + CORRUPT_COL)).alias(CORRUPT_COL))
+    parsed = lines.select(F.col(line_col), F.col(raw_col),
+                          F.from_csv(F.col(line_col), _ddl(parse_schema), opts).alias("__rec"))
+    rec = F.col("__rec")
+    fields = [f.name for f in schema.fields]
+    bad = F.when(F.col(line_col).isNull(), F.col(raw_col)).otherwise(rec[CORRUPT_COL])
+    full = F.struct(*[rec[n].alias(n) for n in fields], bad.alias(CORRUPT_COL))
+    lines = parsed
     if keep_corrupt:
-        return out
-    return out.filter(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
+        return lines.select(F.inline(F.array(full)))
+    good = F.filter(F.array(full), lambda r: r[CORRUPT_COL].isNull())
+    return lines.select(F.inline(good)).drop(CORRUPT_COL)
 
 
 def write_encrypted_lines(df: DataFrame, path: str, key: str | bytes) -> None:
