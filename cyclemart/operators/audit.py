@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cyclemart.functions.paths import parse_object_key
+from cyclemart.functions.timeutil import instant
 from cyclemart.operators.dedup import keep_first
 from cyclemart.operators.merge import scd1_merge
 from cyclemart.session import empty_frame
@@ -21,11 +22,7 @@ from cyclemart.schemas import AUDIT_KEYS, AUDIT_RETENTION_DAYS, AUDIT_SCHEMA, AU
 
 
 def _ts(now: dt.datetime | Column | str | None) -> Column:
-    if now is None:
-        return F.current_timestamp()
-    if isinstance(now, str):
-        return F.col(now).cast("timestamp")
-    return now if isinstance(now, Column) else F.lit(now).cast("timestamp")
+    return instant(now)
 
 
 def parse_arrivals(arrivals: DataFrame, key_col: str = "object_key") -> DataFrame:

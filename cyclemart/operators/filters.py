@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cyclemart.functions.predicates import as_flag, conjunction
+from cyclemart.functions.timeutil import instant
 from cyclemart.schemas import ACTIVE_POLICY_STATUSES, SUCCESS_STATUS
 
 
@@ -56,7 +57,7 @@ def with_commission(
 
 def with_audit_columns(df: DataFrame, cycle_date: str, now: dt.datetime) -> DataFrame:
     """FP-5: insert/update instant (one value, injected), cycle and active flag."""
-    ts = F.lit(now).cast("timestamp")
+    ts = instant(now)
     return df.withColumns({
         "dw_inserted_date": ts,
         "dw_updated_date": ts,

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cyclemart.functions.timeutil import instant
 from cyclemart.operators.dedup import has_duplicate_keys, keep_first
 from cyclemart.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, fits_broadcast
 from cyclemart.schemas import INITIAL_LOAD_BY, MERGE_UPDATED_BY
@@ -47,9 +48,7 @@ class MergeError(ValueError):
 
 
 def _ts(now: dt.datetime | Column | None) -> Column:
-    if now is None:
-        return F.current_timestamp()
-    return now if isinstance(now, Column) else F.lit(now).cast("timestamp")
+    return instant(now)
 
 
 def _spread(keys: list[str], prefix: str, all_cols: list[str]) -> Column:

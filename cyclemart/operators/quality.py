@@ -21,6 +21,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cyclemart.functions.timeutil import instant
 from cyclemart.schemas import DQ_RESULT_SCHEMA
 
 log = logging.getLogger(__name__)
@@ -176,7 +177,7 @@ def report_frame(results: DataFrame, cycle_date: str | None = None,
     )
     return out.withColumns({
         "cycle_date": F.lit(cycle_date).cast("string"),
-        "generated_at": F.lit(generated_at).cast("timestamp"),
+        "generated_at": instant(generated_at) if generated_at is not None else F.lit(None).cast("timestamp"),
     })
 
 

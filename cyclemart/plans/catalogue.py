@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclemart.functions.crypto import decrypt_column, encrypt_column
+from cyclemart.functions.timeutil import instant
 from cyclemart.operators.aggregates import commission_by_agent_policy, row_count
 from cyclemart.operators.audit import (
     audit_entries, batch_summary, cycle_completeness, empty_audit_table, expire, update_status,
@@ -756,7 +757,7 @@ def staged_cycle(spark, root):
     """IO-5 + IO-7: stage orders partitioned by month, read one cycle by partition pruning."""
     path = scratch_path(spark, "staged")
     o = _orders(spark, root)
-    tagged = o.withColumns({"ingestion_date": F.lit(NOW).cast("timestamp"),
+    tagged = o.withColumns({"ingestion_date": instant(NOW),
                             "file_type": F.lit("orders"),
                             "cycle_date": F.date_format("o_orderdate", "yyyyMM")})
     stage_parquet(tagged, path, "orders")

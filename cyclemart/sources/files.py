@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cyclemart.functions.paths import route_file_type
+from cyclemart.functions.timeutil import instant
 from cyclemart.session import empty_frame
 from cyclemart.schemas import ENTITY_SCHEMAS, EXPECTED_FILE_TYPES
 
@@ -121,7 +122,7 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
 def with_provenance(df: DataFrame, cycle_date: str, file_type: str | Column,
                     ingested_at: dt.datetime | Column) -> DataFrame:
     """IO-4: ``ingestion_date``, ``cycle_date``, ``file_type``, replacing same-named inputs."""
-    ts = ingested_at if isinstance(ingested_at, Column) else F.lit(ingested_at).cast("timestamp")
+    ts = instant(ingested_at)
     ft = file_type if isinstance(file_type, Column) else F.lit(file_type)
     return df.withColumns({
         "ingestion_date": ts,
