@@ -16,12 +16,13 @@ from collections import defaultdict
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cyclemart.operators.aggregates import commission_by_agent_policy
 from cyclemart.operators.filters import (
     policy_filter, transaction_filter, with_audit_columns, with_commission,
 )
-from cyclemart.operators.joins import COMMISSION_STAR, StarJoin
+from cyclemart.operators.joins import COMMISSION_STAR, StarJoin, join
 from cyclemart.operators.merge import MergeOutcome, PartitionedTable, VersionedTable, merge_or_init
 from cyclemart.operators.quality import run_gate
 from cyclemart.schemas import DQ_RULES, ENTITY_SCHEMAS, EXPECTED_FILE_TYPES, PRIMARY_KEYS
@@ -106,8 +107,16 @@ def build_fact(tables: dict[str, DataFrame], cycle_date: str, now: dt.datetime,
 
 
 def commission_summary(tables: dict[str, DataFrame]) -> DataFrame:
-    """AG-4 on the filtered transactions, before the coverage x rider fan-out."""
-    return commission_by_agent_policy(filtered_tables(tables)["transactions"])
+    """AG-4: commission per (agent, policy) of the transactions that reach the fact.
+
+    Same row set as the policy inner join (semi join on active policy keys), but taken
+    before the coverage x rider fan-out, so each transaction counts once.
+    """
+    filtered = filtered_tables(tables)
+    tx = filtered["transactions"]
+    if "policy" in filtered:
+        tx = join(tx, filtered["policy"].select("policy_id"), "policy_id", "left_semi", "broadcast")
+    return commission_by_agent_policy(tx)
 
 
 def publish_fact(table: VersionedTable | PartitionedTable, fact: DataFrame, now: dt.datetime,
@@ -124,6 +133,13 @@ def publish_fact(table: VersionedTable | PartitionedTable, fact: DataFrame, now:
                          null_safe_keys=True, on_duplicate="error")
 
 
+def publish_summary(tables: dict[str, DataFrame], summary_root: str, cycle_date: str) -> None:
+    """AG-4 output: commission per (agent, policy) of the cycle, replacing its partition."""
+    summary = commission_summary(tables).withColumn("cycle_date", F.lit(cycle_date))
+    (summary.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("cycle_date").parquet(summary_root))
+
+
 @dataclass
 class CycleRun:
     cycle_date: str
@@ -143,12 +159,14 @@ def run_cycle(
     key: str | bytes | None = None,
     encryption: str = "none",
     layout: str = "partitions",
+    summary_root: str | None = None,
 ) -> CycleRun:
     """PL-4: ingest, gate (stops on failure by raising), build and publish one cycle.
 
     ``layout="partitions"`` (default) rewrites only the cycle's partition of the fact in
     place, so the cost of a cycle does not grow with the history kept;
     ``layout="versions"`` publishes a new immutable version per cycle (time travel).
+    ``summary_root`` also publishes the AG-4 commission summary of the cycle.
     """
     run = CycleRun(cycle_date)
     run.files = ingest_cycle(spark, landing_root, staged_root, cycle_date, now, key, encryption)
@@ -158,6 +176,8 @@ def run_cycle(
     table = (PartitionedTable(spark, fact_root, "dw_cycle_date") if layout == "partitions"
              else VersionedTable(spark, fact_root, ["dw_cycle_date"]))
     run.merge = publish_fact(table, fact, now, cycle_date)
+    if summary_root is not None:
+        publish_summary(tables, summary_root, cycle_date)
     return run
 
 
@@ -178,5 +198,5 @@ def cycle_trigger(landing_root: str, staged_root: str, report_root: str, fact_ro
 
 __all__ = [
     "FACT_KEYS", "CycleRun", "build_fact", "commission_summary", "cycle_trigger", "filtered_tables",
-    "gate_cycle", "ingest_cycle", "publish_fact", "run_cycle",
+    "gate_cycle", "ingest_cycle", "publish_fact", "publish_summary", "run_cycle",
 ]

@@ -75,10 +75,16 @@ def test_second_cycle_merges_and_gate_stops_bad_cycle(spark, scratch):
 
 def test_partition_layout_rewrites_only_the_cycle(spark, scratch):
     landing, staged, reports, fact = (scratch(n) for n in ("landing", "staged", "reports", "fact"))
+    summary = scratch("summary")
     for i, cycle in enumerate(["20240101", "20240102"]):
         land_cycle(landing, cycle)
-        run = run_cycle(spark, landing, staged, reports, fact, cycle, dt.datetime(2024, 1, 2 + i))
+        run = run_cycle(spark, landing, staged, reports, fact, cycle, dt.datetime(2024, 1, 2 + i),
+                        summary_root=summary)
     assert run.merge.counts == {"inserted": 3, "updated": 0, "kept": 0}
     from cyclemart.operators.merge import PartitionedTable
     rows = PartitionedTable(spark, fact, "dw_cycle_date").read().collect()
     assert len(rows) == 6 and {r.dw_cycle_date for r in rows} == {"20240101", "20240102"}
+    # AG-4 before the fan-out: T1 counts once although it fans out over two coverages.
+    s = {(str(r.cycle_date), r.agent_id, r.policy_id): r for r in spark.read.parquet(summary).collect()}
+    assert len(s) == 4 and s[("20240101", "A1", "P1")].transaction_count == 1  # P3 is lapsed
+    assert float(s[("20240101", "A1", "P1")].total_commission) == 10.0
