@@ -553,7 +553,8 @@ def q_partition_merge(spark, root):
          .alias("o_orderpriority"))
     table = PartitionedTable(spark, scratch_path(spark, "orders-by-month"), "order_month")
     table.merge_or_init(target, ["o_orderkey", "order_month"], now=T_INIT)
-    table.merge_or_init(delta, ["o_orderkey", "order_month"], now=NOW, on_duplicate="trust")
+    table.merge_or_init(delta, ["o_orderkey", "order_month"], now=NOW, on_duplicate="trust",
+                        materialize_source=False)
     return table.read().select("o_orderkey", "order_month", "o_totalprice", "o_orderpriority",
                                "dw_updated_by", "dw_inserted_date")
 

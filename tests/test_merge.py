@@ -116,3 +116,14 @@ def test_partitioned_table_merges_only_touched_partitions(spark, scratch):
     assert rows["3"].dw_updated_by == "initial_load" and rows["2"].dw_inserted_date == T0
     assert sorted(os.listdir(os.path.join(local_path(table.root), "cycle=B"))) == b_files  # untouched
     assert dict(table.read().dtypes)["cycle"] == "string"
+
+
+def test_integrity_within_delta_keys(spark):
+    t = target(spark)  # keys 1, 2, 3, NULL
+    doubled = t.unionByName(t.filter("id = '2' OR id IS NULL"))
+    only_1 = sized(spark, [("1",)], "id string")
+    only_2 = sized(spark, [("2",)], "id string")
+    nulls = sized(spark, [(None,)], "id string")
+    assert integrity_ok(doubled, ["id"], within=only_1)
+    assert not integrity_ok(doubled, ["id"], within=only_2)
+    assert not integrity_ok(doubled, ["id"], within=nulls)  # NULL keys group together
