@@ -88,3 +88,35 @@ def test_partition_layout_rewrites_only_the_cycle(spark, scratch):
     s = {(str(r.cycle_date), r.agent_id, r.policy_id): r for r in spark.read.parquet(summary).collect()}
     assert len(s) == 4 and s[("20240101", "A1", "P1")].transaction_count == 1  # P3 is lapsed
     assert float(s[("20240101", "A1", "P1")].total_commission) == 10.0
+
+
+def test_stream_triggers_cycle_job_once_complete(spark, scratch):
+    from cyclemart.operators.merge import PartitionedTable
+    from cyclemart.plans.jobs import cycle_trigger
+    from cyclemart.schemas import EXPECTED_FILE_TYPES
+    from cyclemart.streaming.arrivals import arrival_stream, completed_cycles, run_available_foreach
+
+    landing, staged, reports, fact, ckpt = (scratch(n) for n in ("landing", "staged", "reports", "fact", "ckpt"))
+    handler = cycle_trigger(landing, staged, reports, fact, now=lambda: dt.datetime(2024, 1, 5),
+                            key=KEY, encryption="files")
+
+    def run():
+        done = completed_cycles(arrival_stream(spark, landing), EXPECTED_FILE_TYPES)
+        run_available_foreach(done, handler, ckpt)
+        table = PartitionedTable(spark, fact, "dw_cycle_date")
+        if not table.exists():
+            return {}
+        return {str(r.dw_cycle_date): r.n for r in
+                table.read().groupBy("dw_cycle_date").count().withColumnRenamed("count", "n").collect()}
+
+    land_cycle(landing, "20240101", encrypted=True, spark=spark)
+    partial = {t: v for t, v in FILES.items() if t != "rider"}
+    for t, text in partial.items():  # second cycle: five of six types
+        path = os.path.join(local_path(landing), "raw", t, "cycle_20240102", f"{t}.csv.pgp")
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "wb") as f:
+            f.write(encrypt_text(spark, text.format(c="20240102"), KEY))
+    assert run() == {"20240101": 3}
+    land_cycle(landing, "20240102", {}, encrypted=True, spark=spark)  # rider arrives (others rewritten)
+    assert run() == {"20240101": 3, "20240102": 3}
+    assert run() == {"20240101": 3, "20240102": 3}  # nothing new: no second run
