@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,6 +77,41 @@ def discover_cycle_files(
                  .select("path", "object_key", "length", "modificationTime", "file_type"))
 
 
+def _first_lines(spark: SparkSession, paths: list[str], threads: int = 16) -> dict[str, str]:
+    """Header line of every CSV file under ``paths``: one short ranged read per file.
+
+    Used only to group files by header.  Reads run concurrently (object stores answer
+    small reads slowly one by one); the file contents are read by Spark as usual.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    jvm = spark._jvm  # noqa: SLF001
+    conf = spark._jsc.hadoopConfiguration()  # noqa: SLF001
+    files = []
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        for st in fs.globStatus(p) or []:
+            if st.isDirectory():
+                files += [c.getPath() for c in fs.listStatus(st.getPath())
+                          if c.isFile() and not c.getPath().getName().startswith(("_", "."))]
+            else:
+                files.append(st.getPath())
+
+    def first_line(file_path) -> tuple[str, str]:
+        stream = file_path.getFileSystem(conf).open(file_path)
+        try:
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            return str(file_path.toString()), reader.readLine() or ""
+        finally:
+            stream.close()
+
+    if len(files) <= 1:
+        return dict(first_line(f) for f in files)
+    with ThreadPoolExecutor(max_workers=min(threads, len(files))) as pool:
+        return dict(pool.map(first_line, files))
+
+
 def read_csv(
     spark: SparkSession,
     paths: str | list[str],
@@ -100,12 +136,20 @@ def read_csv(
             raise ValueError("pass a schema, or infer_schema=True")
         return reader.option("inferSchema", "true").csv(paths)
     if header and by_name:
-        raw = reader.option("mode", "PERMISSIVE").csv(paths)  # every column as text
-        present = set(raw.columns)
-        return raw.select(*[
-            (F.col(f.name).try_cast(f.dataType) if f.name in present
-             else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in schema.fields])
+        # Spark takes the header of the first file for all files; files whose headers
+        # differ (another column order) are therefore read in one group per header.
+        groups: dict[str, list[str]] = {}
+        for path, line in _first_lines(spark, paths).items():
+            groups.setdefault(line, []).append(path)
+        parts = []
+        for group in (groups.values() if len(groups) > 1 else [paths]):
+            raw = reader.option("mode", "PERMISSIVE").csv(group)  # every column as text
+            present = set(raw.columns)
+            parts.append(raw.select(*[
+                (F.col(f.name).try_cast(f.dataType) if f.name in present
+                 else F.lit(None).cast(f.dataType)).alias(f.name)
+                for f in schema.fields]))
+        return reduce(lambda a, b: a.unionByName(b), parts)
     if keep_corrupt:
         schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType(), True)])
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL)

@@ -128,3 +128,11 @@ def test_observed_row_count_needs_no_extra_pass(spark):
     watched, obs = observe_rows(df)
     watched.write.format("noop").mode("overwrite").save()
     assert obs.get["rows"] == 1234 and row_count(df).first().row_count == 1234
+
+
+def test_csv_files_with_different_header_orders(spark, scratch):
+    root = scratch("headers")
+    land(root, "a.csv", "policy_id,policy_status\nP1,ACTIVE\n")
+    land(root, "b.csv", "policy_status,policy_id\nRENEWAL,P2\n")
+    rows = sorted(tuple(r) for r in read_csv(spark, root, ENTITY_SCHEMAS["policy"]).collect())
+    assert rows == [("P1", "ACTIVE"), ("P2", "RENEWAL")]
