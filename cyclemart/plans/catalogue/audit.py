@@ -9,6 +9,7 @@ from cyclemart.operators.audit import (
     audit_entries, batch_summary, cycle_completeness, empty_audit_table, expire, update_status,
     upsert_audit,
 )
+from cyclemart.operators.dedup import keep_first
 from cyclemart.plans.catalogue.base import AUDIT_AS_OF, EVENT_TYPES, NOW, query
 from cyclemart.session import materialize
 from cyclemart.sources.tables import read_table
@@ -163,3 +164,26 @@ def q_monitoring_alarms(spark, root):
     """ST-4: every configured alarm rule over 5-minute windows, one pass over the metrics."""
     alarms = default_alarms(event_metrics(spark, root))
     return alarms.withColumn("metric", F.round("metric", 4))
+
+
+@query("arrival_reconcile", _ARRIVALS_SQL + """,
+listing AS (
+  SELECT object_key,
+         CASE WHEN file_type = 'error' THEN ts + INTERVAL 1 DAY ELSE ts END AS modificationTime
+  FROM l WHERE rn = 1)
+SELECT g.object_key, g.modificationTime
+FROM listing g LEFT JOIN audit a ON a.file_key = 'landing#' || g.object_key
+WHERE a.file_key IS NULL OR g.modificationTime > a.ingestion_timestamp""")
+def q_arrival_reconcile(spark, root):
+    """ST-1 gap: files rewritten after their audit entry (here every ``error`` file,
+    listed one day later) are found again in batch, for the same upsert as the stream."""
+    from cyclemart.streaming.arrivals import reconcile_arrivals
+
+    latest = keep_first(event_arrivals(spark, root), ["object_key"], "modificationTime",
+                        tie_breakers=["event_id"])
+    rewritten = F.col("object_key").startswith("raw/error/")
+    listing = latest.select(
+        "object_key",
+        F.when(rewritten, F.col("modificationTime") + F.expr("INTERVAL 1 DAY"))
+         .otherwise(F.col("modificationTime")).alias("modificationTime"))
+    return reconcile_arrivals(spark, listing, audit_table(spark, root), "landing")
