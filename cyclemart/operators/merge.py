@@ -454,13 +454,16 @@ class PartitionedTable:
             df = materialize(df)
         # The partition values a delta names: one row per touched partition (a handful).
         touched = [r[0] for r in df.select(self.partition_col).distinct().collect()]
-        target = self.read().where(F.col(self.partition_col).isin(*touched))
+        in_touched = F.col(self.partition_col).isin(*[v for v in touched if v is not None])
+        if None in touched:  # the NULL partition is not matched by IN
+            in_touched = in_touched | F.col(self.partition_col).isNull()
+        target = self.read().where(in_touched)
         merged = scd1_merge(target, df, keys, now=now, with_action=True, **merge_kwargs)
         merged = materialize(merged)  # lineage no longer points at the files being replaced
         counts = {r[ACTION_COL]: int(r["rows"]) for r in merge_counts(merged).collect()}
         counts = {k: counts.get(k, 0) for k in ("inserted", "updated", "kept")}
         self._write(merged.drop(ACTION_COL), "overwrite")
-        ok = integrity_ok(self.read().where(F.col(self.partition_col).isin(*touched)).select(*keys), keys)
+        ok = integrity_ok(self.read().where(in_touched).select(*keys), keys)
         if not ok:
             message = f"duplicate keys {keys} in partitions {touched} of {self.root}"
             if on_integrity == "raise":

@@ -127,3 +127,16 @@ def test_integrity_within_delta_keys(spark):
     assert integrity_ok(doubled, ["id"], within=only_1)
     assert not integrity_ok(doubled, ["id"], within=only_2)
     assert not integrity_ok(doubled, ["id"], within=nulls)  # NULL keys group together
+
+
+def test_partitioned_table_null_partition(spark, scratch):
+    from cyclemart.operators.merge import PartitionedTable
+
+    table = PartitionedTable(spark, scratch("pnull"), "cycle")
+    table.merge_or_init(sized(spark, [("1", None, 1.0), ("2", "A", 2.0)], "id string, cycle string, amount double"),
+                        ["id", "cycle"], now=T0)
+    out = table.merge_or_init(sized(spark, [("1", None, 5.0)], "id string, cycle string, amount double"),
+                              ["id", "cycle"], now=NOW, null_safe_keys=True)
+    assert out.counts == {"inserted": 0, "updated": 1, "kept": 0}
+    rows = {r.id: r.amount for r in table.read().collect()}
+    assert rows == {"1": 5.0, "2": 2.0}
