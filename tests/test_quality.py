@@ -110,3 +110,12 @@ def test_int_flag_and_string_table_values(spark):
         "not_null": ["flag", "s"], "allowed_values": {"flag": [0, 1]}}}).collect()]
     assert [(r["rule"], r["column"], r["failing_count"]) for r in rows] == [
         ("not_null", "flag", 1), ("not_null", "s", 0), ("allowed_values", "flag", 0)]
+
+
+def test_gate_without_any_rules_passes_with_empty_report(spark, scratch):
+    df = spark.createDataFrame([("a",)], "k string")
+    path = scratch("empty-report")
+    assert run_gate(spark, {"a": df}, {}, path, "20240101", dt.datetime(2024, 1, 2)) == []
+    files = [f for f in os.listdir(local_path(path)) if f.endswith(".json")]
+    report = json.loads(open(os.path.join(local_path(path), files[0])).read())
+    assert (report["total_checks"], report["passed"], report["failed"]) == (0, 0, 0)
