@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from cyclemart.plans import catalogue
 from cyclemart.sources.tables import DRIVER_TABLES
 from tests.conftest import SF_SMALL, plan_text
 from tools.oracle_check import _rows
@@ -19,11 +20,11 @@ def con():
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == set()
+    assert set(catalogue.queries()) == set(catalogue.oracle_sql())
+    assert set(catalogue.queries()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
