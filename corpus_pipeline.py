@@ -8,21 +8,55 @@ most one stage.  All but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cyclemart.llm import bpe, catalogue
-from cyclemart.llm.common import stored, table
+from cyclemart.llm import bagminhash, bpe, catalogue, decontaminate, gam, line_dedup
+from cyclemart.llm.common import fresh, stored, table
 
 
-def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents that the quality model accepts; it learns from ``labels``."""
+    [score] = fresh(docs, "score")
+    model = gam.train(docs, table(spark, sf_dir, "labels"))
+    return gam.score(docs, model, name=score).filter(F.col(score) >= catalogue.ACCEPT).drop(score)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Remove passages of three lines and more that an earlier document has.
+
+    A document of which nothing is left goes; ``n_chars`` follows the text.
+    """
+    [removed] = fresh(docs, "removed_lines")
+    edited = line_dedup.dedup_lines(docs, removed=removed)
+    changed = F.size(removed) > 0
+    kept = edited.filter(~changed | F.col("text").rlike(r"\S"))
+    return kept.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each class of near duplicates."""
+    return bagminhash.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that contain an item of ``benchmark``."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether decoding them gives back its text."""
     return bpe.encoded_with_check(docs, catalogue.vocabulary_path())
 
 
 STAGES = [
-    ("BPE encoding and decoding", bpe_encoding),
+    ("quality classifier", quality),
+    ("line dedup", lines),
+    ("MinHash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("BPE encoding and decoding", encoding),
 ]
 
-#: The quality classifier is trained and the encoder reads a vocabulary file: no SQL.
+#: The classifier is trained and the encoder reads a vocabulary file: no SQL.
 ORACLE_SQL = None
 
 

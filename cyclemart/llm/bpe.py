@@ -1,17 +1,20 @@
 """Byte-level BPE encoding and decoding with a contiguous rank array per word.
 
 A text is cut at the special tokens and then by the vocabulary's split pattern into words.
-A short word keeps its part boundaries in one list and the ranks of adjacent pairs in
+A short word keeps its parts in one contiguous row and the ranks of adjacent pairs in
 another: scan for the smallest rank, delete that boundary, refresh the two neighbouring
-ranks, until nothing merges.  Words longer than ``SHORT`` bytes, where scanning would be
-quadratic, take the same merges in the same order from a heap.  Words repeat, so each task
-keeps a bounded table from word to ids.
+ranks, until nothing merges.  The words of a batch that are new to the task are rows of one
+array, so a scan serves them all.  Words longer than ``SHORT`` bytes, where scanning would
+be quadratic, take the same merges in the same order from a heap.  Words repeat, so each
+task keeps a bounded table from word to ids.
 
 Nothing is shuffled: documents are independent, so encoding is a map over Arrow batches.
 
 Defined cases: NULL and empty texts have no tokens and decode to the empty text; special
 tokens written in a text become their ids; texts of any length are encoded whole; repeated
-rows are encoded alike; other columns are kept.
+rows are encoded alike; other columns are kept.  Letters and numbers are those of the
+Unicode version of the ``regex`` module; a character that was assigned only lately may be
+cut differently by a library with older tables.
 """
 
 from __future__ import annotations
@@ -20,9 +23,11 @@ import hashlib
 import heapq
 import itertools
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -31,12 +36,43 @@ from pyspark.sql import types as T
 from cyclemart.llm.common import fresh
 
 SHORT = 64  # bytes of a word up to which the rank array is scanned
-CACHE_WORDS = 200_000  # words a task remembers; beyond, the table starts anew
+CACHE_WORDS = 300_000  # words a task remembers; beyond, the table starts anew
 
-#: Fixed value: the split pattern of byte-level vocabularies of this kind.
-SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
-         r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-NOT_MERGED = 1 << 60
+TEXT_AT_A_TIME = 1 << 20  # characters whose words are learned together
+WORDS_AT_A_TIME = 16_384  # rows of the rank array
+
+#: Fixed value: the split pattern of byte-level vocabularies of this kind, for given classes
+#: of letters (L), numbers (N) and white space (S).
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?[L]+| ?[N]+| ?[^SLN]+|[S]+(?![^S])|[S]+"
+NOT_MERGED = (1 << 31) - 1
+SIMPLE = 0x250  # texts of characters below this are split by the faster re module
+
+
+def _classes() -> dict[str, str]:
+    """The letters, numbers and white space below SIMPLE, escaped for a character class."""
+    kinds: dict[str, list[str]] = {"L": [], "N": [], "S": []}
+    for c in map(chr, range(SIMPLE)):
+        if regex.match(r"\p{White_Space}", c):
+            kinds["S"].append(c)
+        elif regex.match(r"[\p{L}\p{N}]", c):
+            kinds["L" if regex.match(r"\p{L}", c) else "N"].append(c)
+    return {k: "".join(map(re.escape, v)) for k, v in kinds.items()}
+
+
+def _pattern(classes: dict[str, str]) -> str:
+    return re.sub("[LNS]", lambda m: classes[m[0]], SPLIT)
+
+
+@lru_cache(maxsize=1)
+def _patterns() -> tuple[re.Pattern, re.Pattern, regex.Pattern]:
+    whole = {"L": r"\p{L}", "N": r"\p{N}", "S": r"\p{White_Space}"}
+    return re.compile(f"[^\\x00-\\u{SIMPLE - 1:04x}]"), re.compile(_pattern(_classes())), regex.compile(_pattern(whole))
+
+
+def split_words(text: str) -> list[str]:
+    """The words of a text without special tokens."""
+    rare, simple, whole = _patterns()
+    return (whole if rare.search(text) else simple).findall(text)
 
 
 def byte_characters() -> list[str]:
@@ -61,57 +97,88 @@ class Vocabulary:
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.ids: dict[str, int] = spec["model"]["vocab"]
-        pairs = (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])
-        self.ranks: dict[tuple[str, str], int] = {tuple(m): r for r, m in enumerate(pairs)}
+        ids: dict[str, int] = spec["model"]["vocab"]
         self.special: dict[str, int] = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        chars = byte_characters()
-        self.to_chars = {b: c for b, c in enumerate(chars)}
-        back = {c: b for b, c in enumerate(chars)}
-        size = max([*self.ids.values(), *self.special.values()], default=-1) + 1
+        byte_of = {c: b for b, c in enumerate(byte_characters())}
+        size = max([*ids.values(), *self.special.values()], default=-1) + 1
         self.bytes_of: list[bytes] = [b""] * size
-        for token, i in self.ids.items():
-            self.bytes_of[i] = bytes(back[c] for c in token)
+        for token, i in ids.items():
+            self.bytes_of[i] = bytes(byte_of[c] for c in token)
         for token, i in self.special.items():
             self.bytes_of[i] = token.encode("utf-8")
+        self.id_of_byte = np.zeros(256, np.int64)
+        for c, b in byte_of.items():
+            self.id_of_byte[b] = ids[c]
+        merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+        left, right = (np.array([ids[m[side]] for m in merges], np.int64) for side in (0, 1))
+        self.merged = np.array([ids[a + b] for a, b in merges], np.int64)  # by rank
+        self.pairs = (left << 32) | right
+        order = np.argsort(self.pairs)
+        self.pairs, self.pair_ranks = self.pairs[order], order
+        self.rank_of = {(int(a), int(b)): r for r, (a, b) in enumerate(zip(left, right))}
         longest_first = sorted(self.special, key=len, reverse=True)
-        self.specials = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if longest_first else None
-        self.split = regex.compile(SPLIT)
-        self.cache: dict[str, tuple[str, tuple[int, ...]]] = {}
-
-    # -- one word ------------------------------------------------------------------
-    def _scan(self, word: str) -> list[str]:
-        """Merge a short word with a contiguous array of ranks."""
-        rank_of, n = self.ranks.get, len(word)
-        cut = list(range(n + 1))  # boundaries: part i is word[cut[i]:cut[i + 1]]
-        rank = [rank_of((word[i], word[i + 1]), NOT_MERGED) for i in range(n - 1)]
-        while rank:
-            least = min(rank)
-            if least == NOT_MERGED:
-                break
-            i = rank.index(least)  # the leftmost of the smallest
-            del cut[i + 1], rank[i]
-            part = word[cut[i]:cut[i + 1]]
-            if i:
-                rank[i - 1] = rank_of((word[cut[i - 1]:cut[i]], part), NOT_MERGED)
-            if i < len(rank):
-                rank[i] = rank_of((part, word[cut[i + 1]:cut[i + 2]]), NOT_MERGED)
-        return [word[a:b] for a, b in zip(cut, cut[1:])]
-
-    def _heap(self, word: str) -> list[str]:
+        self.specials = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
+        self.fixed = {t: (str(i), (i,)) for t, i in self.special.items()}
+        self.cache: dict[str, tuple[str, tuple[int, ...]]] = dict(self.fixed)
+        self.long: list[str] = []  # words of the last texts that are not worth remembering
+
+    # -- words -----------------------------------------------------------------------
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The merge rank of each pair of ids; NOT_MERGED where there is none."""
+        pair = (left << 32) | right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == pair) & (left >= 0) & (right >= 0), self.pair_ranks[at], NOT_MERGED)
+
+    def _scan(self, words: list[bytes]) -> list[tuple[int, ...]]:
+        """Merge short words, one a row: scan, delete a boundary, refresh its neighbours."""
+        width = max(map(len, words))
+        parts = np.full((len(words), width + 1), -1, np.int64)  # one empty part at the end
+        for i, w in enumerate(words):
+            parts[i, :len(w)] = np.frombuffer(w, np.uint8)
+        parts = np.where(parts >= 0, self.id_of_byte[parts], -1)
+        rank = self._ranks(parts[:, :-1], parts[:, 1:])
+        done: list[tuple[int, ...]] = [()] * len(words)
+        which, columns = np.arange(len(words)), np.arange(width + 1)
+        while which.size:
+            place = rank.argmin(axis=1)  # the leftmost of the smallest
+            rows = np.arange(len(place))
+            least = rank[rows, place]
+            over = least == NOT_MERGED
+            if over.any():
+                for i, row in zip(which[over], parts[over].tolist()):
+                    done[i] = tuple(row[:row.index(-1)])
+                which, parts, rank, place, least = (x[~over] for x in (which, parts, rank, place, least))
+                rows = np.arange(len(place))
+                if not which.size:
+                    break
+            # delete the boundary after ``place``: what follows moves one to the left
+            after = np.minimum(columns + (columns > place[:, None]), width)
+            parts = np.take_along_axis(parts, after, axis=1)
+            parts[rows, place] = self.merged[least]
+            after = np.minimum(columns[:-1] + (columns[:-1] > place[:, None]), width - 1)
+            rank = np.take_along_axis(rank, after, axis=1)
+            rank[:, -1] = NOT_MERGED
+            # refresh the two pairs that the new part is in
+            rank[rows, place] = self._ranks(parts[rows, place], parts[rows, place + 1])
+            before = np.flatnonzero(place > 0)
+            at = place[before]
+            rank[before, at - 1] = self._ranks(parts[before, at - 1], parts[before, at])
+        return done
+
+    def _heap(self, word: bytes) -> tuple[int, ...]:
         """The same merges for a long word, from a heap of (rank, place)."""
-        rank_of, n = self.ranks.get, len(word)
-        part: list[str | None] = list(word)
+        rank_of, n = self.rank_of.get, len(word)
+        part = self.id_of_byte[np.frombuffer(word, np.uint8)].tolist()
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(r, i, part[i], part[i + 1]) for i in range(n - 1)
                 if (r := rank_of((part[i], part[i + 1]))) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, left, right = heapq.heappop(heap)
+            rank, i, left, right = heapq.heappop(heap)
             j = after[i]
             if part[i] != left or j >= n or part[j] != right:
                 continue  # one of the two has changed since
-            part[i], part[j] = left + right, None
+            part[i], part[j] = int(self.merged[rank]), -1
             after[i] = after[j]
             if after[i] < n:
                 before[after[i]] = i
@@ -119,40 +186,39 @@ class Vocabulary:
                     heapq.heappush(heap, (r, i, part[i], part[after[i]]))
             if before[i] >= 0 and (r := rank_of((part[before[i]], part[i]))) is not None:
                 heapq.heappush(heap, (r, before[i], part[before[i]], part[i]))
-        return [p for p in part if p is not None]
-
-    def word(self, text: str) -> tuple[str, tuple[int, ...]]:
-        """The ids of a word, also joined by commas."""
-        word = text.encode("utf-8").decode("latin-1").translate(self.to_chars)
-        whole = self.ids.get(word) if len(word) == 1 else None
-        parts = [word] if whole is not None else (self._scan if len(word) <= SHORT else self._heap)(word)
-        ids = tuple(self.ids[p] for p in parts)
-        return ",".join(map(str, ids)), ids
-
-    # -- one text ------------------------------------------------------------------
-    def encode(self, text: str) -> tuple[str, list[int]]:
-        """All ids of ``text``: joined by commas, and as a list."""
-        joined: list[str] = []
-        ids: list[int] = []
-        pieces = self.specials.split(text) if self.specials else [text]
-        for piece in pieces:
-            if piece in self.special:
-                joined.append(str(self.special[piece]))
-                ids.append(self.special[piece])
-                continue
-            words = self.split.findall(piece)
-            cache = self.cache
-            for w in words:
-                got = cache.get(w)
-                if got is None:
-                    got = self.word(w)
-                    if len(cache) >= CACHE_WORDS:
-                        cache.clear()
-                    if len(w) <= SHORT:
-                        cache[w] = got
-                joined.append(got[0])
-                ids += got[1]
-        return ",".join(joined), ids
+        return tuple(p for p in part if p >= 0)
+
+    def learn(self, words: set[str]) -> dict[str, tuple[str, tuple[int, ...]]]:
+        """The table with ``words`` in it; it starts anew when it has grown too large."""
+        for w in self.long:
+            self.cache.pop(w, None)
+        new = words - self.cache.keys()
+        if len(self.cache) + len(new) > CACHE_WORDS:
+            self.cache, new = dict(self.fixed), words - self.special.keys()
+        coded = sorted(((w.encode("utf-8"), w) for w in new), key=lambda x: len(x[0]))
+        short = [x for x in coded if len(x[0]) <= SHORT]
+        for first in range(0, len(short), WORDS_AT_A_TIME):
+            some = short[first:first + WORDS_AT_A_TIME]
+            for (_, w), ids in zip(some, self._scan([b for b, _ in some])):
+                self.cache[w] = (",".join(map(str, ids)), ids)
+        for b, w in coded[len(short):]:
+            ids = self._heap(b)
+            self.cache[w] = (",".join(map(str, ids)), ids)
+        self.long = [w for _, w in coded[len(short):]]
+        return self.cache
+
+    # -- texts -----------------------------------------------------------------------
+    def encode_all(self, texts: list[str]) -> Iterator[tuple[str, list[int]]]:
+        """For each text all its ids, joined by commas and as a list."""
+        pieces = [self.specials.split(t) if self.specials else [t] for t in texts]
+        cut = [[[p] if p in self.special else split_words(p) for p in row] for row in pieces]
+        table = self.learn({w for row in cut for words in row for w in words})
+        for row in cut:
+            got = [table[w] for words in row for w in words]
+            yield ",".join([g[0] for g in got]), list(itertools.chain.from_iterable([g[1] for g in got]))
+
+    def encode(self, text: str) -> list[int]:
+        return next(self.encode_all([text]))[1]
 
     def decode(self, ids) -> str:
         """The text of ``ids``; bytes that are not UTF-8 become replacement characters."""
@@ -164,6 +230,19 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+def _some(column: pa.Array) -> Iterator[list[str]]:
+    """The texts of a column, NULL as empty, a few at a time by their length."""
+    some, size = [], 0
+    for text in column:
+        some.append(text.as_py() or "")
+        size += len(some[-1])
+        if size >= TEXT_AT_A_TIME:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
 def _appended(schema: T.StructType, *fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([*schema.fields, *(T.StructField(n, t) for n, t in fields)])
 
@@ -175,7 +254,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", ids: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
-            got = [v.encode(t or "")[1] for t in batch.column(text).to_pylist()]
+            got = [ids for some in _some(batch.column(text)) for _, ids in v.encode_all(some)]
             yield batch.append_column(name, pa.array(got, pa.list_(pa.int32())))
 
     return docs.mapInArrow(run, _appended(docs.schema, (name, T.ArrayType(T.IntegerType()))))
@@ -209,11 +288,11 @@ def round_trip_digests(docs: DataFrame, path: str, key: str = "doc_id", text: st
         v = vocabulary(path)
         for batch in batches:
             n, coded, decoded = [], [], []
-            for t in batch.column(1):
-                joined, ids = v.encode(t.as_py() or "")
-                n.append(len(ids))
-                coded.append(hashlib.sha256(joined.encode("ascii")).hexdigest())
-                decoded.append(hashlib.sha256(v.decode(ids).encode("utf-8")).hexdigest())
+            for some in _some(batch.column(1)):
+                for joined, ids in v.encode_all(some):
+                    n.append(len(ids))
+                    coded.append(hashlib.sha256(joined.encode("ascii")).hexdigest())
+                    decoded.append(hashlib.sha256(v.decode(ids).encode("utf-8")).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())],
                 names=[f.name for f in schema.fields])
@@ -232,11 +311,10 @@ def encoded_with_check(docs: DataFrame, path: str, key: str = "doc_id", text: st
         v = vocabulary(path)
         for batch in batches:
             got, exact = [], []
-            for t in batch.column(1):
-                t = t.as_py() or ""
-                ids = v.encode(t)[1]
-                got.append(pa.array(ids, pa.int32()))
-                exact.append(v.decode(ids) == t)
+            for some in _some(batch.column(1)):
+                for t, (_, ids) in zip(some, v.encode_all(some)):
+                    got.append(pa.array(ids, pa.int32()))
+                    exact.append(v.decode(ids) == t)
             counts = [len(x) for x in got]
             offsets = pa.array([0, *itertools.accumulate(counts)], pa.int32())
             flat = pa.concat_arrays(got) if got else pa.array([], pa.int32())

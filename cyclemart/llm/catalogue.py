@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclemart.llm import bpe, sharding, url_rules, warc
+from cyclemart.llm import bagminhash, bpe, decontaminate, gam, line_dedup, sharding, srs, url_rules, warc
 from cyclemart.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,13 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+# --- 1: approximate nearest neighbours -------------------------------------------------
+@query("op1_srs_neighbours")
+def op1_srs_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return srs.nearest(vectors, vectors.filter(F.col("vec_id") % 100 == 0), k=10)
+
+
 # --- 3: BPE encoding and decoding ----------------------------------------------------
 @query("op3_bpe")
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +57,16 @@ SHARDS = 8
 
 
 @query("op4_jump_shards", f"""
-WITH RECURSIVE hop(doc_id, size, text_crc32, n, state, shard, reach) AS (
+WITH RECURSIVE crc_table AS (
+  SELECT list(c ORDER BY b) AS t
+  FROM (SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+        FROM range(256) r(b))
+), crcs AS (
+  SELECT doc_id, text, xor(list_reduce(list_prepend(4294967295::BIGINT,
+           list_transform(range(octet_length(encode(coalesce(text, '')))), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
+  FROM (SELECT doc_id, text, hex(encode(coalesce(text, ''))) AS h FROM documents), crc_table
+), hop(doc_id, size, text_crc32, n, state, shard, reach) AS (
   SELECT doc_id, size, text_crc32, n, state, -1::BIGINT, 0::BIGINT
   FROM (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, text_crc32,
                CASE WHEN doc_id < 0 THEN doc_id::HUGEINT + 18446744073709551616 ELSE coalesce(doc_id, 0)::HUGEINT END AS state
@@ -60,7 +76,7 @@ WITH RECURSIVE hop(doc_id, size, text_crc32, n, state, shard, reach) AS (
          floor((reach + 1) * (2147483648.0::DOUBLE / ((next_state // 8589934592) + 1)::DOUBLE))::BIGINT
   FROM (SELECT *, (state * 2862933555777941757 + 1) % 18446744073709551616 AS next_state FROM hop WHERE reach < n)
 ), done AS (SELECT * FROM hop WHERE reach >= n)
-SELECT a.doc_id, a.size, 'key' AS law, a.shard::INTEGER AS shard,
+SELECT a.doc_id, a.size, a.text_crc32, 'key' AS law, a.shard::INTEGER AS shard,
        row_number() OVER (PARTITION BY a.shard ORDER BY a.doc_id) - 1 AS slot, b.shard::INTEGER AS grown_shard
 FROM done a JOIN done b ON a.doc_id = b.doc_id AND a.n = {SHARDS} AND b.n = {SHARDS + 1}
 """)
@@ -68,6 +84,49 @@ def op4_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), SHARDS)
 
 
+# --- 5: line dedup ----------------------------------------------------------------------
+@query("op5_line_dedup", r"""
+WITH lines AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+numbered AS (SELECT doc_id, p, regexp_replace(ls[p], '^\s+|\s+$', '', 'g') AS x FROM lines, unnest(range(1, len(ls) + 1)) u(p)),
+ranked AS (SELECT doc_id, p, x, row_number() OVER (PARTITION BY doc_id ORDER BY p) - 1 AS r FROM numbered WHERE x <> ''),
+runs AS (SELECT doc_id, r, x || chr(10) || lead(x, 1) OVER w || chr(10) || lead(x, 2) OVER w AS k
+         FROM ranked WINDOW w AS (PARTITION BY doc_id ORDER BY r)),
+seen AS (SELECT doc_id, r, first_value(doc_id) OVER w AS fd, first_value(r) OVER w AS fr
+         FROM runs WHERE k IS NOT NULL WINDOW w AS (PARTITION BY k ORDER BY doc_id, r)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(CASE WHEN doc_id = fd THEN greatest(r, fr + 3) ELSE r END, r + 3)) AS r
+         FROM seen WHERE NOT (doc_id = fd AND r = fr)),
+lost AS (SELECT doc_id, list(p) AS ps FROM gone JOIN ranked USING (doc_id, r) GROUP BY doc_id)
+SELECT doc_id, len(ls) AS n_lines, coalesce(len(ps), 0) AS n_removed,
+       md5(CASE WHEN ps IS NULL THEN text ELSE array_to_string(list_filter(ls, lambda x, i: NOT list_contains(ps, i)), chr(10)) END) AS text_md5
+FROM lines LEFT JOIN lost USING (doc_id)
+""")
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lines = F.size(F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1))
+    return line_dedup.dedup_lines(docs.withColumn("n_lines", lines)).select(
+        "doc_id", "n_lines", F.size("removed_lines").alias("n_removed"), F.md5("text").alias("text_md5"))
+
+
+# --- 6: benchmark decontamination -------------------------------------------------------
+@query("op6_benchmark_leaks", r"""
+WITH w AS (
+  SELECT 'd' AS kind, doc_id AS id, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda x: x <> '') AS ws FROM documents
+  UNION ALL
+  SELECT 'i', item_id, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda x: x <> '') FROM benchmark
+), s AS (
+  SELECT DISTINCT kind, id, array_to_string(ws[i:i + 4], ' ') AS shingle FROM w, unnest(range(1, len(ws) - 3)) u(i)
+), items AS (
+  SELECT id AS item_id, shingle, count(*) OVER (PARTITION BY id) AS item_shingles FROM s WHERE kind = 'i'
+)
+SELECT id AS doc_id, item_id, item_shingles, count(*) AS shared, count(*) / item_shingles AS containment
+FROM s JOIN items USING (shingle) WHERE kind = 'd'
+GROUP BY id, item_id, item_shingles HAVING count(*) / item_shingles >= 0.8
+""")
+def op6_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("t").withColumnRenamed("k", "doc_id")
+
+
 # --- 7: URL filters -------------------------------------------------------------------
 #: Fixed values of the contract: host, path, verdict.
 URL_RULES = [
@@ -104,6 +163,19 @@ def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(pages, rules).drop("url")
 
 
+# --- 8: quality classifier --------------------------------------------------------------
+ACCEPT = 0.7
+
+
+@query("op8_gam_quality")
+def op8_gam_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = gam.train(docs, table(spark, sf_dir, "labels"))
+    return gam.score(docs, model).select(
+        "doc_id", gam.held_out("doc_id").alias("held_out"), "score",
+        F.when(F.col("score") >= ACCEPT, 1).otherwise(0).alias("predicted"))
+
+
 # --- 9: WARC --------------------------------------------------------------------------
 @query("op9_warc_archive", """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
@@ -119,3 +191,29 @@ FROM d
 """)
 def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_summary(warc.write_archive(table(spark, sf_dir, "pages")))
+
+
+# --- 10: MinHash near-dedup -------------------------------------------------------------
+@query("op10_bagminhash_classes", r"""
+WITH RECURSIVE texts AS (
+  SELECT text, min(doc_id) AS node, count(*) AS copies FROM documents GROUP BY text
+), w AS (
+  SELECT node, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS ws FROM texts
+), s AS (
+  SELECT node, array_to_string(ws[i:i + 4], ' ') AS shingle, count(*) AS n
+  FROM w, unnest(range(1, len(ws) - 3)) u(i) GROUP BY ALL
+), sizes AS (SELECT node, sum(n) AS total FROM s GROUP BY node),
+shared AS (
+  SELECT a.node AS x, b.node AS y, sum(least(a.n, b.n)) AS inter FROM s a JOIN s b ON a.shingle = b.shingle AND a.node < b.node GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.node = x JOIN sizes q ON q.node = y WHERE inter / (p.total + q.total - inter) >= 0.8
+), reach(node, other) AS (
+  SELECT node, node FROM texts
+  UNION
+  SELECT r.node, l.y FROM reach r JOIN (SELECT x, y FROM links UNION ALL SELECT y, x FROM links) l ON l.x = r.other
+), classes AS (SELECT node, min(other) AS class_id FROM reach GROUP BY node)
+SELECT doc_id, class_id, copies FROM documents JOIN texts USING (text) JOIN classes USING (node)
+""")
+def op10_bagminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.near_duplicates(table(spark, sf_dir, "documents")).drop("t")
