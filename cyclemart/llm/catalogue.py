@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclemart.llm import bagminhash, bpe, decontaminate, gam, line_dedup, sharding, srs, url_rules, warc
+from cyclemart.llm import bagminhash, bpe, decontaminate, gam, katz, line_dedup, sharding, srs, url_rules, warc
 from cyclemart.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,12 @@ def op1_srs_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return srs.nearest(vectors, vectors.filter(F.col("vec_id") % 100 == 0), k=10)
 
 
+# --- 2: LM scoring ----------------------------------------------------------------------
+@query("op2_katz_scores")
+def op2_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.train_and_score(table(spark, sf_dir, "documents"), katz.held_out("doc_id")).scores
+
+
 # --- 3: BPE encoding and decoding ----------------------------------------------------
 @query("op3_bpe")
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
