@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclemart.llm.common import stored
+from cyclemart.session import scratch_path
 
 RESPONSE, REVISIT = "response", "revisit"
 #: Base-32 digits as conv() writes them, and as RFC 4648 has them.
@@ -97,7 +98,8 @@ def write_archive(
         .agg(F.first("payload").alias("payload"), F.min("page_id").alias("first_page"))
         .withColumn("payload_bytes", F.octet_length("payload").cast("long"))
         .withColumn("payload_digest", base32_sha1(F.col("payload")))
-        .write.option("compression", "zstd").bucketBy(buckets, "sha256")
+        .write.option("compression", "zstd").option("path", scratch_path(spark, f"{name}-payloads"))
+        .bucketBy(buckets, "sha256")
         .saveAsTable(f"{name}_payloads")
     )
     payloads = spark.table(f"{name}_payloads")
@@ -175,5 +177,5 @@ def read_summary(archive: Archive) -> DataFrame:
 
 
 def drop_archive(spark: SparkSession, name: str) -> None:
-    """Remove the payload table of an archive."""
+    """Forget the payload table of an archive; its files stay in the scratch folder."""
     spark.sql(f"DROP TABLE IF EXISTS {name}_payloads")
