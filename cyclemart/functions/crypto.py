@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -11,11 +12,20 @@ def _col(c: str | Column) -> Column:
 
 
 def _key(key: str | bytes) -> Column:
+    """The key as a column that no plan shows.
+
+    A literal would be printed in every plan and written to the event log.  The key is the
+    only row of a local table instead, read by an uncorrelated scalar subquery: plans show
+    the subquery, not its value.
+    """
     if isinstance(key, str):
         key = key.encode("utf-8")
     if len(key) not in (16, 24, 32):
         raise ValueError("AES key must be 16, 24 or 32 bytes long")
-    return F.lit(bytearray(key))
+    # another thread of the driver has no active session of its own
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    table = spark.createDataFrame(pa.table({"aes_key": pa.array([bytes(key)], pa.binary())}))
+    return table.scalar()
 
 
 def encrypt_column(value: str | Column, key: str | bytes, mode: str = "GCM") -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cyclemart.functions.paths import parse_object_key
 from cyclemart.functions.timeutil import instant
 from cyclemart.operators.dedup import keep_first
-from cyclemart.operators.merge import scd1_merge
+from cyclemart.operators.merge import PartitionedTable, scd1_merge
 from cyclemart.session import empty_frame
 from cyclemart.schemas import AUDIT_KEYS, AUDIT_RETENTION_DAYS, AUDIT_SCHEMA, AUDIT_STATUSES
 
@@ -51,7 +51,8 @@ def audit_entries(
 
     ``now`` is the processing instant (a value, a column name or a Column).  The size is 0
     when unknown.  Several arrivals of one key in a batch collapse to the latest by
-    ``order_col`` (then ``tie_breakers``), as sequential puts would.
+    ``order_col`` (then ``tie_breakers``), as sequential puts would; to the largest when the
+    arrivals have no such column.
     """
     stamp = _ts(now)
     bucket_col = (F.col("bucket") if bucket is None else
@@ -60,9 +61,10 @@ def audit_entries(
     size = F.coalesce(F.col(size_col).cast("long"), F.lit(0)) if size_col and size_col in arrivals.columns \
         else F.lit(0).cast("long")
     ordered = parsed.withColumns({"__bucket": bucket_col, "__ts": stamp, "__size": size})
-    if order_col and order_col in arrivals.columns:
-        ordered = keep_first(ordered.withColumn("__fk", F.concat_ws("#", F.col("__bucket"), F.col(key_col))),
-                             ["__fk", "cycle_date"], order_col, tie_breakers=tie_breakers).drop("__fk")
+    # without an order the largest file of a key stands for its last arrival
+    order = order_col if order_col and order_col in arrivals.columns else "__size"
+    ordered = keep_first(ordered.withColumn("__fk", F.concat_ws("#", F.col("__bucket"), F.col(key_col))),
+                         ["__fk", "cycle_date"], order, tie_breakers=tie_breakers).drop("__fk")
     return ordered.select(
         F.concat_ws("#", F.col("__bucket"), F.col(key_col)).alias("file_key"),
         F.col("cycle_date").cast("string").alias("cycle_date"),
@@ -83,9 +85,14 @@ def empty_audit_table(spark) -> DataFrame:
 
 
 def upsert_audit(audit: DataFrame, entries: DataFrame, **merge_kwargs) -> DataFrame:
-    """AU-2 sink: a re-arrival replaces the whole entry."""
-    return scd1_merge(audit, entries.select(*audit.columns), AUDIT_KEYS,
-                      on_duplicate=merge_kwargs.pop("on_duplicate", "trust"), **merge_kwargs)
+    """AU-2 sink: a re-arrival replaces the whole entry; entries that repeat a key raise."""
+    return scd1_merge(audit, entries.select(*audit.columns), AUDIT_KEYS, **merge_kwargs)
+
+
+def _known_status(status: Column) -> Column:
+    text = status.cast("string")
+    wrong = F.concat(F.lit("status is not one of " + ", ".join(AUDIT_STATUSES) + ": "), F.coalesce(text, F.lit("NULL")))
+    return F.when(text.isin(*AUDIT_STATUSES), text).otherwise(F.raise_error(wrong).cast("string"))
 
 
 def update_status(
@@ -93,22 +100,28 @@ def update_status(
     updates: DataFrame,
     status: str | Column | None = None,
     now: dt.datetime | Column | str | None = None,
+    order_by: str | list[str] | None = None,
+    tie_breakers: list | None = None,
     **merge_kwargs,
 ) -> DataFrame:
     """AU-3: set ``status`` and ``updated_at`` of the entries named by ``updates``.
 
     ``updates`` carries ``file_key``, ``cycle_date`` and (unless ``status`` is given)
     ``status``.  As with an update-by-key in a key-value store, an unknown key creates a
-    sparse entry holding only the key, status and time.
+    sparse entry holding only the key, status and time.  Repeated updates of a key count
+    once: the latest by ``order_by``; without an order they must agree, or the merge raises.
+    A status outside the vocabulary raises, given as a value or as a column.
     """
     if isinstance(status, str) and status not in AUDIT_STATUSES:
         raise ValueError(f"status {status!r} is not one of {AUDIT_STATUSES}")
     status_col = F.col("status") if status is None else (
         status if isinstance(status, Column) else F.lit(status))
-    src = updates.select(*AUDIT_KEYS, status_col.cast("string").alias("status"),
-                         _ts(now).alias("updated_at"))
-    return scd1_merge(audit, src, AUDIT_KEYS, update_columns=["status", "updated_at"],
-                      on_duplicate=merge_kwargs.pop("on_duplicate", "trust"), **merge_kwargs)
+    if order_by is not None:
+        updates = keep_first(updates, AUDIT_KEYS, order_by, tie_breakers=tie_breakers)
+    src = updates.select(*AUDIT_KEYS, _known_status(status_col).alias("status"), _ts(now).alias("updated_at"))
+    if order_by is None:
+        src = src.distinct()
+    return scd1_merge(audit, src, AUDIT_KEYS, update_columns=["status", "updated_at"], **merge_kwargs)
 
 
 def cycle_completeness(audit: DataFrame, expected: list[str]) -> DataFrame:
@@ -144,6 +157,15 @@ def batch_summary(arrivals: DataFrame, key_col: str = "object_key") -> DataFrame
 
 def expire(audit: DataFrame, as_of: dt.datetime | Column,
            days: int = AUDIT_RETENTION_DAYS, ts_col: str = "created_at") -> DataFrame:
-    """AU-6: drop entries created more than ``days`` before ``as_of``."""
+    """AU-6: drop entries created more than ``days`` before ``as_of``; entries without a
+    creation time stay."""
+    cutoff = _ts(as_of) - F.make_interval(days=F.lit(days))
+    return audit.filter(F.col(ts_col).isNull() | (F.col(ts_col) >= cutoff))
+
+
+def expire_published(table: PartitionedTable, as_of: dt.datetime | Column, days: int = AUDIT_RETENTION_DAYS,
+                     ts_col: str = "created_at") -> int:
+    """AU-6 on the published audit table: rewrite the cycles that hold expired entries,
+    without them.  Returns the number of cycles rewritten."""
     cutoff = _ts(as_of) - F.make_interval(days=F.lit(days))
-    return audit.filter(F.col(ts_col) >= cutoff)
+    return table.delete_where(F.col(ts_col) < cutoff)

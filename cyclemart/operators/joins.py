@@ -58,12 +58,12 @@ def _keys(on: str | list[str] | tuple[str, ...] | None) -> list[str]:
 
 
 def guard_condition(on, how: str) -> list[str]:
-    """JN-4: refuse a join with no condition unless a cross join is asked for explicitly."""
+    """JN-4: refuse a join without key columns, and cross joins."""
     keys = _keys(on)
-    if not keys and how != "cross":
-        raise JoinError("join without a condition; pass how='cross' to mean it")
-    if how == "cross":
+    if how.lower().replace("_", "") in ("cross", "crossjoin"):
         raise JoinError("cross joins are not supported by this engine")
+    if not keys:
+        raise JoinError("join without a condition: name the key columns")
     return keys
 
 

@@ -11,9 +11,10 @@ The merge is plain DataFrame logic, so it runs on any file-based table:
   inserts.  The big target is never shuffled.
 
 ``auto`` picks ``broadcast_source`` when the source fits the broadcast bound.
-A published table is a series of immutable ``version=N`` folders under one root; a merge
-reads the latest version and writes the next, so a table is never overwritten while it is
-being read.  This is a publishing convention, not an ACID table format.
+A published table is a series of immutable numbered folders under one root, each exposed by
+a marker that is written last; a merge reads what is exposed and writes a new folder, so
+nothing is overwritten while it is being read and a write that dies half-way is never seen.
+This is a publishing convention for one writer at a time, not an ACID table format.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from cyclemart.functions.timeutil import instant
 from cyclemart.operators.dedup import has_duplicate_keys, keep_first
 from cyclemart.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, fits_broadcast
 from cyclemart.schemas import INITIAL_LOAD_BY, MERGE_UPDATED_BY
-from cyclemart.session import materialize
+from cyclemart.session import empty_frame, materialize
 
 log = logging.getLogger(__name__)
 
@@ -40,7 +41,9 @@ ACTION_COL = "merge_action"
 _T, _S = "__t_", "__s_"
 _TP, _SP, _SPREAD = "__t_present", "__s_present", "__spread"
 NULL_KEY_SPREAD = 1024
-_SCHEMA_FILE = "_schema.json"
+_SCHEMA_FILE, _PUBLISHED = "_schema.json", "_PUBLISHED"
+#: Touched partitions that are named in a filter; beyond, the table is semi-joined.
+MAX_NAMED_PARTITIONS = 1000
 
 
 class MergeError(ValueError):
@@ -58,6 +61,22 @@ def _spread(keys: list[str], prefix: str, all_cols: list[str]) -> Column:
                                    F.lit(NULL_KEY_SPREAD))).otherwise(F.lit(0))
 
 
+def _unique_source(source: DataFrame, keys: list[str], on_duplicate: str, order_by, tie_breakers,
+                   materialize_source: bool) -> DataFrame:
+    """The source of a merge or of a first publication, with every key once."""
+    if on_duplicate == "latest":
+        if order_by is None:
+            raise MergeError("on_duplicate='latest' needs order_by")
+        source = keep_first(source, keys, order_by, tie_breakers=tie_breakers)
+    elif on_duplicate not in ("error", "trust"):
+        raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
+    if materialize_source:
+        source = materialize(source)
+    if on_duplicate == "error" and has_duplicate_keys(source, keys):
+        raise MergeError(f"source repeats keys {keys}; pass on_duplicate='latest'")
+    return source
+
+
 def scd1_merge(
     target: DataFrame,
     source: DataFrame,
@@ -84,7 +103,8 @@ def scd1_merge(
     ``dw_inserted_date`` is set on inserts.
 
     ``on_duplicate``: ``"error"`` raises when the source repeats a key, ``"latest"`` keeps
-    the first row per key by ``order_by`` (descending), ``"trust"`` skips the check.
+    the first row per key by ``order_by`` (descending), ``"trust"`` skips the check and is
+    only for sources whose keys are unique by construction.
     ``materialize_source`` checkpoints the (de-duplicated) source once, so an expensive
     source plan is not re-run by the duplicate check and the broadcast plan's three uses.
     """
@@ -96,18 +116,7 @@ def scd1_merge(
     if missing_keys:
         raise MergeError(f"merge keys {missing_keys} missing on one side")
 
-    if on_duplicate == "latest":
-        if order_by is None:
-            raise MergeError("on_duplicate='latest' needs order_by")
-        source = keep_first(source, keys, order_by, tie_breakers=tie_breakers)
-    elif on_duplicate == "error":
-        pass
-    elif on_duplicate != "trust":
-        raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
-    if materialize_source:
-        source = materialize(source)
-    if on_duplicate == "error" and has_duplicate_keys(source, keys):
-        raise MergeError(f"source repeats keys {keys}; pass on_duplicate='latest'")
+    source = _unique_source(source, keys, on_duplicate, order_by, tie_breakers, materialize_source)
 
     if update_columns is None:
         update_columns = [c for c in scols if c not in keys and c != "dw_inserted_date"]
@@ -160,8 +169,10 @@ def scd1_merge(
     if use_broadcast:
         sb = F.broadcast(s)
         kept_or_updated = t.join(sb, cond, "left").select(*out)
+        # distinct keys that the source has, too: never more rows than the source, whose
+        # size was checked, however often the target repeats a key
         matched = (t.select(*[_T + k for k in keys])
-                     .join(F.broadcast(s.select(*[_S + k for k in keys])), cond, "left_semi"))
+                     .join(F.broadcast(s.select(*[_S + k for k in keys])), cond, "left_semi").distinct())
         inserts = (s.join(F.broadcast(matched), cond, "left_anti")
                      .withColumn(_TP, F.lit(None).cast("boolean")))
         for c in tcols:
@@ -215,7 +226,7 @@ def merge_counts(merged_with_action: DataFrame) -> DataFrame:
     return merged_with_action.groupBy(ACTION_COL).agg(F.count(F.lit(1)).alias("rows"))
 
 
-# --------------------------------------------------------------------------- versions
+# --------------------------------------------------------------------------- publishing
 
 
 def _fs(spark: SparkSession, path: str):
@@ -224,8 +235,81 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p  # noqa: SLF001
 
 
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+
+
+def _read_line(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        jvm = spark._jvm  # noqa: SLF001
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
+class _Numbered:
+    """Numbered folders below ``root``: ``{prefix}=00000001`` and so on.
+
+    A folder gets its schema and tags first, then the data, and last the marker that
+    exposes it.  A folder without the marker is what a failed write left behind: it is
+    ignored, and its number is not used again.
+    """
+
+    prefix = "version"
+
+    def _numbers(self) -> dict[int, bool]:
+        """Every number, and whether it is exposed."""
+        fs, p = _fs(self.spark, self.root)
+        if not fs.exists(p):
+            return {}
+        path = self.spark._jvm.org.apache.hadoop.fs.Path  # noqa: SLF001
+        found = {}
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith(f"{self.prefix}="):
+                found[int(name.split("=", 1)[1])] = bool(fs.exists(path(st.getPath(), _PUBLISHED)))
+        return found
+
+    def _exposed(self) -> list[int]:
+        return sorted(n for n, exposed in self._numbers().items() if exposed)
+
+    def exists(self) -> bool:
+        return bool(self._exposed())
+
+    def path(self, number: int) -> str:
+        return f"{self.root.rstrip('/')}/{self.prefix}={number:08d}"
+
+    def _stored_schema(self, number: int) -> T.StructType:
+        return T.StructType.fromJson(json.loads(_read_line(self.spark, f"{self.path(number)}/{_SCHEMA_FILE}")))
+
+    def _open(self, schema: T.StructType) -> int:
+        number = max(self._numbers(), default=0) + 1
+        _write_text(self.spark, f"{self.path(number)}/{_SCHEMA_FILE}", json.dumps(schema.jsonValue()))
+        return number
+
+    def _fill(self, df: DataFrame, number: int, partition_by: list[str]) -> None:
+        if partition_by:  # one or a few files for each partition, large ones split
+            df = df.hint("rebalance", *partition_by)
+        writer = df.write.mode("append")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(self.path(number))
+
+    def _expose(self, number: int) -> None:
+        _write_text(self.spark, f"{self.path(number)}/{_PUBLISHED}", "")
+
+    def _remove(self, path: str) -> None:
+        fs, p = _fs(self.spark, path)
+        fs.delete(p, True)
+
+
 @dataclass
-class VersionedTable:
+class VersionedTable(_Numbered):
     """A table published as immutable ``{root}/version=N`` folders (IO-9)."""
 
     spark: SparkSession
@@ -233,25 +317,12 @@ class VersionedTable:
     partition_by: list[str] | None = None
 
     def versions(self) -> list[int]:
-        fs, p = _fs(self.spark, self.root)
-        if not fs.exists(p):
-            return []
-        found = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("version="):
-                marker = self.spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")  # noqa: SLF001
-                if fs.exists(marker):
-                    found.append(int(name.split("=", 1)[1]))
-        return sorted(found)
+        return self._exposed()
 
     def latest(self) -> int | None:
         v = self.versions()
         return v[-1] if v else None
 
-    def path(self, version: int) -> str:
-        return f"{self.root.rstrip('/')}/version={version:08d}"
-
     def read(self, version: int | None = None) -> DataFrame:
         """A published version (default: latest), with the schema it was written with.
 
@@ -261,51 +332,50 @@ class VersionedTable:
         version = self.latest() if version is None else version
         if version is None:
             raise FileNotFoundError(f"no published version under {self.root}")
-        reader = self.spark.read.option("basePath", self.path(version))
-        schema = self._stored_schema(version)
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.parquet(self.path(version))
-
-    def _stored_schema(self, version: int) -> T.StructType | None:
-        fs, p = _fs(self.spark, f"{self.path(version)}/{_SCHEMA_FILE}")
-        if not fs.exists(p):
-            return None
-        stream = fs.open(p)
-        try:
-            reader = self.spark._jvm.java.io.BufferedReader(  # noqa: SLF001
-                self.spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))  # noqa: SLF001
-            text = reader.readLine()
-        finally:
-            stream.close()
-        return T.StructType.fromJson(json.loads(text))
-
-    def exists(self) -> bool:
-        return self.latest() is not None
+        return (self.spark.read.option("basePath", self.path(version))
+                    .schema(self._stored_schema(version)).parquet(self.path(version)))
 
     def publish(self, df: DataFrame, tag: str | None = None) -> int:
-        """Write ``df`` as the next version; ``tag`` marks it (e.g. a stream batch id)."""
-        version = (self.latest() or 0) + 1
-        writer = df.write.mode("errorifexists")
-        if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(self.path(version))
-        fs, p = _fs(self.spark, f"{self.path(version)}/{_SCHEMA_FILE}")
-        out = fs.create(p, False)
-        out.write(bytearray(json.dumps(df.schema.jsonValue()).encode("utf-8")))
-        out.close()
+        """Write ``df`` as the next version; ``tag`` marks it."""
+        version = self._open(df.schema)
         if tag is not None:
-            fs, p = _fs(self.spark, f"{self.path(version)}/_TAG_{tag}")
-            fs.create(p, False).close()
+            _write_text(self.spark, f"{self.path(version)}/_TAG_{tag}", "")
+        self._fill(df, version, self.partition_by or [])
+        self._expose(version)
         return version
 
-    def has_tag(self, tag: str) -> bool:
-        """True when some published version carries ``tag``."""
-        for version in reversed(self.versions()):
-            fs, p = _fs(self.spark, f"{self.path(version)}/_TAG_{tag}")
-            if fs.exists(p):
-                return True
-        return False
+    def has_tag(self, tag: str, version: int | None = None) -> bool:
+        """True when the version (default: latest) carries ``tag``."""
+        version = self.latest() if version is None else version
+        if version is None:
+            return False
+        fs, p = _fs(self.spark, f"{self.path(version)}/_TAG_{tag}")
+        return bool(fs.exists(p))
+
+    def retire(self, keep: int) -> list[int]:
+        """Remove all but the ``keep`` newest versions; returns those removed."""
+        old = self.versions()[:-keep] if keep > 0 else []
+        for version in old:
+            self._remove(self.path(version))
+        return old
+
+
+def _checked(df: DataFrame, keys: list[str], materialize_source: bool, kwargs: dict) -> tuple[DataFrame, dict]:
+    """The delta with every key once, evaluated once if asked; what is left of ``kwargs``.
+
+    The same check serves a first publication and a merge.
+    """
+    rest = dict(kwargs)
+    options = [rest.pop(k, None) for k in ("on_duplicate", "order_by", "tie_breakers")]
+    df = _unique_source(df, keys, options[0] or "error", *options[1:], materialize_source)
+    return df, rest | {"on_duplicate": "trust"}
+
+
+def _observed(merged: DataFrame) -> tuple[DataFrame, Observation]:
+    """The merged rows without their action, and the counts its write will observe (MG-5)."""
+    obs = Observation("merge")
+    counts = [F.count_if(F.col(ACTION_COL) == a).alias(a) for a in ("inserted", "updated", "kept")]
+    return merged.observe(obs, *counts).drop(ACTION_COL), obs
 
 
 @dataclass
@@ -339,27 +409,18 @@ def merge_or_init(
     ``audit_columns=False`` publishes the first version without the ``dw_*`` columns
     (e.g. the arrival audit table, which has its own time columns).
     ``integrity``: ``"delta"`` checks the keys the merge wrote (every new duplicate),
-    ``"full"`` groups the whole new version, ``"off"`` skips the check.
+    ``"full"`` groups the whole new version, ``"off"`` skips the check.  A first publication
+    is refused, like a merge, when the source repeats a key (``on_duplicate``).
     """
+    df, merge_kwargs = _checked(df, keys, materialize_source, merge_kwargs)
     if not table.exists():
         obs = Observation("initial_load")
         first = initial_load(df, now, cycle_date) if audit_columns else df
-        loaded = first.observe(obs, F.count(F.lit(1)).alias("rows"))
-        version = table.publish(loaded, tag)
+        version = table.publish(first.observe(obs, F.count(F.lit(1)).alias("rows")), tag)
         rows = int(obs.get["rows"])
-        return MergeOutcome(version, True, rows, {"inserted": rows, "updated": 0, "kept": 0}, None)
+        return MergeOutcome(version, True, rows, {"inserted": rows, "updated": 0, "kept": 0}, True)
 
-    if materialize_source:
-        df = materialize(df)  # one evaluation serves the merge and the integrity check
-    target = table.read()
-    merged = scd1_merge(target, df, keys, now=now, with_action=True, **merge_kwargs)
-    obs = Observation("merge")
-    merged = merged.observe(
-        obs,
-        F.count_if(F.col(ACTION_COL) == "inserted").alias("inserted"),
-        F.count_if(F.col(ACTION_COL) == "updated").alias("updated"),
-        F.count_if(F.col(ACTION_COL) == "kept").alias("kept"),
-    ).drop(ACTION_COL)
+    merged, obs = _observed(scd1_merge(table.read(), df, keys, now=now, with_action=True, **merge_kwargs))
     version = table.publish(merged, tag)
     counts = {k: int(v) for k, v in obs.get.items()}
     ok = None
@@ -374,106 +435,137 @@ def merge_or_init(
     return MergeOutcome(version, False, counts["inserted"] + counts["updated"], counts, ok)
 
 
-def remove_older_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
-    """WN-2 on a published table: keep the newest ``dw_updated_date`` per key."""
-    return keep_first(df, keys, "dw_updated_date")
-
-
-
-
 # ------------------------------------------------------------ partition-scoped publish
 
 
 @dataclass
-class PartitionedTable:
-    """A table partitioned by one column, merged *in place* partition by partition.
-
-    When the partition column is part of the merge key (the fact: ``cycle_date`` /
-    ``dw_cycle_date``), a delta can only change the partitions its rows name.  Those
-    partitions are read (partition pruning), merged, checkpointed to the shared
-    checkpoint folder (which cuts the lineage to the files about to be replaced) and
-    written back with dynamic partition overwrite.  Cost is proportional to the touched
-    partitions, not to the table.  No earlier versions are kept in this layout; use
-    :class:`VersionedTable` where time travel is needed.
+class PartitionedTable(_Numbered):
+    """A table partitioned by one key column, replaced partition by partition.
+
+    Every publication is a folder ``{root}/published_rev=N`` with the whole new content of
+    the partitions it touches; a reader takes each partition from the newest publication
+    that has it.  A merge therefore reads and writes only the partitions its delta names
+    and writes them once, to a new place.  The partition column must be one of the merge
+    keys: then a key cannot move between partitions, and a delta cannot change others.
+    Superseded partitions are removed once ``keep`` newer publications exist, for readers
+    that are still under way; use :class:`VersionedTable` where time travel is needed.
     """
 
     spark: SparkSession
     root: str
     partition_col: str
-
-    def exists(self) -> bool:
-        # The schema file is written after every successful write (dynamic partition
-        # overwrite leaves no root-level _SUCCESS marker).
-        fs, p = _fs(self.spark, f"{self.root.rstrip('/')}/{_SCHEMA_FILE}")
-        return bool(fs.exists(p))
-
-    def _schema(self) -> T.StructType | None:
-        fs, p = _fs(self.spark, f"{self.root.rstrip('/')}/{_SCHEMA_FILE}")
-        if not fs.exists(p):
-            return None
-        stream = fs.open(p)
-        try:
-            reader = self.spark._jvm.java.io.BufferedReader(  # noqa: SLF001
-                self.spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))  # noqa: SLF001
-            return T.StructType.fromJson(json.loads(reader.readLine()))
-        finally:
-            stream.close()
+    keep: int = 1
+
+    prefix = "published_rev"
+
+    def _partitions(self, number: int) -> list[str]:
+        fs, p = _fs(self.spark, self.path(number))
+        return [st.getPath().getName() for st in fs.listStatus(p)
+                if st.isDirectory() and st.getPath().getName().startswith(f"{self.partition_col}=")]
+
+    def _current(self) -> dict[str, int]:
+        """The newest publication of every partition folder."""
+        return {name: n for n in self._exposed() for name in self._partitions(n)}
+
+    def _read(self, folders: dict[str, int]) -> DataFrame:
+        exposed = self._exposed()
+        if not exposed:
+            raise FileNotFoundError(f"nothing published under {self.root}")
+        schema = self._stored_schema(exposed[-1])
+        if not folders:
+            return empty_frame(self.spark, schema)
+        wide = T.StructType([*schema.fields, T.StructField(self.prefix, T.IntegerType())])
+        paths = [f"{self.path(n)}/{name}" for name, n in sorted(folders.items())]
+        df = self.spark.read.schema(wide).option("basePath", self.root).parquet(*paths)
+        return df.select(*[F.col(c) for c in schema.names])
 
     def read(self) -> DataFrame:
-        reader = self.spark.read
-        schema = self._schema()
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.parquet(self.root)
-
-    def _write(self, df: DataFrame, mode: str) -> None:
-        (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-           .partitionBy(self.partition_col).parquet(self.root))
-        fs, p = _fs(self.spark, f"{self.root.rstrip('/')}/{_SCHEMA_FILE}")
-        out = fs.create(p, True)
-        out.write(bytearray(json.dumps(df.schema.jsonValue()).encode("utf-8")))
-        out.close()
+        return self._read(self._current())
+
+    def _touched(self, df: DataFrame) -> DataFrame:
+        """The published rows of the partitions that ``df`` names."""
+        column, table = self.partition_col, self.read()
+        values = df.select(F.col(column).alias("__v")).distinct()
+        named = [r[0] for r in values.limit(MAX_NAMED_PARTITIONS + 1).collect()]
+        if len(named) > MAX_NAMED_PARTITIONS:  # a backfill: most partitions are read anyway
+            return table.join(values, F.col(column).eqNullSafe(F.col("__v")), "left_semi")
+        rows = F.col(column).isin(*[v for v in named if v is not None])
+        return table.where(rows | F.col(column).isNull() if None in named else rows)
+
+    def _publish(self, df: DataFrame, emptied: list[str] = ()) -> int:
+        number = self._open(df.schema)
+        self._fill(df, number, [self.partition_col])
+        for name in emptied:  # an empty folder stands for a partition without rows
+            fs, p = _fs(self.spark, f"{self.path(number)}/{name}")
+            fs.mkdirs(p)
+        self._expose(number)
+        self._retire()
+        return number
+
+    def _retire(self) -> None:
+        """Remove what no reader needs that saw one of the last ``keep`` + 1 publications."""
+        seen: set[str] = set()
+        exposed = self._exposed()
+        for number in reversed(exposed[:-self.keep] if self.keep else exposed):
+            names = self._partitions(number)
+            replaced = [name for name in names if name in seen]
+            seen.update(names)
+            if len(replaced) == len(names):
+                self._remove(self.path(number))
+            else:
+                for name in replaced:
+                    self._remove(f"{self.path(number)}/{name}")
 
     def merge_or_init(self, df: DataFrame, keys: list[str], now: dt.datetime | None = None,
                       cycle_date: str | None = None, on_integrity: str = "warn",
-                      materialize_source: bool = True, **merge_kwargs) -> MergeOutcome:
-        """MG-4 in place: initialise, or merge the delta into the partitions it touches.
+                      materialize_source: bool = True, audit_columns: bool = True,
+                      **merge_kwargs) -> MergeOutcome:
+        """MG-4: initialise, or merge the delta into the partitions it touches.
 
         ``materialize_source`` checkpoints the delta once; it is then read for the touched
-        partition values, the merge and the integrity check without re-running its plan.
+        partition values and the merge without re-running its plan.
         """
-        if not self.exists():
+        if self.partition_col not in keys:
+            raise MergeError(f"the partition column {self.partition_col!r} must be one of the keys {keys}")
+        first = not self.exists()
+        if first and audit_columns:
+            df = initial_load(df, now, cycle_date)
+        df, merge_kwargs = _checked(df, keys, materialize_source, merge_kwargs)
+        if first:
             obs = Observation("initial_load")
-            loaded = initial_load(df, now, cycle_date).observe(obs, F.count(F.lit(1)).alias("rows"))
-            self._write(loaded, "overwrite")
+            self._publish(df.observe(obs, F.count(F.lit(1)).alias("rows")))
             rows = int(obs.get["rows"])
-            return MergeOutcome(0, True, rows, {"inserted": rows, "updated": 0, "kept": 0}, None)
-        if self.partition_col not in keys and self.partition_col not in df.columns:
-            raise MergeError(f"the delta must carry the partition column {self.partition_col!r}")
-        if materialize_source:
-            df = materialize(df)
-        # The partition values a delta names: one row per touched partition (a handful).
-        touched = [r[0] for r in df.select(self.partition_col).distinct().collect()]
-        in_touched = F.col(self.partition_col).isin(*[v for v in touched if v is not None])
-        if None in touched:  # the NULL partition is not matched by IN
-            in_touched = in_touched | F.col(self.partition_col).isNull()
-        target = self.read().where(in_touched)
-        merged = scd1_merge(target, df, keys, now=now, with_action=True, **merge_kwargs)
-        merged = materialize(merged)  # lineage no longer points at the files being replaced
-        counts = {r[ACTION_COL]: int(r["rows"]) for r in merge_counts(merged).collect()}
-        counts = {k: counts.get(k, 0) for k in ("inserted", "updated", "kept")}
-        self._write(merged.drop(ACTION_COL), "overwrite")
-        ok = integrity_ok(self.read().where(in_touched).select(*keys), keys)
+            return MergeOutcome(0, True, rows, {"inserted": rows, "updated": 0, "kept": 0}, True)
+        merged, obs = _observed(scd1_merge(self._touched(df), df, keys, now=now, with_action=True, **merge_kwargs))
+        number = self._publish(merged)
+        counts = {k: int(v) for k, v in obs.get.items()}
+        written = {name: number for name in self._partitions(number)}
+        ok = integrity_ok(self._read(written).select(*keys), keys)
         if not ok:
-            message = f"duplicate keys {keys} in partitions {touched} of {self.root}"
+            message = f"duplicate keys {keys} in publication {number} of {self.root}"
             if on_integrity == "raise":
                 raise MergeError(message)
             log.warning(message)
         return MergeOutcome(0, False, counts["inserted"] + counts["updated"], counts, ok)
 
+    def delete_where(self, condition: Column) -> int:
+        """Rewrite the partitions that hold rows for which ``condition`` is true, without
+        them; returns the number of partitions rewritten."""
+        gone = F.coalesce(condition, F.lit(False))
+        hit = self.read().where(gone).select(self.partition_col).distinct()
+        names = {self._folder(r[0]) for r in hit.collect()}  # one row for each partition
+        if not names:
+            return 0
+        current = {name: n for name, n in self._current().items() if name in names}
+        self._publish(self._read(current).where(~gone), sorted(names))
+        return len(names)
+
+    def _folder(self, value) -> str:
+        utils = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils  # noqa: SLF001
+        return utils.getPartitionPathString(self.partition_col, None if value is None else str(value))
+
 
 __all__ = [
     "ACTION_COL", "MergeError", "MergeOutcome", "PartitionedTable", "VersionedTable",
-    "initial_load", "integrity_ok", "merge_counts", "merge_or_init", "remove_older_duplicates",
-    "scd1_merge",
+    "initial_load", "integrity_ok", "merge_counts", "merge_or_init", "scd1_merge",
 ]

@@ -8,7 +8,7 @@ A rule set is a plain dict::
 All row-level rules of a table are evaluated by **one** aggregate, each key list of
 ``no_duplicates`` by one grouping (map-side partial counts, so hot keys stay cheap), and
 the results are unpivoted into rows of ``DQ_RESULT_SCHEMA``.  Evaluating every table of a
-cycle is a single Spark job over a union; the result is one small row per rule.
+cycle is a single action over a union; the result is one small row per rule.
 """
 
 from __future__ import annotations
@@ -31,6 +31,10 @@ _ORD = "__dq_order"
 RESULT_COLUMNS = [f.name for f in DQ_RESULT_SCHEMA.fields]
 
 
+# --- fixed values: the wording of the messages, the rule names and the order of the rules,
+# here and in ``_evaluate`` and ``failure_message``, are outputs that must stay as they are.
+
+
 class QualityError(Exception):
     """Raised by the gate when at least one rule failed."""
 
@@ -222,8 +226,9 @@ def run_gate(
 ) -> list[dict[str, Any]]:
     """DQ-9: evaluate, write the report, *then* gate.
 
-    The tables are scanned by exactly one Spark job; its result (one row per rule) is
-    materialised once and reused for the report and the gate.
+    One action evaluates all tables; its result (one row per rule) is reused for the report
+    and the gate.  A table with key rules is scanned twice, once for the rows and once for
+    the keys.
     """
     results = evaluate_tables(tables, rules, expected)
     rows = [r.asDict() for r in results.collect()]

@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclemart.operators.audit import (
-    audit_entries, batch_summary, cycle_completeness, empty_audit_table, expire, update_status,
-    upsert_audit,
+    audit_entries, batch_summary, cycle_completeness, empty_audit_table, expire_published,
+    update_status, upsert_audit,
 )
 from cyclemart.operators.dedup import keep_first
+from cyclemart.operators.merge import PartitionedTable
 from cyclemart.plans.catalogue.base import AUDIT_AS_OF, EVENT_TYPES, NOW, query
-from cyclemart.session import materialize
+from cyclemart.schemas import AUDIT_KEYS
+from cyclemart.session import materialize, scratch_path
 from cyclemart.sources.tables import read_table
 from cyclemart.streaming.alarms import default_alarms, window_alarm
 
@@ -84,12 +86,31 @@ def q_status_update(spark, root):
     return update_status(audit, failed, status="FAILED", now=NOW)
 
 
+@query("status_update_repeated", _ARRIVALS_SQL + f"""
+SELECT file_key, cycle_date, bucket, object_key, file_type, file_name, ingestion_timestamp,
+       CASE WHEN file_type = 'error' THEN 'FAILED' ELSE status END AS status, file_size, created_at,
+       CASE WHEN file_type = 'error' THEN TIMESTAMP '{NOW:%Y-%m-%d %H:%M:%S}' ELSE updated_at END
+         AS updated_at
+FROM audit""")
+def q_status_update_repeated(spark, root):
+    """AU-3: an entry is updated twice, first to PROCESSING; the later status stays, once."""
+    audit = audit_table(spark, root, materialized=True)
+    failed = audit.filter(F.col("file_type") == "error").select("file_key", "cycle_date")
+    updates = failed.withColumns({"status": F.lit("PROCESSING"), "n": F.lit(1)}).unionByName(
+        failed.withColumns({"status": F.lit("FAILED"), "n": F.lit(2)}))
+    return update_status(audit, updates, now=NOW, order_by="n")
+
+
 @query("audit_expiry", _ARRIVALS_SQL + f"""
 SELECT * FROM audit
 WHERE created_at >= TIMESTAMP '{AUDIT_AS_OF:%Y-%m-%d %H:%M:%S}' - INTERVAL 90 DAY""")
 def q_audit_expiry(spark, root):
-    """AU-6: entries older than 90 days before the as-of instant are dropped."""
-    return expire(audit_table(spark, root), AUDIT_AS_OF)
+    """AU-6: the published audit table without entries older than 90 days."""
+    table = PartitionedTable(spark, scratch_path(spark, "audit-expiry"), "cycle_date")
+    entries = audit_entries(event_arrivals(spark, root), now="modificationTime", tie_breakers=["event_id"])
+    table.merge_or_init(entries, AUDIT_KEYS, audit_columns=False)
+    expire_published(table, AUDIT_AS_OF)
+    return table.read()
 
 
 @query("cycle_complete", """

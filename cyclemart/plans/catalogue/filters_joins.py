@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from cyclemart.operators.filters import (
     apply_filters, policy_filter, with_audit_columns, with_commission,
 )
-from cyclemart.operators.joins import broadcast_join, COMMISSION_STAR, sort_merge_join, StarJoin
+from cyclemart.operators.joins import (
+    broadcast_join, COMMISSION_STAR, join, JoinError, sort_merge_join, StarJoin,
+)
 from cyclemart.plans.catalogue.base import CYCLE, _li, NOW, _orders, query, _transactions, _TX_WHERE
 from cyclemart.sources.tables import read_table
 
@@ -143,3 +145,16 @@ def star_join(spark, root):
 def commission_fact(spark, root):
     """PL-3 shape: star join, commission, warehouse audit columns (FP-5)."""
     return with_audit_columns(star_fact(spark, root), CYCLE, NOW)
+
+
+@query("join_guard", "SELECT n_name, r_name, 2 AS refused FROM nation JOIN region ON n_regionkey = r_regionkey")
+def join_guard(spark, root):
+    """JN-4: a join without key columns and a cross join are refused, one by key runs."""
+    nation = read_table(spark, root, "nation").withColumnRenamed("n_regionkey", "r_regionkey")
+    region, refused = read_table(spark, root, "region"), 0
+    for on, how in (([], "inner"), ("r_regionkey", "cross")):
+        try:
+            join(nation, region, on, how)
+        except JoinError:
+            refused += 1
+    return join(nation, region, "r_regionkey").select("n_name", "r_name", F.lit(refused).alias("refused"))

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cyclemart.functions.crypto import decrypt_column, encrypt_column
+from cyclemart.functions.crypto import _key, decrypt_column, encrypt_column
 from cyclemart.functions.timeutil import instant
 from cyclemart.plans.catalogue.base import CYCLE, DEMO_KEY, NOW, _orders, query
 from cyclemart.session import scratch_path
-from cyclemart.sources.encrypted import read_encrypted_lines, write_encrypted_lines
+from cyclemart.sources.encrypted import read_encrypted_files, read_encrypted_lines, write_encrypted_lines
 from cyclemart.sources.files import read_csv, read_staged, stage_parquet, with_provenance, write_csv
 from cyclemart.sources.tables import read_table
 
@@ -65,3 +66,92 @@ def staged_cycle(spark, root):
     stage_parquet(tagged, path, "orders")
     schema = tagged.schema
     return read_staged(spark, path, "orders", "199801", schema)
+
+
+@query("csv_corrupt_records", """
+SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_name END AS c_name,
+       c_mktsegment = 'BUILDING' AS is_corrupt
+FROM (SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_custkey END AS c_custkey, c_name, c_mktsegment FROM customer)""")
+def csv_corrupt_records(spark, root):
+    """IO-3: lines with one field too many come back as corrupt, whole, and the others by
+    header name in another letter case."""
+    c = read_table(spark, root, "customer")
+    path = scratch_path(spark, "corrupt")
+    line = F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name", F.when(F.col("c_mktsegment") == "BUILDING", "extra"))
+    c.select(line.alias("value")).write.text(f"{path}/body")
+    # every landed file begins with its header
+    spark.read.text(f"{path}/body").coalesce(1).selectExpr("value", "1 AS n").unionByName(
+        spark.range(1).selectExpr("'C_CustKey,C_NAME' AS value", "0 AS n")).coalesce(1).sortWithinPartitions("n").select(
+        "value").write.text(f"{path}/landed")
+    schema = _customer_schema(spark)
+    back = read_csv(spark, f"{path}/landed", T.StructType(schema.fields[:2]), keep_corrupt=True)
+    bad = F.col("_corrupt_record").isNotNull()
+    return back.select(F.when(~bad, F.col("c_custkey")).alias("c_custkey"), F.when(~bad, F.col("c_name")).alias("c_name"), bad.alias("is_corrupt"))
+
+
+@query("encrypted_whole_file", "SELECT c_custkey, c_name || chr(10) || c_mktsegment AS note, c_nationkey FROM customer")
+def encrypted_whole_file(spark, root):
+    """IO-2: files encrypted as a whole, one per nation, columns in another order, line
+    breaks in quoted fields."""
+    c = read_table(spark, root, "customer")
+    path = scratch_path(spark, "enc-files")
+    line = F.concat(F.col("c_nationkey").cast("string"), F.lit(',"'), F.col("c_name"), F.lit("\n"), F.col("c_mktsegment"),
+                    F.lit('",'), F.col("c_custkey").cast("string"))
+    files = c.groupBy("c_nationkey").agg(F.concat(
+        F.lit("c_nationkey,note,C_CUSTKEY\n"), F.array_join(F.array_sort(F.collect_list(line)), "\n"), F.lit("\n")).alias("text"))
+    raw = F.aes_encrypt(F.col("text").cast("binary"), _key(DEMO_KEY), F.lit("GCM"))
+    for row in files.select("c_nationkey", raw.alias("c")).toLocalIterator():  # 25 nations, a file each
+        _write_bytes(spark, f"{path}/nation-{row[0]}.csv.pgp", bytes(row[1]))
+    schema = T.StructType.fromDDL("c_custkey long, note string, c_nationkey int")
+    return read_encrypted_files(spark, path, DEMO_KEY, schema)
+
+
+def _write_bytes(spark, path: str, data: bytes) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)  # noqa: SLF001
+    out.write(bytearray(data))
+    out.close()
+
+
+@query("ingest_rejects", """
+SELECT 'policy' AS file_type, CAST(COUNT(*) AS BIGINT) AS staged,
+       CAST((SELECT COUNT(*) FROM customer WHERE c_acctbal < 0) AS BIGINT) AS rejected
+FROM orders""")
+def ingest_rejects(spark, root):
+    """PL-1 + IO-2: lines encrypted with another key are counted and kept apart."""
+    from cyclemart.plans.jobs import RejectedRows, ingest_cycle
+
+    base = scratch_path(spark, "rejects")
+    policy = _orders(spark, root).select(F.col("o_orderkey").cast("string").alias("policy_id"), F.lit("ACTIVE").alias("policy_status"))
+    stray = read_table(spark, root, "customer").filter("c_acctbal < 0").select(
+        F.col("c_custkey").cast("string").alias("policy_id"), F.lit("ACTIVE").alias("policy_status"))
+    landing = f"{base}/landing/raw/policy/cycle_{CYCLE}"
+    write_encrypted_lines(policy, f"{landing}/good", DEMO_KEY)
+    write_encrypted_lines(stray, f"{landing}/stray", "another-key-1234")
+    try:
+        ingest_cycle(spark, f"{base}/landing", f"{base}/staged", CYCLE, NOW, DEMO_KEY, "lines", ["policy"])
+    except RejectedRows:
+        pass
+    else:
+        raise AssertionError("rows that do not decrypt must not pass unnoticed")
+    got = ingest_cycle(spark, f"{base}/landing", f"{base}/staged", CYCLE, NOW, DEMO_KEY, "lines", ["policy"],
+                       rejects_root=f"{base}/rejects")
+    kept = spark.read.parquet(f"{base}/rejects/policy").agg(F.count("*").alias("rejected"))
+    staged = read_staged(spark, f"{base}/staged", "policy", CYCLE).agg(F.count("*").alias("staged"))
+    rows = staged.withColumn("file_type", F.lit("policy")).join(kept.withColumn("file_type", F.lit("policy")), "file_type")
+    return rows.select("file_type", "staged", F.when(F.col("rejected") == got.rejected["policy"], F.col("rejected")).alias("rejected"))
+
+
+@query("reingest_empty_cycle", """
+SELECT 'first' AS run, CAST(COUNT(*) AS BIGINT) AS rows FROM customer UNION ALL SELECT 'again, empty', 0""")
+def reingest_empty_cycle(spark, root):
+    """IO-5: a cycle staged again without rows leaves none of the earlier ones."""
+    path = scratch_path(spark, "restaged")
+    c = with_provenance(read_table(spark, root, "customer"), CYCLE, "customer", NOW)
+    out = None
+    for run, rows in (("first", c), ("again, empty", c.limit(0))):
+        stage_parquet(rows, path, "customer", CYCLE)
+        n = read_staged(spark, path, "customer", CYCLE, c.schema).count()
+        line = spark.range(1).select(F.lit(run).alias("run"), F.lit(n).cast("long").alias("rows"))
+        out = line if out is None else out.unionByName(line)
+    return out

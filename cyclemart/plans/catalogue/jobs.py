@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclemart.operators.dedup import keep_first
 from cyclemart.plans.catalogue.aggregates import _DEDUP_TIES
-from cyclemart.plans.catalogue.base import CYCLE, DEMO_KEY, _li, NOW, _orders, query
+from cyclemart.plans.catalogue.base import CYCLE, DEMO_KEY, _li, NOW, ORACLE_SQL, _orders, query
 from cyclemart.session import scratch_path
 from cyclemart.sources.encrypted import write_encrypted_lines
 from cyclemart.sources.files import write_csv
@@ -162,8 +164,11 @@ def cycle_gate_report(spark, root):
     ingest_cycle(spark, f"{base}/landing", f"{base}/staged", CYCLE, NOW)
     try:
         gate_cycle(spark, f"{base}/staged", CYCLE, f"{base}/reports", NOW)
-    except QualityError:
-        pass
+    except QualityError as failed:
+        if "transactions/no_duplicates" not in str(failed):
+            raise
+    else:
+        raise AssertionError("the gate let a cycle with repeated keys pass")
     report = spark.read.schema("results array<struct<table:string,rule:string,column:string,"
                                "passed:boolean,failing_count:bigint,details:string>>").json(
         f"{base}/reports/{CYCLE}")
@@ -198,3 +203,25 @@ def cycle_fact(spark, root):
     return fact.select("transaction_id", "cycle_date", "policy_id", "agent_id", "coverage_id",
                        "rider_id", "feature_name", "exchange_rate", "commission_amount",
                        "dw_cycle_date", "dw_updated_by")
+
+
+_SECOND = dt.datetime(2024, 2, 2)
+
+
+@query("cycle_fact_second_run", ORACLE_SQL["cycle_fact"].replace("'initial_load'", "'glue_job'"))
+def cycle_fact_second_run(spark, root):
+    """PL-3 + MG-4: the cycle is run twice; the second run merges into what the first
+    published, so every row is an update and none is there twice."""
+    from cyclemart.operators.merge import PartitionedTable
+    from cyclemart.plans.jobs import run_cycle
+
+    base = scratch_path(spark, "cycle-again")
+    land_entities(spark, root, f"{base}/landing", unique_transactions=True)
+    for now in (NOW, _SECOND):
+        run = run_cycle(spark, f"{base}/landing", f"{base}/staged", f"{base}/reports", f"{base}/fact", CYCLE, now)
+    if run.merge.initialised or not run.merge.integrity_ok or run.merge.counts["inserted"] or run.merge.counts["kept"]:
+        raise AssertionError(f"the second run should only update: {run.merge}")
+    fact = PartitionedTable(spark, f"{base}/fact", "dw_cycle_date").read()
+    return fact.select("transaction_id", "cycle_date", "policy_id", "agent_id", "coverage_id",
+                       "rider_id", "feature_name", "exchange_rate", "commission_amount",
+                       "dw_cycle_date", "dw_updated_by")

@@ -6,7 +6,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from cyclemart.operators.filters import with_audit_columns
-from cyclemart.operators.merge import initial_load, merge_or_init, scd1_merge, VersionedTable
+from cyclemart.operators.merge import (
+    initial_load, integrity_ok, merge_counts, merge_or_init, MergeError, PartitionedTable, scd1_merge, VersionedTable,
+)
 from cyclemart.plans.catalogue.base import (
     CYCLE, INIT_CYCLE, MERGE_TARGET_UNTIL, MERGE_UPDATE_FROM, NOW, _orders, query, T_INIT,
 )
@@ -60,6 +62,48 @@ def q_scd1_merge_broadcast(spark, root):
                       strategy="auto")
 
 
+@query("merge_counts", f"""
+SELECT merge_action, CAST(COUNT(*) AS BIGINT) AS rows FROM ({_MERGE_SQL}) GROUP BY merge_action""")
+def q_merge_counts(spark, root):
+    """MG-5: rows per action; the counts that a publishing merge observes must be the same."""
+    target, source = _merge_inputs(spark, root)
+    counts = merge_counts(scd1_merge(target, source, ["o_orderkey"], with_action=True))
+    table = VersionedTable(spark, scratch_path(spark, "merge-counts"))
+    merge_or_init(table, target, ["o_orderkey"], audit_columns=False, materialize_source=False)
+    seen = merge_or_init(table, source, ["o_orderkey"], audit_columns=False, materialize_source=False).counts
+    observed = F.create_map(*[F.lit(x) for pair in seen.items() for x in pair])
+    return counts.select("merge_action", F.when(observed[F.col("merge_action")] == F.col("rows"), F.col("rows")).alias("rows"))
+
+
+@query("merge_integrity", f"""
+SELECT 'one delta row per key' AS delta, TRUE AS published, TRUE AS intact,
+       CAST((SELECT COUNT(*) FROM ({_MERGE_SQL})) AS BIGINT) AS rows
+UNION ALL SELECT 'a key twice', FALSE, TRUE, (SELECT COUNT(*) FROM ({_MERGE_SQL}))
+UNION ALL SELECT 'table with a key twice', TRUE, FALSE, 2 * (SELECT COUNT(*) FROM ({_MERGE_SQL}))""")
+def q_merge_integrity(spark, root):
+    """MG-3: a merge leaves every key once, a delta that repeats a key is refused, and a
+    table that repeats one is found."""
+    target, source = _merge_inputs(spark, root)
+    keys = ["o_orderkey"]
+    table = VersionedTable(spark, scratch_path(spark, "merge-integrity"))
+    merge_or_init(table, target, keys, audit_columns=False, materialize_source=False)
+    ok = merge_or_init(table, source, keys, audit_columns=False, materialize_source=False).integrity_ok
+    try:
+        merge_or_init(table, source.unionByName(source), keys, audit_columns=False, materialize_source=False)
+        refused = False
+    except MergeError:
+        refused = True
+    rows, twice = table.read(), table.read().unionByName(table.read())
+
+    def line(delta: str, published: bool, intact: bool, df):
+        return df.agg(F.count("*").alias("rows")).select(
+            F.lit(delta).alias("delta"), F.lit(published).alias("published"), F.lit(intact).alias("intact"), "rows")
+
+    return (line("one delta row per key", True, bool(ok), rows)
+            .unionByName(line("a key twice", not refused, integrity_ok(rows, keys), rows))
+            .unionByName(line("table with a key twice", True, integrity_ok(twice, keys), twice)))
+
+
 @query("initial_load", f"""
 SELECT *, TIMESTAMP '{NOW:%Y-%m-%d %H:%M:%S}' AS dw_inserted_date,
        TIMESTAMP '{NOW:%Y-%m-%d %H:%M:%S}' AS dw_updated_date,
@@ -77,7 +121,7 @@ def _published_orders(spark: SparkSession, root: str) -> VersionedTable:
     """Publish the target as version 1, then merge the audited delta as version 2."""
     target, source = _merge_inputs(spark, root)
     table = VersionedTable(spark, scratch_path(spark, "orders-published"), ["dw_cycle_date"])
-    merge_or_init(table, target, ["o_orderkey"], now=T_INIT, cycle_date=INIT_CYCLE)
+    merge_or_init(table, target, ["o_orderkey"], now=T_INIT, cycle_date=INIT_CYCLE, materialize_source=False)
     # The delta is a plain filtered scan: cheaper to re-read than to checkpoint.
     merge_or_init(table, with_audit_columns(source, CYCLE, NOW), ["o_orderkey"], now=NOW,
                   on_duplicate="trust", materialize_source=False)
@@ -151,8 +195,6 @@ SELECT COALESCE(t.o_orderkey, s.o_orderkey) AS o_orderkey,
 FROM t FULL OUTER JOIN s ON t.o_orderkey = s.o_orderkey AND t.order_month = s.order_month""")
 def q_partition_merge(spark, root):
     """MG-4 in place: only the months the delta names are read, merged and replaced."""
-    from cyclemart.operators.merge import PartitionedTable
-
     o = _orders(spark, root)
     month = F.date_format("o_orderdate", "yyyyMM").alias("order_month")
     target = o.filter(F.col("o_orderdate") < F.lit(MERGE_TARGET_UNTIL).cast("timestamp_ntz")).select(
@@ -162,7 +204,7 @@ def q_partition_merge(spark, root):
         F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.col("o_orderpriority"))
          .alias("o_orderpriority"))
     table = PartitionedTable(spark, scratch_path(spark, "orders-by-month"), "order_month")
-    table.merge_or_init(target, ["o_orderkey", "order_month"], now=T_INIT)
+    table.merge_or_init(target, ["o_orderkey", "order_month"], now=T_INIT, materialize_source=False)
     table.merge_or_init(delta, ["o_orderkey", "order_month"], now=NOW, on_duplicate="trust",
                         materialize_source=False)
     return table.read().select("o_orderkey", "order_month", "o_totalprice", "o_orderpriority",

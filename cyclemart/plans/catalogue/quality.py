@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cyclemart.operators.joins import join
-from cyclemart.operators.quality import evaluate, evaluate_tables, report_frame
+from cyclemart.operators.quality import QualityError, assert_no_failures, evaluate, evaluate_tables, report_frame
 from cyclemart.plans.catalogue.base import CYCLE, _li, NOW, query
 from cyclemart.sources.tables import read_table
 
@@ -113,14 +113,12 @@ SELECT CAST(COUNT(*) AS BIGINT) AS total_checks,
        '""" + CYCLE + """' AS cycle_date
 FROM results""")
 def dq_report(spark, root):
-    """DQ-7 roll-up plus the DQ-8 gate message, computed on the executors."""
-    report = report_frame(dq_rule_set(spark, root), CYCLE, NOW)
-    failed = F.filter(F.col("results"), lambda r: ~r["passed"])
-    text = F.transform(failed, lambda r: F.concat_ws(
-        "", r["table"], F.lit("/"), r["rule"], F.lit("/"), F.coalesce(r["column"], F.lit("None")),
-        F.lit(": "), r["details"]))
-    return report.select(
-        "total_checks", "passed", "failed",
-        F.concat(F.col("failed").cast("string"), F.lit(" DQ check(s) failed: "),
-                 F.array_join(text, "; ")).alias("failure_summary"),
-        "cycle_date")
+    """DQ-7 roll-up, plus the message with which the DQ-8 gate raises."""
+    results = dq_rule_set(spark, root)
+    try:
+        assert_no_failures(results)
+        message = None
+    except QualityError as failed:
+        message = str(failed)
+    report = report_frame(results, CYCLE, NOW)
+    return report.select("total_checks", "passed", "failed", F.lit(message).alias("failure_summary"), "cycle_date")

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclemart.operators.merge import VersionedTable
+from cyclemart.operators.merge import PartitionedTable
 from cyclemart.plans.catalogue.audit import _ARRIVALS_SQL
 from cyclemart.plans.catalogue.base import EVENT_TYPES, NOW, query, STREAM_DELAY
 from cyclemart.session import scratch_path
 from cyclemart.sources.tables import read_table
 from cyclemart.streaming.alarms import window_alarm
+from cyclemart.streaming.arrivals import (
+    arrival_stream, audit_sink, completed_cycles, dedupe_within_watermark, emit_once, run_available,
+    run_available_foreach,
+)
 
 
 # ============================================================== streaming (ST-1..ST-4)
@@ -25,8 +29,6 @@ def _events_stream(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _stream_to_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    from cyclemart.streaming.arrivals import run_available
-
     base = scratch_path(spark, name)
     run_available(df, f"{base}/out", f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/out")
@@ -56,43 +58,75 @@ WITH p AS (SELECT DISTINCT strftime(ts, '%Y%m%d') AS cycle_date, event_type FROM
 SELECT cycle_date, ARRAY_TO_STRING(got, ',') AS received_types FROM g WHERE LEN(got) = 5""")
 def stream_complete_cycles(spark, root):
     """ST-1 + ST-2: arrivals streamed, each complete cycle emitted exactly once."""
-    from cyclemart.streaming.arrivals import completed_cycles
+    base = scratch_path(spark, "stream-cycles")
+    done = completed_cycles(_arrivals(_events_stream(spark, root)), EVENT_TYPES)
+    run_available_foreach(done, emit_once(f"{base}/out"), f"{base}/checkpoint", "update")
+    return spark.read.parquet(f"{base}/out").select("cycle_date", "received_types")
 
-    ev = _events_stream(spark, root)
-    key = F.concat(F.lit("raw/"), F.col("event_type"), F.lit("/cycle_"),
-                   F.date_format("ts", "yyyyMMdd"), F.lit("/user_"),
-                   F.col("user_id").cast("string"), F.lit(".csv.pgp"))
-    arrivals = ev.select(key.alias("object_key"), F.col("ts").cast("timestamp").alias("modificationTime"))
-    done = completed_cycles(arrivals, EVENT_TYPES)
-    return _stream_to_table(spark, done, "stream-cycles").select("cycle_date", "received_types")
 
+_STREAMED_AUDIT_SQL = _ARRIVALS_SQL.replace("ts AS ingestion_timestamp", "NOW_TS AS ingestion_timestamp").replace(
+    "ts AS created_at, ts AS updated_at", "NOW_TS AS created_at, NOW_TS AS updated_at").replace(
+    "NOW_TS", f"TIMESTAMP '{NOW:%Y-%m-%d %H:%M:%S}'") + "\nSELECT * FROM audit"
 
-@query("stream_audit", _ARRIVALS_SQL.replace("ts AS ingestion_timestamp", "NOW_TS AS ingestion_timestamp")
-       .replace("ts AS created_at, ts AS updated_at", "NOW_TS AS created_at, NOW_TS AS updated_at")
-       .replace("NOW_TS", f"TIMESTAMP '{NOW:%Y-%m-%d %H:%M:%S}'") + "\nSELECT * FROM audit")
-def stream_audit(spark, root):
-    """ST-1: arrivals streamed into the audit table by a foreachBatch upsert (AU-2)."""
-    from cyclemart.streaming.arrivals import audit_sink, run_available_foreach
 
-    ev = _events_stream(spark, root)
+def _arrivals(events: DataFrame) -> DataFrame:
+    """Arrivals of one landed file per event, as in the batch queries."""
     key = F.concat(F.lit("raw/"), F.col("event_type"), F.lit("/cycle_"),
                    F.date_format("ts", "yyyyMMdd"), F.lit("/user_"),
                    F.col("user_id").cast("string"), F.lit(".csv.pgp"))
-    arrivals = ev.select(key.alias("object_key"), F.round(F.col("value") * 100).cast("long").alias("length"),
+    return events.select(key.alias("object_key"), F.round(F.col("value") * 100).cast("long").alias("length"),
                          F.col("ts").cast("timestamp").alias("modificationTime"), "event_id")
+
+
+@query("stream_audit", _STREAMED_AUDIT_SQL)
+def stream_audit(spark, root):
+    """ST-1: arrivals streamed into the audit table by a foreachBatch upsert (AU-2)."""
     base = scratch_path(spark, "stream-audit")
-    table = VersionedTable(spark, f"{base}/audit")
-    run_available_foreach(arrivals, audit_sink(table, "landing", now=lambda: NOW,
-                                               tie_breakers=["event_id"]), f"{base}/checkpoint")
+    table = PartitionedTable(spark, f"{base}/audit", "cycle_date")
+    sink = audit_sink(table, "landing", now=lambda: NOW, tie_breakers=["event_id"])
+    run_available_foreach(_arrivals(_events_stream(spark, root)), sink, f"{base}/checkpoint")
+    return table.read()
+
+
+@query("stream_audit_restart", _STREAMED_AUDIT_SQL)
+def stream_audit_restart(spark, root):
+    """ST-1: two streams with a checkpoint each fill one audit table; both begin with batch 0."""
+    base = scratch_path(spark, "stream-audit-restart")
+    table = PartitionedTable(spark, f"{base}/audit", "cycle_date")
+    sink = audit_sink(table, "landing", now=lambda: NOW, tie_breakers=["event_id"])
+    early = F.col("event_type").isin("click", "view")
+    for name, part in (("first", early), ("second", ~early)):
+        arrivals = _arrivals(_events_stream(spark, root).filter(part))
+        run_available_foreach(arrivals, sink, f"{base}/checkpoint-{name}")
     return table.read()
 
 
+@query("landed_arrivals", f"""
+WITH f AS (
+  SELECT DISTINCT event_type AS file_type, strftime(ts, '%Y%m%d') AS cycle_date FROM events)
+SELECT cycle_date, CAST(COUNT(*) AS BIGINT) AS n_types, TIMESTAMP '{NOW:%Y-%m-%d %H:%M:%S}' AS ingestion_timestamp
+FROM f GROUP BY cycle_date""")
+def landed_arrivals(spark, root):
+    """ST-1 on real files: events landed by type and day, listed as a stream, audited."""
+    base = scratch_path(spark, "landed")
+    events = read_table(spark, root, "events")
+    day = F.concat(F.lit("cycle_"), F.date_format("ts", "yyyyMMdd"))
+    for row in events.select("event_type").distinct().collect():  # five event types
+        landed = events.filter(F.col("event_type") == row[0]).select(F.to_csv(F.struct("event_id", "user_id")).alias("value"), day.alias("cycle"))
+        landed.repartition("cycle").write.partitionBy("cycle").text(f"{base}/landing/raw/{row[0]}")
+    table = PartitionedTable(spark, f"{base}/audit", "cycle_date")
+    stream = arrival_stream(spark, f"{base}/landing", glob="*.txt")
+    plain = stream.withColumn("object_key", F.replace("object_key", F.lit("cycle=cycle_"), F.lit("cycle_")))
+    run_available_foreach(plain, audit_sink(table, "landing", now=lambda: NOW), f"{base}/checkpoint")
+    audit = table.read()
+    return audit.groupBy("cycle_date").agg(
+        F.countDistinct("file_type").alias("n_types"), F.max("ingestion_timestamp").alias("ingestion_timestamp"))
+
+
 @query("stream_dedup", """
 SELECT DISTINCT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value, props FROM events""")
 def stream_dedup(spark, root):
     """ST-3: the event stream delivered twice; repeats inside the watermark are dropped."""
-    from cyclemart.streaming.arrivals import dedupe_within_watermark
-
     twice = _events_stream(spark, root).unionByName(_events_stream(spark, root))
     return _stream_to_table(spark, dedupe_within_watermark(twice, ["event_id"], "ts", "1 hour"),
                             "stream-dedup")

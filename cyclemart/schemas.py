@@ -54,6 +54,7 @@ MERGE_UPDATED_BY = "glue_job"
 INITIAL_LOAD_BY = "initial_load"
 AUDIT_RETENTION_DAYS = 90
 
+# --- fixed values: output columns, in order ---------------------------------------------
 # Columns every staged entity carries (set at ingest time).
 PROVENANCE_COLUMNS = ["ingestion_date", "cycle_date", "file_type"]
 # Warehouse audit columns of the published fact.
@@ -83,6 +84,7 @@ ENTITY_SCHEMAS: dict[str, T.StructType] = {
     "rider": _s(("rider_id", STRING), ("policy_id", STRING)),
 }
 
+# --- fixed values: columns of the quality results and of the audit table ------------------
 DQ_RESULT_SCHEMA = T.StructType([
     T.StructField("table", STRING, False),
     T.StructField("rule", STRING, False),

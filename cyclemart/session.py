@@ -3,7 +3,7 @@
 Everything that has to be written between two steps of a job (staged Parquet, a
 published table version, a checkpoint) goes below the folder the cluster names in
 ``spark.checkpoint.dir``.  Only when that setting is absent (unit tests, a laptop) do
-we create a local one.
+we create a local one, and only where the master is local.
 """
 
 from __future__ import annotations
@@ -35,6 +35,9 @@ DEFAULT_CONF = {
 }
 
 
+_marked: set[str] = set()
+
+
 def build_session(
     app_name: str = "cyclemart",
     master: str | None = None,
@@ -62,6 +65,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_value:
         spark.sparkContext.setCheckpointDir(conf_value)
         return spark.sparkContext.getCheckpointDir() or conf_value
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="cyclemart-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local
@@ -69,9 +75,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
     # getCheckpointDir() appends a per-application uuid folder; stay inside it.
-    return f"{root}/cyclemart/{name}-{uuid.uuid4().hex[:12]}"
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cyclemart"
+    if root not in _marked:  # the application's scratch files go when its JVM ends
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)  # noqa: SLF001
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _marked.add(root)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def local_path(path: str) -> str:

@@ -6,50 +6,59 @@ Two on-disk forms, both produced and read with Spark's built-in AES (GCM):
   Files split like any text file, so one file is read by many tasks; this is the form
   for large files.
 * **whole-file** form – the file is the raw ``aes_encrypt`` output of the whole CSV text
-  (header line first).  It is read through the ``binaryFile`` source, one file per row,
-  decrypted in that row and exploded into lines, so a single file must stay below
-  Spark's 2 GB binary-row limit.
+  (header line first).  It is read through the ``binaryFile`` source, one file per row, so
+  a single file must stay below Spark's 2 GB binary-row limit.  Its text is parsed as a
+  whole: fields may hold line breaks, and columns are matched by header name.
 
-A line or file that does not decrypt with the key gives NULL and is reported in
-``_corrupt_record`` (or dropped), never a job failure.
+What does not decrypt with the key, or does not parse, is never lost silently: reading
+fails by default, and with ``keep_corrupt`` such rows come back with the raw line (or the
+path of the file) in ``_corrupt_record``.
 """
 
 from __future__ import annotations
 
+import csv
+import io
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cyclemart.functions.crypto import _key, decrypt_column, encrypt_column
-from cyclemart.sources.files import CORRUPT_COL
+from cyclemart.sources.files import CORRUPT_COL, header_positions
+
+ROWS_AT_A_TIME = 10_000
 
 
 def _ddl(schema: T.StructType) -> str:
     return schema.simpleString()[len("struct<"):-1].replace(":", " ")
 
 
-def _parse_lines(lines: DataFrame, schema: T.StructType, keep_corrupt: bool,
-                 line_col: str = "__line", raw_col: str = "__raw") -> DataFrame:
-    """Parse decrypted CSV lines once per line.
+def _parse_lines(lines: DataFrame, schema: T.StructType, keep_corrupt: bool) -> DataFrame:
+    """Parse decrypted CSV lines (``__line``, and ``__raw`` as landed) once per line.
 
     A plain ``filter`` on the parsed record would be pushed below the projection by the
     optimizer and re-run the decryption and parsing inside the predicate.  The record is
-    therefore built once and passed through a Generate (``inline`` of a zero- or
-    one-element array), which keeps the work at one decrypt and one parse per line.
+    therefore built once and passed through a Generate (``inline`` of a one-element
+    array), which keeps the work at one decrypt and one parse per line.
     """
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL}
     parse_schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType(), True)])
-    parsed = lines.select(F.col(line_col), F.col(raw_col),
-                          F.from_csv(F.col(line_col), _ddl(parse_schema), opts).alias("__rec"))
+    parsed = lines.select("__line", "__raw", F.from_csv(F.col("__line"), _ddl(parse_schema), opts).alias("__rec"))
     rec = F.col("__rec")
-    fields = [f.name for f in schema.fields]
-    bad = F.when(F.col(line_col).isNull(), F.col(raw_col)).otherwise(rec[CORRUPT_COL])
-    full = F.struct(*[rec[n].alias(n) for n in fields], bad.alias(CORRUPT_COL))
-    lines = parsed
-    if keep_corrupt:
-        return lines.select(F.inline(F.array(full)))
-    good = F.filter(F.array(full), lambda r: r[CORRUPT_COL].isNull())
-    return lines.select(F.inline(good)).drop(CORRUPT_COL)
+    bad = F.when(F.col("__line").isNull(), F.col("__raw")).when(rec[CORRUPT_COL].isNotNull(), F.col("__raw"))
+    whole = F.struct(*[rec[f.name].alias(f.name) for f in schema.fields], bad.alias(CORRUPT_COL))
+    out = parsed.select(F.inline(F.array(whole)))
+    return out if keep_corrupt else _strict(out, schema)
+
+
+def _strict(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows without ``_corrupt_record``; a row that has one fails the job."""
+    wrong = F.raise_error(F.lit("encrypted input: a record does not decrypt with the key, or does not parse"))
+    checked = rows.filter(F.when(F.col(CORRUPT_COL).isNull(), F.lit(True)).otherwise(wrong.cast("boolean")))
+    return checked.select(*schema.names)
 
 
 def write_encrypted_lines(df: DataFrame, path: str, key: str | bytes) -> None:
@@ -59,33 +68,64 @@ def write_encrypted_lines(df: DataFrame, path: str, key: str | bytes) -> None:
 
 
 def read_encrypted_lines(spark: SparkSession, paths: str | list[str], key: str | bytes,
-                         schema: T.StructType, keep_corrupt: bool = False) -> DataFrame:
+                         schema: T.StructType, keep_corrupt: bool = False, glob: str | None = None) -> DataFrame:
     """Read line-encrypted CSV; decryption and parsing run per line on the executors."""
-    raw = spark.read.text(paths if isinstance(paths, list) else [paths])
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    raw = reader.text(paths if isinstance(paths, list) else [paths])
     lines = raw.select(F.col("value").alias("__raw"),
                        decrypt_column("value", key).alias("__line"))
     lines = lines.filter(F.length(F.col("__raw")) > 0)
     return _parse_lines(lines, schema, keep_corrupt)
 
 
+def _records(texts: Iterator[tuple[str, str | None]], names: list[str], header: bool) -> Iterator[tuple]:
+    """(fields by name..., corrupt) of every record of the decrypted files."""
+    for path, text in texts:
+        if text is None:
+            yield (*[None] * len(names), path)
+            continue
+        rows = csv.reader(io.StringIO(text, newline=""))
+        places = list(range(len(names)))
+        width = len(names)
+        if header:
+            first = next(rows, None)
+            if first is None:
+                continue
+            places, width = header_positions(first, names, path), len(first)
+        for row in rows:
+            if not row:
+                continue
+            if len(row) != width:
+                yield (*[None] * len(names), f"{path}: " + ",".join(row))
+            else:
+                yield (*[row[p] if row[p] != "" else None for p in places], None)
+
+
 def read_encrypted_files(spark: SparkSession, paths: str | list[str], key: str | bytes,
                          schema: T.StructType, header: bool = True,
-                         keep_corrupt: bool = False, mode: str = "GCM") -> DataFrame:
-    """Read whole-file encrypted CSV (``binaryFile`` -> ``try_aes_decrypt`` -> lines).
+                         keep_corrupt: bool = False, mode: str = "GCM", glob: str | None = None) -> DataFrame:
+    """Read whole-file encrypted CSV (``binaryFile`` -> ``try_aes_decrypt`` -> records).
 
-    A file that fails to decrypt yields one row whose ``_corrupt_record`` is its path.
+    Values are cast to the schema's types; a bad value becomes NULL, as in plain CSV.
+    A file that fails to decrypt yields one corrupt row that names its path.
     """
-    files = spark.read.format("binaryFile").load(paths)
+    reader = spark.read.format("binaryFile")
+    files = (reader.option("pathGlobFilter", glob) if glob else reader).load(paths)
     text = F.try_aes_decrypt(F.col("content"), _key(key), F.lit(mode)).cast("string")
-    decrypted = files.select(F.col("path"), text.alias("__text"))
-    lines = decrypted.select(
-        F.col("path").alias("__raw"),
-        F.posexplode_outer(F.split(F.col("__text"), r"\r?\n")).alias("__pos", "__line"),
-    )
-    if header:
-        lines = lines.filter((F.col("__pos") > 0) | F.col("__line").isNull())
-    lines = lines.filter(F.col("__line").isNull() | (F.length(F.col("__line")) > 0))
-    return _parse_lines(lines, schema, keep_corrupt)
+    names = schema.names
+    columns = [f"c{i}" for i in range(len(names))]
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = _records(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()), names, header)
+            while some := [r for r, _ in zip(found, range(ROWS_AT_A_TIME))]:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.string()) for c in zip(*some)], names=[*columns, CORRUPT_COL])
+
+    raw = files.select("path", text.alias("text")).mapInArrow(
+        parse, ", ".join(f"{c} string" for c in [*columns, CORRUPT_COL]))
+    typed = raw.select(*[F.col(c).try_cast(f.dataType).alias(f.name) for c, f in zip(columns, schema.fields)], CORRUPT_COL)
+    return typed if keep_corrupt else _strict(typed, schema)
 
 
 def encrypt_text(spark: SparkSession, text: str, key: str | bytes, mode: str = "GCM") -> bytes:

@@ -12,6 +12,7 @@ second file of a type adds rows instead of replacing the first.
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 import logging
 from functools import reduce
@@ -77,39 +78,32 @@ def discover_cycle_files(
                  .select("path", "object_key", "length", "modificationTime", "file_type"))
 
 
-def _first_lines(spark: SparkSession, paths: list[str], threads: int = 16) -> dict[str, str]:
-    """Header line of every CSV file under ``paths``: one short ranged read per file.
+def header_positions(header: list[str], names: list[str], where: str = "") -> list[int]:
+    """The place of each column in a header; names match in any letter case."""
+    places = {h.strip().lower(): i for i, h in reversed(list(enumerate(header)))}
+    missing = [n for n in names if n.lower() not in places]
+    if missing:
+        raise ValueError(f"columns {missing} are missing in the header {header} {where}".rstrip())
+    return [places[n.lower()] for n in names]
 
-    Used only to group files by header.  Reads run concurrently (object stores answer
-    small reads slowly one by one); the file contents are read by Spark as usual.
-    """
-    from concurrent.futures import ThreadPoolExecutor
 
-    jvm = spark._jvm  # noqa: SLF001
-    conf = spark._jsc.hadoopConfiguration()  # noqa: SLF001
-    files = []
-    for path in paths:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(conf)
-        for st in fs.globStatus(p) or []:
-            if st.isDirectory():
-                files += [c.getPath() for c in fs.listStatus(st.getPath())
-                          if c.isFile() and not c.getPath().getName().startswith(("_", "."))]
-            else:
-                files.append(st.getPath())
-
-    def first_line(file_path) -> tuple[str, str]:
-        stream = file_path.getFileSystem(conf).open(file_path)
-        try:
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            return str(file_path.toString()), reader.readLine() or ""
-        finally:
-            stream.close()
-
-    if len(files) <= 1:
-        return dict(first_line(f) for f in files)
-    with ThreadPoolExecutor(max_workers=min(threads, len(files))) as pool:
-        return dict(pool.map(first_line, files))
+def _headers(spark: SparkSession, paths: list[str], glob: str | None) -> list[tuple[list[str], list[str] | None]]:
+    """The distinct headers of CSV files, each with its files (None: all of ``paths``).
+
+    Header lines are read on the executors, from the files' first splits; one row for each
+    distinct header comes back.  Only when headers differ do the files' names come, too.
+    """
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    lines = reader.text(paths).filter(F.input_file_block_start() == 0).select(
+        F.col("_metadata.file_path").alias("file"), F.struct(F.monotonically_increasing_id().alias("n"), "value").alias("line"))
+    first = lines.groupBy("file").agg(F.min("line").alias("line")).select(
+        "file", F.regexp_replace("line.value", "^\ufeff", "").alias("header"))
+    heads = sorted(r["header"] for r in first.select("header").distinct().collect())
+    split = [next(csv.reader([h]), []) for h in heads]
+    if len(heads) <= 1:
+        return [(h, None) for h in split]
+    files = {h: [r["file"] for r in first.filter(F.col("header") == h).select("file").collect()] for h in heads}
+    return [(s, files[h]) for h, s in zip(heads, split)]
 
 
 def read_csv(
@@ -120,42 +114,46 @@ def read_csv(
     keep_corrupt: bool = False,
     infer_schema: bool = False,
     by_name: bool = True,
+    multi_line: bool = False,
+    glob: str | None = None,
 ) -> DataFrame:
     """IO-3: CSV with an explicit schema (inference only on request).
 
-    ``by_name`` (with a header): columns are matched to the schema by header name and
-    cast with ``try_cast`` (a bad value becomes NULL, which the quality rules then see);
-    schema columns absent from the file are NULL.  Without ``by_name`` columns are taken
-    by position; ``keep_corrupt`` then adds ``_corrupt_record`` holding malformed lines,
-    otherwise malformed lines are dropped.
+    ``by_name`` (with a header): columns are matched to the schema by header name, in any
+    letter case, and cast with ``try_cast`` (a bad value becomes NULL, which the quality
+    rules then see); a schema column that a header lacks raises.  Without ``by_name``
+    columns are taken by position.  ``keep_corrupt`` adds ``_corrupt_record``, which holds
+    the lines that have too few or too many fields; without it reading such a line fails.
+    ``multi_line`` allows line breaks in quoted fields (files are then not split).
     """
     paths = paths if isinstance(paths, list) else [paths]
-    reader = spark.read.option("header", str(header).lower())
+    reader = spark.read.option("header", str(header).lower()).option("multiLine", str(multi_line).lower())
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     if schema is None:
         if not infer_schema:
             raise ValueError("pass a schema, or infer_schema=True")
         return reader.option("inferSchema", "true").csv(paths)
-    if header and by_name:
-        # Spark takes the header of the first file for all files; files whose headers
-        # differ (another column order) are therefore read in one group per header.
-        groups: dict[str, list[str]] = {}
-        for path, line in _first_lines(spark, paths).items():
-            groups.setdefault(line, []).append(path)
-        parts = []
-        for group in (groups.values() if len(groups) > 1 else [paths]):
-            raw = reader.option("mode", "PERMISSIVE").csv(group)  # every column as text
-            present = set(raw.columns)
-            parts.append(raw.select(*[
-                (F.col(f.name).try_cast(f.dataType) if f.name in present
-                 else F.lit(None).cast(f.dataType)).alias(f.name)
-                for f in schema.fields]))
-        return reduce(lambda a, b: a.unionByName(b), parts)
+    reader = reader.option("mode", "PERMISSIVE" if keep_corrupt else "FAILFAST")
+    extra = []
     if keep_corrupt:
-        schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType(), True)])
-        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL)
-    else:
-        reader = reader.option("mode", "DROPMALFORMED")
-    return reader.schema(schema).csv(paths)
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
+        extra = [T.StructField(CORRUPT_COL, T.StringType(), True)]
+    if not (header and by_name):
+        return reader.schema(T.StructType([*schema.fields, *extra])).csv(paths)
+    parts = []
+    # Spark takes one schema for all files; files whose headers differ (another column
+    # order) are read in one group per distinct header.
+    for names, files in _headers(spark, paths, glob):
+        places = header_positions(names, schema.names)
+        text = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))] + extra)
+        raw = reader.schema(text).csv(files or paths)
+        parts.append(raw.select(
+            *[F.col(f"_c{p}").try_cast(f.dataType).alias(f.name) for p, f in zip(places, schema.fields)],
+            *[f.name for f in extra]))
+    if not parts:  # no file, or only empty ones
+        return empty_frame(spark, T.StructType([*schema.fields, *extra]))
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
@@ -175,19 +173,31 @@ def with_provenance(df: DataFrame, cycle_date: str, file_type: str | Column,
     })
 
 
-def stage_parquet(df: DataFrame, staged_root: str, file_type: str) -> str:
-    """IO-5: replace exactly this cycle's partition of ``{staged_root}/{file_type}``.
+def stage_parquet(df: DataFrame, staged_root: str, file_type: str, cycle_date: str | None = None) -> str:
+    """IO-5: replace staged partitions of ``{staged_root}/{file_type}``; others stay.
 
-    Dynamic partition overwrite leaves other cycles untouched; no ``coalesce(1)``.
+    With ``cycle_date`` the rows are that cycle's, and its partition is replaced even when
+    there are none.  Without it the rows name their cycles, and those are replaced.  Rows
+    are rebalanced by cycle first: a few files for each, large cycles split.
     """
     path = f"{staged_root.rstrip('/')}/{file_type}"
-    (df.write.mode("overwrite")
+    if cycle_date is not None:
+        rows = df.drop("cycle_date").hint("rebalance")
+        rows.write.mode("overwrite").parquet(f"{path}/cycle_date={cycle_date}")
+        return path
+    (df.hint("rebalance", "cycle_date").write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy("cycle_date")
        .parquet(path))
     return path
 
 
+def remove_staged(spark: SparkSession, staged_root: str, file_type: str, cycle_date: str) -> None:
+    """Remove one cycle of a staged table."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{staged_root.rstrip('/')}/{file_type}/cycle_date={cycle_date}")  # noqa: SLF001
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)  # noqa: SLF001
+
+
 def staged_schema(file_type: str) -> T.StructType:
     base = ENTITY_SCHEMAS[file_type]
     fields = [f for f in base.fields if f.name != "cycle_date"]

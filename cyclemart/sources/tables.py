@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import threading
-
 from pyspark.sql import DataFrame, SparkSession
 
 DRIVER_TABLES = [
@@ -11,27 +9,10 @@ DRIVER_TABLES = [
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
-_lock = threading.Lock()
-_resolved: dict[tuple[str, int, str], DataFrame] = {}
-
-
-def read_table(spark: SparkSession, root: str, name: str, reuse: bool = True) -> DataFrame:
-    """``{root}/{name}.parquet`` (a file or a folder of part files).
 
-    Source tables are immutable inputs, so the resolved relation (file listing and
-    footer schema, both driver-side work) is kept per session and path, the way a
-    catalog table's file listing is cached.  Every action still scans the files.
-    """
-    path = f"{root.rstrip('/')}/{name}.parquet"
-    if not reuse:
-        return spark.read.parquet(path)
-    key = (spark.sparkContext.applicationId, id(spark), path)
-    with _lock:
-        df = _resolved.get(key)
-        if df is None:
-            df = spark.read.parquet(path)
-            _resolved[key] = df
-    return df
+def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """``{root}/{name}.parquet`` (a file or a folder of part files), listed anew each time."""
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
 def register_views(spark: SparkSession, root: str, names: list[str] | None = None) -> None:

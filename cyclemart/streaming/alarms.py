@@ -69,7 +69,9 @@ def default_alarms(metrics: DataFrame, ts_col: str = "ts", name_col: str = "metr
     One pass: the metric table is aggregated once per (window, metric) with every
     aggregate the rules need; each rule then tests its own column.
     """
-    data = as_event_time(metrics, ts_col, watermark)
+    # other metrics are left out before the windows are formed; the filter reaches the scan
+    wanted = metrics.filter(F.col(name_col).isin(*DEFAULT_ALARMS))
+    data = as_event_time(wanted, ts_col, watermark)
     agg = data.groupBy(F.window(F.col(ts_col), window).alias("__w"), F.col(name_col)).agg(
         F.sum(value_col).alias("__sum"), F.avg(value_col).alias("__avg"))
     tests = None

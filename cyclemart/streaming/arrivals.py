@@ -4,28 +4,27 @@
   ``content`` column, so only metadata is read).  A restart on the same checkpoint sees
   only new files.  A file rewritten at a path already seen is *not* re-listed by the file
   source; :func:`reconcile_arrivals` covers that in batch.
-* ``completed_cycles`` keeps, per cycle, the set of expected types seen so far (bounded by
-  the number of expected types) and emits the cycle exactly once, on the
-  incomplete -> complete transition.  Later files of a finished cycle emit nothing.
+* ``completed_cycles`` keeps, per cycle, a bit for each expected type seen so far, and
+  ``emit_once`` passes each complete cycle on once.  Later files of a finished cycle emit
+  nothing.
 * ``dedupe_within_watermark`` drops repeated records of a record stream.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from cyclemart.functions.paths import parse_object_key
 from cyclemart.operators.audit import audit_entries
-from cyclemart.operators.merge import VersionedTable, merge_or_init
+from cyclemart.operators.merge import PartitionedTable
 from cyclemart.schemas import AUDIT_KEYS, EXPECTED_FILE_TYPES
-from cyclemart.sources.files import relative_key
+from cyclemart.session import empty_frame, materialize
+from cyclemart.sources.files import _hadoop_path_exists, relative_key
 
 BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType(), False),
@@ -39,12 +38,6 @@ COMPLETED_SCHEMA = T.StructType([
     T.StructField("received_types", T.StringType(), True),
     T.StructField("completed_at", T.TimestampType(), True),
 ])
-_STATE_SCHEMA = T.StructType([
-    T.StructField("seen", T.StringType(), True),
-    T.StructField("emitted", T.BooleanType(), True),
-    T.StructField("last_arrival", T.TimestampType(), True),
-])
-
 
 def arrival_stream(spark: SparkSession, landing_root: str, glob: str | None = "*.pgp",
                    max_files_per_trigger: int | None = None) -> DataFrame:
@@ -60,21 +53,26 @@ def arrival_stream(spark: SparkSession, landing_root: str, glob: str | None = "*
                         "length", "modificationTime")
 
 
-def audit_sink(table: VersionedTable, bucket: str,
-               now: Callable[[], dt.datetime] = dt.datetime.utcnow,
+def utc_now() -> dt.datetime:
+    """The clock of jobs that are not given one: an aware instant, in any session zone."""
+    return dt.datetime.now(dt.timezone.utc)
+
+
+def audit_sink(table: PartitionedTable, bucket: str, now: Callable[[], dt.datetime] = utc_now,
                tie_breakers: list[str] | None = None):
     """``foreachBatch`` handler: upsert the batch's audit entries into ``table``.
 
-    Each batch is published as one new table version tagged with its batch id; a replayed
-    batch (at-least-once delivery after a failure) finds its tag and is skipped.
+    The table is partitioned by the cycle, which is part of the audit key, so a batch reads
+    and writes only the cycles it names.  The upsert is by key: a batch that is delivered
+    again after a failure writes the same entries again, and a stream that is started with
+    a new checkpoint loses nothing.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        tag = f"batch-{batch_id}"
-        if table.has_tag(tag):
-            return
         entries = audit_entries(batch, now=now(), bucket=bucket, tie_breakers=tie_breakers)
-        merge_or_init(table, entries, AUDIT_KEYS, on_duplicate="trust", tag=tag,
-                      audit_columns=False)
+        entries = materialize(entries)
+        if entries.isEmpty():
+            return
+        table.merge_or_init(entries, AUDIT_KEYS, audit_columns=False, materialize_source=False)
     return handle
 
 
@@ -92,44 +90,46 @@ def reconcile_arrivals(spark: SparkSession, listing: DataFrame, audit: DataFrame
                  .drop("__audited", "file_key"))
 
 
-def _emit_once(expected: list[str]):
-    need = set(expected)
-
-    def fn(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            seen_text, emitted, last = state.get
-            seen = set(filter(None, (seen_text or "").split(",")))
-        else:
-            seen, emitted, last = set(), False, None
-        for chunk in chunks:  # Arrow batches: memory stays bounded by the type set
-            seen.update(t for t in chunk["file_type"].dropna().unique() if t in need)
-            latest = chunk["modificationTime"].max()
-            if latest is not None and not pd.isna(latest):
-                last = latest if last is None or latest > last else last
-        fire = (not emitted) and need <= seen
-        state.update((",".join(sorted(seen)), emitted or fire, last))
-        if fire:
-            yield pd.DataFrame({"cycle_date": [key[0]], "received_types": [",".join(sorted(seen))],
-                                "completed_at": [last]})
-    return fn
-
-
 def completed_cycles(arrivals: DataFrame, expected: list[str] | None = None,
                      key_col: str = "object_key") -> DataFrame:
-    """ST-2: one row per cycle, emitted when its last expected type arrives."""
+    """ST-2: the cycles whose expected types have all arrived (``update`` output mode).
+
+    A streaming aggregation: each task folds its arrivals into one row per cycle, a bit for
+    every type, before the shuffle, so a cycle with very many files moves as one row per
+    task; the state is one small row per cycle.  A cycle is given again when one more of
+    its files arrives; :func:`emit_once` passes on each cycle only once.
+    """
     expected = expected or EXPECTED_FILE_TYPES
     parsed = (arrivals.withColumn("__p", parse_object_key(key_col))
                       .filter(F.col("__p.valid") & F.col("__p.file_type").isin(*expected))
                       .select(F.col("__p.cycle_date").alias("cycle_date"),
                               F.col("__p.file_type").alias("file_type"),
                               F.col("modificationTime").cast("timestamp").alias("modificationTime")))
-    # JVM-side de-duplication first: the Python state function then sees each
-    # (cycle, type) pair once, however many records a hot cycle brings in a batch.
-    # Its state holds at most cycles x expected types small rows.
-    pairs = parsed.dropDuplicates(["cycle_date", "file_type"])
-    return pairs.groupBy("cycle_date").applyInPandasWithState(
-        _emit_once(expected), COMPLETED_SCHEMA, _STATE_SCHEMA, "append",
-        GroupStateTimeout.NoTimeout)
+    bit = F.coalesce(*[F.when(F.col("file_type") == t, F.lit(1 << i)) for i, t in enumerate(expected)])
+    seen = parsed.groupBy("cycle_date").agg(
+        F.bit_or(bit).alias("mask"), F.max("modificationTime").alias("completed_at"))
+    return seen.filter(F.col("mask") == (1 << len(expected)) - 1).select(
+        "cycle_date", F.lit(",".join(sorted(expected))).alias("received_types"), "completed_at")
+
+
+def emit_once(emitted: str, handler: Callable[[DataFrame, int], None] | None = None):
+    """``foreachBatch`` handler for :func:`completed_cycles`: each cycle once, ever.
+
+    Cycles that the Parquet folder ``emitted`` has are left out; the others go to
+    ``handler`` (if any) and are then added to the folder.  A failure in between passes a
+    cycle on again, so the handler must bear a repeated cycle.
+    """
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        known = spark.read.schema(COMPLETED_SCHEMA).parquet(emitted) if _hadoop_path_exists(spark, emitted) \
+            else empty_frame(spark, COMPLETED_SCHEMA)
+        new = materialize(batch.dropDuplicates(["cycle_date"]).join(known.select("cycle_date"), "cycle_date", "left_anti"))
+        if new.isEmpty():
+            return
+        if handler is not None:
+            handler(new, batch_id)
+        new.select(*COMPLETED_SCHEMA.names).write.mode("append").parquet(emitted)
+    return handle
 
 
 def dedupe_within_watermark(df: DataFrame, keys: list[str], ts_col: str,
@@ -153,6 +153,7 @@ def run_available(df: DataFrame, sink_path: str, checkpoint: str, output_mode: s
 
 def run_available_foreach(df: DataFrame, handler, checkpoint: str,
                           output_mode: str = "append") -> None:
+    """Run a ``foreachBatch`` query over everything available now, then stop."""
     q = (df.writeStream.outputMode(output_mode).foreachBatch(handler)
            .option("checkpointLocation", checkpoint)
            .trigger(availableNow=True).start())

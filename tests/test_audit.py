@@ -67,3 +67,28 @@ def test_batch_summary_and_expiry(spark):
     audit = audit_entries(df, now=F.col("modificationTime"), bucket="b")
     assert expire(audit, dt.datetime(2024, 3, 1)).count() == 1
     assert expire(audit, dt.datetime(2024, 6, 1)).count() == 0
+
+
+def test_repeated_updates_and_wrong_statuses(spark):
+    import pytest
+    from cyclemart.operators.merge import MergeError
+
+    audit = audit_entries(arrivals(spark, [("raw/policy/cycle_20240101/p.csv", 1, T1)]), now=T1, bucket="b")
+    key = "b#raw/policy/cycle_20240101/p.csv"
+    updates = spark.createDataFrame([(key, "20240101", "SUCCESS", 2), (key, "20240101", "PROCESSING", 1)],
+                                    "file_key string, cycle_date string, status string, n int")
+    rows = update_status(audit, updates, now=NOW, order_by="n").collect()
+    assert [(r.file_key, r.status) for r in rows] == [(key, "SUCCESS")]
+    with pytest.raises(MergeError):
+        update_status(audit, updates, now=NOW)  # they disagree and have no order
+    assert update_status(audit, updates.filter("n = 1").union(updates.filter("n = 1")), now=NOW).count() == 1
+    for wrong in ("NOPE", None):
+        bad = spark.createDataFrame([(key, "20240101", wrong)], "file_key string, cycle_date string, status string")
+        with pytest.raises(Exception, match="status is not one of"):
+            update_status(audit, bad, now=NOW).collect()
+
+
+def test_entries_of_one_key_without_an_order(spark):
+    df = spark.createDataFrame([("raw/policy/cycle_1/p", 5), ("raw/policy/cycle_1/p", 9)], "object_key string, length long")
+    rows = audit_entries(df, now=NOW, bucket="b").collect()
+    assert [r.file_size for r in rows] == [9]

@@ -5,7 +5,7 @@ import pytest
 
 from cyclemart.operators.merge import VersionedTable
 from cyclemart.operators.quality import QualityError
-from cyclemart.plans.jobs import FACT_KEYS, run_cycle
+from cyclemart.plans.jobs import FACT_KEYS, RejectedRows, cycle_trigger, ingest_cycle, run_cycle
 from cyclemart.session import local_path
 from cyclemart.sources.encrypted import encrypt_text
 
@@ -92,9 +92,8 @@ def test_partition_layout_rewrites_only_the_cycle(spark, scratch):
 
 def test_stream_triggers_cycle_job_once_complete(spark, scratch):
     from cyclemart.operators.merge import PartitionedTable
-    from cyclemart.plans.jobs import cycle_trigger
     from cyclemart.schemas import EXPECTED_FILE_TYPES
-    from cyclemart.streaming.arrivals import arrival_stream, completed_cycles, run_available_foreach
+    from cyclemart.streaming.arrivals import arrival_stream, completed_cycles, emit_once, run_available_foreach
 
     landing, staged, reports, fact, ckpt = (scratch(n) for n in ("landing", "staged", "reports", "fact", "ckpt"))
     handler = cycle_trigger(landing, staged, reports, fact, now=lambda: dt.datetime(2024, 1, 5),
@@ -102,7 +101,7 @@ def test_stream_triggers_cycle_job_once_complete(spark, scratch):
 
     def run():
         done = completed_cycles(arrival_stream(spark, landing), EXPECTED_FILE_TYPES)
-        run_available_foreach(done, handler, ckpt)
+        run_available_foreach(done, emit_once(f"{ckpt}/emitted", handler), f"{ckpt}/stream", "update")
         table = PartitionedTable(spark, fact, "dw_cycle_date")
         if not table.exists():
             return {}
@@ -120,3 +119,49 @@ def test_stream_triggers_cycle_job_once_complete(spark, scratch):
     land_cycle(landing, "20240102", {}, encrypted=True, spark=spark)  # rider arrives (others rewritten)
     assert run() == {"20240101": 3, "20240102": 3}
     assert run() == {"20240101": 3, "20240102": 3}  # nothing new: no second run
+
+
+def test_one_bad_cycle_does_not_stop_the_others(spark, scratch):
+    from cyclemart.operators.merge import PartitionedTable
+
+    landing, staged, reports, fact = (scratch(n) for n in ("landing", "staged", "reports", "fact"))
+    land_cycle(landing, "20240101", {"transactions": FILES["transactions"] + "T1,{c},P1,-5.0,SUCCESS,1,A1,0.1,USD,F1\n"})
+    land_cycle(landing, "20240102")
+    batch = spark.createDataFrame([("20240101",), ("20240102",)], "cycle_date string").coalesce(1)
+    cycle_trigger(landing, staged, reports, fact, now=lambda: dt.datetime(2024, 1, 5))(batch, 0)
+    assert [r.dw_cycle_date for r in PartitionedTable(spark, fact, "dw_cycle_date").read().select("dw_cycle_date").distinct().collect()] == ["20240102"]
+    failed = spark.read.json(f"{reports}/failed/20240101").first()
+    assert failed.cycle_date == 20240101 or failed.cycle_date == "20240101"
+    assert failed.error == "QualityError" and "no_duplicates" in failed.message
+
+
+def test_a_wrong_key_raises_and_leaves_nothing_staged(spark, scratch):
+    landing, staged = scratch("landing"), scratch("staged")
+    land_cycle(landing, "20240101", encrypted=True, spark=spark)
+    good = ingest_cycle(spark, landing, staged, "20240101", dt.datetime(2024, 1, 2), KEY, "files")
+    assert good.files == {t: 1 for t in FILES} and not good.rejected
+    with pytest.raises(RejectedRows):
+        ingest_cycle(spark, landing, staged, "20240101", dt.datetime(2024, 1, 2), "another-key-1234", "files")
+    assert not os.path.exists(os.path.join(local_path(staged), "policy", "cycle_date=20240101"))
+
+
+def test_the_clock_of_the_jobs_is_the_same_in_any_zone(spark):
+    from cyclemart.functions.timeutil import instant
+    from cyclemart.streaming.arrivals import utc_now
+
+    now = utc_now()
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        seconds = spark.range(1).select(instant(now).cast("double")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert abs(seconds - now.timestamp()) < 0.001
+
+
+def test_a_second_run_of_a_cycle_only_updates(spark, scratch):
+    landing, staged, reports, fact = (scratch(n) for n in ("landing", "staged", "reports", "fact"))
+    land_cycle(landing, "20240101")
+    for day in (2, 3):
+        run = run_cycle(spark, landing, staged, reports, fact, "20240101", dt.datetime(2024, 1, day))
+    assert run.merge.counts == {"inserted": 0, "updated": 3, "kept": 0} and run.merge.integrity_ok

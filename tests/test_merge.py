@@ -89,8 +89,8 @@ def test_versioned_merge_or_init(spark, scratch):
 def test_versioned_merge_integrity_without_null_keys(spark, scratch):
     table = VersionedTable(spark, scratch("fact"))
     merge_or_init(table, target(spark).drop("extra").filter("id IS NOT NULL"), ["id"], now=T0)
-    out = merge_or_init(table, source(spark).filter("id IS NOT NULL"), ["id"], now=NOW, tag="batch-7")
-    assert out.integrity_ok is True and table.has_tag("batch-7") and not table.has_tag("batch-8")
+    out = merge_or_init(table, source(spark).filter("id IS NOT NULL"), ["id"], now=NOW, tag="load-7")
+    assert out.integrity_ok is True and table.has_tag("load-7") and not table.has_tag("load-8")
 
 
 def test_integrity(spark):
@@ -107,14 +107,15 @@ def test_partitioned_table_merges_only_touched_partitions(spark, scratch):
     base = sized(spark, [("1", "A", 1.0), ("2", "A", 2.0), ("3", "B", 3.0)], "id string, cycle string, amount double")
     first = table.merge_or_init(base, ["id", "cycle"], now=T0)
     assert first.initialised
-    b_files = sorted(os.listdir(os.path.join(local_path(table.root), "cycle=B")))
+    b_path = os.path.join(local_path(table.root), "published_rev=00000001", "cycle=B")
+    b_files = sorted(os.listdir(b_path))
     delta = sized(spark, [("2", "A", 20.0), ("4", "A", 4.0)], "id string, cycle string, amount double")
     out = table.merge_or_init(delta, ["id", "cycle"], now=NOW)
     assert out.counts == {"inserted": 1, "updated": 1, "kept": 1} and out.integrity_ok
     rows = {r.id: r for r in table.read().collect()}
     assert len(rows) == 4 and rows["2"].amount == 20.0 and rows["2"].dw_updated_by == "glue_job"
     assert rows["3"].dw_updated_by == "initial_load" and rows["2"].dw_inserted_date == T0
-    assert sorted(os.listdir(os.path.join(local_path(table.root), "cycle=B"))) == b_files  # untouched
+    assert sorted(os.listdir(b_path)) == b_files  # untouched
     assert dict(table.read().dtypes)["cycle"] == "string"
 
 
@@ -140,3 +141,76 @@ def test_partitioned_table_null_partition(spark, scratch):
     assert out.counts == {"inserted": 0, "updated": 1, "kept": 0}
     rows = {r.id: r.amount for r in table.read().collect()}
     assert rows == {"1": 5.0, "2": 2.0}
+
+
+def test_a_write_that_died_is_never_seen_and_blocks_nothing(spark, scratch):
+    import os
+    from cyclemart.operators.merge import PartitionedTable
+    from cyclemart.session import local_path
+
+    table = VersionedTable(spark, scratch("crash"))
+    merge_or_init(table, target(spark), ["id"], now=T0)
+    os.makedirs(os.path.join(local_path(table.root), "version=00000002"))  # no marker
+    assert table.versions() == [1]
+    merge_or_init(table, source(spark), ["id"], now=NOW)
+    assert table.versions() == [1, 3] and table.read().count() == 6
+    assert table.retire(keep=1) == [1] and table.versions() == [3]
+
+    parts = PartitionedTable(spark, scratch("crash-parts"), "cycle")
+    rows = sized(spark, [("1", "A", 1.0)], "id string, cycle string, amount double")
+    parts.merge_or_init(rows, ["id", "cycle"], now=T0)
+    os.makedirs(os.path.join(local_path(parts.root), "published_rev=00000002", "cycle=A"))
+    assert parts.read().count() == 1
+    parts.merge_or_init(rows, ["id", "cycle"], now=NOW)
+    assert parts.read().count() == 1 and parts.read().first().dw_updated_date == NOW
+
+
+def test_first_publication_refuses_repeated_keys(spark, scratch):
+    from cyclemart.operators.merge import PartitionedTable
+
+    twice = sized(spark, [("1", "A", 1.0), ("1", "A", 2.0)], "id string, cycle string, amount double")
+    table = VersionedTable(spark, scratch("dup-first"))
+    with pytest.raises(MergeError):
+        merge_or_init(table, twice, ["id"], now=T0)
+    assert not table.exists()
+    assert merge_or_init(table, twice, ["id"], now=T0, on_duplicate="latest", order_by="amount").source_rows == 1
+    parts = PartitionedTable(spark, scratch("dup-first-parts"), "cycle")
+    with pytest.raises(MergeError):
+        parts.merge_or_init(twice, ["id", "cycle"], now=T0)
+    assert not parts.exists()
+
+
+def test_the_partition_column_must_be_a_key(spark, scratch):
+    from cyclemart.operators.merge import PartitionedTable
+
+    table = PartitionedTable(spark, scratch("moved"), "cycle")
+    rows = sized(spark, [("1", "a", 1.0)], "id string, cycle string, amount double")
+    with pytest.raises(MergeError, match="partition column"):
+        table.merge_or_init(rows, ["id"], now=T0)
+
+
+def test_superseded_partitions_are_removed(spark, scratch):
+    import os
+    from cyclemart.operators.merge import PartitionedTable
+    from cyclemart.session import local_path
+
+    table = PartitionedTable(spark, scratch("superseded"), "cycle")
+    schema = "id string, cycle string, amount double"
+    table.merge_or_init(sized(spark, [("1", "A", 0.0), ("2", "B", 0.0)], schema), ["id", "cycle"], now=T0)
+    for n in range(1, 5):
+        table.merge_or_init(sized(spark, [("1", "A", float(n))], schema), ["id", "cycle"], now=NOW)
+    assert {r.id: r.amount for r in table.read().collect()} == {"1": 4.0, "2": 0.0}
+    left = sorted(x for x in os.listdir(local_path(table.root)) if x.startswith("published_rev"))
+    assert len(left) <= 3  # B's publication, the one before the newest, the newest
+    assert table.delete_where(table.read()["id"] == "1") == 1 and table.read().count() == 1
+    assert table.delete_where(table.read()["id"] == "9") == 0
+
+
+def test_matched_keys_are_broadcast_once(spark):
+    """A target that repeats one key very often does not grow what the small-delta plan broadcasts."""
+    hot = spark.range(100_000).selectExpr("'2' AS id", "'x' AS name", "1.0D AS amount", "'e' AS extra")
+    delta = source(spark).filter("id = '2'")
+    plan = scd1_merge(hot, delta, ["id"], strategy="broadcast_source")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan
+    out = scd1_merge(hot, delta, ["id"], strategy="broadcast_source", with_action=True)
+    assert {r[ACTION_COL]: r.rows for r in merge_counts(out).collect()} == {"updated": 100_000}

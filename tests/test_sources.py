@@ -30,29 +30,64 @@ def land(root, rel, text):
 
 def test_csv_explicit_schema_and_corrupt_lines(spark, scratch):
     root = scratch("csv")
-    land(root, "p.csv", "policy_id,policy_status\nP001,ACTIVE\nP002,RENEWAL,extra\n")
+    land(root, "p.csv", "policy_id,policy_status\nP001,ACTIVE\nP002,RENEWAL,extra\nP003\n")
     schema = ENTITY_SCHEMAS["policy"]
-    assert len(read_csv(spark, root, schema, by_name=False).collect()) == 1
-    rows = read_csv(spark, root, schema, keep_corrupt=True, by_name=False).collect()
-    assert sum(r._corrupt_record is not None for r in rows) == 1
+    for by_name in (True, False):
+        with pytest.raises(Exception):  # never dropped silently
+            read_csv(spark, root, schema, by_name=by_name).collect()
+        rows = read_csv(spark, root, schema, keep_corrupt=True, by_name=by_name).collect()
+        assert sorted(r._corrupt_record for r in rows if r._corrupt_record) == ["P002,RENEWAL,extra", "P003"]
 
 
-def test_csv_by_header_name(spark, scratch):
+def test_csv_by_header_name_in_any_case(spark, scratch):
     root = scratch("byname")
-    land(root, "p.csv", "policy_status,extra,policy_id\nACTIVE,1,P001\n")
+    land(root, "p.csv", "Policy_Status,extra,POLICY_ID\nACTIVE,1,P001\n")
     r = read_csv(spark, root, ENTITY_SCHEMAS["policy"]).first()
     assert (r.policy_id, r.policy_status) == ("P001", "ACTIVE")
+    missing = scratch("missing")
+    land(missing, "p.csv", "policy_id\nP1\n")
+    with pytest.raises(ValueError, match="policy_status"):
+        read_csv(spark, missing, ENTITY_SCHEMAS["policy"])
 
 
 def test_cycle_date_stays_string(spark, scratch):
     root = scratch("tx")
-    land(root, "t.csv", "transaction_id,cycle_date,transaction_amount\nT1,20240101,abc\n")
+    names = ENTITY_SCHEMAS["transactions"].names
+    values = {"transaction_id": "T1", "cycle_date": "20240101", "transaction_amount": "abc"}
+    land(root, "t.csv", ",".join(names) + "\n" + ",".join(values.get(n, "") for n in names) + "\n")
     df = read_csv(spark, root, ENTITY_SCHEMAS["transactions"])
     r = df.first()
     assert dict(df.dtypes)["cycle_date"] == "string" and r.cycle_date == "20240101"
     assert r.transaction_amount is None and r.policy_id is None
 
 
+def test_quoted_line_breaks(spark, scratch):
+    root = scratch("multi")
+    land(root, "p.csv", 'policy_id,policy_status\nP1,"two\nlines"\n')
+    assert read_csv(spark, root, ENTITY_SCHEMAS["policy"], multi_line=True).first().policy_status == "two\nlines"
+
+
+def test_an_empty_cycle_replaces_what_was_staged(spark, scratch):
+    staged = scratch("restaged")
+    pol = with_provenance(spark.createDataFrame([("P1", "ACTIVE")], "policy_id string, policy_status string"),
+                          "20240101", "policy", NOW)
+    stage_parquet(pol, staged, "policy", "20240101")
+    stage_parquet(with_provenance(pol, "20240102", "policy", NOW), staged, "policy", "20240102")
+    stage_parquet(pol.limit(0), staged, "policy", "20240101")
+    assert read_staged(spark, staged, "policy", "20240101").count() == 0
+    assert read_staged(spark, staged, "policy", "20240102").count() == 1
+    assert set(load_cycle(spark, staged, "20240101", ["policy"], missing="error")) == {"policy"}  # the gate sees it, empty
+
+
+def test_staging_writes_few_files(spark, scratch):
+    staged = scratch("few")
+    rows = spark.range(0, 4000, 1, 16).selectExpr("cast(id as string) AS policy_id", "'A' AS policy_status",
+                                                  "cast(id % 20 as string) AS cycle_date")
+    stage_parquet(rows, staged, "policy")
+    files = [f for _, _, names in os.walk(local_path(staged)) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 40
+
+
 def test_stage_and_partition_pruned_load(spark, scratch):
     staged = scratch("staged")
     pol = spark.createDataFrame([("P1", "ACTIVE")], "policy_id string, policy_status string")
@@ -99,7 +134,8 @@ def test_line_encrypted_csv(spark, scratch):
     write_encrypted_lines(pol, path, KEY)
     back = read_encrypted_lines(spark, path, KEY, ENTITY_SCHEMAS["policy"])
     assert sorted(tuple(r) for r in back.collect()) == [("P1", "ACTIVE"), ("P2", 'a,b "quoted"')]
-    assert read_encrypted_lines(spark, path, "fedcba9876543210", ENTITY_SCHEMAS["policy"]).count() == 0
+    with pytest.raises(Exception, match="does not decrypt"):
+        read_encrypted_lines(spark, path, "fedcba9876543210", ENTITY_SCHEMAS["policy"]).count()
     bad = read_encrypted_lines(spark, path, "fedcba9876543210", ENTITY_SCHEMAS["policy"], keep_corrupt=True)
     assert bad.filter(F.col("_corrupt_record").isNotNull()).count() == 2
 
@@ -136,3 +172,22 @@ def test_csv_files_with_different_header_orders(spark, scratch):
     land(root, "b.csv", "policy_status,policy_id\nRENEWAL,P2\n")
     rows = sorted(tuple(r) for r in read_csv(spark, root, ENTITY_SCHEMAS["policy"]).collect())
     assert rows == [("P1", "ACTIVE"), ("P2", "RENEWAL")]
+
+
+def test_whole_file_by_header_with_line_breaks(spark, scratch):
+    root = scratch("whole")
+    land(root, "a.csv.pgp", encrypt_text(spark, 'Policy_Status,POLICY_ID\n"two\nlines",P1\nACTIVE,P2,extra\n,P3\n', KEY))
+    rows = read_encrypted_files(spark, root, KEY, ENTITY_SCHEMAS["policy"], keep_corrupt=True).collect()
+    good = sorted((r.policy_id, r.policy_status) for r in rows if r._corrupt_record is None)
+    assert good == [("P1", "two\nlines"), ("P3", None)]
+    assert [r._corrupt_record.split(": ")[1] for r in rows if r._corrupt_record] == ["ACTIVE,P2,extra"]
+    with pytest.raises(Exception, match="does not decrypt"):
+        read_encrypted_files(spark, root, KEY, ENTITY_SCHEMAS["policy"]).collect()
+
+
+def test_the_key_is_in_no_plan(spark):
+    df = spark.range(3).selectExpr("cast(id as string) AS v").select(encrypt_column("v", KEY).alias("e"))
+    back = df.select(decrypt_column("e", KEY).alias("d"))
+    assert sorted(r.d for r in back.collect()) == ["0", "1", "2"]
+    texts = back._jdf.queryExecution().toString()  # noqa: SLF001 - all four plans
+    assert KEY not in texts and KEY.encode().hex() not in texts.lower()

@@ -3,14 +3,16 @@ import os
 
 from pyspark.sql import functions as F
 
-from cyclemart.operators.merge import VersionedTable
+from cyclemart.operators.audit import expire_published
+from cyclemart.operators.merge import PartitionedTable
 from cyclemart.schemas import EXPECTED_FILE_TYPES
 from cyclemart.session import local_path
 from cyclemart.streaming.alarms import default_alarms, window_alarm
 from cyclemart.streaming.arrivals import (
-    arrival_stream, audit_sink, completed_cycles, dedupe_within_watermark, reconcile_arrivals,
-    run_available, run_available_foreach,
+    arrival_stream, audit_sink, completed_cycles, dedupe_within_watermark, emit_once,
+    reconcile_arrivals, run_available, run_available_foreach,
 )
+from tests.conftest import plan_text
 
 
 def land(root, rel, text="x"):
@@ -30,7 +32,7 @@ def test_cycle_emitted_exactly_once_across_restarts(spark, scratch):
 
     def run():
         done = completed_cycles(arrival_stream(spark, landing), EXPECTED_FILE_TYPES)
-        run_available(done, f"{work}/out", f"{work}/ckpt")
+        run_available_foreach(done, emit_once(f"{work}/out"), f"{work}/ckpt", "update")
         return sorted(r.cycle_date for r in spark.read.parquet(f"{work}/out").collect())
 
     assert run() == ["20240101"]
@@ -41,24 +43,69 @@ def test_cycle_emitted_exactly_once_across_restarts(spark, scratch):
     assert run() == ["20240101", "20240102"]  # extra file of a finished cycle
 
 
-def test_audit_stream_upserts_and_skips_replayed_batches(spark, scratch):
+def test_a_hot_cycle_is_folded_before_the_shuffle(spark):
+    rows = [(f"raw/policy/cycle_20240101/{i}.csv", dt.datetime(2024, 1, 1)) for i in range(50)]
+    arrivals = spark.createDataFrame(rows, "object_key string, modificationTime timestamp")
+    text = plan_text(completed_cycles(arrivals, EXPECTED_FILE_TYPES))
+    assert "partial_bit_or" in text and "Python" not in text and "Pandas" not in text
+
+
+def test_a_failed_handler_gets_its_cycles_again(spark, scratch):
+    landing, work = scratch("landing"), scratch("again")
+    for t in EXPECTED_FILE_TYPES:
+        land(landing, f"raw/{t}/cycle_20240101/{t}.csv.pgp")
+    done = completed_cycles(arrival_stream(spark, landing), EXPECTED_FILE_TYPES)
+    calls = []
+
+    def handler(batch, batch_id):
+        calls.append([r.cycle_date for r in batch.collect()])
+        if len(calls) == 1:
+            raise RuntimeError("down")
+
+    for _ in range(3):
+        try:
+            run_available_foreach(done, emit_once(f"{work}/out", handler), f"{work}/ckpt", "update")
+        except Exception:  # noqa: BLE001 - the stream fails as its handler does
+            pass
+    assert calls == [["20240101"], ["20240101"]]
+
+
+def test_audit_stream_upserts_and_restarts_on_a_new_checkpoint(spark, scratch):
     landing, work = scratch("landing"), scratch("audit")
     land(landing, "raw/policy/cycle_20240101/policy.csv.pgp", "abc")
     land(landing, "raw/bad.csv.pgp")
-    table = VersionedTable(spark, f"{work}/audit")
+    table = PartitionedTable(spark, f"{work}/audit", "cycle_date")
     sink = audit_sink(table, "landing", now=lambda: dt.datetime(2024, 1, 2))
     run_available_foreach(arrival_stream(spark, landing), sink, f"{work}/ckpt")
     rows = table.read().collect()
     assert len(rows) == 1 and rows[0].file_size == 3 and rows[0].file_type == "policy"
-    versions = table.versions()
-    sink(arrival_stream(spark, landing).sparkSession.range(0).select(
-        F.lit("x").alias("object_key")), 0)  # a replay of batch 0 is skipped
-    assert table.versions() == versions
+    again = spark.createDataFrame([("raw/policy/cycle_20240101/policy.csv.pgp", 3, dt.datetime(2024, 1, 1))],
+                                  "object_key string, length long, modificationTime timestamp")
+    sink(again, 0)  # the same batch delivered again writes the same entry
+    assert table.read().collect() == rows
+    # a stream with a new checkpoint begins with batch 0, too, and must not lose its arrivals
+    second = scratch("landing2")
+    land(second, "raw/rider/cycle_20240102/rider.csv.pgp", "x")
+    run_available_foreach(arrival_stream(spark, second), sink, f"{work}/ckpt2")
+    assert sorted(r.cycle_date for r in table.read().collect()) == ["20240101", "20240102"]
     listing = spark.createDataFrame([("raw/policy/cycle_20240101/policy.csv.pgp", dt.datetime(2030, 1, 1))],
                                     "object_key string, modificationTime timestamp")
     assert reconcile_arrivals(spark, listing, table.read(), "landing").count() == 1
 
 
+def test_a_batch_touches_only_its_cycles_and_expiry_rewrites_the_table(spark, scratch):
+    table = PartitionedTable(spark, scratch("audit-cycles"), "cycle_date")
+    for day in range(1, 6):
+        sink = audit_sink(table, "b", now=lambda d=day: dt.datetime(2024, 1, d))
+        sink(spark.createDataFrame([(f"raw/policy/cycle_2024010{day}/p.csv", 1, dt.datetime(2024, 1, day))],
+                                   "object_key string, length long, modificationTime timestamp"), 0)
+    newest = table._current()  # noqa: SLF001
+    assert sorted(newest.values()) == [1, 2, 3, 4, 5]  # one publication holds one cycle
+    assert expire_published(table, dt.datetime(2024, 4, 1, 12)) == 2  # 90 days before: 2 January, noon
+    assert sorted(r.cycle_date for r in table.read().collect()) == ["20240103", "20240104", "20240105"]
+    assert expire_published(table, dt.datetime(2024, 4, 1, 12)) == 0
+
+
 def test_dedupe_within_watermark(spark, scratch):
     work = scratch("dedup")
     rows = [(i % 200, dt.datetime(2024, 1, 1, 0, i % 50)) for i in range(400)]
@@ -80,3 +127,11 @@ def test_window_alarm_batch_and_default_rules(spark):
         "ts timestamp, metric_name string, value double")
     fired = {r.alarm: r.metric for r in default_alarms(metrics).collect()}
     assert fired == {"handler_errors": 5.0, "handler_duration_ms": 50000.0}
+
+
+def test_only_configured_metrics_are_read(spark, scratch):
+    path = scratch("metrics")
+    spark.createDataFrame([(dt.datetime(2024, 1, 1), "handler_errors", 9.0), (dt.datetime(2024, 1, 1), "other", 1.0)],
+                          "ts timestamp, metric_name string, value double").write.parquet(path)
+    text = plan_text(default_alarms(spark.read.parquet(path)))
+    assert "PushedFilters: [In(metric_name" in text
