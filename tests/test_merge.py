@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from cyclemart.operators.merge import (
     ACTION_COL, MergeError, VersionedTable, initial_load, integrity_ok, merge_counts,
@@ -202,8 +203,8 @@ def test_superseded_partitions_are_removed(spark, scratch):
     assert {r.id: r.amount for r in table.read().collect()} == {"1": 4.0, "2": 0.0}
     left = sorted(x for x in os.listdir(local_path(table.root)) if x.startswith("published_rev"))
     assert len(left) <= 3  # B's publication, the one before the newest, the newest
-    assert table.delete_where(table.read()["id"] == "1") == 1 and table.read().count() == 1
-    assert table.delete_where(table.read()["id"] == "9") == 0
+    assert table.delete_where(F.col("id") == "1") == 1 and table.read().count() == 1
+    assert table.delete_where(F.col("id") == "9") == 0
 
 
 def test_matched_keys_are_broadcast_once(spark):
