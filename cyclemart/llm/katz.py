@@ -57,7 +57,7 @@ from cyclemart.session import scratch_path
 CUTOFF = 5  # counts up to this are discounted
 CODED = 1 << 19  # words that are broadcast, at most
 BLOCK_TOKENS, BLOCK_ROWS = 1_200_000, 60_000
-BUCKET_TOKENS = 3_000_000
+BUCKET_TOKENS = 2_000_000
 MANY_DOCUMENTS = 256  # of a block: pairs that as many have are answered once
 END, BEGIN = np.uint64((1 << 64) - 59), np.uint64((1 << 64) - 95)  # no word's code
 PAIRS, DOCUMENTS, ANSWER, BIGRAM, STATISTIC = "pairs", "documents", "answer", "bigram", "statistic"
