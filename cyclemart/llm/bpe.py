@@ -208,17 +208,16 @@ class Vocabulary:
         return self.cache
 
     # -- texts -----------------------------------------------------------------------
-    def encode_all(self, texts: list[str]) -> Iterator[tuple[str, list[int]]]:
+    def encode_all(self, texts: list[str]) -> list[tuple[str, list[int]]]:
         """For each text all its ids, joined by commas and as a list."""
         pieces = [self.specials.split(t) if self.specials else [t] for t in texts]
-        cut = [[[p] if p in self.special else split_words(p) for p in row] for row in pieces]
-        table = self.learn({w for row in cut for words in row for w in words})
-        for row in cut:
-            got = [table[w] for words in row for w in words]
-            yield ",".join([g[0] for g in got]), list(itertools.chain.from_iterable([g[1] for g in got]))
+        cut = [[w for p in row for w in ([p] if p in self.special else split_words(p))] for row in pieces]
+        table = self.learn({w for words in cut for w in words})
+        found = [[table[w] for w in words] for words in cut]
+        return [(",".join([g[0] for g in got]), list(itertools.chain.from_iterable([g[1] for g in got]))) for got in found]
 
     def encode(self, text: str) -> list[int]:
-        return next(self.encode_all([text]))[1]
+        return self.encode_all([text])[0][1]
 
     def decode(self, ids) -> str:
         """The text of ``ids``; bytes that are not UTF-8 become replacement characters."""
