@@ -76,7 +76,7 @@ WITH RECURSIVE crc_table AS (
   SELECT doc_id, size, text_crc32, n, state, -1::BIGINT, 0::BIGINT
   FROM (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, text_crc32,
                CASE WHEN doc_id < 0 THEN doc_id::HUGEINT + 18446744073709551616 ELSE coalesce(doc_id, 0)::HUGEINT END AS state
-        FROM (SELECT doc_id, text, 0::BIGINT AS text_crc32 FROM documents)), (VALUES ({SHARDS}), ({SHARDS + 1})) t(n)
+        FROM crcs), (VALUES ({SHARDS}), ({SHARDS + 1})) t(n)
   UNION ALL
   SELECT doc_id, size, text_crc32, n, next_state, reach,
          floor((reach + 1) * (2147483648.0::DOUBLE / ((next_state // 8589934592) + 1)::DOUBLE))::BIGINT

@@ -78,7 +78,7 @@ def test_ties_copies_and_unusable_vectors(spark, monkeypatch):
     rng = np.random.default_rng(1)
     rows = [(i, rng.normal(size=6).tolist()) for i in range(120)]
     rows += [(i, [1.0] * 6) for i in range(120, 180)]  # a third are one vector
-    bad = [(900, None), (901, [0.0] * 6), (902, [1.0, None, 1, 1, 1, 1]), (903, [float("nan")] * 6), (904, [float("inf")] * 6), (905, []), (None, [1.0] * 6)]
+    bad = [(900, None), (901, [0.0] * 6), (902, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (903, [float("nan")] * 6), (904, [float("inf")] * 6), (905, []), (None, [1.0] * 6)]
     other = [(800, [1.0, 2.0]), (801, [1.0, 2.5])]
     frame = spark.createDataFrame(rows + bad + other, "vec_id long, embedding array<float>")
     out = srs.nearest(frame, frame.filter("vec_id IN (0, 130, 150, 800, 901, 903)"), k=10)
