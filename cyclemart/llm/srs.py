@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 DIRECTIONS = 8  # even, so that the chi-square distribution has a closed form
-CONFIDENCE = 0.97
+CONFIDENCE = 0.95
 LEAF = 48
 BLOCK_ROWS, BLOCK_QUERIES = 40_000, 20_000
 SEED = 20140901
@@ -53,72 +53,59 @@ def directions(dimensions: int) -> np.ndarray:
 
 
 class ProjectedTree:
-    """A kd-tree over projected points; leaves are ranges of one order of the points."""
+    """A kd-tree over projected points; its leaves are ranges of one order of the points."""
 
     def __init__(self, vectors: np.ndarray) -> None:
-        self.vectors = vectors
         self.axes = directions(vectors.shape[1])
-        self.points = vectors @ self.axes
+        points = vectors @ self.axes
         self.order = np.arange(len(vectors))
-        self.nodes: list[tuple[np.ndarray, np.ndarray, int, int, int, int]] = []
-        self.root = self._build(0, len(vectors))
-        self.points, self.vectors = self.points[self.order], self.vectors[self.order]
-
-    def _build(self, begin: int, end: int) -> int:
-        """Split at the median of the widest axis until at most LEAF points are left."""
-        inside = self.points[self.order[begin:end]]
-        low, high = inside.min(axis=0), inside.max(axis=0)
-        left = right = -1
-        if end - begin > LEAF:
-            axis, half = int(np.argmax(high - low)), (end - begin) // 2
+        leaves: list[tuple[int, int]] = []
+        parts = [(0, len(vectors))]
+        while parts:  # split at the median of the widest axis until LEAF points are left
+            begin, end = parts.pop()
+            if end - begin <= LEAF:
+                leaves.append((begin, end))
+                continue
+            inside = points[self.order[begin:end]]
+            axis, half = int(np.argmax(np.ptp(inside, axis=0))), (end - begin) // 2
             self.order[begin:end] = self.order[begin:end][np.argpartition(inside[:, axis], half)]
-            left, right = self._build(begin, begin + half), self._build(begin + half, end)
-        self.nodes.append((low, high, begin, end, left, right))
-        return len(self.nodes) - 1
-
-    def _away(self, node: int, q: np.ndarray) -> float:
-        low, high = self.nodes[node][:2]
-        gap = np.maximum(np.maximum(low - q, q - high), 0)
-        return float(gap @ gap)
+            parts += [(begin, begin + half), (begin + half, end)]
+        self.begin, self.end = np.array(sorted(leaves)).T
+        self.points, self.vectors = points[self.order], vectors[self.order]
+        self.low = np.minimum.reduceat(self.points, self.begin)
+        self.high = np.maximum.reduceat(self.points, self.begin)
 
     def search(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(places in the original order, distances) of at least the k nearest found.
 
-        Leaves come in ascending order of their projected distance.  The points of the
-        leaves met so far that are nearer than the next leaf are verified together; then
-        the stopping test is applied at that projected radius.
+        Leaves come in ascending order of their projected distance, a few more at a time.
+        Their points that are nearer than the next leaf are verified, all points as near as
+        that being known by then; the stopping test is applied at that projected radius.
         """
         q = query @ self.axes
-        heap = [(self._away(self.root, q), self.root)]
+        gap = np.maximum(np.maximum(self.low - q, q - self.high), 0)
+        away = (gap * gap).sum(axis=1)
+        leaves = np.argsort(away, kind="stable")
         waiting_at, waiting = np.empty(0, np.int64), np.empty(0)
         at, distance = np.empty(0, np.int64), np.empty(0)
-        while heap or waiting_at.size:
-            radius = heap[0][0] if heap else np.inf
+        done, step = 0, 4
+        while done < len(leaves):
+            now = leaves[done:done + step]
+            done, step = done + step, min(2 * step, 64)
+            radius = away[leaves[done]] if done < len(leaves) else np.inf
+            new = np.concatenate([np.arange(self.begin[i], self.end[i]) for i in now])
+            gap = self.points[new] - q
+            waiting_at, waiting = np.append(waiting_at, new), np.append(waiting, (gap * gap).sum(axis=1))
             ready = waiting <= radius
-            if ready.any():
-                now = waiting_at[ready]
-                true = np.sqrt(((self.vectors[now] - query) ** 2).sum(axis=1))
-                at, distance = np.append(at, now), np.append(distance, true)
-                waiting_at, waiting = waiting_at[~ready], waiting[~ready]
-                if len(at) > 4 * k + 64:
-                    bound = np.partition(distance, k - 1)[k - 1]
-                    near = distance <= bound  # ties stay
-                    at, distance = at[near], distance[near]
-            if not heap:
+            found, waiting_at, waiting = waiting_at[ready], waiting_at[~ready], waiting[~ready]
+            true = self.vectors[found] - query
+            at, distance = np.append(at, found), np.append(distance, np.sqrt((true * true).sum(axis=1)))
+            if len(at) < k:
+                continue
+            kth = np.partition(distance, k - 1)[k - 1]
+            at, distance = at[distance <= kth], distance[distance <= kth]  # ties stay
+            if chi2_cdf(radius / kth ** 2 if kth else np.inf) >= CONFIDENCE:
                 break
-            if len(at) >= k:
-                kth = np.partition(distance, k - 1)[k - 1]
-                if kth < np.sqrt(radius) * 1e-9 or (kth and chi2_cdf(radius / kth ** 2) >= CONFIDENCE):
-                    break
-            _, node = heapq.heappop(heap)
-            _, _, begin, end, left, right = self.nodes[node]
-            if left >= 0:
-                heapq.heappush(heap, (self._away(left, q), left))
-                heapq.heappush(heap, (self._away(right, q), right))
-            else:
-                gap = self.points[begin:end] - q
-                waiting_at = np.append(waiting_at, np.arange(begin, end))
-                waiting = np.append(waiting, (gap * gap).sum(axis=1))
         return self.order[at], distance
 
 
