@@ -12,13 +12,16 @@ passed the largest register, which makes a signature cost about as much as its s
 1. Equal texts collapse to one (by digest); only different texts go on.
 2. Signatures are cut into ``BANDS`` bands of ``ROWS`` registers; texts that share a band
    meet in a bucket.
-3. Buckets of up to ``HUBS`` + 1 members are compared completely.  Larger ones compare
-   their members with up to ``HUBS`` of them, drawn anew for every bucket.
+3. Buckets of up to ``SMALL`` members are compared completely.  Larger ones compare their
+   members with up to ``HUBS`` of them, drawn anew for every bucket.
 4. Pairs whose signatures agree enough are verified by exact multiset overlap of the whole
    texts; verified links join texts into components.
-5. In larger buckets, members of different components are still compared, block by
-   block, by signature, and again verified: what the buckets hold is searched wholly, but
-   pairs that are connected already are never enumerated.
+5. Larger buckets whose members are still in several components compare them with the
+   ``HUBS`` members that have the most links so far, and verify again: in a group of copies
+   that is where the original shows.
+6. What members of different components are left in a bucket is compared block by block,
+   by signature and then by text, inside the task: only links that connect leave it.  So the
+   buckets are searched wholly, and the rows never grow with the square of a bucket.
 
 A link is a multiset Jaccard similarity of at least ``THRESHOLD``; a class is a connected
 component of links.  Its id is the smallest id in it.
@@ -41,15 +44,15 @@ from pyspark.sql import functions as F
 
 from cyclemart.llm import textarrays as ta
 from cyclemart.llm.common import broadcast_if_small, fresh, stored, text_key
-from cyclemart.llm.components import components
+from cyclemart.llm.components import components, joined_further
 
 WIDTH, THRESHOLD = 5, 0.8
 REGISTERS, BANDS, ROWS = 128, 25, 5
-HUBS = 4
+SMALL, HUBS = 5, 2
 #: Signatures of a pair at the threshold agree in 0.8 +- 0.035 of the registers.
 LIKELY = 0.68
 #: Members of a large bucket that are compared as one block.
-BLOCK = 512
+BLOCK = 256
 
 _STEP = np.uint64(0xD1B54A32D192ED03)  # odd: tells the points of a process apart
 _LOW48 = np.uint64((1 << 48) - 1)
@@ -158,17 +161,34 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _across(members: pd.DataFrame) -> pd.DataFrame:
-    """The likely pairs of different components among the one or two blocks of a group."""
+    """Links that connect different components among the one or two blocks of a group.
+
+    Members are compared by signature; likely pairs that nothing connects yet are verified
+    by their texts.  A pair that shares several bands is left to the bucket of the first.
+    """
     sig = np.frombuffer(b"".join(members["sig"]), np.uint16).reshape(-1, REGISTERS)
-    node = members["t"].to_numpy(object)
+    banded = sig[:, :BANDS * ROWS].reshape(-1, BANDS, ROWS)
+    here = int(np.argmax((banded == banded[0]).all(axis=(0, 2))))  # the band all members share
+    node, text = members["t"].to_numpy(object), members["text"].to_numpy(object)
     component = pd.factorize(members["component"])[0]
     low = np.flatnonzero(members["block"].to_numpy() == members["block_a"].to_numpy())
     high = np.flatnonzero(members["block"].to_numpy() == members["block_b"].to_numpy())
     found = []
     for i in low:
-        other = high[(component[high] != component[i])]
-        other = other[(sig[other] == sig[i]).mean(axis=1) >= LIKELY]
-        found += [(node[i], node[j]) if node[i] < node[j] else (node[j], node[i]) for j in other]
+        other = high[component[high] != component[i]]
+        alike = (sig[other] == sig[i]).mean(axis=1)
+        other = other[np.argsort(-alike, kind="stable")][:int((alike >= LIKELY).sum())]
+        other = other[np.argmax((banded[other] == banded[i]).all(axis=2), axis=1) == here] if other.size else other
+        for first in range(0, len(other), 16):  # the most alike first
+            some = other[first:first + 16]
+            some = some[component[some] != component[i]]
+            if not some.size:
+                continue
+            similar = multiset_jaccard(pa.array([text[i]] * len(some)), pa.array(list(text[some]))) >= THRESHOLD
+            for j in some[similar]:
+                if component[j] != component[i]:
+                    found.append((min(node[i], node[j]), max(node[i], node[j])))
+                    component[component == component[j]] = component[i]
     return pd.DataFrame(found, columns=["a", "b"])
 
 
@@ -185,68 +205,72 @@ def _ordered(a: str, b: str):
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
 
-def near_duplicate_links(signed: DataFrame, rows: DataFrame) -> DataFrame:
-    """(a, b, similarity) between digests of different texts; see the module's steps 2 to 5.
-
-    The links are those found in the buckets less those that connect what others connect
-    already.  ``signed`` is (k, t, words, sig), ``rows`` (k, t, text).
-    """
+def linked_texts(signed: DataFrame, rows: DataFrame) -> DataFrame:
+    """(node, component) of the digests of texts that are linked to others; the module's
+    steps 2 to 6.  ``signed`` is (k, t, words, sig), ``rows`` (k, t, text)."""
     different = stored(
         signed.filter(F.col("sig").isNotNull()).groupBy("t").agg(F.first("sig").alias("sig"), F.min("k").alias("k")),
         "texts")
-    banded = different.select("t", "sig").mapInArrow(_bands, "bucket long, t binary")
+    sig = different.select("t", "sig")
+    banded = sig.mapInArrow(_bands, "bucket long, t binary")
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     members = stored(banded.join(shared, "bucket"), "buckets")
-    # small buckets are compared completely, larger ones with a few members each
-    small = members.filter(F.col("n") <= HUBS + 1).select("bucket", "t")
-    whole = small.join(small.toDF("bucket", "hub"), "bucket").filter(F.col("t") < F.col("hub"))
-    large = members.filter(F.col("n") > HUBS + 1)
-    order = F.struct(F.xxhash64("bucket", "t").alias("h"), F.col("t").alias("t"))
-    hubs = large.select("bucket", order.alias("o")).groupBy("bucket").agg(*_smallest("o", HUBS))
-    hubs = hubs.select("bucket", F.explode(F.array_compact(F.array(*[f"m{i}" for i in range(HUBS)]))).alias("o"))
-    starred = large.select("bucket", "t").join(hubs.select("bucket", F.col("o.t").alias("hub")), "bucket")
-    pairs = whole.union(starred.filter(F.col("t") != F.col("hub"))).select(*_ordered("t", "hub")).distinct()
-    sig = different.select("t", "sig")
-    likely = stored(
-        pairs.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
-        .select("a", "b", "sig_a", "sig_b").mapInArrow(_likely, "a binary, b binary"), "likely")
-    texts = _texts(likely, different, rows)
-    links = stored(_links(likely, texts), "links")
-
-    # larger buckets: compare what is not connected yet
+    small = members.filter(F.col("n") <= SMALL).select("bucket", "t")
+    large = members.filter(F.col("n") > SMALL)
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        likely = stored(
+            pairs.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
+            .select("a", "b", "sig_a", "sig_b").mapInArrow(_likely, "a binary, b binary"), f"likely-{name}")
+        return stored(_links(likely, _texts(likely, different, rows)), f"links-{name}")
+
+    whole = small.join(small.toDF("bucket", "hub"), "bucket").filter(F.col("t") < F.col("hub")).select("t", "hub")
+    drawn = _with_hubs(large.select("bucket", "t", F.lit(0).alias("score"))).select("t", "hub")
+    links = verified(whole.union(drawn).select(*_ordered("t", "hub")).distinct(), "drawn")
     joined = components(links.select("a", "b"))
-    rest = (
-        large
-        .join(joined.withColumnRenamed("node", "t"), "t", "left")
-        .withColumn("component", F.coalesce("component", "t"))
-    )
-    mixed = (
-        rest.groupBy("bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
-        .filter("c1 != c2").select("bucket")
-    )
+
+    def apart() -> DataFrame:
+        """The members of larger buckets that hold several components."""
+        named = large.join(joined.withColumnRenamed("node", "t"), "t", "left").withColumn("component", F.coalesce("component", "t"))
+        mixed = named.groupBy("bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
+        return named.join(mixed.filter("c1 != c2").select("bucket"), "bucket")
+
+    degree = links.select(F.col("a").alias("t")).union(links.select("b")).groupBy("t").agg(F.count("*").alias("score"))
+    scored = apart().join(degree, "t", "left").withColumn("score", F.coalesce("score", F.lit(0)))
+    central = _with_hubs(scored).filter(F.col("component") != F.col("hub_component"))
+    joined = joined_further(joined, verified(central.select(*_ordered("t", "hub")).distinct(), "central").select("a", "b"))
+
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    rest = stored(apart(), "apart")
+    if rest.isEmpty():
+        return joined
+    texts = _texts(rest.select(F.col("t").alias("a"), F.col("t").alias("b")), different, rows)
     placed = (
-        rest.join(mixed, "bucket").join(sig, "t")
+        rest.join(sig, "t").join(texts, "t")
         .withColumn("blocks", blocks)
         .withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "t"), F.col("blocks").cast("long")).cast("int"))
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("bucket", "t", "component", "sig", "block",
+        .select("bucket", "t", "component", "sig", "text", "block",
                 F.least("block", "with").alias("block_a"), F.greatest("block", "with").alias("block_b"))
     )
-    more = (
-        placed.groupBy("bucket", "block_a", "block_b").applyInPandas(_across, "a binary, b binary").distinct()
-        .join(likely, ["a", "b"], "left_anti")
-    )
-    more = stored(more, "more")
-    return links.union(_links(more, _texts(more, different, rows)))
+    left = placed.groupBy("bucket", "block_a", "block_b").applyInPandas(_across, "a binary, b binary")
+    return joined_further(joined, stored(left.distinct(), "links-left"))
 
 
-def _smallest(column: str, n: int) -> list:
-    """Aggregates m0 .. m(n-1): the smallest (h, t) of each residue class of h modulo n.
+def _with_hubs(members: DataFrame) -> DataFrame:
+    """``members`` (bucket, t, score, ...) of each bucket with every hub of it but itself.
 
-    A plain ``min`` for each class keeps the aggregation partial: no group is gathered.
+    The hubs are those of the highest score, ties by hash, one from each of HUBS classes of
+    the hash: a plain maximum for each class, so that the aggregation stays partial and no
+    bucket is gathered.
     """
-    return [F.min(F.when(F.pmod(F.col(f"{column}.h"), F.lit(n)) == i, F.col(column))).alias(f"m{i}") for i in range(n)]
+    draw = F.xxhash64("bucket", "t")
+    component = F.col("component") if "component" in members.columns else F.col("t")
+    one = F.struct(F.col("score"), draw.alias("h"), F.col("t").alias("hub"), component.alias("hub_component"))
+    best = members.groupBy("bucket").agg(*[
+        F.max(F.when(F.pmod(draw, F.lit(HUBS)) == i, one)).alias(f"m{i}") for i in range(HUBS)])
+    hubs = best.select("bucket", F.explode(F.array_compact(F.array(*[f"m{i}" for i in range(HUBS)]))).alias("o"))
+    return members.join(hubs.select("bucket", "o.hub", "o.hub_component"), "bucket").filter(F.col("t") != F.col("hub"))
 
 
 def _texts(pairs: DataFrame, different: DataFrame, rows: DataFrame) -> DataFrame:
@@ -264,8 +288,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rows = docs.select(F.col(key).alias("k"), text_key(text).alias("t"), F.col(text).alias("text"))
     kind = docs.schema[key].dataType.simpleString()
     signed = stored(rows.mapInArrow(_sign, f"k {kind}, t binary, words long, sig binary"), "signatures")
-    links = near_duplicate_links(signed, rows)
-    joined = components(links.select("a", "b"))
+    joined = linked_texts(signed, rows)
     by_text = signed.filter("words > 0").groupBy("t").agg(F.min("k").alias("least"), F.count("*").alias("copies"))
     placed = by_text.join(joined.toDF("t", "component"), "t", "left").withColumn("component", F.coalesce("component", "t"))
     named = placed.groupBy("component").agg(F.min("least").alias("class_id"))

@@ -15,16 +15,16 @@ from cyclemart.llm.common import stored
 
 def _large_star(links: DataFrame) -> DataFrame:
     """Link each larger neighbour of a node to the node's smallest neighbour (or itself)."""
-    both = links.union(links.select("v", "u")).distinct()
+    both = links.union(links.select("v", "u"))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    """Link a node and its smaller neighbours to the smallest of them."""
-    down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    met = down.join(least, "u")
+    """Link a node and its smaller neighbours to the smallest of them; every link of
+    ``links`` goes from a larger node to a smaller one."""
+    least = links.groupBy("u").agg(F.min("v").alias("m"))
+    met = links.join(least, "u")
     return met.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.toDF("u", "v"))
 
 
@@ -36,13 +36,31 @@ def _mark(links: DataFrame) -> tuple:
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``links`` (two columns); the component is named
     by its smallest node.  NULL ends and self-links are dropped; no links give no rows."""
-    links = links.toDF("u", "v").filter("u != v")
-    before = None
+    links = links.toDF("u", "v").filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    links = stored(links.distinct(), "components")
+    before = _mark(links)
     for _ in range(most_rounds):
         links = stored(_small_star(_large_star(links)).distinct(), "components")
         now = _mark(links)
         if now == before:
             roots = links.select(F.col("v").alias("u"), "v")
-            return links.union(roots).distinct().toDF("node", "component")
+            return stored(links.union(roots).distinct().toDF("node", "component"), "components")
         before = now
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+
+
+def joined_further(joined: DataFrame, links: DataFrame) -> DataFrame:
+    """``joined`` (node, component) with more links: only the components that the links
+    connect are worked on, not their nodes."""
+    ends = links.toDF("a", "b")
+    for end in ("a", "b"):
+        ends = ends.join(joined.toDF(end, f"{end}_component"), end, "left")
+    ends = stored(ends.select(
+        "a", "b", F.coalesce("a_component", "a").alias("ca"), F.coalesce("b_component", "b").alias("cb")), "joined-ends")
+    if ends.isEmpty():
+        return joined
+    new = components(ends.select("ca", "cb")).toDF("component", "renamed")
+    nodes = ends.select(F.col("a").alias("node"), F.col("ca").alias("component")).union(
+        ends.select("b", "cb")).union(joined.select("node", "component")).distinct()
+    renamed = nodes.join(new, "component", "left").select("node", F.coalesce("renamed", "component").alias("component"))
+    return stored(renamed, "joined")
