@@ -8,8 +8,11 @@
 The discounts ``d`` are Good-Turing's for counts up to ``CUTOFF``; ``alpha(h)`` is what the
 discounts take from h, over the unigram mass of the words not seen after h, so the
 probabilities after every history sum to one exactly.  A history without discounted counts
-has one occurrence added, so that something is left.  Where the counts of counts are too
-thin for Good-Turing's formula, absolute discounting takes its place.
+has one occurrence added, so that something is left.  Groups of copies bend the counts of
+counts; where Turing's estimate of a count is no discount, a line fitted to them gives it
+(simple Good-Turing).  Absolute discounting takes its place only where there is no such
+line: no count of one, none of 2 to ``CUTOFF``, or counts of counts that do not fall faster
+than 1/r.
 
 Tokens are words (A-Z lower-cased) and one end per text; the first one's history is the
 beginning.  Words are 64-bit hashes throughout.
@@ -90,20 +93,37 @@ def unpack(blob: bytes) -> list[np.ndarray]:
 
 # --- discounts --------------------------------------------------------------------------
 def discounts(counts_of_counts: np.ndarray) -> np.ndarray:
-    """d[0..CUTOFF] from n[1..CUTOFF + 1]; d[0] is 0 and counts beyond have discount 1."""
+    """d[0..CUTOFF] from n[1..CUTOFF + 1]; d[0] is 0 and counts beyond have discount 1.
+
+    d = 1 - m (1 - r*/r) with the m that frees the mass of n[1] occurrences, as Katz has it.
+    r* is Turing's (r + 1) n[r + 1] / n[r] up to some r, and beyond it the one of a line fitted
+    to the counts of counts (simple Good-Turing): as few r as it takes for all d to be in (0, 1).
+    """
     n = np.concatenate(([0.0], np.asarray(counts_of_counts, float)))
     r = np.arange(1, CUTOFF + 1)
-    if (n[1:] > 0).all():
-        common = (CUTOFF + 1) * n[CUTOFF + 1] / n[1]
-        turing = (r + 1) * n[2:] / n[1:-1] / r
-        if common < 1:
-            d = (turing - common) / (1 - common)
-            if ((d > 0) & (d < 1)).all():
+    slope = _slope(n)
+    if n[1] and n[2:-1].any() and slope < -1:
+        fitted = (1 + 1 / r) ** (slope + 1)
+        raw = (r + 1) * n[2:] / np.maximum(n[1:-1], 1) / r
+        for own in range(CUTOFF, -1, -1):  # with none of Turing's, 0 < d < 1 always
+            ratio = np.where(r <= own, raw, fitted)
+            freed = (r * n[1:-1] * (1 - ratio)).sum()
+            d = 1 - n[1] / freed * (1 - ratio) if freed > 0 else ratio - 1
+            if (n[1:own + 2] > 0).all() and ((d > 0) & (d < 1)).all():
                 return np.concatenate(([0.0], d))
     taken = n[1] / (n[1] + 2 * n[2]) if n[1] and n[2] else 0.5
     return np.concatenate(([0.0], (r - taken) / r))
 
 
+def _slope(n: np.ndarray) -> float:
+    """Of the line through log n[r] over log r, each n[r] spread over the empty counts beside it."""
+    [r] = np.nonzero(n)
+    if len(r) < 2:
+        return 0.0
+    before, after = np.append(0, r[:-1]), np.append(r[1:], 2 * r[-1] - r[-2])
+    return float(np.polyfit(np.log(r), np.log(2 * n[r] / (after - before)), 1)[0])
+
+
 @dataclass(frozen=True)
 class Unigrams:
     """What every task needs: totals, and the most frequent words by hash."""

@@ -216,6 +216,52 @@ def test_probabilities_sum_to_one():
         assert total == pytest.approx(1, abs=1e-12)
 
 
+def _good_turing(n):
+    """{r: discount} by Gale and Sampson's line and Katz's condition on the freed mass; n is {r: n[r]}."""
+    have = sorted(r for r in n if n[r])
+    points = []
+    for i, r in enumerate(have):
+        low = have[i - 1] if i else 0
+        high = have[i + 1] if i + 1 < len(have) else 2 * r - low
+        points.append((math.log(r), math.log(n[r] / (0.5 * (high - low)))))
+    mx, my = (sum(p[k] for p in points) / len(points) for k in (0, 1))
+    b = sum((x - mx) * (y - my) for x, y in points) / sum((x - mx) ** 2 for x, _ in points)
+    assert b < -1
+    for last in range(5, -1, -1):  # the counts that keep Turing's own estimate
+        if any(not n[r] for r in range(1, last + 2)):
+            continue
+        star = {r: (r + 1) * n[r + 1] / n[r] if r <= last else r * (1 + 1 / r) ** (b + 1) for r in range(1, 6)}
+        freed = sum(n[r] * (r - star[r]) for r in star)
+        d = {r: 1 - n[1] / freed * (1 - star[r] / r) for r in star}
+        if freed > 0 and all(0 < x < 1 for x in d.values()):
+            return d
+    raise AssertionError("no discounts")
+
+
+@pytest.mark.parametrize("n", [
+    [49663, 12919, 5197, 2729, 2383, 1067], [193655, 25105, 6496, 2179, 2497, 618],  # groups of copies
+    [1000, 400, 200, 120, 80, 60], [100, 20, 0, 3, 0, 0]])
+def test_discounts_are_good_turing(n):
+    d = katz.discounts(np.array(n, float))
+    want = _good_turing(dict(enumerate(n, 1)))
+    assert d == pytest.approx([0, *(want[r] for r in range(1, 6))], rel=1e-9)
+    # what is freed is Turing's estimate of the unseen: the occurrences of what occurs once
+    assert sum((1 - d[r]) * r * n[r - 1] for r in range(1, 6)) == pytest.approx(n[0])
+
+
+def test_discounts_by_katz_formula_where_it_holds():
+    n = [1000, 400, 200, 120, 80, 60]
+    common = 6 * n[5] / n[0]
+    assert katz.discounts(np.array(n, float))[1:] == pytest.approx(
+        [((r + 1) * n[r] / n[r - 1] / r - common) / (1 - common) for r in range(1, 6)])
+
+
+@pytest.mark.parametrize("n", [[0] * 6, [0, 3, 2, 1, 1, 1], [5, 0, 0, 0, 0, 1], [1] * 6])
+def test_discounts_without_counts_of_counts(n):
+    taken = n[0] / (n[0] + 2 * n[1]) if n[0] and n[1] else 0.5
+    assert katz.discounts(np.array(n, float))[1:] == pytest.approx([1 - taken / r for r in range(1, 6)])
+
+
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     got = katz.train_and_score(docs, F.lit(True)).scores.collect()
