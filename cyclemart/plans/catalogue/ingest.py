@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import itertools
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cyclemart.functions.crypto import _key, decrypt_column, encrypt_column
+from cyclemart.functions.crypto import decrypt_column, encrypt_column
 from cyclemart.functions.timeutil import instant
 from cyclemart.plans.catalogue.base import CYCLE, DEMO_KEY, NOW, _orders, query
 from cyclemart.session import scratch_path
-from cyclemart.sources.encrypted import read_encrypted_files, read_encrypted_lines, write_encrypted_lines
+from cyclemart.sources.encrypted import (
+    read_encrypted_files, read_encrypted_lines, write_encrypted_files, write_encrypted_lines,
+)
 from cyclemart.sources.files import read_csv, read_staged, stage_parquet, with_provenance, write_csv
 from cyclemart.sources.tables import read_table
 
@@ -78,11 +83,13 @@ def csv_corrupt_records(spark, root):
     c = read_table(spark, root, "customer")
     path = scratch_path(spark, "corrupt")
     line = F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name", F.when(F.col("c_mktsegment") == "BUILDING", "extra"))
-    c.select(line.alias("value")).write.text(f"{path}/body")
-    # every landed file begins with its header
-    spark.read.text(f"{path}/body").coalesce(1).selectExpr("value", "1 AS n").unionByName(
-        spark.range(1).selectExpr("'C_CustKey,C_NAME' AS value", "0 AS n")).coalesce(1).sortWithinPartitions("n").select(
-        "value").write.text(f"{path}/landed")
+
+    def with_header(batches):  # every landed file begins with its header
+        for lines in itertools.chain([pa.array(["C_CustKey,C_NAME"])], (b.column(0) for b in batches)):
+            yield pa.RecordBatch.from_arrays([lines], names=["value"])
+
+    landed = c.select(line.alias("value")).mapInArrow(with_header, "value string")
+    landed.write.option("maxRecordsPerFile", 0).text(f"{path}/landed")  # a file per task
     schema = _customer_schema(spark)
     back = read_csv(spark, f"{path}/landed", T.StructType(schema.fields[:2]), keep_corrupt=True)
     bad = F.col("_corrupt_record").isNotNull()
@@ -91,28 +98,16 @@ def csv_corrupt_records(spark, root):
 
 @query("encrypted_whole_file", "SELECT c_custkey, c_name || chr(10) || c_mktsegment AS note, c_nationkey FROM customer")
 def encrypted_whole_file(spark, root):
-    """IO-2: files encrypted as a whole, one per nation, columns in another order, line
+    """IO-2: files encrypted as a whole, of one nation each, columns in another order, line
     breaks in quoted fields."""
     c = read_table(spark, root, "customer")
     path = scratch_path(spark, "enc-files")
-    line = F.concat(F.col("c_nationkey").cast("string"), F.lit(',"'), F.col("c_name"), F.lit("\n"), F.col("c_mktsegment"),
-                    F.lit('",'), F.col("c_custkey").cast("string"))
-    files = c.groupBy("c_nationkey").agg(F.concat(
-        F.lit("c_nationkey,note,C_CUSTKEY\n"), F.array_join(F.array_sort(F.collect_list(line)), "\n"), F.lit("\n")).alias("text"))
-    raw = F.aes_encrypt(F.col("text").cast("binary"), _key(DEMO_KEY), F.lit("GCM"))
-    for row in files.select("c_nationkey", raw.alias("c")).toLocalIterator():  # 25 nations, a file each
-        _write_bytes(spark, f"{path}/nation-{row[0]}.csv.pgp", bytes(row[1]))
+    note = F.concat("c_name", F.lit("\n"), "c_mktsegment").alias("note")
+    write_encrypted_files(c.select("c_nationkey", note, F.col("c_custkey").alias("C_CUSTKEY")), path, DEMO_KEY, "c_nationkey")
     schema = T.StructType.fromDDL("c_custkey long, note string, c_nationkey int")
     return read_encrypted_files(spark, path, DEMO_KEY, schema)
 
 
-def _write_bytes(spark, path: str, data: bytes) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
-    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)  # noqa: SLF001
-    out.write(bytearray(data))
-    out.close()
-
-
 @query("ingest_rejects", """
 SELECT 'policy' AS file_type, CAST(COUNT(*) AS BIGINT) AS staged,
        CAST((SELECT COUNT(*) FROM customer WHERE c_acctbal < 0) AS BIGINT) AS rejected

@@ -20,8 +20,11 @@ from __future__ import annotations
 import csv
 import io
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
+import pyarrow.fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +33,8 @@ from cyclemart.functions.crypto import _key, decrypt_column, encrypt_column
 from cyclemart.sources.files import CORRUPT_COL, header_positions
 
 ROWS_AT_A_TIME = 10_000
+FILE_CHARS = 4_000_000  # of a file that is encrypted as a whole, and one record more
+HELD_CHARS = 8 * FILE_CHARS  # that a task has not yet written
 
 
 def _ddl(schema: T.StructType) -> str:
@@ -128,6 +133,66 @@ def read_encrypted_files(spark: SparkSession, paths: str | list[str], key: str |
     return typed if keep_corrupt else _strict(typed, schema)
 
 
+def _csv_files(batches: Iterator[pa.RecordBatch], names: list[str], place: int, limit: int, held_limit: int) -> Iterator[pa.RecordBatch]:
+    """(value, text): CSV files of one value each, header first, of bounded size."""
+    files: dict[str | None, io.StringIO] = {}
+    held = 0
+
+    def out(value: str | None) -> pa.RecordBatch:
+        text = files.pop(value).getvalue()
+        return pa.RecordBatch.from_arrays([pa.array([value], pa.string()), pa.array([text], pa.string())], names=["value", "text"])
+
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            value, before = row[place], 0
+            if value in files:
+                before = files[value].tell()
+            else:
+                files[value] = io.StringIO(newline="")
+                csv.writer(files[value], lineterminator="\n").writerow(names)
+            csv.writer(files[value], lineterminator="\n").writerow(row)
+            size = files[value].tell()
+            held += size - before
+            if size > limit:
+                held -= size
+                yield out(value)
+            if held > held_limit:
+                yield from map(out, list(files))
+                held = 0
+    yield from map(out, list(files))
+
+
+def write_encrypted_files(df: DataFrame, path: str, key: str | bytes, by: str, mode: str = "GCM") -> None:
+    """Land ``df`` as whole-file encrypted CSV, each file with rows of one value of ``by``.
+
+    The tasks write the files, of about ``FILE_CHARS`` at most, however many rows a value
+    has.  ``path`` must be in a shared store that Arrow can open; files of a failed attempt
+    are written again under the same names.
+    """
+    spark, names, place = df.sparkSession, df.columns, df.columns.index(by)
+    limit, held = FILE_CHARS, HELD_CHARS
+    text = df.select(*[F.col(c).cast("string") for c in names]).mapInArrow(
+        lambda batches: _csv_files(batches, names, place, limit, held), "value string, text string")
+    files = text.select("value", F.aes_encrypt(F.col("text").cast("binary"), _key(key), F.lit(mode)).alias("content"))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+    fs.mkdirs(folder)
+    qualified = fs.makeQualified(folder).toUri()
+    uri = qualified.getPath() if qualified.getScheme() == "file" else qualified.toString()
+
+    def write(rows: Iterator) -> None:
+        context = TaskContext.get()
+        store, root = pyarrow.fs.FileSystem.from_uri(uri)
+        for n, row in enumerate(rows):
+            name = f"{by}-{quote(row['value'] or '', safe='')}-{context.partitionId():05d}-{n:05d}.csv.pgp"
+            begun = f"{root}/_{context.taskAttemptId()}-{name}"  # readers skip such names
+            with store.open_output_stream(begun) as out:
+                out.write(bytes(row["content"]))
+            store.move(begun, f"{root}/{name}")
+
+    files.foreachPartition(write)
+
+
 def encrypt_text(spark: SparkSession, text: str, key: str | bytes, mode: str = "GCM") -> bytes:
     """Encrypt one small text with Spark's AES (used to land whole-file fixtures)."""
     row = spark.range(1).select(F.aes_encrypt(F.lit(text).cast("binary"), _key(key), F.lit(mode)).alias("c")).first()

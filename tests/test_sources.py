@@ -5,8 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from cyclemart.functions.crypto import decrypt_column, encrypt_column
+from cyclemart.plans.catalogue import ingest
 from cyclemart.schemas import ENTITY_SCHEMAS
 from cyclemart.session import local_path
+from cyclemart.sources import encrypted
 from cyclemart.sources.encrypted import (
     encrypt_text, read_encrypted_files, read_encrypted_lines, write_encrypted_lines,
 )
@@ -191,3 +193,60 @@ def test_the_key_is_in_no_plan(spark):
     assert sorted(r.d for r in back.collect()) == ["0", "1", "2"]
     texts = back._jdf.queryExecution().toString()  # noqa: SLF001 - all four plans
     assert KEY not in texts and KEY.encode().hex() not in texts.lower()
+
+
+@pytest.fixture
+def customers(spark, scratch, monkeypatch):
+    """A customer table of four tasks whose first nation has a third of the rows; the queries'
+    scratch folder, and nothing to bring rows to the driver with."""
+    rows = [(i, f'Name "{i}", x', 0 if i % 3 == 0 else i % 25, "BUILDING" if i % 7 == 0 else "OTHER") for i in range(600)]
+    rows += [(600, None, 0, "OTHER"), (601, "no nation", None, "OTHER")]
+    frame = spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int, c_mktsegment string").repartition(4)
+    folder = scratch("landing")
+    monkeypatch.setattr(ingest, "read_table", lambda *_: frame)
+    monkeypatch.setattr(ingest, "scratch_path", lambda *_: folder)
+    for name in ("toLocalIterator", "toPandas", "coalesce"):
+        monkeypatch.setattr(type(frame), name, lambda *_, **__: pytest.fail("rows pass through one place"))
+    return rows, folder
+
+
+def test_whole_files_are_bounded_and_written_by_tasks(spark, customers, monkeypatch):
+    rows, folder = customers
+    monkeypatch.setattr(encrypted, "FILE_CHARS", 500, raising=False)
+    out = ingest.encrypted_whole_file(spark, "")
+    want = [(i, None if n is None else f"{n}\n{m}", k) for i, n, k, m in rows]
+    assert sorted(tuple(r) for r in out.collect()) == sorted(want)
+    names = os.listdir(local_path(folder))
+    files = [n for n in names if n.endswith(".pgp")]
+    assert not [n for n in names if n.startswith("_")]
+    assert sum(n.startswith("c_nationkey-0-") for n in files) > 8
+    assert max(os.path.getsize(os.path.join(local_path(folder), n)) for n in files) < 700
+
+
+def test_whole_files_of_many_values_hold_little(spark, customers, monkeypatch):
+    rows, _ = customers
+    monkeypatch.setattr(encrypted, "HELD_CHARS", 300, raising=False)
+    out = ingest.encrypted_whole_file(spark, "")
+    assert sorted(r.c_custkey for r in out.collect()) == [r[0] for r in rows]
+
+
+def test_whole_files_of_an_empty_table(spark, scratch):
+    empty = spark.createDataFrame([], "a string, b string")
+    path = scratch("none")
+    encrypted.write_encrypted_files(empty, path, KEY, "a")
+    assert read_encrypted_files(spark, path, KEY, empty.schema).count() == 0
+
+
+def test_every_task_lands_its_own_header(spark, customers, monkeypatch):
+    rows, folder = customers
+    plain = spark.createDataFrame([(i, f"n{i}", k, m) for i, _, k, m in rows], "c_custkey long, c_name string, c_nationkey int, c_mktsegment string")
+    monkeypatch.setattr(ingest, "read_table", lambda *_: plain.repartition(4))
+    out = ingest.csv_corrupt_records(spark, "").collect()
+    good = sorted((r.c_custkey, r.c_name) for r in out if not r.is_corrupt)
+    assert good == sorted((i, f"n{i}") for i, _, _, m in rows if m != "BUILDING")
+    assert sum(r.is_corrupt for r in out) == sum(m == "BUILDING" for *_, m in rows)
+    landed = os.path.join(local_path(folder), "landed")
+    parts = [n for n in os.listdir(landed) if n.startswith("part-")]
+    assert len(parts) == 4
+    for n in parts:
+        assert open(os.path.join(landed, n)).readline() == "C_CustKey,C_NAME\n"
