@@ -13,6 +13,8 @@ as a map over Arrow batches; features come from whole texts.
 
 Defined cases: NULL and empty texts have all features 0 and are scored like any other; a
 document with several labels is several training rows, one whose label is NULL is none;
+documents that repeat an id and text are one, and of an id with several texts each is
+one, as far as ``MAX_TRAIN_ROWS`` goes;
 without labels, or with one class only, the score is the smoothed base rate for all rows;
 labels without a document are not used.  Other columns are kept.
 """
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cyclemart.llm import textarrays as ta
-from cyclemart.llm.common import fresh
+from cyclemart.llm.common import fresh, stored
 
 MAX_TRAIN_ROWS = 20_000
 BINS, PAIR_BINS = 48, 12
@@ -220,22 +222,33 @@ def train(
     docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text",
     max_rows: int = MAX_TRAIN_ROWS,
 ) -> Model:
-    """Fit on at most ``max_rows`` labelled rows that are not held out."""
+    """Fit on at most ``max_rows`` labelled rows that are not held out.
+
+    Documents that repeat an id and text count once.  If an id repeats with more texts than
+    fit, each labelled id has one of them before any has a second.
+    """
     usable = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(key))
     sample = (
         usable.select(F.col(key).alias("k"), F.col(label).alias("y"))
         .orderBy(F.xxhash64("k"), "k", "y").limit(max_rows)
+        .groupBy("k", "y").agg(F.count("*").alias("n"))
     )
-    rows = docs.select(key, text).join(F.broadcast(sample), F.col(key) == F.col("k")).select("k", text, "y")
+    digest = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+    rows = docs.select(key, text).join(F.broadcast(sample), F.col(key) == F.col("k")).select("k", text, "y", "n", digest.alias("d"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = text_features(batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.string()), pa.array([r.tobytes() for r in x], pa.binary()),
-                 batch.column(2).cast(pa.float64())], names=["k", "x", "y"])
-
-    got = rows.mapInArrow(run, "k string, x binary, y double").toPandas()
+                 batch.column(2).cast(pa.float64()), batch.column(3), batch.column(4)], names=["k", "x", "y", "n", "d"])
+
+    found = rows.mapInArrow(run, "k string, x binary, y double, n long, d string")
+    found = stored(found.groupBy("k", "y", "n", "d").agg(F.first("x").alias("x")), "labelled")
+    least = found.groupBy("k", "y").agg(F.min("d").alias("d"), F.lit(0).alias("later"))  # max_rows at most
+    ranked = found.join(F.broadcast(least), ["k", "y", "d"], "left").withColumn("later", F.coalesce("later", F.lit(1)))
+    got = ranked.orderBy("later", F.xxhash64("k", "d", "y"), "k", "d", "y").limit(max_rows).select("k", "x", "y", "n").toPandas()
+    got = got.loc[got.index.repeat(got["n"])].head(max_rows)  # a label that is given n times
     got = got.sort_values(["k", "x", "y"])  # the order in which tasks end must not matter
     x = np.frombuffer(b"".join(got["x"]), float).reshape(-1, len(FEATURES))
     return fit(x, (got["y"].to_numpy() > 0).astype(float))

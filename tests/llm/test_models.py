@@ -46,6 +46,21 @@ def test_one_class_or_no_label_gives_the_base_rate(spark):
     assert gam.score(docs.limit(0), gam.Model(0.0)).count() == 0
 
 
+def test_training_rows_of_a_repeated_id_are_bounded(spark, monkeypatch):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 4 != 2][:40]
+    rows = [(i, f"text {i}") for i in ids] + [(ids[0], f"text {ids[0]}")] * 300 + [(ids[1], f"other {i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in ids] + [(ids[0], ids[0] % 2)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(gam, "fit", lambda x, y: seen.append((x, y)) or gam.Model(0.0))
+    for most in (20_000, 50):
+        gam.train(docs, labels, max_rows=most)
+    # 40 ids, one of them labelled twice and another with 300 more texts
+    assert [len(y) for _, y in seen] == [341, 50]
+    first = {tuple(x) for x in gam.text_features(pa.array([f"text {i}" for i in ids[2:]]))}
+    assert first <= {tuple(x) for x in seen[1][0]}  # no id is crowded out
+
+
 def test_held_out_accuracy(spark):
     out = catalogue.QUERIES["op8_gam_quality"](spark, "/root/testdata/sf0.01")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
