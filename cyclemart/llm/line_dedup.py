@@ -8,9 +8,13 @@ the covered positions are merged per document and its text is rewritten once.
 Lines are split at ``\\n`` and compared without leading and trailing white space.  Blank
 lines are no lines: windows run across them and they are never removed themselves.
 
-The text is not carried through the search: windows are three numbers a row, merged with
-partial aggregation and met again in an equi-join that Spark splits where one window has
-very many occurrences.
+The text is not carried through the search: windows are three numbers a row, written once,
+merged with partial aggregation and met again in an equi-join that Spark splits where one
+window has very many occurrences.
+
+Rewriting is linear in a text: the lines and the positions of its filled lines are made once
+a document and kept behind a generator, which the optimiser cannot copy into a lambda or a
+later filter; what stays is joined from the slices between the removed positions.
 
 Defined cases: documents of fewer than three lines have no window and stay as they are;
 NULL texts stay NULL; an occurrence that overlaps the first one in the same document
@@ -20,18 +24,28 @@ and are treated alike; a NULL id comes first.  Other columns are kept.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cyclemart.llm.common import fresh, text_key
+from cyclemart.llm.common import fresh, stored, text_key
 
 WINDOW = 3
+WHITE = " \t\n\x0b\f\r"
+
+
+def _trimmed(line: Column) -> Column:
+    return F.btrim(line, F.lit(WHITE))
+
+
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with ``columns`` evaluated once a row, however often they are used later."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """One row per document: k, t (text digest), p (positions) and l (trimmed lines)."""
     split = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
-    trimmed = F.transform(split, lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))
+    trimmed = F.transform(split, _trimmed)
     numbered = F.filter(
         F.transform(trimmed, lambda x, i: F.struct(i.alias("p"), x.alias("x"))), lambda s: s.x != "")
     return docs.select(F.col(key).alias("k"), text_key(text).alias("t"), numbered.alias("lines"))
@@ -55,7 +69,7 @@ def windows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
 def covered_positions(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(k, t, ranks): for documents that lose lines, the ranks of those lines, sorted."""
-    found = windows(docs, key, text)
+    found = stored(windows(docs, key, text), "windows")
     place = F.struct("k", "t", "i")
     repeated = (
         found.groupBy("h1", "h2")
@@ -81,20 +95,21 @@ def dedup_lines(
     """``docs`` with the repeated lines removed from ``text``, and ``removed``: their
     positions among all lines of the original (0 for the first)."""
     [removed] = fresh(docs, removed)
-    k, t, ranks = fresh(docs, "k_", "t_", "ranks_")
+    k, t, ranks, lines, filled, kept, lost = fresh(
+        docs.withColumn(removed, F.lit(0)), "k_", "t_", "ranks_", "lines_", "filled_", "kept_", "lost_")
     cover = covered_positions(docs, key, text).toDF(k, t, ranks)
     keyed = docs.alias("d").join(
         cover, F.col(f"d.{key}").eqNullSafe(F.col(k)) & (text_key(F.col(f"d.{text}")) == F.col(t)), "left")
-    lines = F.split(F.col(text), "\n", -1)
-    filled = F.filter(
-        F.transform(lines, lambda x, i: F.when(F.regexp_replace(x, r"^\s+|\s+$", "") != "", i)),
-        lambda i: i.isNotNull())
-    gone = F.transform(F.col(ranks), lambda r: F.get(filled, r))
-    [lost] = fresh(docs, "lost_")
-    out = keyed.withColumn(lost, F.when(F.col(ranks).isNotNull(), gone))
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col(lost), i)), "\n")
-    return (
-        out.withColumn(text, F.when(F.col(lost).isNull(), F.col(text)).otherwise(kept))
-        .withColumn(removed, F.coalesce(F.col(lost), F.array().cast("array<int>")))
-        .drop(k, t, ranks, lost)
-    )
+    loses = F.col(ranks).isNotNull()
+    cut = _once(keyed, **{lines: F.when(loses, F.split(F.col(text), "\n", -1))})
+    cut = _once(cut, **{filled: F.filter(
+        F.transform(F.col(lines), lambda x, i: F.when(_trimmed(x) != "", i)), lambda i: i.isNotNull())})
+    cut = _once(cut, **{lost: F.transform(F.col(ranks), lambda r: F.get(F.col(filled), r))})
+    first = F.concat(F.array(F.lit(0)), F.transform(F.col(lost), lambda i: i + 1))
+    end = F.concat(F.col(lost), F.array(F.size(lines)))
+    between = F.zip_with(first, end, lambda a, b: F.slice(F.col(lines), a + 1, b - a))
+    edited = _once(cut, **{
+        kept: F.when(loses, F.array_join(F.flatten(between), "\n")).otherwise(F.col(text)),
+        removed: F.coalesce(F.col(lost), F.array().cast("array<int>"))})
+    return edited.select(
+        *[(F.col(kept) if c == text else F.col(f"d.{c}")).alias(c) for c in docs.columns], F.col(removed))

@@ -113,3 +113,28 @@ def test_the_search_is_built_in_functions_only(spark):
     items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     plan = decontaminate.contaminated(docs, items)._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "MapIn" not in plan and "Cartesian" not in plan
+
+
+def test_rewriting_is_linear_in_the_lines_of_a_text(spark):
+    import time
+
+    def seconds(n):
+        docs = spark.createDataFrame([(1, "same\n" * n), (2, "same\n" * n)], "doc_id long, text string")
+        best = []
+        for _ in range(2):
+            t0 = time.perf_counter()
+            out = line_dedup.dedup_lines(docs).filter("size(removed_lines) > 0 AND text rlike '\\\\S'").collect()
+            best.append(time.perf_counter() - t0)
+        assert [(r.doc_id, r.text.count("same"), len(r.removed_lines)) for r in out] == [(1, 3, n - 3)]
+        return min(best)
+
+    seconds(100)
+    assert seconds(40_000) < 2.5 * seconds(20_000) + 1
+
+
+def test_a_later_filter_does_not_hold_the_rewriting(spark):
+    docs = spark.createDataFrame([(1, "a\nb\nc"), (2, "a\nb\nc\nd")], "doc_id long, text string")
+    out = line_dedup.dedup_lines(docs).filter("size(removed_lines) = 0 OR text rlike '\\\\S'")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("split(" in x or "flatten(" in x for x in plan.splitlines() if "Filter" in x.split("(")[0])
+    assert [r.text for r in out.orderBy("doc_id").collect()] == ["a\nb\nc", "d"]
