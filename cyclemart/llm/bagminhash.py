@@ -21,7 +21,8 @@ passed the largest register, which makes a signature cost about as much as its s
    that is where the original shows.
 6. What members of different components are left in a bucket is compared block by block,
    by signature and then by text, inside the task: only links that connect leave it.  So the
-   buckets are searched wholly, and the rows never grow with the square of a bucket.
+   buckets are searched wholly.  A member is copied once for every block of its bucket, so
+   the copies of what is left grow with its square divided by BLOCK.
 
 A link is a multiset Jaccard similarity of at least ``THRESHOLD``; a class is a connected
 component of links.  Its id is the smallest id in it.
@@ -282,34 +283,49 @@ def _texts(pairs: DataFrame, different: DataFrame, rows: DataFrame) -> DataFrame
     return stored(met.select("t", "text").dropDuplicates(["t"]), "candidate-texts")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, t, class_id, copies): the class of every row; ``t`` is its text's digest and
-    ``copies`` the number of rows with that text."""
+def _classed(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(k, t, words, sig) of every row, and (t, component, best, copies) of every text with
+    words; ``best`` is its least row (none, k, rows): ids that are NULL come last, ``rows``
+    counts those that repeat id and text."""
     rows = docs.select(F.col(key).alias("k"), text_key(text).alias("t"), F.col(text).alias("text"))
     kind = docs.schema[key].dataType.simpleString()
     signed = stored(rows.mapInArrow(_sign, f"k {kind}, t binary, words long, sig binary"), "signatures")
     joined = linked_texts(signed, rows)
-    by_text = signed.filter("words > 0").groupBy("t").agg(F.min("k").alias("least"), F.count("*").alias("copies"))
+    once = signed.filter("words > 0").groupBy("k", "t").agg(F.count("*").alias("rows"))
+    by_text = once.groupBy("t").agg(
+        F.min(F.struct(F.col("k").isNull().alias("none"), "k", "rows")).alias("best"), F.sum("rows").alias("copies"))
     placed = by_text.join(joined.toDF("t", "component"), "t", "left").withColumn("component", F.coalesce("component", "t"))
-    named = placed.groupBy("component").agg(F.min("least").alias("class_id"))
+    return signed, placed
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, t, class_id, copies): the class of every row; ``t`` is its text's digest and
+    ``copies`` the number of rows with that text."""
+    signed, placed = _classed(docs, key, text)
+    named = placed.groupBy("component").agg(F.min("best.k").alias("class_id"))
     classes = placed.join(named, "component").select("t", "class_id", "copies")
     own = signed.filter("words = 0").select("k", "t", F.col("k").alias("class_id"), F.lit(1).cast("long").alias("copies"))
     return signed.filter("words > 0").select("k", "t").join(classes, "t").select("k", "t", "class_id", "copies").union(own).withColumnRenamed("k", key)
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` less all but one document of each class: the one that names it.
+    """``docs`` less all but one document of each class: that of the least id (NULL last), of
+    several texts with that id the one of the least digest, of equal rows one.
 
-    Of rows that repeat that document's id and text, one stays.
+    Documents without words are classes of their own and stay; of those that repeat an id
+    and a text, one stays.
     """
-    classes = stored(near_duplicates(docs, key, text), "classes")
-    k, t = fresh(docs, "k_", "t_")
-    chosen = classes.filter(F.col(key).eqNullSafe(F.col("class_id")))
-    once = chosen.groupBy(F.col(key).alias(k), F.col("t").alias(t)).agg(F.count("*").alias("rows_"))
-    kept = docs.join(once.select(k, t), F.col(key).eqNullSafe(F.col(k)) & (text_key(text) == F.col(t)), "left_semi")
-    doubled = F.col("rows_") > 1
-    if once.filter(doubled).isEmpty():
-        return kept
-    single = docs.join(once.filter(~doubled).select(k, t), F.col(key).eqNullSafe(F.col(k)) & (text_key(text) == F.col(t)), "left_semi")
-    several = docs.join(once.filter(doubled).select(k, t), F.col(key).eqNullSafe(F.col(k)) & (text_key(text) == F.col(t)), "left_semi")
-    return single.union(several.dropDuplicates([key, text]))
+    signed, placed = _classed(docs, key, text)
+    k, t, several = fresh(docs, "k_", "t_", "several_")
+    least = placed.groupBy("component").agg(F.min(F.struct("best.none", "best.k", "t", "best.rows")).alias("b"))
+    own = signed.filter("words = 0").groupBy("k", "t").agg(F.count("*").alias("rows"))
+    chosen = stored(least.select("b.k", "b.t", "b.rows").union(own).select(
+        F.col("k").alias(k), F.col("t").alias(t), (F.col("rows") > 1).alias(several)), "chosen")
+
+    def met(some: DataFrame) -> DataFrame:
+        return docs.join(some.drop(several), F.col(key).eqNullSafe(F.col(k)) & (text_key(text) == F.col(t)), "left_semi")
+
+    repeated = chosen.filter(several)
+    if repeated.isEmpty():
+        return met(chosen)
+    return met(chosen.filter(~F.col(several))).union(met(repeated).dropDuplicates([key, text]))

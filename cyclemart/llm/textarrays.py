@@ -20,6 +20,8 @@ _BASE, _MIX1, _MIX2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4
 
 #: Bytes of text that are turned into arrays at a time; a longer text is taken alone.
 CHUNK_BYTES = 2 << 20
+#: Rows of a chunk at most: users pack the row number into 16 bits beside a 48-bit hash.
+CHUNK_ROWS = 1 << 15
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -52,7 +54,7 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
     first, n = 0, len(column)
     while first < n:
         end = int(np.searchsorted(offsets, offsets[first] + CHUNK_BYTES, "right")) - 1
-        end = min(max(end, first + 1), n)
+        end = min(max(end, first + 1), n, first + CHUNK_ROWS)
         base = offsets[first]
         yield first, end - first, data[base:offsets[end]], offsets[first:end + 1] - base
         first = end

@@ -154,3 +154,33 @@ def test_a_third_of_all_documents_are_near_copies(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = sorted(((r.doc_id, r.class_id) for r in bag.near_duplicates(docs).collect()), key=repr)
     assert got == _classes(rows)
+
+
+WORDS = " ".join(f"w{i}" for i in range(60))
+
+
+def test_keep_one_of_repeated_and_null_ids(spark):
+    from cyclemart.llm import bagminhash
+
+    near = [WORDS, WORDS + " more", WORDS + " other"]
+    docs = spark.createDataFrame([(1, near[0]), (1, near[1]), (2, near[2]), (3, "else"), (3, "else")], "doc_id long, text string")
+    kept = bagminhash.keep_one(docs).collect()
+    assert sorted(r.doc_id for r in kept) == [1, 3] and {r.text for r in kept if r.doc_id == 1} < set(near)
+    docs = spark.createDataFrame([(None, t) for t in near] + [(None, ""), (None, ""), (None, None)], "doc_id long, text string")
+    kept = [r.text for r in bagminhash.keep_one(docs).collect()]
+    assert sum(t in near for t in kept) == 1 and len(kept) == 3  # equal wordless rows are one
+
+
+def test_signatures_do_not_depend_on_the_size_of_a_batch():
+    import pyarrow as pa
+
+    from cyclemart.llm import bagminhash
+
+    n = 70_000
+    texts = [f"a{i} b{i} c{i} d{i} e{i} f{i}" for i in range(n)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(n)), pa.array([b"x"] * n), pa.array(texts)], names=["k", "t", "text"])
+    whole = pa.Table.from_batches(bagminhash._sign(iter([batch]))).column("sig")
+    for i in (0, 1, 65_535, 65_536, n - 1):
+        alone = pa.Table.from_batches(bagminhash._sign(iter([batch.slice(i, 1)]))).column("sig")
+        assert whole[i] == alone[0]
