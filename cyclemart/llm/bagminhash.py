@@ -55,6 +55,7 @@ LIKELY = 0.68
 #: Members of a large bucket that are compared as one block.
 BLOCK = 256
 
+TICKS = 2.0 ** 40
 _STEP = np.uint64(0xD1B54A32D192ED03)  # odd: tells the points of a process apart
 _LOW48 = np.uint64((1 << 48) - 1)
 
@@ -70,8 +71,9 @@ def weighted(shingles: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def signatures(row: np.ndarray, shingle: np.ndarray, weight: np.ndarray, rows: int) -> np.ndarray:
-    """The registers (rows x REGISTERS) as 64-bit patterns of the smallest points."""
-    least = np.full(rows * REGISTERS, np.inf)
+    """The registers (rows x REGISTERS): the smallest points, as multiples of 1 / TICKS, whose
+    sums do not depend on how many points are drawn at a time."""
+    least = np.full(rows * REGISTERS, np.iinfo(np.int64).max)
     parts, low, high = [], 0, 1
     live = np.arange(len(row))
     while live.size:  # one process for each block of the weight axis that a weight reaches
@@ -82,13 +84,14 @@ def signatures(row: np.ndarray, shingle: np.ndarray, weight: np.ndarray, rows: i
     if not parts:
         return least.reshape(rows, REGISTERS).view(np.uint64)
     at, state, top, base, span = (np.concatenate(p) for p in zip(*parts))
-    time = np.zeros(len(at))
+    time = np.zeros(len(at), np.int64)
     drawn = 0
     while at.size:
         points = 1 if at.size > 20_000 else 8 if at.size > 500 else 64
         draw = ta.mix(state[:, None] + np.arange(drawn + 1, drawn + points + 1, dtype=np.uint64) * _STEP)
         more = ta.mix(draw)
         gap = -np.log1p(-(draw >> np.uint64(11)).astype(np.float64) * 2.0 ** -53) / span[:, None]
+        gap = (gap * TICKS).astype(np.int64)
         when = time[:, None] + np.cumsum(gap, axis=1)
         level = base[:, None] + ((more >> np.uint64(32)).astype(np.float64) * 2.0 ** -32 * span[:, None]).astype(np.int64)
         register = (more & np.uint64(REGISTERS - 1)).astype(np.int64)
