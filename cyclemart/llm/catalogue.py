@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclemart.llm import bagminhash, bpe, decontaminate, gam, katz, line_dedup, sharding, srs, url_rules, warc
+from cyclemart.llm import (
+    bagminhash, bpe, decontaminate, filter_audit, gam, katz, lexical, line_dedup, sharding, srs, token_counts, url_rules, warc,
+)
 from cyclemart.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -32,11 +34,11 @@ def oracle_sql() -> dict[str, str]:
     return dict(ORACLE_SQL)
 
 
-def vocabulary_path() -> str:
-    """The tokenizer file that the encoding queries use; it is installed on every machine."""
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    """The tokenizer file that the token queries use; it is installed on every machine."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 # --- 1: approximate nearest neighbours -------------------------------------------------
@@ -223,3 +225,81 @@ SELECT doc_id, class_id, copies FROM documents JOIN texts USING (text) JOIN clas
 """)
 def op10_bagminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.near_duplicates(table(spark, sf_dir, "documents")).drop("t")
+
+
+# --- 11: ranked lexical search ------------------------------------------------------------
+BEST = 50
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+@query("op11_lexical_search", f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '{_TERM}') AS ts FROM documents
+), tf AS (SELECT r, doc_id, term, count(*) AS tf FROM docs, unnest(ts) u(term) GROUP BY ALL),
+sizes AS (SELECT r, sum(tf)::BIGINT AS n FROM tf GROUP BY r),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM sizes),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+wanted AS (
+  SELECT DISTINCT item_id, term
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '{_TERM}')) AS term FROM benchmark)
+), scores AS (
+  SELECT item_id, r, doc_id, sum(floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT
+           * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // terms))))::BIGINT AS score
+  FROM wanted JOIN tf USING (term) JOIN df USING (term) JOIN sizes USING (r), whole
+  GROUP BY ALL
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+WHERE rank <= {BEST}
+""")
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), BEST)
+
+
+# --- 12: filter interaction audit -----------------------------------------------------------
+@query("op12_filter_audit", r"""
+WITH m AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), f AS (
+  SELECT doc_id, part, [len(ws) < 100, 100 * len(list_distinct(ws)) < 80 * len(ws),
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text), regexp_matches(text, '[#$%&*|]'),
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)] AS fails FROM m
+), marks AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY doc_id),
+counts AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM f LEFT JOIN marks USING (doc_id) GROUP BY part, fails
+), five AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM five a, five b, five c, five d, five e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), seen AS (
+  SELECT part, filter_order, step, n, good, toxic, list_transform(string_split(filter_order, ''), lambda x: fails[ascii(x) - 64]) AS o,
+         len(list_filter(fails, lambda x: x)) AS failed
+  FROM counts, orders, unnest(range(1, 6)) s(step)
+), steps AS (
+  SELECT part, filter_order, step,
+         sum(CASE WHEN NOT list_contains(o[1:step], true) THEN n ELSE 0 END)::BIGINT AS kept,
+         sum(CASE WHEN o[step] AND NOT list_contains(o[1:step - 1], true) THEN n ELSE 0 END)::BIGINT AS removed,
+         sum(CASE WHEN o[step] AND list_contains(o[1:step - 1], true) THEN n ELSE 0 END)::BIGINT AS redundant,
+         sum(CASE WHEN o[step] AND failed = 1 THEN n ELSE 0 END)::BIGINT AS unique_fails,
+         sum(CASE WHEN o[step] AND NOT list_contains(o[1:step - 1], true) THEN good ELSE 0 END)::BIGINT AS good_lost,
+         sum(CASE WHEN o[step] AND NOT list_contains(o[1:step - 1], true) THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM seen GROUP BY part, filter_order, step
+)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, filter_order[step]))::BIGINT AS shapley
+FROM steps
+""")
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+# --- 13: token counts ---------------------------------------------------------------------
+TOKEN_LIMIT = 2048
+
+
+@query("op13_token_counts")
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
+    return token_counts.over_limit(counts, TOKEN_LIMIT)

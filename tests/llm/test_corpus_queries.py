@@ -12,7 +12,7 @@ from tools.oracle_check import _rows
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "labels"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return c
 
@@ -26,7 +26,7 @@ def test_query_matches_sql(spark, con, name):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in catalogue.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in catalogue.QUERIES) == list(range(1, 14))
 
 
 def test_stages_keep_the_columns_and_take_effect(spark, tmp_path):
