@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from cyclemart.llm.common import fresh
 
 SHORT = 64  # bytes of a word up to which the rank array is scanned
-CACHE_WORDS = 300_000  # words a task remembers; beyond, the table starts anew
+CACHE_WORDS = 100_000  # words a task remembers; beyond, the table starts anew
 
 TEXT_AT_A_TIME = 1 << 20  # characters whose words are learned together
 WORDS_AT_A_TIME = 16_384  # rows of the rank array
@@ -309,16 +309,17 @@ def encoded_with_check(docs: DataFrame, path: str, key: str = "doc_id", text: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
-            got, exact = [], []
-            for some in _some(batch.column(1)):
-                for t, (_, ids) in zip(some, v.encode_all(some)):
-                    got.append(pa.array(ids, pa.int32()))
-                    exact.append(v.decode(ids) == t)
-            counts = [len(x) for x in got]
-            offsets = pa.array([0, *itertools.accumulate(counts)], pa.int32())
-            flat = pa.concat_arrays(got) if got else pa.array([], pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.ListArray.from_arrays(offsets, flat), pa.array(exact, pa.bool_())],
-                names=[f.name for f in schema.fields])
+            at = 0
+            for some in _some(batch.column(1)):  # a batch's ids may be larger than its texts
+                coded = [ids for _, ids in v.encode_all(some)]
+                counts = [len(ids) for ids in coded]
+                flat = np.fromiter(itertools.chain.from_iterable(coded), np.int32, sum(counts))
+                offsets = pa.array([0, *itertools.accumulate(counts)], pa.int32())
+                exact = [v.decode(ids) == t for t, ids in zip(some, coded)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, len(some)), pa.array(counts, pa.int64()),
+                     pa.ListArray.from_arrays(offsets, pa.array(flat)), pa.array(exact, pa.bool_())],
+                    names=[f.name for f in schema.fields])
+                at += len(some)
 
     return docs.select(key, text).mapInArrow(run, schema)
