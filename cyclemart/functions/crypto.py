@@ -1,52 +1,64 @@
-"""Column encryption (CR-1, CR-2) with Spark's built-in AES (GCM by default)."""
+"""Column encryption (CR-1, CR-2) with Spark's built-in AES (GCM by default).
+
+With a plain key the text is the ciphertext.  With a :class:`~cyclemart.functions.keyring.KeyRing`
+it names its key, and the key is chosen from it on decryption.
+"""
 
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cyclemart.functions.keyring import KeyRing, _checked, seal, secret, unseal
+
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def _key(key: str | bytes) -> Column:
-    """The key as a column that no plan shows.
+    """The key as a column that no plan shows."""
+    return secret(pa.binary(), _checked(key))
 
-    A literal would be printed in every plan and written to the event log.  The key is the
-    only row of a local table instead, read by an uncorrelated scalar subquery: plans show
-    the subquery, not its value.
-    """
-    if isinstance(key, str):
-        key = key.encode("utf-8")
-    if len(key) not in (16, 24, 32):
-        raise ValueError("AES key must be 16, 24 or 32 bytes long")
-    # another thread of the driver has no active session of its own
-    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
-    table = spark.createDataFrame(pa.table({"aes_key": pa.array([bytes(key)], pa.binary())}))
-    return table.scalar()
+
+def encrypt_bytes(data: Column, key: str | bytes | KeyRing, mode: str = "GCM") -> Column:
+    """Ciphertext of a binary column; with a ring it names its key."""
+    return seal(data, key) if isinstance(key, KeyRing) else F.aes_encrypt(data, _key(key), F.lit(mode))
 
 
-def encrypt_column(value: str | Column, key: str | bytes, mode: str = "GCM") -> Column:
-    """``base64(aes_encrypt(value, key))`` as one line of text. NULL stays NULL.
+def try_decrypt_bytes(data: Column, key: str | bytes | KeyRing, mode: str = "GCM") -> Column:
+    """Inverse of :func:`encrypt_bytes`; NULL for what does not decrypt."""
+    return unseal(data, key) if isinstance(key, KeyRing) else F.try_aes_decrypt(data, _key(key), F.lit(mode))
+
+
+def encrypt_column(value: str | Column, key: str | bytes | KeyRing, mode: str = "GCM") -> Column:
+    """``base64`` of the ciphertext as one line of text. NULL stays NULL.
 
     Spark may wrap long base64 output MIME-style; the line breaks are removed so every
     value stays on one line (a line-encrypted file relies on that).
     """
-    encoded = F.base64(F.aes_encrypt(_col(value).cast("binary"), _key(key), F.lit(mode)))
-    return F.regexp_replace(encoded, r"[\r\n]", "")
+    return one_line(encrypt_bytes(_col(value).cast("binary"), key, mode))
+
+
+def one_line(data: Column) -> Column:
+    """Base64 without line breaks."""
+    return F.translate(F.base64(data), "\r\n", "")
 
 
 def decrypt_column(
-    value: str | Column, key: str | bytes, mode: str = "GCM", strict: bool = False
+    value: str | Column, key: str | bytes | KeyRing, mode: str = "GCM", strict: bool = False
 ) -> Column:
     """Inverse of :func:`encrypt_column`.
 
-    Non-strict: text that is not base64, or does not decrypt with the key, gives NULL.
-    Strict: a bad value raises at run time.
+    Non-strict: text that is not base64, or does not decrypt (damaged, or made with another
+    key, or with one the ring lacks), gives NULL.  Strict: a bad value raises at run time.
     """
-    if strict:
-        return F.aes_decrypt(F.unbase64(_col(value)), _key(key), F.lit(mode)).cast("string")
     raw = F.try_to_binary(_col(value), F.lit("base64"))
-    return F.try_aes_decrypt(raw, _key(key), F.lit(mode)).cast("string")
+    if not strict:
+        return try_decrypt_bytes(raw, key, mode).cast("string")
+    if isinstance(key, KeyRing):
+        opened = unseal(raw, key).cast("string")
+        wrong = F.raise_error(F.lit("a value is damaged, or its key is not in the ring"))
+        return F.when(_col(value).isNull() | opened.isNotNull(), opened).otherwise(wrong.cast("string"))
+    return F.aes_decrypt(F.unbase64(_col(value)), _key(key), F.lit(mode)).cast("string")

@@ -20,6 +20,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from cyclemart.functions.keyring import KeyRing
 from cyclemart.functions.timeutil import instant
 from cyclemart.operators.aggregates import commission_by_agent_policy
 from cyclemart.operators.filters import (
@@ -34,6 +35,7 @@ from cyclemart.sources.files import (
     CORRUPT_COL, discover_cycle_files, load_cycle, read_csv, remove_staged, stage_parquet,
     with_provenance,
 )
+from cyclemart.sources.frames import read_encrypted_frames
 from cyclemart.streaming.arrivals import utc_now
 
 log = logging.getLogger(__name__)
@@ -85,7 +87,7 @@ def ingest_cycle(
     staged_root: str,
     cycle_date: str,
     ingested_at: dt.datetime,
-    key: str | bytes | None = None,
+    key: str | bytes | KeyRing | None = None,
     encryption: str = "none",
     file_types: list[str] | None = None,
     glob: str | None = None,
@@ -93,12 +95,13 @@ def ingest_cycle(
 ) -> Ingested:
     """PL-1: discover the cycle's files, read every file of a type together, stage them.
 
-    ``encryption``: ``"none"`` (plain CSV with header), ``"files"`` (whole-file AES) or
-    ``"lines"`` (line-wise AES).  The types are staged concurrently.  Rows that do not
+    ``encryption``: ``"none"`` (plain CSV with header), ``"files"`` (whole-file AES),
+    ``"lines"`` (line-wise AES) or ``"frames"`` (files of any size; ``key`` is a key ring).
+    All forms give the same rows.  The types are staged concurrently.  Rows that do not
     decrypt or parse are counted by the staging write; if there are any they are written to
     ``{rejects_root}/{type}/cycle_date=...``, or, without such a place, the ingest raises.
     """
-    if encryption not in ("none", "files", "lines"):
+    if encryption not in ("none", "files", "lines", "frames"):
         raise ValueError(f"unknown encryption {encryption!r}")
     types = file_types or EXPECTED_FILE_TYPES
     paths, files = _places(discover_cycle_files(spark, landing_root, cycle_date, types, glob))
@@ -106,9 +109,11 @@ def ingest_cycle(
     def stage(file_type: str) -> int:
         schema = ENTITY_SCHEMAS[file_type]
         if encryption == "none":
-            df = read_csv(spark, paths[file_type], schema, keep_corrupt=True, glob=glob)
+            df = read_csv(spark, paths[file_type], schema, keep_corrupt=True, multi_line=True, glob=glob)
         elif encryption == "files":
             df = read_encrypted_files(spark, paths[file_type], key, schema, keep_corrupt=True, glob=glob)
+        elif encryption == "frames":
+            df = read_encrypted_frames(spark, paths[file_type], key, schema, keep_corrupt=True, glob=glob)
         else:
             df = read_encrypted_lines(spark, paths[file_type], key, schema, keep_corrupt=True, glob=glob)
         seen = Observation(f"ingest_{file_type}")
@@ -217,7 +222,7 @@ def run_cycle(
     fact_root: str,
     cycle_date: str,
     now: dt.datetime,
-    key: str | bytes | None = None,
+    key: str | bytes | KeyRing | None = None,
     encryption: str = "none",
     layout: str = "partitions",
     summary_root: str | None = None,
@@ -251,7 +256,7 @@ CYCLE_FAILURES = (QualityError, MergeError, RejectedRows, FileNotFoundError)
 
 
 def cycle_trigger(landing_root: str, staged_root: str, report_root: str, fact_root: str,
-                  now=utc_now, key: str | bytes | None = None, encryption: str = "none",
+                  now=utc_now, key: str | bytes | KeyRing | None = None, encryption: str = "none",
                   layout: str = "partitions", rejects_root: str | None = None):
     """Handler for the cycles that :func:`~cyclemart.streaming.arrivals.emit_once` passes on.
 

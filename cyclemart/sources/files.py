@@ -15,7 +15,6 @@ from __future__ import annotations
 import csv
 import datetime as dt
 import logging
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,11 +24,12 @@ from cyclemart.functions.paths import route_file_type
 from cyclemart.functions.timeutil import instant
 from cyclemart.session import empty_frame
 from cyclemart.schemas import ENTITY_SCHEMAS, EXPECTED_FILE_TYPES
+from cyclemart.sources.records import (
+    BETWEEN, CORRUPT_COL, DIALECT, cut_records, header_text, layouts, not_blank, parsed, split_read, strict, with_layout,
+)
 
 log = logging.getLogger(__name__)
 
-CORRUPT_COL = "_corrupt_record"
-
 
 def _hadoop_path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm  # noqa: SLF001
@@ -87,23 +87,20 @@ def header_positions(header: list[str], names: list[str], where: str = "") -> li
     return [places[n.lower()] for n in names]
 
 
-def _headers(spark: SparkSession, paths: list[str], glob: str | None) -> list[tuple[list[str], list[str] | None]]:
-    """The distinct headers of CSV files, each with its files (None: all of ``paths``).
-
-    Header lines are read on the executors, from the files' first splits; one row for each
-    distinct header comes back.  Only when headers differ do the files' names come, too.
-    """
+def _headers(spark: SparkSession, paths: list[str], glob: str | None) -> list[str]:
+    """The distinct header lines of CSV files, read on the executors from the first splits."""
     reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
     lines = reader.text(paths).filter(F.input_file_block_start() == 0).select(
         F.col("_metadata.file_path").alias("file"), F.struct(F.monotonically_increasing_id().alias("n"), "value").alias("line"))
-    first = lines.groupBy("file").agg(F.min("line").alias("line")).select(
-        "file", F.regexp_replace("line.value", "^\ufeff", "").alias("header"))
-    heads = sorted(r["header"] for r in first.select("header").distinct().collect())
-    split = [next(csv.reader([h]), []) for h in heads]
-    if len(heads) <= 1:
-        return [(h, None) for h in split]
-    files = {h: [r["file"] for r in first.filter(F.col("header") == h).select("file").collect()] for h in heads}
-    return [(s, files[h]) for h, s in zip(heads, split)]
+    first = lines.groupBy("file").agg(F.min("line").alias("line")).select(header_text("line.value").alias("header"))
+    return sorted(r["header"] for r in first.distinct().collect())
+
+
+def csv_lines(spark: SparkSession, paths: list[str], glob: str | None = None) -> DataFrame:
+    """(file, chunk, value): the lines of text files, in order in the tasks; a chunk is a split."""
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    return reader.option("lineSep", "\n").text(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("chunk"), "value")
 
 
 def read_csv(
@@ -123,42 +120,62 @@ def read_csv(
     letter case, and cast with ``try_cast`` (a bad value becomes NULL, which the quality
     rules then see); a schema column that a header lacks raises.  Without ``by_name``
     columns are taken by position.  ``keep_corrupt`` adds ``_corrupt_record``, which holds
-    the lines that have too few or too many fields; without it reading such a line fails.
-    ``multi_line`` allows line breaks in quoted fields (files are then not split).
+    the records that have too few or too many fields; without it reading one fails.
+    ``multi_line`` allows line breaks in quoted fields.  Such files are read in splits like
+    any other (:mod:`cyclemart.sources.records`), and so are files whose headers differ.
     """
     paths = paths if isinstance(paths, list) else [paths]
-    reader = spark.read.option("header", str(header).lower()).option("multiLine", str(multi_line).lower())
+    reader = spark.read.options(**DIALECT).option("header", str(header).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if schema is None:
         if not infer_schema:
             raise ValueError("pass a schema, or infer_schema=True")
-        return reader.option("inferSchema", "true").csv(paths)
+        return reader.option("multiLine", str(multi_line).lower()).option("inferSchema", "true").csv(paths)
     reader = reader.option("mode", "PERMISSIVE" if keep_corrupt else "FAILFAST")
     extra = []
     if keep_corrupt:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
         extra = [T.StructField(CORRUPT_COL, T.StringType(), True)]
-    if not (header and by_name):
+    if not (header and by_name) and not multi_line:
         return reader.schema(T.StructType([*schema.fields, *extra])).csv(paths)
-    parts = []
-    # Spark takes one schema for all files; files whose headers differ (another column
-    # order) are read in one group per distinct header.
-    for names, files in _headers(spark, paths, glob):
-        places = header_positions(names, schema.names)
-        text = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))] + extra)
-        raw = reader.schema(text).csv(files or paths)
-        parts.append(raw.select(
-            *[F.col(f"_c{p}").try_cast(f.dataType).alias(f.name) for p, f in zip(places, schema.fields)],
-            *[f.name for f in extra]))
-    if not parts:  # no file, or only empty ones
+    texts = None if multi_line else _headers(spark, paths, glob)
+    if texts is not None and len(texts) == 1:
+        return _one_layout(reader, paths, schema, extra, texts[0])
+    if texts == []:  # no file, or only empty ones
         return empty_frame(spark, T.StructType([*schema.fields, *extra]))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    lines = csv_lines(spark, paths, glob)
+    found, states = split_read(lines, schema, header)
+    named = states.filter(F.col("header").isNotNull()).select("file", header_text("header").alias("header"))
+    if header and by_name:
+        places, texts = layouts(named, schema.names)
+        if not places:
+            return empty_frame(spark, T.StructType([*schema.fields, *extra]))
+    else:
+        places, texts = [(list(range(len(schema.names))), len(schema.names))], []
+    if found is None and len(places) == 1:  # no record spans lines: Spark's own reader will do
+        if header and by_name:
+            return _one_layout(reader, paths, schema, extra, texts[0])
+        return reader.schema(T.StructType([*schema.fields, *extra])).csv(paths)
+    if found is None:
+        cut = cut_records(lines.withColumn("enters", F.lit(BETWEEN))).filter(~F.col("first") | F.lit(not header))
+        found = cut.select("file", "record", F.col("record").alias("raw")).filter(not_blank())
+    rows = parsed(with_layout(found, named, texts), schema, places, F.col("raw"))
+    return rows if keep_corrupt else strict(rows, schema)
+
+
+def _one_layout(reader, paths: list[str], schema: T.StructType, extra: list[T.StructField], header: str) -> DataFrame:
+    """Files that have one header, by Spark's CSV reader."""
+    names = next(csv.reader([header]), [])
+    places = header_positions(names, schema.names)
+    text = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))] + extra)
+    return reader.schema(text).csv(paths).select(
+        *[F.col(f"_c{p}").try_cast(f.dataType).alias(f.name) for p, f in zip(places, schema.fields)], *[f.name for f in extra])
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
     """Write ``df`` as CSV part files (used to land test files)."""
-    df.write.mode("overwrite").option("header", str(header).lower()).csv(path)
+    df.write.mode("overwrite").options(**DIALECT).option("header", str(header).lower()).csv(path)
 
 
 def with_provenance(df: DataFrame, cycle_date: str, file_type: str | Column,
