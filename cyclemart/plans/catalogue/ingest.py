@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cyclemart.functions.crypto import decrypt_column, encrypt_column
+from cyclemart.functions.keyring import KeyRing
 from cyclemart.functions.timeutil import instant
 from cyclemart.plans.catalogue.base import CYCLE, DEMO_KEY, NOW, _orders, query
 from cyclemart.session import scratch_path
 from cyclemart.sources.encrypted import (
     read_encrypted_files, read_encrypted_lines, write_encrypted_files, write_encrypted_lines,
 )
+from cyclemart.sources.frames import read_encrypted_frames, rewrap_frames, write_encrypted_frames
 from cyclemart.sources.files import read_csv, read_staged, stage_parquet, with_provenance, write_csv
 from cyclemart.sources.tables import read_table
 
@@ -150,3 +152,86 @@ def reingest_empty_cycle(spark, root):
         line = spark.range(1).select(F.lit(run).alias("run"), F.lit(n).cast("long").alias("rows"))
         out = line if out is None else out.unionByName(line)
     return out
+
+
+# ------------------------------------------------------------------ key rings and large files
+def _ring() -> KeyRing:
+    return KeyRing({"k1": "first-key-123456"}, "k1")
+
+
+@query("key_rotation", """
+SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_custkey END AS c_custkey,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_name END AS c_name, c_mktsegment = 'BUILDING' AS is_reject
+FROM customer""")
+def key_rotation(spark, root):
+    """CR-1/2 + IO-2: one read over lines sealed before and after a rotation; lines sealed with
+    a key that the reader's ring lacks are rejects."""
+    c = read_table(spark, root, "customer")
+    path = scratch_path(spark, "rotation")
+    old = _ring()
+    new = old.rotated("k2", "second-key-12345")
+    stray = KeyRing({"k9": "a-retired-key-00"}, "k9")
+    building, early = F.col("c_mktsegment") == "BUILDING", F.col("c_acctbal") < 0
+    for name, ring, rows in (("early", old, c.filter(~building & early)), ("late", new, c.filter(~building & ~early)), ("stray", stray, c.filter(building))):
+        write_encrypted_lines(rows.select("c_custkey", "c_name"), f"{path}/{name}", ring)
+    schema = T.StructType.fromDDL("c_custkey long, c_name string")
+    back = read_encrypted_lines(spark, [f"{path}/{n}" for n in ("early", "late", "stray")], new, schema, keep_corrupt=True)
+    return back.select("c_custkey", "c_name", F.col("_corrupt_record").isNotNull().alias("is_reject"))
+
+
+_NOTES_SQL = "SELECT c_custkey, c_name || chr(10) || 'say \"' || c_mktsegment || '\", twice' AS note, c_nationkey FROM customer"
+
+
+def _notes(spark, root):
+    note = F.concat("c_name", F.lit('\nsay "'), "c_mktsegment", F.lit('", twice'))
+    return read_table(spark, root, "customer").select("c_custkey", note.alias("note"), "c_nationkey")
+
+
+@query("encrypted_frames", _NOTES_SQL)
+def encrypted_frames(spark, root):
+    """IO-2: files of frames that many tasks decrypt, records across frames; then a rotation
+    that renews the sealed data keys alone, and a read with the new key alone."""
+    path = scratch_path(spark, "frames")
+    notes = _notes(spark, root)
+    write_encrypted_frames(notes, f"{path}/landed", _ring(), frame_chars=2_000)
+    ring = _ring().rotated("k2", "second-key-12345")
+    rewrap_frames(spark, f"{path}/landed", f"{path}/rotated", ring)
+    return read_encrypted_frames(spark, f"{path}/rotated", ring.without("k1"), notes.schema)
+
+
+@query("csv_quoted_line_breaks", _NOTES_SQL)
+def csv_quoted_line_breaks(spark, root):
+    """IO-3: plain CSV with quoted line breaks and quotes, read in splits."""
+    path = scratch_path(spark, "quoted")
+    notes = _notes(spark, root)
+    write_csv(notes, path)
+    return read_csv(spark, path, notes.schema, multi_line=True)
+
+
+_FORMS = ("plain", "lines", "files", "frames")
+
+
+@query("encrypted_forms_agree", f"""
+SELECT form, c_custkey, md5(CASE WHEN c_acctbal > 9990 THEN repeat('long ', 40000) ELSE c_name || chr(10) || '"' || c_mktsegment END) AS note_md5,
+       CASE WHEN c_nationkey = 3 THEN NULL ELSE c_acctbal END AS c_acctbal
+FROM customer, (VALUES {", ".join(f"('{f}')" for f in _FORMS)}) t(form)""")
+def encrypted_forms_agree(spark, root):
+    """IO-2, PL-1: fields of 200,000 characters, quoted line breaks and bad values give the same
+    rows, whatever form they were landed in."""
+    c = read_table(spark, root, "customer")
+    note = F.when(F.col("c_acctbal") > 9990, F.repeat(F.lit("long "), F.lit(40_000))).otherwise(F.concat("c_name", F.lit('\n"'), "c_mktsegment"))
+    rows = c.select("c_custkey", note.alias("note"), F.when(F.col("c_nationkey") == 3, F.lit("abc")).otherwise(F.col("c_acctbal").cast("string")).alias("c_acctbal"))
+    schema = T.StructType.fromDDL("c_custkey long, note string, c_acctbal double")
+    path, ring = scratch_path(spark, "forms"), _ring()
+    write_csv(rows, f"{path}/plain")
+    write_encrypted_lines(rows, f"{path}/lines", ring)
+    write_encrypted_files(rows.withColumn("one", F.lit("")), f"{path}/files", ring, "one")
+    write_encrypted_frames(rows, f"{path}/frames", ring, frame_chars=50_000)
+    read = {
+        "plain": read_csv(spark, f"{path}/plain", schema, multi_line=True),
+        "lines": read_encrypted_lines(spark, f"{path}/lines", ring, schema),
+        "files": read_encrypted_files(spark, f"{path}/files", ring, schema),
+        "frames": read_encrypted_frames(spark, f"{path}/frames", ring, schema),
+    }
+    out = [read[form].select(F.lit(form).alias("form"), "c_custkey", F.md5("note").alias("note_md5"), "c_acctbal") for form in _FORMS]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])

@@ -13,10 +13,11 @@ quotes before it.  Files are still read in splits:
    in pieces, which alone are shuffled and joined again.
 
 Dialect, one for all forms of input: fields separated by commas, quoted with ``"``, a quote
-inside a quoted field doubled; records end at ``\\n`` or ``\\r\\n``; a quote inside an unquoted
-field is an ordinary character; after a closing quote anything up to the next comma belongs
-to the field; blank lines are no records.  A record whose quote never closes, or longer than
-``MAX_RECORD_CHARS``, is a corrupt one and keeps its text, in pieces.
+inside a quoted field doubled; records end at ``\\n`` or ``\\r\\n``, and of one that ends at
+``\\r\\n`` the quoted line breaks become ``\\n``; an empty field is NULL, quoted or not; a
+quote inside an unquoted field is an ordinary character; after a closing quote anything up to
+the next comma belongs to the field; blank lines are no records.  A record whose quote never
+closes, or longer than ``MAX_RECORD_CHARS``, is a corrupt one and keeps its text, in pieces.
 """
 
 from __future__ import annotations
@@ -239,7 +240,8 @@ def parsed(records: DataFrame, schema: T.StructType, places: list[tuple[list[int
     optimizer does not copy into a filter.
     """
     options = {**DIALECT, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL, "multiLine": "true"}
-    record = F.when(F.col("record").endswith("\r"), F.expr("left(record, length(record) - 1)")).otherwise(F.col("record"))
+    unended = F.expr("left(record, length(record) - 1)")
+    record = F.when(F.col("record").endswith("\r"), F.replace(unended, F.lit("\r\n"), F.lit("\n"))).otherwise(F.col("record"))
 
     def fields(width: int) -> Column:
         text = ", ".join(f"_c{i} string" for i in range(width))
