@@ -6,8 +6,8 @@ pruning is accounted for); it is multiplied by ``BROADCAST_INFLATION`` to bound
 decompressed, hashed in-memory relation, and that must stay below
 ``max_broadcast_bytes``.  When the bound fails or the size is unknown, no hint is given
 and the planner (with AQE's runtime statistics) picks the strategy; AQE still converts to
-a broadcast at run time if the real shuffle output is small, and splits skewed
-partitions of sort-merge joins.
+a broadcast at run time if the real shuffle output is small.  Hot keys of shuffle joins are
+split by the plan itself (:mod:`cyclemart.operators.skew`): that needs no session setting.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cyclemart.operators.skew import SPLITTABLE, heavy_keys, replicated, salted, split_join, tasks_of
 from cyclemart.schemas import PROVENANCE_COLUMNS
 
 log = logging.getLogger(__name__)
@@ -78,10 +79,13 @@ def join(
     """USING-style equi-join (one merged key column per name, keys first).
 
     ``strategy``: ``"broadcast"`` broadcasts ``right`` when its estimated size fits,
-    ``"merge"`` asks for a sort-merge join, ``"auto"`` leaves it to the planner.
+    ``"merge"`` asks for a sort-merge join, ``"split"`` for a shuffle join that splits the
+    hot keys of ``left``, ``"auto"`` leaves it to the planner.
     """
     keys = guard_condition(on, how)
     how_n = how.lower()
+    if strategy == "split":
+        return split_join(left, right, keys, how)
     if strategy == "broadcast":
         if how_n in _BROADCAST_RIGHT_OK and fits_broadcast(right, max_broadcast_bytes):
             right = F.broadcast(right)
@@ -95,6 +99,13 @@ def join(
     return left.join(right, on=keys, how=how)
 
 
+def planner_broadcasts(df: DataFrame) -> bool:
+    """True when the planner itself would broadcast ``df``, by its size estimate."""
+    size = estimated_size_bytes(df)
+    conf = df.sparkSession._jsparkSession.sessionState().conf()  # noqa: SLF001 - it parses sizes
+    return size is not None and size <= int(conf.autoBroadcastJoinThreshold())
+
+
 def broadcast_join(left: DataFrame, right: DataFrame, join_key: str | list[str],
                    join_type: str = "inner",
                    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
@@ -126,6 +137,10 @@ class StarJoin:
     Provenance columns are dropped from every dimension first.  Any other clash of a
     non-key column raises (``clash="raise"``) or is prefixed with the table name
     (``clash="prefix"``).
+
+    Dimensions that nobody broadcasts are joined by shuffle, and the fact's hot keys are then
+    split (``split_hot_keys``): one scan of the key columns for each key finds them, and all
+    joins on a key share one salted partitioning.
     """
 
     fact: str
@@ -133,11 +148,13 @@ class StarJoin:
     drop_from_dimensions: list[str] = field(default_factory=lambda: list(PROVENANCE_COLUMNS))
     clash: str = "raise"
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES
+    split_hot_keys: bool = True
 
     def apply(self, tables: dict[str, DataFrame]) -> DataFrame:
         if self.fact not in tables or tables[self.fact] is None:
             raise ValueError(f"fact table {self.fact!r} is required")
         result = tables[self.fact]
+        split: dict[tuple[str, ...], tuple[DataFrame, str] | None] = {}
         for step in self.steps:
             dim = tables.get(step.table)
             if dim is None:
@@ -151,8 +168,26 @@ class StarJoin:
                     dim = dim.withColumnsRenamed({c: f"{step.table}_{c}" for c in clashes})
                 else:
                     raise JoinError(f"columns {clashes} of {step.table} clash with the fact side")
+            if self._by_shuffle(step, dim):
+                if tuple(keys) not in split:
+                    heavy = heavy_keys(tables[self.fact], keys, tasks_of(result))
+                    salt = f"__salt{len(split)}"
+                    split[tuple(keys)] = heavy and (heavy, salt)
+                    if heavy:
+                        result = salted(result, keys, heavy, salt)
+                if found := split[tuple(keys)]:
+                    dim, keys = replicated(dim, keys, *found), [*keys, found[1]]
             result = join(result, dim, keys, step.how, step.strategy, self.max_broadcast_bytes)
-        return result
+        return result.drop(*[found[1] for found in split.values() if found])
+
+    def _by_shuffle(self, step: JoinStep, dim: DataFrame) -> bool:
+        """Whether a step will shuffle the fact, and its hot keys can be split."""
+        how = step.how.lower()
+        if not self.split_hot_keys or how not in SPLITTABLE or not set(_keys(step.on)) <= set(dim.columns):
+            return False
+        if step.strategy == "merge":
+            return True
+        return not planner_broadcasts(dim) and not (step.strategy == "broadcast" and fits_broadcast(dim, self.max_broadcast_bytes))
 
 
 # The commission chain: policy (inner), then left joins with feature, exchange, coverage

@@ -9,7 +9,7 @@ from cyclemart.operators.filters import (
     apply_filters, policy_filter, with_audit_columns, with_commission,
 )
 from cyclemart.operators.joins import (
-    broadcast_join, COMMISSION_STAR, join, JoinError, sort_merge_join, StarJoin,
+    broadcast_join, COMMISSION_STAR, join, JoinError, JoinStep, sort_merge_join, StarJoin,
 )
 from cyclemart.plans.catalogue.base import CYCLE, _li, NOW, _orders, query, _transactions, _TX_WHERE
 from cyclemart.sources.tables import read_table
@@ -158,3 +158,23 @@ def join_guard(spark, root):
         except JoinError:
             refused += 1
     return join(nation, region, "r_regionkey").select("n_name", "r_name", F.lit(refused).alias("refused"))
+
+
+@query("hot_key_join", """
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, CAST(k AS BIGINT) AS s_suppkey, s.s_name
+FROM (SELECT *, CASE WHEN l_returnflag = 'N' THEN 1 ELSE l_suppkey END AS k FROM lineitem) l LEFT JOIN supplier s ON k = s_suppkey""")
+def hot_key_join(spark, root):
+    """JN-2: half of the rows hold one key; the plan splits it whatever the session allows."""
+    key = F.when(F.col("l_returnflag") == "N", F.lit(1)).otherwise(F.col("l_suppkey")).cast("long")
+    lines = _li(spark, root).select("l_orderkey", "l_linenumber", "l_partkey", key.alias("s_suppkey"))
+    names = read_table(spark, root, "supplier").select(F.col("s_suppkey").cast("long").alias("s_suppkey"), "s_name")
+    return join(lines, names, "s_suppkey", "left", "split").select("l_orderkey", "l_linenumber", "l_partkey", "s_suppkey", "s_name")
+
+
+@query("star_join_split", _STAR_SQL.format(extra=""))
+def star_join_split(spark, root):
+    """JN-3: the star by shuffle joins alone, hot policies split."""
+    steps = [JoinStep(s.table, s.on, s.how, "merge") for s in COMMISSION_STAR]
+    joined = StarJoin("transactions", steps, max_broadcast_bytes=0).apply(star_tables(spark, root))
+    return with_commission(joined).select(
+        "policy_id", "ln", "agent_id", "coverage_id", "rider_id", "p_brand", "s_nationkey", "commission_amount")
