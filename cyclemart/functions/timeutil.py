@@ -10,10 +10,18 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from zoneinfo import ZoneInfo
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
+def utc_instant(spark: SparkSession, value: dt.datetime) -> dt.datetime:
+    """An injected instant in UTC; a naive one is a wall-clock time in the session time zone."""
+    zone = ZoneInfo(spark.conf.get("spark.sql.session.timeZone"))
+    return (value if value.tzinfo else value.replace(tzinfo=zone)).astimezone(dt.timezone.utc)
+
+
 def instant(value: dt.datetime | dt.date | Column | str | None) -> Column:
     """A TIMESTAMP column for an injected instant (``None`` -> ``current_timestamp``)."""
     if value is None:

@@ -68,6 +68,35 @@ def guard_condition(on, how: str) -> list[str]:
     return keys
 
 
+def _plan_nodes(plan):
+    """The nodes of a physical plan, those of subqueries too."""
+    pending = [plan]
+    while pending:
+        node = pending.pop()
+        yield node
+        if node.nodeName() == "AdaptiveSparkPlan":
+            pending.append(node.initialPlan())
+        for seq in (node.children(), node.subqueries()):
+            pending.extend(seq.apply(i) for i in range(seq.size()))
+
+
+#: Physical joins that compare every row with every row.
+_UNKEYED = {"CartesianProduct", "BroadcastNestedLoopJoin"}
+
+
+def guard_plan(df: DataFrame) -> DataFrame:
+    """JN-4 on the plan: ``df`` itself, unless its plan has a join without an equality of keys.
+
+    A condition may name keys and still vanish (a column compared with itself, a literal); what
+    counts is what the optimizer has made of it, before any action runs.
+    """
+    plan = df._jdf.queryExecution().executedPlan()  # noqa: SLF001 - planned, not run
+    found = sorted({n.nodeName() for n in _plan_nodes(plan)} & _UNKEYED)
+    if found:
+        raise JoinError(f"the plan joins without keys ({', '.join(found)}): its condition is no equality of two sides' columns")
+    return df
+
+
 def join(
     left: DataFrame,
     right: DataFrame,

@@ -29,8 +29,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cyclemart.functions.timeutil import instant
-from cyclemart.operators.dedup import has_duplicate_keys, keep_first
+from cyclemart.functions.timeutil import instant, utc_instant
+from cyclemart.operators.dedup import duplicate_keys, has_duplicate_keys, keep_first, latest_per_key
 from cyclemart.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, fits_broadcast
 from cyclemart.schemas import INITIAL_LOAD_BY, MERGE_UPDATED_BY
 from cyclemart.session import empty_frame, materialize
@@ -54,6 +54,11 @@ def _ts(now: dt.datetime | Column | None) -> Column:
     return instant(now)
 
 
+def _instant(now: dt.datetime | Column | None) -> dt.datetime | None:
+    """The instant of a publication, where one was injected as such."""
+    return now if isinstance(now, dt.datetime) else None
+
+
 def _spread(keys: list[str], prefix: str, all_cols: list[str]) -> Column:
     """0 for rows with a complete key; a hash bucket of the row for rows with a NULL key."""
     any_null = reduce(lambda a, b: a | b, [F.col(prefix + k).isNull() for k in keys])
@@ -242,6 +247,20 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
     out.close()
 
 
+def _write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a file that does not exist yet; False if another writer has made it."""
+    fs, p = _fs(spark, path)
+    try:
+        out = fs.create(p, False)
+    except Exception as failed:  # noqa: BLE001 - the stores name it differently
+        if fs.exists(p):
+            return False
+        raise failed
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    return True
+
+
 def _read_line(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
     stream = fs.open(p)
@@ -288,8 +307,10 @@ class _Numbered:
         return T.StructType.fromJson(json.loads(_read_line(self.spark, f"{self.path(number)}/{_SCHEMA_FILE}")))
 
     def _open(self, schema: T.StructType) -> int:
+        """A number that no other writer has: the first to create its first file takes it."""
         number = max(self._numbers(), default=0) + 1
-        _write_text(self.spark, f"{self.path(number)}/{_SCHEMA_FILE}", json.dumps(schema.jsonValue()))
+        while not _write_new(self.spark, f"{self.path(number)}/{_SCHEMA_FILE}", json.dumps(schema.jsonValue())):
+            number += 1
         return number
 
     def _fill(self, df: DataFrame, number: int, partition_by: list[str]) -> None:
@@ -300,8 +321,8 @@ class _Numbered:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(number))
 
-    def _expose(self, number: int) -> None:
-        _write_text(self.spark, f"{self.path(number)}/{_PUBLISHED}", "")
+    def _expose(self, number: int, text: str = "") -> None:
+        _write_text(self.spark, f"{self.path(number)}/{_PUBLISHED}", text)
 
     def _remove(self, path: str) -> None:
         fs, p = _fs(self.spark, path)
@@ -335,15 +356,45 @@ class VersionedTable(_Numbered):
         return (self.spark.read.option("basePath", self.path(version))
                     .schema(self._stored_schema(version)).parquet(self.path(version)))
 
-    def publish(self, df: DataFrame, tag: str | None = None) -> int:
-        """Write ``df`` as the next version; ``tag`` marks it."""
+    def publish(self, df: DataFrame, tag: str | None = None, at: dt.datetime | None = None) -> int:
+        """Write ``df`` as the next version; ``tag`` marks it, ``at`` is its instant.
+
+        Instants never fall from one version to the next: an earlier one counts as that of
+        the version before.
+        """
         version = self._open(df.schema)
         if tag is not None:
             _write_text(self.spark, f"{self.path(version)}/_TAG_{tag}", "")
         self._fill(df, version, self.partition_by or [])
-        self._expose(version)
+        before = [v for v in self.versions() if v < version]
+        known = [t for t in (self.published_at(before[-1]) if before else None, at and utc_instant(self.spark, at)) if t is not None]
+        self._expose(version, max(known).isoformat() if known else "")
         return version
 
+    def published_at(self, version: int) -> dt.datetime | None:
+        """The instant a version was published with; None where none was known by then."""
+        text = _read_line(self.spark, f"{self.path(version)}/{_PUBLISHED}")
+        return dt.datetime.fromisoformat(text) if text else None
+
+    def version_as_of(self, instant: dt.datetime) -> int | None:
+        """The newest version that was published at or before ``instant``; None if there is
+        none.  Found by bisection: a few markers are read, however many versions there are."""
+        wanted, versions = utc_instant(self.spark, instant), self.versions()
+        low, high = 0, len(versions)
+        while low < high:
+            middle = (low + high) // 2
+            at = self.published_at(versions[middle])
+            # versions without an instant come before all that have one, and are never meant
+            low, high = (low, middle) if at is not None and at > wanted else (middle + 1, high)
+        return versions[low - 1] if low and self.published_at(versions[low - 1]) is not None else None
+
+    def read_as_of(self, instant: dt.datetime) -> DataFrame:
+        """The table as it was at an instant (IO-9)."""
+        version = self.version_as_of(instant)
+        if version is None:
+            raise FileNotFoundError(f"nothing was published under {self.root} by {instant}")
+        return self.read(version)
+
     def has_tag(self, tag: str, version: int | None = None) -> bool:
         """True when the version (default: latest) carries ``tag``."""
         version = self.latest() if version is None else version
@@ -416,12 +467,12 @@ def merge_or_init(
     if not table.exists():
         obs = Observation("initial_load")
         first = initial_load(df, now, cycle_date) if audit_columns else df
-        version = table.publish(first.observe(obs, F.count(F.lit(1)).alias("rows")), tag)
+        version = table.publish(first.observe(obs, F.count(F.lit(1)).alias("rows")), tag, _instant(now))
         rows = int(obs.get["rows"])
         return MergeOutcome(version, True, rows, {"inserted": rows, "updated": 0, "kept": 0}, True)
 
     merged, obs = _observed(scd1_merge(table.read(), df, keys, now=now, with_action=True, **merge_kwargs))
-    version = table.publish(merged, tag)
+    version = table.publish(merged, tag, _instant(now))
     counts = {k: int(v) for k, v in obs.get.items()}
     ok = None
     if integrity != "off":
@@ -560,6 +611,29 @@ class PartitionedTable(_Numbered):
         self._publish(self._read(current).where(~gone), sorted(names))
         return len(names)
 
+    def repair(self, keys: list[str], updated_col: str = "dw_updated_date", tie_breakers: list | None = None,
+               null_safe_keys: bool = False) -> tuple[int, int]:
+        """WN-2 on the published table: remove older duplicates, the newest ``updated_col`` stays.
+
+        The partitions that hold repeated keys are found from the key columns alone, and only
+        those are rewritten; all others keep their files.  Rows with a NULL key are
+        duplicates only with ``null_safe_keys``, as in a merge.  Returns the numbers of
+        partitions rewritten and of rows removed.
+        """
+        if self.partition_col not in keys:
+            raise MergeError(f"the partition column {self.partition_col!r} must be one of the keys {keys}")
+        whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        counted = F.lit(True) if null_safe_keys else whole
+        repeated = duplicate_keys(self.read().select(*keys).where(counted), keys)
+        found = repeated.groupBy(self.partition_col).agg(F.sum(F.col("cnt") - 1).alias("surplus")).collect()
+        if not found:  # one row for each partition to be rewritten
+            return 0, 0
+        names = {self._folder(r[0]) for r in found}
+        rows = self._read({name: n for name, n in self._current().items() if name in names})
+        kept = latest_per_key(rows.where(counted), keys, updated_col, tie_breakers)
+        self._publish(kept if null_safe_keys else kept.unionByName(rows.where(~whole)))
+        return len(names), int(sum(r["surplus"] for r in found))
+
     def _folder(self, value) -> str:
         utils = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils  # noqa: SLF001
         return utils.getPartitionPathString(self.partition_col, None if value is None else str(value))

@@ -5,10 +5,11 @@ A rule set is a plain dict::
     {"not_null": [cols], "no_duplicates": [keys], "positive_values": [cols],
      "allowed_values": {col: [values]}, "min_row_count": n}
 
-All row-level rules of a table are evaluated by **one** aggregate, each key list of
-``no_duplicates`` by one grouping (map-side partial counts, so hot keys stay cheap), and
-the results are unpivoted into rows of ``DQ_RESULT_SCHEMA``.  Evaluating every table of a
-cycle is a single action over a union; the result is one small row per rule.
+All rules of a table are evaluated in **one** scan: the row-level rules and the key lists of
+``no_duplicates`` (one list, or a list of lists) are grouping sets of one aggregate, whose
+partial counts keep hot keys cheap.  The results are unpivoted into rows of
+``DQ_RESULT_SCHEMA``.  Evaluating every table of a cycle is a single action over a union; the
+result is one small row per rule.
 """
 
 from __future__ import annotations
@@ -79,6 +80,7 @@ def _evaluate(df: DataFrame, table: str, rules: dict[str, Any], table_order: int
     base = table_order * 10_000
     aggs: list[Column] = [F.count(F.lit(1)).alias("__total")]
     rows: list[Column] = []
+    key_lists: list[list[str]] = []
     n = 0
 
     def agg(expr: Column) -> Column:
@@ -95,9 +97,11 @@ def _evaluate(df: DataFrame, table: str, rules: dict[str, Any], table_order: int
                          _ok_or(failing, F.concat(_s(failing), F.lit(f" null(s) found in '{column}'")))))
         order += 1
 
-    keys = rules.get("no_duplicates") or []
-    dup_order = order
-    if keys:
+    for keys in _key_lists(rules):
+        failing = F.col(f"__dup{len(key_lists)}")
+        key_lists.append(keys)
+        rows.append(_row(order, table, "no_duplicates", ",".join(keys), failing, failing == 0,
+                         _ok_or(failing, F.concat(_s(failing), F.lit(f" duplicate row(s) on {_pylist(keys)}")))))
         order += 1
 
     for column in rules.get("positive_values") or []:
@@ -124,19 +128,33 @@ def _evaluate(df: DataFrame, table: str, rules: dict[str, Any], table_order: int
             F.concat(F.lit("Row count "), _s(total), F.lit(f" < minimum {min_count}")))
         rows.append(_row(order, table, "min_row_count", None, failing, passed, details))
 
-    parts: list[DataFrame] = []
-    if rows:
-        parts.append(df.agg(*aggs).select(F.inline(F.array(*rows))))
-    if keys:
-        surplus = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c"))
-                     .agg(F.coalesce(F.sum(F.col("__c") - 1), F.lit(0)).alias("__f")))
-        failing = F.col("__f")
-        parts.append(surplus.select(F.inline(F.array(_row(
-            dup_order, table, "no_duplicates", ",".join(keys), failing, failing == 0,
-            _ok_or(failing, F.concat(_s(failing), F.lit(f" duplicate row(s) on {_pylist(keys)}"))))))))
-    if not parts:
+    if not rows:
         return None
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    names = ["__total", *[f"__f{i}" for i in range(n)]]
+    totals = df.agg(*aggs) if not key_lists else _totals(df, aggs, names, key_lists)
+    return totals.select(F.inline(F.array(*rows)))
+
+
+def _key_lists(rules: dict[str, Any]) -> list[list[str]]:
+    """The key lists of ``no_duplicates``: a list of columns, or several of them."""
+    keys = rules.get("no_duplicates") or []
+    return [list(k) for k in keys] if keys and not isinstance(keys[0], str) else [list(keys)] if keys else []
+
+
+def _totals(df: DataFrame, aggs: list[Column], names: list[str], key_lists: list[list[str]]) -> DataFrame:
+    """One row: the aggregates ``names`` over all rows, and the surplus rows ``__dup{i}`` of
+    each key list, from one scan: the empty grouping set and one for each list."""
+    columns = sorted({k for keys in key_lists for k in keys})
+    sets = [[], *[[F.col(k) for k in keys] for keys in {tuple(sorted(set(k))) for k in key_lists}]]
+    grouped = df.groupingSets(sets, *[F.col(c) for c in columns]).agg(F.grouping_id().alias("__set"), *aggs)
+
+    def number(keys: list[str]) -> int:  # a bit for each column that is not in the set
+        return sum(1 << i for i, c in enumerate(reversed(columns)) if c not in keys)
+
+    whole = [F.coalesce(F.max(F.when(F.col("__set") == number([]), F.col(c))), F.lit(0)).alias(c) for c in names]
+    surplus = [F.coalesce(F.sum(F.when(F.col("__set") == number(keys), F.col("__total") - 1)), F.lit(0)).alias(f"__dup{i}")
+               for i, keys in enumerate(key_lists)]
+    return grouped.agg(*whole, *surplus)
 
 
 def evaluate_tables(
@@ -226,9 +244,8 @@ def run_gate(
 ) -> list[dict[str, Any]]:
     """DQ-9: evaluate, write the report, *then* gate.
 
-    One action evaluates all tables; its result (one row per rule) is reused for the report
-    and the gate.  A table with key rules is scanned twice, once for the rows and once for
-    the keys.
+    One action evaluates all tables, each in one scan; its result (one row per rule) is
+    reused for the report and the gate.
     """
     results = evaluate_tables(tables, rules, expected)
     rows = [r.asDict() for r in results.collect()]

@@ -9,7 +9,7 @@ from cyclemart.operators.filters import (
     apply_filters, policy_filter, with_audit_columns, with_commission,
 )
 from cyclemart.operators.joins import (
-    broadcast_join, COMMISSION_STAR, join, JoinError, JoinStep, sort_merge_join, StarJoin,
+    broadcast_join, COMMISSION_STAR, guard_plan, join, JoinError, JoinStep, sort_merge_join, StarJoin,
 )
 from cyclemart.plans.catalogue.base import CYCLE, _li, NOW, _orders, query, _transactions, _TX_WHERE
 from cyclemart.sources.tables import read_table
@@ -178,3 +178,17 @@ def star_join_split(spark, root):
     joined = StarJoin("transactions", steps, max_broadcast_bytes=0).apply(star_tables(spark, root))
     return with_commission(joined).select(
         "policy_id", "ln", "agent_id", "coverage_id", "rider_id", "p_brand", "s_nationkey", "commission_amount")
+
+
+@query("plan_guard", "SELECT n_name, r_name, 2 AS refused FROM nation JOIN region ON n_regionkey = r_regionkey")
+def plan_guard(spark, root):
+    """JN-4 on the plan: conditions that simplify away are refused before an action, keyed ones
+    run."""
+    nation, region, refused = read_table(spark, root, "nation"), read_table(spark, root, "region"), 0
+    for vanishing in (F.col("n_regionkey") == F.col("n_regionkey"), (F.col("n_regionkey") == F.col("r_regionkey")) | F.lit(True)):
+        try:
+            guard_plan(nation.join(region, vanishing))
+        except JoinError:
+            refused += 1
+    keyed = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return guard_plan(keyed).select("n_name", "r_name", F.lit(refused).alias("refused"))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from cyclemart.functions.timeutil import instant
 from cyclemart.operators.filters import with_audit_columns
 from cyclemart.operators.merge import (
     initial_load, integrity_ok, merge_counts, merge_or_init, MergeError, PartitionedTable, scd1_merge, VersionedTable,
@@ -209,3 +212,37 @@ def q_partition_merge(spark, root):
                         materialize_source=False)
     return table.read().select("o_orderkey", "order_month", "o_totalprice", "o_orderpriority",
                                "dw_updated_by", "dw_inserted_date")
+
+
+@query("as_of_read", f"""
+WITH {_PUBLISHED_T}
+SELECT moment, CAST(n AS BIGINT) AS rows, CAST(updated AS BIGINT) AS updated
+FROM (VALUES ('before the first', 0, 0)) v(moment, n, updated)
+UNION ALL SELECT 'between', COUNT(*), 0 FROM t
+UNION ALL SELECT 'after the last', (SELECT COUNT(*) FROM ({_MERGE_SQL})),
+       (SELECT COUNT(*) FROM orders WHERE o_orderdate >= TIMESTAMP '{MERGE_UPDATE_FROM} 00:00:00')""")
+def q_as_of_read(spark, root):
+    """IO-9: the table as it was at an instant, between two publications and around them."""
+    table = _published_orders(spark, root)
+    moments = {"before the first": T_INIT - dt.timedelta(seconds=1), "between": NOW - dt.timedelta(seconds=1), "after the last": NOW}
+    out = None
+    for name, at in moments.items():
+        version = table.version_as_of(at)
+        rows = table.read(version) if version is not None else table.read().limit(0)
+        line = rows.agg(F.count("*").alias("rows"), F.count_if(F.col("dw_updated_by") != "initial_load").alias("updated")).select(
+            F.lit(name).alias("moment"), "rows", "updated")
+        out = line if out is None else out.unionByName(line)
+    return out
+
+
+@query("published_repair", """
+SELECT o_orderkey, strftime(o_orderdate, '%Y%m') AS order_month, o_totalprice FROM orders""")
+def q_published_repair(spark, root):
+    """WN-2: a table that was published with older copies of the finished orders, repaired in
+    the partitions that hold them."""
+    o = _orders(spark, root).select("o_orderkey", F.date_format("o_orderdate", "yyyyMM").alias("order_month"), "o_totalprice", "o_orderstatus")
+    older = o.filter("o_orderstatus = 'F'").withColumn("o_totalprice", F.lit(-1.0)).withColumn("dw_updated_date", instant(T_INIT))
+    table = PartitionedTable(spark, scratch_path(spark, "repaired"), "order_month")
+    table._publish(o.withColumn("dw_updated_date", instant(NOW)).unionByName(older))  # noqa: SLF001 - past the key check
+    table.repair(["o_orderkey", "order_month"])
+    return table.read().select("o_orderkey", "order_month", "o_totalprice")

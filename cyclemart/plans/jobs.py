@@ -26,7 +26,7 @@ from cyclemart.operators.aggregates import commission_by_agent_policy
 from cyclemart.operators.filters import (
     policy_filter, transaction_filter, with_audit_columns, with_commission,
 )
-from cyclemart.operators.joins import COMMISSION_STAR, StarJoin, join
+from cyclemart.operators.joins import COMMISSION_STAR, StarJoin, guard_plan, join
 from cyclemart.operators.merge import MergeError, MergeOutcome, PartitionedTable, VersionedTable, merge_or_init
 from cyclemart.operators.quality import QualityError, run_gate
 from cyclemart.schemas import DQ_RULES, ENTITY_SCHEMAS, EXPECTED_FILE_TYPES, PRIMARY_KEYS
@@ -187,8 +187,10 @@ def publish_fact(table: VersionedTable | PartitionedTable, fact: DataFrame, now:
     """MG-4 for the fact: NULL-safe keys, because the left joins leave NULL ids.
 
     A fact key that repeats (e.g. two exchange rows share a code) raises instead of
-    silently publishing duplicates.
+    silently publishing duplicates, and so does a plan with a join without keys, before it
+    runs.
     """
+    fact = guard_plan(fact)
     if isinstance(table, PartitionedTable):
         # the fact's cycle is part of its key, so a transaction stays in its partition
         by_cycle = [*(keys or FACT_KEYS), *([table.partition_col] if table.partition_col not in (keys or FACT_KEYS) else [])]

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from cyclemart.operators.joins import (
     JoinError, JoinStep, StarJoin, broadcast_join, estimated_size_bytes, join, sort_merge_join,
@@ -85,3 +86,21 @@ def test_star_join_edge_rows(spark):
     assert set(rows) == {"T1", "T3"}  # T2 has no policy: dropped by the inner join
     assert rows["T1"].exchange_rate == 1.0 and rows["T3"].exchange_rate is None  # unknown code
     assert rows["T1"].coverage_id is None
+
+
+def test_guard_on_the_plan(spark):
+    from cyclemart.operators.joins import guard_plan
+
+    a = spark.range(100).selectExpr("id AS k", "id % 3 AS x")
+    b = spark.range(50).selectExpr("id AS k2", "id % 5 AS y")
+    keyed = a.join(b, F.col("k") == F.col("k2"))
+    assert guard_plan(keyed) is keyed and guard_plan(a.join(b.hint("merge"), (F.col("k") == F.col("k2")) & (F.col("x") < F.col("y")), "left"))
+    for condition in (F.col("k") == F.col("k"), F.lit(1) == F.lit(1), F.col("x") < F.col("y"), (F.col("k") == F.col("k2")) | F.lit(True)):
+        for how in ("inner", "left"):
+            with pytest.raises(JoinError, match="without keys"):
+                guard_plan(a.join(b, condition, how).groupBy("x").count())
+    with pytest.raises(JoinError):
+        guard_plan(a.crossJoin(b))
+    hidden = a.filter(F.col("x") == a.join(b).agg(F.count("*")).scalar())  # in a subquery
+    with pytest.raises(JoinError):
+        guard_plan(hidden)

@@ -215,3 +215,63 @@ def test_matched_keys_are_broadcast_once(spark):
     assert "Aggregate" in plan
     out = scd1_merge(hot, delta, ["id"], strategy="broadcast_source", with_action=True)
     assert {r[ACTION_COL]: r.rows for r in merge_counts(out).collect()} == {"updated": 100_000}
+
+
+def test_read_as_of_an_instant(spark, scratch):
+    table = VersionedTable(spark, scratch("asof"))
+    frames = [sized(spark, [(str(n), "x", float(n))], "id string, name string, amount double") for n in range(6)]
+    table.publish(frames[0])  # before instants were kept
+    days = [None, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 3), dt.datetime(2024, 1, 9), None]
+    for f, at in list(zip(frames, days))[1:]:
+        table.publish(f, at=at)
+
+    def as_of(*at, **kw):
+        return table.version_as_of(dt.datetime(*at, **kw))
+
+    assert as_of(2023, 12, 31) is None and as_of(2024, 1, 1) == 2 and as_of(2024, 1, 4, 23) == 2
+    assert as_of(2024, 1, 5) == 4  # an earlier instant counts as that of the version before
+    assert as_of(2024, 1, 8) == 4 and as_of(2024, 1, 9) == 6 and as_of(2030, 1, 1) == 6
+    assert as_of(2024, 1, 5, 1, tzinfo=dt.timezone(dt.timedelta(hours=2))) == 2  # 23:00 UTC of the 4th
+    assert table.read_as_of(dt.datetime(2024, 1, 2)).first().id == "1"
+    with pytest.raises(FileNotFoundError):
+        table.read_as_of(dt.datetime(2023, 1, 1))
+    reads = []
+    real = VersionedTable.published_at
+    for n in range(40):
+        table.publish(frames[0], at=dt.datetime(2024, 2, 1, n % 24) + dt.timedelta(days=n))
+    VersionedTable.published_at = lambda self, v: reads.append(v) or real(self, v)
+    try:
+        assert as_of(2024, 2, 10) > 6
+    finally:
+        VersionedTable.published_at = real
+    assert len(reads) <= 8  # bisection, not a scan
+
+
+def test_two_writers_take_two_numbers(spark, scratch):
+    one, two = VersionedTable(spark, scratch("writers")), None
+    two = VersionedTable(spark, one.root)
+    a, b = one._open(target(spark).schema), None  # noqa: SLF001 - both see the same listing
+    two._numbers = lambda: {}  # noqa: SLF001
+    b = two._open(target(spark).schema)  # noqa: SLF001
+    assert (a, b) == (1, 2)
+
+
+def test_repair_of_a_published_table(spark, scratch):
+    import os
+    from cyclemart.operators.merge import PartitionedTable
+    from cyclemart.session import local_path
+
+    table = PartitionedTable(spark, scratch("repair"), "cycle")
+    schema = "id string, cycle string, amount double, dw_updated_date timestamp"
+    rows = [("1", "A", 1.0, T0), ("2", "A", 2.0, T0), ("1", "A", 9.0, NOW), ("3", "B", 3.0, T0), (None, "C", 4.0, T0), (None, "C", 5.0, T0)]
+    table._publish(sized(spark, rows, schema))  # noqa: SLF001 - as a writer without the check would
+    files = {d: sorted(os.listdir(d)) for d, _, _ in os.walk(local_path(table.root)) if "cycle=B" in d or "cycle=C" in d}
+    assert table.repair(["id", "cycle"]) == (1, 1)
+    got = sorted((r.id or "", r.cycle, r.amount) for r in table.read().collect())
+    assert got == [("", "C", 4.0), ("", "C", 5.0), ("1", "A", 9.0), ("2", "A", 2.0), ("3", "B", 3.0)]
+    assert files == {d: sorted(os.listdir(d)) for d in files}  # untouched partitions keep their files
+    assert table.repair(["id", "cycle"]) == (0, 0)
+    assert table.repair(["id", "cycle"], tie_breakers=["amount"], null_safe_keys=True) == (1, 1)
+    assert sorted(r.amount for r in table.read().collect()) == [2.0, 3.0, 5.0, 9.0]
+    with pytest.raises(MergeError):
+        table.repair(["id"])

@@ -115,3 +115,26 @@ def test_gate_without_any_rules_passes_with_empty_report(spark, scratch):
     files = [f for f in os.listdir(local_path(path)) if f.endswith(".json")]
     report = json.loads(open(os.path.join(local_path(path), files[0])).read())
     assert (report["total_checks"], report["passed"], report["failed"]) == (0, 0, 0)
+
+
+def test_one_scan_for_row_rules_and_key_rules(spark, scratch):
+    path = scratch("scans")
+    df = spark.range(500).selectExpr("id % 100 AS a", "id % 7 AS b", "if(id % 50 = 0, null, id) AS c", "'x' AS unused")
+    df.write.parquet(path)
+    rules = {"not_null": ["c", "a"], "no_duplicates": [["a"], ["b", "a"], ["c"], ["a", "b"]], "positive_values": ["a"],
+             "allowed_values": {"b": [0, 1, 2]}, "min_row_count": 501}
+    out = evaluate(spark.read.parquet(path), "t", rules)
+    plan = out._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
+    assert plan.count("FileScan") == 1 and plan.count("Expand") == 1 and "unused" not in plan and "partial_count" in plan
+    got = [(r.rule, r.column, r.failing_count) for r in out.collect()]
+    pairs = len({(i % 100, i % 7) for i in range(500)})
+    assert got == [("not_null", "c", 10), ("not_null", "a", 0), ("no_duplicates", "a", 400), ("no_duplicates", "b,a", 500 - pairs),
+                   ("no_duplicates", "c", 9), ("no_duplicates", "a,b", 500 - pairs), ("positive_values", "a", 5),
+                   ("allowed_values", "b", sum(i % 7 > 2 for i in range(500))), ("min_row_count", None, 1)]
+
+
+def test_key_rules_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "a int, b string")
+    rows = evaluate(df, "t", {"not_null": ["a"], "no_duplicates": ["a", "b"], "min_row_count": 2}).collect()
+    assert [(r.rule, r.failing_count, r.passed) for r in rows] == [
+        ("not_null", 0, True), ("no_duplicates", 0, True), ("min_row_count", 2, False)]
