@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,13 +12,18 @@ from cyclemart.operators.merge import PartitionedTable
 from cyclemart.plans.catalogue.audit import _ARRIVALS_SQL
 from cyclemart.plans.catalogue.base import EVENT_TYPES, NOW, query, STREAM_DELAY
 from cyclemart.session import scratch_path
+from cyclemart.sources.files import list_files
 from cyclemart.sources.tables import read_table
 from cyclemart.streaming.alarms import window_alarm
 from cyclemart.streaming.arrivals import (
     arrival_stream, audit_sink, completed_cycles, dedupe_within_watermark, emit_once, run_available,
     run_available_foreach,
 )
+from cyclemart.streaming.cycle_state import cycle_transitions
+from cyclemart.streaming.listing import landed_file_stream
+
 
+LATER = dt.timedelta(hours=1)  # from a first run of a stream to the next
 
 # ============================================================== streaming (ST-1..ST-4)
 # Each streaming query runs over everything available (trigger availableNow) into a sink
@@ -64,6 +72,24 @@ def stream_complete_cycles(spark, root):
     return spark.read.parquet(f"{base}/out").select("cycle_date", "received_types")
 
 
+@query("stream_cycle_transitions", """
+WITH p AS (SELECT DISTINCT strftime(ts, '%Y%m%d') AS cycle_date, event_type FROM events
+           WHERE event_type IN ('click', 'error', 'purchase', 'signup', 'view')),
+     g AS (SELECT cycle_date, LIST_SORT(LIST(event_type)) AS got FROM p GROUP BY cycle_date)
+SELECT g.cycle_date, ARRAY_TO_STRING(got, ',') AS received_types, CAST(1 AS BIGINT) AS emitted FROM g WHERE LEN(got) = 5""")
+def stream_cycle_transitions(spark, root):
+    """ST-2 in keyed state: the arrivals of two types, then on the same checkpoint those of all;
+    each cycle is given at its step to complete, and once."""
+    base = scratch_path(spark, "stream-transitions")
+    for run, types in enumerate((EVENT_TYPES[:2], EVENT_TYPES, EVENT_TYPES)):
+        path = f"{base}/landed"
+        landed = _arrivals(read_table(spark, root, "events").filter(F.col("event_type").isin(types)))
+        landed.write.mode("append").parquet(path)
+        stream = spark.readStream.schema(landed.schema).parquet(path)
+        run_available(cycle_transitions(stream, EVENT_TYPES), f"{base}/out", f"{base}/checkpoint", no_data_batches=False)
+    return spark.read.parquet(f"{base}/out").groupBy("cycle_date", "received_types").agg(F.count("*").alias("emitted"))
+
+
 _STREAMED_AUDIT_SQL = _ARRIVALS_SQL.replace("ts AS ingestion_timestamp", "NOW_TS AS ingestion_timestamp").replace(
     "ts AS created_at, ts AS updated_at", "NOW_TS AS created_at, NOW_TS AS updated_at").replace(
     "NOW_TS", f"TIMESTAMP '{NOW:%Y-%m-%d %H:%M:%S}'") + "\nSELECT * FROM audit"
@@ -101,6 +127,36 @@ def stream_audit_restart(spark, root):
     return table.read()
 
 
+def _land_events(spark: SparkSession, root: str, landing: str) -> None:
+    """The events as landed files, by type and day."""
+    events = read_table(spark, root, "events")
+    day = F.concat(F.lit("cycle_"), F.date_format("ts", "yyyyMMdd"))
+    for row in events.select("event_type").distinct().collect():  # five event types
+        landed = events.filter(F.col("event_type") == row[0]).select(F.to_csv(F.struct("event_id", "user_id")).alias("value"), day.alias("cycle"))
+        landed.repartition("cycle").write.partitionBy("cycle").text(f"{landing}/raw/{row[0]}")
+
+
+@query("stream_rewritten_arrivals", f"""
+SELECT event_type AS file_type, strftime(ts, '%Y%m%d') AS cycle_date,
+       CASE WHEN event_type = 'click' THEN TIMESTAMP '{NOW + LATER:%Y-%m-%d %H:%M:%S}' ELSE TIMESTAMP '{NOW:%Y-%m-%d %H:%M:%S}' END AS ingestion_timestamp
+FROM events GROUP BY ALL""")
+def stream_rewritten_arrivals(spark, root):
+    """ST-1: files written again at a known path are audited again by the stream itself."""
+    base = scratch_path(spark, "rewritten")
+    _land_events(spark, root, f"{base}/landing")
+    table = PartitionedTable(spark, f"{base}/audit", "cycle_date")
+    for now in (NOW, NOW + LATER):
+        stream = landed_file_stream(spark, f"{base}/landing", suffix=".txt", settle=0)
+        plain = stream.withColumn("object_key", F.replace("object_key", F.lit("cycle=cycle_"), F.lit("cycle_")))
+        run_available_foreach(plain, audit_sink(table, "landing", now=lambda at=now: at), f"{base}/checkpoint")
+        if now == NOW:  # the files of one type get a new modification time, as if written again
+            path = spark._jvm.org.apache.hadoop.fs.Path  # noqa: SLF001
+            fs = path(base).getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+            for row in list_files(spark, f"{base}/landing/raw/click", "*.txt").select("path").toLocalIterator():
+                fs.setTimes(path(row["path"]), int(time.time() * 1000), -1)
+    return table.read().select("file_type", "cycle_date", "ingestion_timestamp").distinct()
+
+
 @query("landed_arrivals", f"""
 WITH f AS (
   SELECT DISTINCT event_type AS file_type, strftime(ts, '%Y%m%d') AS cycle_date FROM events)
@@ -109,11 +165,7 @@ FROM f GROUP BY cycle_date""")
 def landed_arrivals(spark, root):
     """ST-1 on real files: events landed by type and day, listed as a stream, audited."""
     base = scratch_path(spark, "landed")
-    events = read_table(spark, root, "events")
-    day = F.concat(F.lit("cycle_"), F.date_format("ts", "yyyyMMdd"))
-    for row in events.select("event_type").distinct().collect():  # five event types
-        landed = events.filter(F.col("event_type") == row[0]).select(F.to_csv(F.struct("event_id", "user_id")).alias("value"), day.alias("cycle"))
-        landed.repartition("cycle").write.partitionBy("cycle").text(f"{base}/landing/raw/{row[0]}")
+    _land_events(spark, root, f"{base}/landing")
     table = PartitionedTable(spark, f"{base}/audit", "cycle_date")
     stream = arrival_stream(spark, f"{base}/landing", glob="*.txt")
     plain = stream.withColumn("object_key", F.replace("object_key", F.lit("cycle=cycle_"), F.lit("cycle_")))

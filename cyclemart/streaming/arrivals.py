@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,23 +141,43 @@ def dedupe_within_watermark(df: DataFrame, keys: list[str], ts_col: str,
               .dropDuplicatesWithinWatermark(keys))
 
 
+_NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
+@contextmanager
+def _batches_without_data(spark: SparkSession, wanted: bool):
+    """Queries started inside run batches without data, or not.  A query whose state expires by
+    the clock always wants one more, and would never come to an end."""
+    before = spark.conf.get(_NO_DATA)
+    spark.conf.set(_NO_DATA, str(wanted).lower())
+    try:
+        yield
+    finally:
+        spark.conf.set(_NO_DATA, before)
+
+
 def run_available(df: DataFrame, sink_path: str, checkpoint: str, output_mode: str = "append",
-                  fmt: str = "parquet") -> None:
-    """Run a streaming query over everything available now, then stop (batch-style)."""
-    q = (df.writeStream.format(fmt).outputMode(output_mode)
-           .option("checkpointLocation", checkpoint)
-           .trigger(availableNow=True).start(sink_path))
+                  fmt: str = "parquet", no_data_batches: bool = True) -> None:
+    """Run a streaming query over everything available now, then stop (batch-style).
+
+    Pass ``no_data_batches=False`` for queries with state that expires by the clock.
+    """
+    with _batches_without_data(df.sparkSession, no_data_batches):
+        q = (df.writeStream.format(fmt).outputMode(output_mode)
+               .option("checkpointLocation", checkpoint)
+               .trigger(availableNow=True).start(sink_path))
     q.awaitTermination()
     if q.exception() is not None:  # pragma: no cover
         raise q.exception()
 
 
 def run_available_foreach(df: DataFrame, handler, checkpoint: str,
-                          output_mode: str = "append") -> None:
+                          output_mode: str = "append", no_data_batches: bool = True) -> None:
     """Run a ``foreachBatch`` query over everything available now, then stop."""
-    q = (df.writeStream.outputMode(output_mode).foreachBatch(handler)
-           .option("checkpointLocation", checkpoint)
-           .trigger(availableNow=True).start())
+    with _batches_without_data(df.sparkSession, no_data_batches):
+        q = (df.writeStream.outputMode(output_mode).foreachBatch(handler)
+               .option("checkpointLocation", checkpoint)
+               .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:  # pragma: no cover
         raise q.exception()

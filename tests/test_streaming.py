@@ -135,3 +135,98 @@ def test_only_configured_metrics_are_read(spark, scratch):
                           "ts timestamp, metric_name string, value double").write.parquet(path)
     text = plan_text(default_alarms(spark.read.parquet(path)))
     assert "PushedFilters: [In(metric_name" in text
+
+
+def test_transitions_are_emitted_once_and_their_state_expires(spark, scratch):
+    import time
+    from cyclemart.streaming.cycle_state import cycle_transitions, pass_on
+
+    landing, work = scratch("landing"), scratch("transitions")
+    for t in EXPECTED_FILE_TYPES:
+        land(landing, f"raw/{t}/cycle_20240101/{t}.csv.pgp")
+    for t in EXPECTED_FILE_TYPES[:5]:
+        land(landing, f"raw/{t}/cycle_20240102/{t}.csv.pgp")
+    land(landing, "raw/notes/cycle_20240102/readme.csv.pgp")
+    seen = []
+
+    def run(**lives):
+        done = cycle_transitions(arrival_stream(spark, landing), EXPECTED_FILE_TYPES, **lives)
+        run_available_foreach(done, pass_on(lambda batch, _: seen.extend(batch.collect())), f"{work}/ckpt", no_data_batches=False)
+        return [r.cycle_date for r in seen]
+
+    assert run() == ["20240101"]
+    assert seen[0].received_types == ",".join(sorted(EXPECTED_FILE_TYPES)) and seen[0].completed_at is not None
+    assert run() == ["20240101"]  # plain restart: nothing new
+    land(landing, "raw/rider/cycle_20240102/rider.csv.pgp")
+    assert run() == ["20240101", "20240102"]
+    land(landing, "raw/policy/cycle_20240101/policy_again.csv.pgp")
+    assert run() == ["20240101", "20240102"]  # extra file of a finished cycle
+    state = spark.read.format("statestore").option("stateVarName", "seen").load(f"{work}/ckpt")
+    assert state.count() == 0  # no open cycle is left, finished ones have their mark alone
+    marks = spark.read.format("statestore").option("stateVarName", "finished").load(f"{work}/ckpt")
+    assert marks.count() == 2
+
+    seen.clear()
+    landing, work = scratch("landing"), scratch("expiring")
+    brief = dt.timedelta(seconds=2)
+    for t in EXPECTED_FILE_TYPES:
+        land(landing, f"raw/{t}/cycle_20240103/{t}.csv.pgp")
+    assert run(finished=brief) == ["20240103"]
+    time.sleep(3)
+    for t in EXPECTED_FILE_TYPES:  # the mark has expired: the cycle counts as new
+        land(landing, f"raw/{t}/cycle_20240103/{t}_again.csv.pgp")
+    assert run(finished=brief) == ["20240103", "20240103"]
+
+
+def test_transition_batches_read_no_earlier_output(spark):
+    from cyclemart.streaming.cycle_state import _folded
+    import pyarrow as pa
+
+    at = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    batch = pa.RecordBatch.from_pylist([{"cycle_date": "c", "mask": 1 << (i % 2), "newest": at + dt.timedelta(hours=i)} for i in range(1000)])
+    rows = sorted((r["mask"], r["newest"]) for b in _folded(iter([batch])) for r in b.to_pylist())
+    assert rows == [(1, at + dt.timedelta(hours=998)), (2, at + dt.timedelta(hours=999))]  # a hot cycle is two rows
+
+
+def test_a_rewritten_file_arrives_again_once(spark, scratch):
+    from cyclemart.streaming.listing import landed_file_stream
+
+    landing, work = scratch("landing"), scratch("listing")
+    land(landing, "raw/policy/cycle_20240101/policy.csv.pgp", "abc")
+    land(landing, "raw/rider/cycle_20240101/deep/rider.csv.pgp", "r")
+    land(landing, "raw/policy/cycle_20240101/_half.csv.pgp", "x")
+    land(landing, "raw/policy/cycle_20240101/notes.txt", "x")
+    table = PartitionedTable(spark, f"{work}/audit", "cycle_date")
+    given = []
+
+    def run(day):
+        upsert = audit_sink(table, "landing", now=lambda: dt.datetime(2024, 1, day))
+        def sink(batch, batch_id):
+            given.extend((r.object_key, r.length) for r in batch.collect())
+            upsert(batch, batch_id)
+        run_available_foreach(landed_file_stream(spark, landing, settle=0), sink, f"{work}/ckpt")
+        return {r.object_key: (r.file_size, r.ingestion_timestamp.day) for r in table.read().withColumn("object_key", F.split("file_key", "#")[1]).collect()}
+
+    policy, rider = "raw/policy/cycle_20240101/policy.csv.pgp", "raw/rider/cycle_20240101/deep/rider.csv.pgp"
+    assert run(1) == {policy: (3, 1), rider: (1, 1)}
+    assert run(2) == {policy: (3, 1), rider: (1, 1)}  # a restart gives nothing again
+    land(landing, policy, "abcdef")
+    assert run(3) == {policy: (6, 3), rider: (1, 1)}
+    assert run(4) == {policy: (6, 3), rider: (1, 1)}
+    assert sorted(given) == sorted([(policy, 3), (rider, 1), (policy, 6)])
+
+
+def test_files_count_once_they_have_settled(spark, scratch):
+    from cyclemart.streaming.listing import _Reader
+
+    landing = local_path(scratch("landing"))
+    land(landing, "raw/policy/cycle_20240101/p.csv.pgp")
+    reader = _Reader({"path": landing, "suffix": ".pgp", "settle": "3600"})
+    def rows(start, end):
+        return [r for p in reader.partitions(start, end) for r in reader.read(p)]
+    assert rows(reader.initialOffset(), reader.latestOffset()) == []
+    reader.settle = 0
+    [row] = rows(reader.initialOffset(), reader.latestOffset())
+    assert row[1] == "raw/policy/cycle_20240101/p.csv.pgp" and row[3].tzinfo is not None
+    assert rows(reader.latestOffset(), reader.latestOffset()) == []
+    assert _Reader({"path": landing + "/none"}).partitions({"until_ns": 0}, {"until_ns": 1})[0].folders == [(landing + "/none/raw", False)]
