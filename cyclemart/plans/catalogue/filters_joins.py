@@ -12,6 +12,8 @@ from cyclemart.operators.joins import (
     broadcast_join, COMMISSION_STAR, guard_plan, join, JoinError, JoinStep, sort_merge_join, StarJoin,
 )
 from cyclemart.plans.catalogue.base import CYCLE, _li, NOW, _orders, query, _transactions, _TX_WHERE
+from cyclemart.session import scratch_path
+from cyclemart.sources.bucketed import colocated_join, read_colocated, stage_colocated
 from cyclemart.sources.tables import read_table
 
 
@@ -192,3 +194,22 @@ def plan_guard(spark, root):
             refused += 1
     keyed = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     return guard_plan(keyed).select("n_name", "r_name", F.lit(refused).alias("refused"))
+
+
+@query("colocated_star", """
+SELECT t.policy_id, t.ln, c.coverage_id, r.rider_id
+FROM (SELECT l_orderkey AS policy_id, l_linenumber AS ln FROM lineitem
+      WHERE l_returnflag = 'R' AND l_linestatus = 'F' AND l_extendedprice > 0) t
+     LEFT JOIN (SELECT DISTINCT l_orderkey AS policy_id, l_linenumber AS coverage_id FROM lineitem WHERE l_quantity > 45) c
+       ON t.policy_id = c.policy_id
+     LEFT JOIN (SELECT DISTINCT l_orderkey AS policy_id, l_linenumber AS rider_id FROM lineitem WHERE l_tax >= 0.08) r
+       ON t.policy_id = r.policy_id""")
+def colocated_star(spark, root):
+    """JN-2: transactions, coverage and rider staged in buckets of the policy, joined where they
+    lie."""
+    path = scratch_path(spark, "colocated")
+    tables = {t: df for t, df in star_tables(spark, root).items() if t in ("transactions", "coverage", "rider")}
+    tables["transactions"] = tables["transactions"].select("policy_id", "ln")
+    stage_colocated(tables, "transactions", "policy_id", path, CYCLE, 16)
+    staged = {t: read_colocated(spark, path, t, CYCLE, df.schema, "policy_id", 16) for t, df in tables.items()}
+    return colocated_join(staged, "transactions", "policy_id", [("coverage", "left"), ("rider", "left")])
