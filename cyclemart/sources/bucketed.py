@@ -40,9 +40,27 @@ def _with_table(spark: SparkSession, make):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def write_bucketed(df: DataFrame, path: str, columns: list[str], buckets: int, **options: str) -> None:
+    """Write ``df`` in buckets of ``columns``, a file for each, replacing what ``path`` held."""
+    dealt = df.repartition(buckets, *columns)  # dealt as buckets are
+    _with_table(df.sparkSession, lambda name: dealt.write.mode("overwrite").options(path=path, **options)
+                .bucketBy(buckets, *columns).sortBy(*columns).format("parquet").saveAsTable(name))
+
+
+def read_bucketed(spark: SparkSession, path: str, schema: T.StructType, columns: list[str], buckets: int) -> DataFrame:
+    """What :func:`write_bucketed` has written, with its buckets."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    by, where = ", ".join(f"`{c}`" for c in columns), path.replace("'", "\\'")
+
+    def declared(name: str) -> DataFrame:
+        spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{where}'")
+        return spark.table(name)
+
+    return _with_table(spark, declared)
+
+
 def stage_colocated(tables: dict[str, DataFrame], fact: str, key: str, root: str, cycle_date: str, buckets: int) -> None:
     """Stage ``tables`` for joins on ``key``; each replaces what its folder held."""
-    spark = tables[fact].sparkSession
     heavy = heavy_keys(tables[fact], [key], buckets)
     for name, df in tables.items():
         df = df.drop("cycle_date")
@@ -50,24 +68,14 @@ def stage_colocated(tables: dict[str, DataFrame], fact: str, key: str, root: str
             rows = df.withColumn(SALT, F.lit(0))
         else:
             rows = (salted if name == fact else replicated)(df, [key], heavy, SALT)
-        dealt = rows.repartition(buckets, key, SALT)  # the dealing of buckets: a file for each
-        path = _folder(root, name, cycle_date)
-        _with_table(spark, lambda t, dealt=dealt, path=path: dealt.write.mode("overwrite").bucketBy(buckets, key, SALT)
-                    .sortBy(key, SALT).option("path", path).format("parquet").saveAsTable(t))
+        write_bucketed(rows, _folder(root, name, cycle_date), [key, SALT], buckets)
 
 
 def read_colocated(spark: SparkSession, root: str, table: str, cycle_date: str, schema: T.StructType, key: str, buckets: int) -> DataFrame:
     """A staged table with its buckets; ``schema`` is that of the table without the salt."""
     fields = [f for f in schema.fields if f.name != "cycle_date"]
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*fields, T.StructField(SALT, T.IntegerType())])
-    where = _folder(root, table, cycle_date).replace("'", "\\'")
-
-    def declared(name: str) -> DataFrame:
-        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`, {SALT}) "
-                  f"SORTED BY (`{key}`, {SALT}) INTO {buckets} BUCKETS LOCATION '{where}'")
-        return spark.table(name)
-
-    return _with_table(spark, declared)
+    whole = T.StructType([*fields, T.StructField(SALT, T.IntegerType())])
+    return read_bucketed(spark, _folder(root, table, cycle_date), whole, [key, SALT], buckets)
 
 
 def colocated_join(tables: dict[str, DataFrame], fact: str, key: str, steps: list[tuple[str, str]]) -> DataFrame:
