@@ -41,6 +41,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 2_000) -> None:
+    """At most ``rows`` rows in an Arrow batch that goes to Python: long texts make a batch of
+    Spark's 10,000 large, in the executor's memory and in the worker's."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(setting))
+    if now <= 0 or now > rows:
+        spark.conf.set(setting, str(rows))
+
+
 def text_or_empty(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 

@@ -34,9 +34,8 @@ def _ascii_lower(column):
 
 def with_host_path(pages: DataFrame, url: str, host: str, path: str) -> DataFrame:
     """Add ``host`` (lower-cased A-Z) and ``path`` (up to ``?`` or ``#``) of ``url``."""
-    rest = F.when(
-        F.instr(F.col(url), "://") > 0, F.expr(f"substring(`{url}`, instr(`{url}`, '://') + 3)")
-    )
+    at = F.instr(F.col(f"`{url}`"), "://")
+    rest = F.when(at > 0, F.substring(F.col(f"`{url}`"), at + 3, F.length(F.col(f"`{url}`"))))
     rest = F.coalesce(rest, F.lit(""))
     return pages.withColumn(path, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)).withColumn(
         host, _ascii_lower(F.regexp_extract(rest, r"^([^/?#]*)", 1))
@@ -114,10 +113,12 @@ def judge_urls(
             length.alias("n"), F.length("r_host").alias("nh"), F.col("r_block").alias("block"),
             F.concat("r_host", "r_path").alias("rule"))).alias("best"))
     )
+    kh, kp, b = fresh(parsed.withColumns({rule: F.lit(0), verdict: F.lit(0)}), "k_host", "k_path", "best")
+    found = best.toDF(kh, kp, b)
     return (
-        parsed.join(best, (F.col(h) == F.col("k_host")) & (F.col(p) == F.col("k_path")), "left")
-        .withColumn(rule, F.col("best.rule"))
-        .withColumn(verdict, F.when(F.col("best").isNull(), default)
-                    .when(F.col("best.block") == 1, BLOCK).otherwise(ALLOW))
-        .drop("k_host", "k_path", "best")
+        parsed.join(found, (F.col(h) == F.col(kh)) & (F.col(p) == F.col(kp)), "left")
+        .withColumn(rule, F.col(b)["rule"])
+        .withColumn(verdict, F.when(F.col(b).isNull(), default)
+                    .when(F.col(b)["block"] == 1, BLOCK).otherwise(ALLOW))
+        .drop(kh, kp, b)
     )

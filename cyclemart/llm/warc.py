@@ -11,8 +11,10 @@ are ``revisit`` records that refer to it, unless the payload is shorter than
 (one to one, so no copy of a hot payload is made), checks both digests against the bytes,
 and resolves revisits through the response they name.
 
-Payloads are shuffled once, when equal ones are merged (each task first merges its own).
-They are stored in buckets of their digest, so reading back moves only headers.
+Payloads are shuffled when equal ones are merged (each task first merges its own) and once
+more to be stored in buckets of their digest, so reading back moves only headers.  A payload
+that very many pages share is a hot key of the joins with what is known of it: those joins
+split it in the plan (:mod:`cyclemart.operators.skew`).  Nothing is left in the catalog.
 
 Defined cases: a NULL payload counts as empty; a NULL url leaves out the target header;
 line breaks in a url are percent-encoded; rows that repeat the smallest page id of a
@@ -29,7 +31,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclemart.llm.common import stored
+from cyclemart.operators.skew import split_join
 from cyclemart.session import scratch_path
+from cyclemart.sources.bucketed import read_bucketed, write_bucketed
 
 RESPONSE, REVISIT = "response", "revisit"
 #: Base-32 digits as conv() writes them, and as RFC 4648 has them.
@@ -93,21 +97,20 @@ def write_archive(
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", body.alias("payload")).withColumn("sha256", F.sha2("payload", 256))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (
+    path = scratch_path(spark, f"{name}-payloads")
+    once = (
         rows.groupBy("sha256")
         .agg(F.first("payload").alias("payload"), F.min("page_id").alias("first_page"))
         .withColumn("payload_bytes", F.octet_length("payload").cast("long"))
         .withColumn("payload_digest", base32_sha1(F.col("payload")))
-        .write.option("compression", "zstd").option("path", scratch_path(spark, f"{name}-payloads"))
-        .bucketBy(buckets, "sha256")
-        .saveAsTable(f"{name}_payloads")
     )
-    payloads = spark.table(f"{name}_payloads")
-    facts = payloads.select("sha256", "first_page", "payload_bytes", "payload_digest")
-    light = rows.select("page_id", "url", "sha256")
+    write_bucketed(once, path, ["sha256"], buckets, compression="zstd")
+    payloads = read_bucketed(spark, path, once.schema, ["sha256"], buckets)
+    facts = spark.read.schema(once.schema).parquet(path).select("sha256", "first_page", "payload_bytes", "payload_digest")
+    light = stored(rows.select("page_id", "url", "sha256"), f"{name}-pages")
     shared = (F.col("payload_bytes") >= revisit_from) & ~F.col("page_id").eqNullSafe(F.col("first_page"))
     records = (
-        light.join(facts, "sha256")
+        split_join(light, facts, ["sha256"])
         .withColumn("record_type", F.when(shared, REVISIT).otherwise(RESPONSE))
         .withColumn("refers_to", F.when(shared, F.col("first_page")))
         .withColumn("warc_date", F.lit(date))
@@ -134,6 +137,11 @@ def parsed_records(archive: Archive) -> DataFrame:
     )
 
 
+def _intact() -> Column:
+    """Whether both digests, taken anew from the bytes, are those stored."""
+    return (F.sha2("payload", 256) == F.col("sha256")) & (base32_sha1(F.col("payload")) == F.col("stored_digest"))
+
+
 def read_responses(archive: Archive) -> DataFrame:
     """Every response whole: its headers joined with its payload, ``record`` as in a file.
 
@@ -141,41 +149,31 @@ def read_responses(archive: Archive) -> DataFrame:
     """
     headers = parsed_records(archive).filter(F.col("record_type") == RESPONSE)
     bytes_ = archive.payloads.select("sha256", "payload")
-    return headers.join(bytes_, "sha256").select(
+    return split_join(headers, bytes_, ["sha256"]).select(
         "page_id", "record_type", "sha256", "payload",
-        F.concat("headers", "payload", F.lit(CRLF + CRLF).cast("binary")).alias("record"),
-        ((F.sha2("payload", 256) == F.col("sha256")) & (base32_sha1(F.col("payload")) == F.col("stored_digest"))).alias("intact"),
-    )
+        F.concat("headers", "payload", F.lit(CRLF + CRLF).cast("binary")).alias("record"), _intact().alias("intact"))
 
 
 def read_payloads(archive: Archive) -> DataFrame:
     """Every original record with its full payload: the join that undoes the addressing.
 
-    Copies of a payload are made here, as the originals had them; Spark splits the join
-    where one payload has very many records.
+    Copies of a payload are made here, as the originals had them; a payload with very many
+    records is split over tasks.
     """
-    bytes_ = archive.payloads.select("sha256", "payload").repartition("sha256")
-    return parsed_records(archive).join(bytes_, "sha256")
+    return split_join(parsed_records(archive), archive.payloads.select("sha256", "payload"), ["sha256"])
 
 
 def read_summary(archive: Archive) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) from the bytes.
 
-    Lengths and digests come from the reconstructed responses; a revisit takes those of
-    the payload it shares.  A damaged payload raises.
+    Lengths and digests come from the payloads, checked against the headers of a response; a
+    revisit takes those of the payload it shares.  A damaged payload raises.
     """
-    responses = read_responses(archive)
-    checked = F.when(F.col("intact"), F.octet_length("payload").cast("long")).otherwise(
+    records = parsed_records(archive)
+    stored_ = records.filter(F.col("record_type") == RESPONSE).groupBy("sha256").agg(F.max("stored_digest").alias("stored_digest"))
+    checked = F.when(_intact(), F.octet_length("payload").cast("long")).otherwise(
         F.raise_error(F.concat(F.lit("damaged payload "), F.col("sha256"))).cast("long"))
-    facts = responses.groupBy("sha256").agg(
-        F.max(checked).alias("payload_bytes"), F.max(base32_sha1(F.col("payload"))).alias("payload_digest"))
-    return (
-        parsed_records(archive).drop("headers", "stored_digest")
-        .join(facts, "sha256")
-        .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
-    )
-
-
-def drop_archive(spark: SparkSession, name: str) -> None:
-    """Forget the payload table of an archive; its files stay in the scratch folder."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}_payloads")
+    facts = archive.payloads.select("sha256", "payload").join(stored_, "sha256").select(
+        "sha256", checked.alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest"))
+    light = records.select("page_id", "sha256", "record_type", "refers_to")
+    return split_join(light, facts, ["sha256"]).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

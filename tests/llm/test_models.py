@@ -288,3 +288,56 @@ def test_packing():
     arrays = [np.arange(10, dtype=np.uint64), np.empty(0, np.uint64), np.array([1.5, -2]), np.array([1 << 63], np.uint64), np.array([7], np.uint8)]
     for a, b in zip(arrays, katz.unpack(katz.pack(*arrays))):
         assert (a == b).all() and len(a) == len(b)
+
+
+# --- op8: features and scores by their definitions ------------------------------------------
+def _plain_features(text):
+    """The features of one text, written from their names, over its bytes."""
+    import math
+    from collections import Counter
+
+    data = text.encode()
+    if not data:
+        return [0.0] * len(gam.FEATURES)
+    words = [w.lower() for w in re.split(rb"[ \t-\r]+", data) if w]
+    n, size, lines = len(words), len(data), data.count(b"\n") + 1
+    kinds = {
+        "upper": rb"[A-Z]", "digit": rb"[0-9]", "space": rb"[ \t-\r]", "wide": rb"[\x80-\xff]", "stop": rb"[.]", "comma": rb"[,;:]",
+        "bang": rb"[!?]", "pipe": rb"[|]", "symbol": rb"[#$%&*+=<>@\\^_~`/{}\[\]]", "other_mark": rb"[-'\"()]"}
+    share = {k: len(re.findall(p, data)) for k, p in kinds.items()}
+    times = Counter(words)
+    out = {
+        "log_bytes": math.log1p(size), "log_words": math.log1p(n), "word_bytes": (size - share["space"]) / max(n, 1),
+        "distinct": len(times) / max(n, 1), "repeat": sum(a == b for a, b in zip(words, words[1:])) / max(n, 1),
+        "top_word": max(times.values(), default=0) / max(n, 1), "line_bytes": math.log1p(size / lines), "line_words": n / lines,
+        "shouted": len(re.findall(rb"(?=[A-Z][A-Z])", data)) / size}
+    for k, v in share.items():
+        out[k] = v / (size if k in ("upper", "digit", "space", "wide") else max(n, 1))
+    return [out[f] for f in gam.FEATURES]
+
+
+def _plain_score(model, x):
+    """A score row by row: the base and what each table holds for the row's bin."""
+    import bisect
+    import math
+
+    odds = model.base + sum(t[bisect.bisect_right(list(e), v)] for e, t, v in zip(model.edges, model.tables, x))
+    for (f, g), table in zip(model.pairs, model.pair_tables):
+        odds += table[bisect.bisect_right(list(model.pair_edges[f]), x[f])][bisect.bisect_right(list(model.pair_edges[g]), x[g])]
+    return 1 / (1 + math.exp(-min(max(odds, -30), 30)))
+
+
+def test_quality_features_and_scores_by_definition(spark):
+    rnd = random.Random(8)
+    alphabet = "abcdefgh ABC 012 .,;!?|#$_-'()\n\té日"
+    texts = ["", " ", "\n\n", "One word", "a a a b", "WORD WORD word", "x" * 50_000, None]
+    texts += ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(400))) for _ in range(300)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int((t or "").count("a") > 8)) for i, t in enumerate(texts)], "doc_id long, quality int")
+    model = gam.train(docs, labels)
+    assert any(t.any() for t in model.tables) and model.pairs
+    got = {r.doc_id: r.score for r in gam.score(docs, model).collect()}
+    for i, t in enumerate(texts):
+        x = _plain_features(t or "")
+        assert np.allclose(gam.text_features(pa.array([t]))[0], x, atol=1e-12), t
+        assert abs(got[i] - _plain_score(model, x)) < 1e-9, t

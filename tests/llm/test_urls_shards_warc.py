@@ -121,3 +121,30 @@ def test_damage_is_noticed(spark):
     damaged = archive.payloads.withColumn("payload", F.concat("payload", F.lit("!").cast("binary")))
     with pytest.raises(Exception, match="damaged payload"):
         warc.read_summary(warc.Archive(damaged, archive.records)).collect()
+
+
+def test_a_hot_payload_is_split_and_the_catalog_stays_clean(spark):
+    import statistics
+
+    plain = spark.newSession()
+    plain.conf.set("spark.sql.adaptive.enabled", "false")
+    plain.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plain.conf.set("spark.sql.shuffle.partitions", "8")
+    html = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("page "), F.col("id").cast("string")))
+    pages = plain.range(30_000).select(F.col("id").alias("page_id"), F.lit("http://a/").alias("url"), html.alias("html"))
+    before = {t.name for t in plain.catalog.listTables()}
+    archive = warc.write_archive(pages)
+    out = warc.read_summary(archive)
+    per_task = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 30_000 and max(per_task) <= 2 * statistics.median(per_task)
+    assert out.filter("record_type = 'revisit'").count() == 9_999 and out.filter("refers_to = 0").count() == 9_999
+    assert {t.name for t in plain.catalog.listTables()} == before
+
+
+def test_page_columns_of_any_name(spark):
+    pages = spark.createDataFrame([("http://www.Example.com/en/x?q", "b", 1, 2, "h", "r", "v", 5)],
+                                  "url string, best string, k_host int, k_path int, host string, rule string, verdict string, `a.b` int")
+    rules = spark.createDataFrame([("example.com", "/en/", "block"), ("example.com", "/en/", "allow"), (None, None, "allow")], "host string, path string, verdict string")
+    [r] = url_rules.judge_urls(pages, rules).collect()
+    assert (r.best, r.k_host, r.k_path, r.host, r["a.b"]) == ("b", 1, 2, "h", 5)
+    assert (r.host_, r.path, r.rule_, r.verdict_) == ("www.example.com", "/en/x", "example.com/en/", "block")
