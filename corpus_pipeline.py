@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclemart.llm import bagminhash, bpe, catalogue, decontaminate, gam, line_dedup
-from cyclemart.llm.common import fresh, stored, table
+from cyclemart.llm.common import bounded_batches, fresh, stored, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the quality model accepts; it learns from ``labels``."""
+    bounded_batches(spark)
     [score] = fresh(docs, "score")
     model = gam.train(docs, table(spark, sf_dir, "labels"))
     return gam.score(docs, model, name=score).filter(F.col(score) >= catalogue.ACCEPT).drop(score)
@@ -27,7 +28,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A document of which nothing is left goes; ``n_chars`` follows the text.
     """
     [removed] = fresh(docs, "removed_lines")
-    edited = line_dedup.dedup_lines(docs, removed=removed)
+    edited = line_dedup.dedup_lines(docs, removed=removed)  # evaluated once, see there
     changed = F.size(removed) > 0
     kept = edited.filter(~changed | F.col("text").rlike(r"\S"))
     return kept.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
@@ -35,6 +36,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each class of near duplicates."""
+    bounded_batches(spark)
     return bagminhash.keep_one(docs)
 
 
@@ -45,6 +47,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether decoding them gives back its text."""
+    bounded_batches(spark)
     return bpe.encoded_with_check(docs, catalogue.vocabulary_path())
 
 
