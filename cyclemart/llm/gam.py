@@ -84,13 +84,15 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     upper = kind == 1
     after = np.zeros(len(data), bool)
     after[1:] = upper[1:] & upper[:-1]
+    after[offsets[:-1][np.diff(offsets) > 0]] = False  # what comes before a text is none of it
     out = {
         "log_bytes": np.log1p(size), "log_words": np.log1p(n), "word_bytes": (size - share["space"]) / per_word,
         **{name: share[name] / (per_byte if name in ("upper", "digit", "space", "wide") else per_word) for name in _KINDS},
         "distinct": distinct / per_word, "repeat": repeat / per_word, "top_word": top / per_word,
         "line_bytes": np.log1p(size / lines), "line_words": n / lines, "shouted": _per_row(after, offsets) / per_byte,
     }
-    return np.stack([np.where(size > 0, out[name], 0.0) for name in FEATURES], axis=1)
+    # a logarithm may differ in its last bit by its place in an array: a bin must not hang on it
+    return np.round(np.stack([np.where(size > 0, out[name], 0.0) for name in FEATURES], axis=1), 10)
 
 
 @dataclass
