@@ -145,7 +145,7 @@ def read_csv(
     if texts == []:  # no file, or only empty ones
         return empty_frame(spark, T.StructType([*schema.fields, *extra]))
     lines = csv_lines(spark, paths, glob)
-    found, states = split_read(lines, schema, header)
+    found, states = split_read(lines, header)
     named = states.filter(F.col("header").isNotNull()).select("file", header_text("header").alias("header"))
     if header and by_name:
         places, texts = layouts(named, schema.names)

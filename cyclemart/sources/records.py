@@ -200,13 +200,16 @@ def joined_pieces(pieces: DataFrame, step: int | None = None) -> tuple[DataFrame
     chunks.  ``step`` is the distance of neighbouring chunks, where it is known: a chunk that
     is missing then leaves remains, too."""
     order = Window.partitionBy("file").orderBy("chunk", F.col("kind") == OPEN)
-    grouped = pieces.withColumn("opener", F.sum((F.col("kind") == OPEN).cast("int")).over(order))
+    # which pieces belong together shows without their texts
+    light = pieces.select("file", "chunk", "kind", F.length("record").cast("long").alias("size"))
+    grouped = light.withColumn("opener", F.sum((F.col("kind") == OPEN).cast("int")).over(order))
     last = F.max("chunk") - F.min("chunk") == F.count("*") - 1 if step else F.lit(True)
     whole = grouped.groupBy("file", "opener").agg(
         (F.count_if(F.col("kind") == OPEN) == 1).alias("opens"), (F.count_if(F.col("kind") == HEAD) == 1).alias("closes"),
-        last.alias("gapless"), F.sum(F.length("record").cast("long")).alias("size"))
+        last.alias("gapless"), F.sum("size").alias("size"))
     fits = whole.withColumn("fits", F.col("opens") & F.col("closes") & F.col("gapless") & (F.col("size") <= MAX_RECORD_CHARS))
-    judged = grouped.join(fits.select("file", "opener", "fits"), ["file", "opener"])
+    numbered = grouped.drop("size").join(fits.select("file", "opener", "fits"), ["file", "opener"])
+    judged = pieces.join(numbered, ["file", "chunk", "kind"])
     records = judged.filter("fits").groupBy("file", "opener").agg(
         F.sort_array(F.collect_list(F.struct("chunk", "record"))).alias("parts"))
     return (records.select("file", F.array_join(F.col("parts.record"), "\n").alias("record")),
@@ -236,8 +239,8 @@ def parsed(records: DataFrame, schema: T.StructType, places: list[tuple[list[int
 
     Every field is read as text and cast with ``try_cast``: a bad value becomes NULL, which
     the quality rules see.  A record that is NULL or without layout, or has too few or too
-    many fields, is corrupt and keeps ``raw``.  The work is done once a row, behind a Generate, which the
-    optimizer does not copy into a filter.
+    many fields, is corrupt and keeps ``raw``.  The work is done once a row, behind a
+    Generate, which the optimizer does not copy into a filter.
     """
     options = {**DIALECT, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL, "multiLine": "true"}
     unended = F.expr("left(record, length(record) - 1)")
@@ -277,11 +280,11 @@ def strict(rows: DataFrame, schema: T.StructType) -> DataFrame:
     return checked.select(*schema.names)
 
 
-def split_read(lines: DataFrame, schema: T.StructType, header: bool) -> tuple[DataFrame | None, DataFrame]:
-    """(rows, states): the typed rows of CSV lines (file, chunk, value) whose records may span
-    lines and chunks, and the chunks' states.
+def split_read(lines: DataFrame, header: bool) -> tuple[DataFrame | None, DataFrame]:
+    """(records, states): the records (file, record, raw) of CSV lines (file, chunk, value),
+    which may span lines and chunks, and the chunks' states.
 
-    No rows (None) come back where no record spans lines: any line reader will do then.
+    No records (None) come back where no record spans lines: any line reader will do then.
     """
     from cyclemart.session import materialize
 
