@@ -4,10 +4,14 @@ Broadcasting is only ever requested behind a size check.  The optimizer's estima
 the candidate side is an upper bound of its *stored* bytes (filters never grow it, column
 pruning is accounted for); it is multiplied by ``BROADCAST_INFLATION`` to bound the
 decompressed, hashed in-memory relation, and that must stay below
-``max_broadcast_bytes``.  When the bound fails or the size is unknown, no hint is given
-and the planner (with AQE's runtime statistics) picks the strategy; AQE still converts to
-a broadcast at run time if the real shuffle output is small.  Hot keys of shuffle joins are
-split by the plan itself (:mod:`cyclemart.operators.skew`): that needs no session setting.
+``max_broadcast_bytes``.  Stored bytes do not bound the rows: runs and dictionaries put a
+million rows into a few of them, and the driver builds the relation row by row.  So the rows
+of a side whose bytes fit are counted, and the relation must fit a part of the driver's heap.
+When the bound fails or the size is unknown, no hint is given and the planner (with AQE's
+runtime statistics) picks the strategy; AQE still converts to a broadcast at run time if the
+real shuffle output is small.  Only where the planner would broadcast too many rows by its
+estimate is a merge join asked for.  Hot keys of shuffle joins are split by the plan itself
+(:mod:`cyclemart.operators.skew`): that needs no session setting.
 """
 
 from __future__ import annotations
@@ -28,6 +32,11 @@ log = logging.getLogger(__name__)
 # whose stored size is at most 32 MB.
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 BROADCAST_INFLATION = 8
+#: The driver holds a relation as rows, hashed and as blocks, and a star has several: one may
+#: take this part of its heap.
+DRIVER_PART = 32
+#: Bytes of a hashed row besides its values: key, pointers and free slots.
+ROW_OVERHEAD = 96
 
 _BROADCAST_RIGHT_OK = {"inner", "left", "leftouter", "left_outer", "semi", "leftsemi",
                        "left_semi", "anti", "leftanti", "left_anti"}
@@ -46,10 +55,25 @@ def estimated_size_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def _driver_bytes(df: DataFrame) -> int:
+    """What one relation may take of the driver's heap."""
+    return df.sparkSession._jvm.java.lang.Runtime.getRuntime().maxMemory() // DRIVER_PART  # noqa: SLF001
+
+
+def _rows_fit(df: DataFrame, max_bytes: int) -> bool:
+    """True when the counted rows of ``df``, hashed, fit ``max_bytes`` (one job over ``df``)."""
+    width = df._jdf.schema().defaultSize() + ROW_OVERHEAD  # noqa: SLF001 - as the planner's estimates
+    return df.count() * width <= max_bytes
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
-    """True when the in-memory bound of ``df`` (estimate x inflation) fits ``max_bytes``."""
+    """True when both in-memory bounds of ``df``, by its stored bytes (estimate x inflation)
+    and by its counted rows, fit ``max_bytes`` and the driver."""
     size = estimated_size_bytes(df)
-    return size is not None and size * BROADCAST_INFLATION <= max_bytes
+    if size is None or size * BROADCAST_INFLATION > max_bytes:
+        return False
+    most = min(max_bytes, _driver_bytes(df))
+    return size * BROADCAST_INFLATION <= most and _rows_fit(df, most)
 
 
 def _keys(on: str | list[str] | tuple[str, ...] | None) -> list[str]:
@@ -107,20 +131,16 @@ def join(
 ) -> DataFrame:
     """USING-style equi-join (one merged key column per name, keys first).
 
-    ``strategy``: ``"broadcast"`` broadcasts ``right`` when its estimated size fits,
+    ``strategy``: ``"broadcast"`` broadcasts ``right`` when its size and rows fit,
     ``"merge"`` asks for a sort-merge join, ``"split"`` for a shuffle join that splits the
     hot keys of ``left``, ``"auto"`` leaves it to the planner.
     """
     keys = guard_condition(on, how)
-    how_n = how.lower()
     if strategy == "split":
         return split_join(left, right, keys, how)
+    strategy = _allowed(right, how, strategy, max_broadcast_bytes)
     if strategy == "broadcast":
-        if how_n in _BROADCAST_RIGHT_OK and fits_broadcast(right, max_broadcast_bytes):
-            right = F.broadcast(right)
-        else:
-            log.warning("broadcast of right side refused (join type %s or size above %d bytes); "
-                        "leaving the choice to the planner", how, max_broadcast_bytes)
+        right = F.broadcast(right)
     elif strategy == "merge":
         right = right.hint("merge")
     elif strategy != "auto":
@@ -128,6 +148,18 @@ def join(
     return left.join(right, on=keys, how=how)
 
 
+def _allowed(right: DataFrame, how: str, strategy: str, max_broadcast_bytes: int) -> str:
+    """``strategy``, less a broadcast that does not fit: then the planner chooses, but a merge
+    where it would broadcast by its estimate what the driver cannot hold."""
+    if strategy != "broadcast":
+        return strategy
+    if how.lower() in _BROADCAST_RIGHT_OK and fits_broadcast(right, max_broadcast_bytes):
+        return strategy
+    log.warning("broadcast of right side refused (join type %s, size above %d bytes or rows above "
+                "1/%d of the driver's heap)", how, max_broadcast_bytes, DRIVER_PART)
+    return "auto" if not planner_broadcasts(right) or _rows_fit(right, _driver_bytes(right)) else "merge"
+
+
 def planner_broadcasts(df: DataFrame) -> bool:
     """True when the planner itself would broadcast ``df``, by its size estimate."""
     size = estimated_size_bytes(df)
@@ -197,7 +229,8 @@ class StarJoin:
                     dim = dim.withColumnsRenamed({c: f"{step.table}_{c}" for c in clashes})
                 else:
                     raise JoinError(f"columns {clashes} of {step.table} clash with the fact side")
-            if self._by_shuffle(step, dim):
+            strategy = _allowed(dim, step.how, step.strategy, self.max_broadcast_bytes)
+            if self._by_shuffle(step, dim, strategy):
                 if tuple(keys) not in split:
                     heavy = heavy_keys(tables[self.fact], keys, tasks_of(result))
                     salt = f"__salt{len(split)}"
@@ -206,17 +239,19 @@ class StarJoin:
                         result = salted(result, keys, heavy, salt)
                 if found := split[tuple(keys)]:
                     dim, keys = replicated(dim, keys, *found), [*keys, found[1]]
-            result = join(result, dim, keys, step.how, step.strategy, self.max_broadcast_bytes)
+            if strategy == "broadcast":  # checked once
+                dim, strategy = F.broadcast(dim), "auto"
+            result = join(result, dim, keys, step.how, strategy)
         return result.drop(*[found[1] for found in split.values() if found])
 
-    def _by_shuffle(self, step: JoinStep, dim: DataFrame) -> bool:
+    def _by_shuffle(self, step: JoinStep, dim: DataFrame, strategy: str) -> bool:
         """Whether a step will shuffle the fact, and its hot keys can be split."""
         how = step.how.lower()
         if not self.split_hot_keys or how not in SPLITTABLE or not set(_keys(step.on)) <= set(dim.columns):
             return False
-        if step.strategy == "merge":
+        if strategy == "merge":
             return True
-        return not planner_broadcasts(dim) and not (step.strategy == "broadcast" and fits_broadcast(dim, self.max_broadcast_bytes))
+        return strategy != "broadcast" and not planner_broadcasts(dim)
 
 
 # The commission chain: policy (inner), then left joins with feature, exchange, coverage

@@ -138,13 +138,11 @@ def scd1_merge(
 
     cond = reduce(lambda a, b: a & b, [key_cond(_T + k, _S + k) for k in keys])
 
-    use_broadcast = strategy == "broadcast_source" or (
-        strategy == "auto" and fits_broadcast(source, max_broadcast_bytes))
     if strategy not in ("auto", "full", "broadcast_source"):
         raise ValueError(f"unknown merge strategy {strategy!r}")
-    if use_broadcast and not fits_broadcast(source, max_broadcast_bytes):
+    use_broadcast = strategy != "full" and fits_broadcast(source, max_broadcast_bytes)
+    if strategy == "broadcast_source" and not use_broadcast:
         log.warning("source above the broadcast bound; using the full outer join")
-        use_broadcast = False
 
     t_present, s_present = F.col(_TP).isNotNull(), F.col(_SP).isNotNull()
 

@@ -104,3 +104,26 @@ def test_guard_on_the_plan(spark):
     hidden = a.filter(F.col("x") == a.join(b).agg(F.count("*")).scalar())  # in a subquery
     with pytest.raises(JoinError):
         guard_plan(hidden)
+
+
+def test_broadcast_is_bounded_by_rows_and_the_drivers_heap(spark, scratch, monkeypatch):
+    """Runs and dictionaries store many rows in few bytes; the driver hashes every row."""
+    from cyclemart.operators import joins
+    from cyclemart.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, fits_broadcast
+
+    path = scratch("policies")
+    spark.range(0, 200_000, numPartitions=1).selectExpr(
+        "CAST(id DIV 100 AS STRING) AS policy_id", "'C1' AS coverage_id").write.parquet(path)
+    many = spark.read.parquet(path)
+    assert estimated_size_bytes(many) * joins.BROADCAST_INFLATION < 8_000_000
+    assert not fits_broadcast(many, 8_000_000)
+    assert fits_broadcast(many.limit(1000), 8_000_000)
+    monkeypatch.setattr(joins, "DRIVER_PART", 1 + joins._driver_bytes(many) * joins.DRIVER_PART // 8_000_000)
+    assert not fits_broadcast(many, DEFAULT_MAX_BROADCAST_BYTES)
+    tx = sized(spark, [("T1", "7"), ("T2", "7"), ("T3", "9999")], "transaction_id string, policy_id string")
+    star = StarJoin("transactions", [JoinStep("coverage", "policy_id", "left", "broadcast")], split_hot_keys=False).apply(
+        {"transactions": tx, "coverage": many})
+    for out in (join(tx, many, "policy_id", "left", "broadcast"), star):
+        assert "BroadcastHashJoin" not in plan_text(out)  # nor by the planner's own estimate
+        assert out.count() == 201
+    assert "BroadcastHashJoin" in plan_text(join(tx, many.limit(1000), "policy_id", "left", "broadcast"))
