@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cyclemart.llm import textarrays as ta
-from cyclemart.llm.common import broadcast_if_small, fresh, stored, text_key
+from cyclemart.llm.common import broadcast_if_small, few_tasks, fresh, stored, text_key
 from cyclemart.llm.components import components, joined_further
 
 WIDTH, THRESHOLD = 5, 0.8
@@ -54,6 +54,8 @@ SMALL, HUBS = 5, 2
 LIKELY = 0.68
 #: Members of a large bucket that are compared as one block.
 BLOCK = 256
+#: Signatures, pairs of them, pairs of texts and texts that are worth a task.
+TASK_SIGNATURES, TASK_PAIRS, TASK_VERIFIED, TASK_TEXTS = 20_000, 100_000, 2_000, 5_000
 
 TICKS = 2.0 ** 40
 _STEP = np.uint64(0xD1B54A32D192ED03)  # odd: tells the points of a process apart
@@ -212,21 +214,26 @@ def _ordered(a: str, b: str):
 def linked_texts(signed: DataFrame, rows: DataFrame) -> DataFrame:
     """(node, component) of the digests of texts that are linked to others; the module's
     steps 2 to 6.  ``signed`` is (k, t, words, sig), ``rows`` (k, t, text)."""
-    different = stored(
+    most = signed.count()
+    different = stored(few_tasks(
         signed.filter(F.col("sig").isNotNull()).groupBy("t").agg(F.first("sig").alias("sig"), F.min("k").alias("k")),
-        "texts")
+        most, TASK_SIGNATURES), "texts")
     sig = different.select("t", "sig")
     banded = sig.mapInArrow(_bands, "bucket long, t binary")
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    members = stored(banded.join(shared, "bucket"), "buckets")
+    members = stored(few_tasks(banded.join(shared, "bucket"), BANDS * most), "buckets")
     small = members.filter(F.col("n") <= SMALL).select("bucket", "t")
     large = members.filter(F.col("n") > SMALL)
+    placings = members.count()  # a small bucket gives at most two pairs a member, a large one HUBS
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        likely = stored(
+        likely = stored(few_tasks(
             pairs.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
-            .select("a", "b", "sig_a", "sig_b").mapInArrow(_likely, "a binary, b binary"), f"likely-{name}")
-        return stored(_links(likely, _texts(likely, different, rows)), f"links-{name}")
+            .select("a", "b", "sig_a", "sig_b").mapInArrow(_likely, "a binary, b binary"),
+            max(HUBS, SMALL // 2) * placings, TASK_PAIRS), f"likely-{name}")
+        found = likely.count()
+        texts = _texts(likely, different, rows, 2 * found)
+        return stored(few_tasks(_links(likely, texts), found, TASK_VERIFIED), f"links-{name}")
 
     whole = small.join(small.toDF("bucket", "hub"), "bucket").filter(F.col("t") < F.col("hub")).select("t", "hub")
     drawn = _with_hubs(large.select("bucket", "t", F.lit(0).alias("score"))).select("t", "hub")
@@ -245,10 +252,11 @@ def linked_texts(signed: DataFrame, rows: DataFrame) -> DataFrame:
     joined = joined_further(joined, verified(central.select(*_ordered("t", "hub")).distinct(), "central").select("a", "b"))
 
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rest = stored(apart(), "apart")
-    if rest.isEmpty():
+    rest = stored(few_tasks(apart(), placings), "apart")
+    left_over = rest.count()
+    if not left_over:
         return joined
-    texts = _texts(rest.select(F.col("t").alias("a"), F.col("t").alias("b")), different, rows)
+    texts = _texts(rest.select(F.col("t").alias("a"), F.col("t").alias("b")), different, rows, left_over)
     placed = (
         rest.join(sig, "t").join(texts, "t")
         .withColumn("blocks", blocks)
@@ -277,13 +285,13 @@ def _with_hubs(members: DataFrame) -> DataFrame:
     return members.join(hubs.select("bucket", "o.hub", "o.hub_component"), "bucket").filter(F.col("t") != F.col("hub"))
 
 
-def _texts(pairs: DataFrame, different: DataFrame, rows: DataFrame) -> DataFrame:
-    """(t, text) of the texts in ``pairs``, each once."""
+def _texts(pairs: DataFrame, different: DataFrame, rows: DataFrame, most: int) -> DataFrame:
+    """(t, text) of the texts in ``pairs``, at most ``most``, each once."""
     named = pairs.select(F.col("a").alias("t")).union(pairs.select("b")).distinct()
     chosen = named.join(different.select("t", "k"), "t")
     met = rows.join(broadcast_if_small(chosen.toDF("ct", "ck")),
                     (F.col("t") == F.col("ct")) & F.col("k").eqNullSafe(F.col("ck")))
-    return stored(met.select("t", "text").dropDuplicates(["t"]), "candidate-texts")
+    return stored(few_tasks(met.select("t", "text").dropDuplicates(["t"]), most, TASK_TEXTS), "candidate-texts")
 
 
 def _classed(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:

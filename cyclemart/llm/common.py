@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from cyclemart.session import scratch_path
 
 #: A side is broadcast by our own choice only up to this many rows of a few machine words.
 BROADCAST_ROWS = 200_000
+#: Rows of a few machine words that are worth a task.
+TASK_ROWS = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +45,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few_tasks(df: DataFrame, rows: int, a_task: int = TASK_ROWS) -> DataFrame:
+    """``df``, which has at most ``rows`` rows, in a task for every ``a_task`` of them: where
+    adaptive execution does not merge them, a small table is else read and written by as many
+    tasks as a shuffle has partitions."""
+    return df.coalesce(max(1, math.ceil(rows / a_task)))
+
+
 def bounded_batches(spark: SparkSession, rows: int = 2_000) -> None:
     """At most ``rows`` rows in an Arrow batch that goes to Python: long texts make a batch of
     Spark's 10,000 large, in the executor's memory and in the worker's."""

@@ -2,7 +2,8 @@
 
 Each step is a grouped minimum (with partial aggregation) and an equi-join, so no node's
 links meet in one task and nothing is collected.  Every round is written to the shared
-scratch space; it ends when a round leaves the links as they were.
+scratch space, by as many tasks as its counted links are worth; it ends when a round leaves
+the links as they were.
 """
 
 from __future__ import annotations
@@ -10,22 +11,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cyclemart.llm.common import stored
+from cyclemart.llm.common import few_tasks, stored
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, rows: int) -> DataFrame:
     """Link each larger neighbour of a node to the node's smallest neighbour (or itself)."""
-    both = links.union(links.select("v", "u"))
+    both = few_tasks(links.union(links.select("v", "u")), 2 * rows)
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, rows: int) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them; every link of
     ``links`` goes from a larger node to a smaller one."""
     least = links.groupBy("u").agg(F.min("v").alias("m"))
     met = links.join(least, "u")
-    return met.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.toDF("u", "v"))
+    return few_tasks(met.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.toDF("u", "v")), 2 * rows)
 
 
 def _mark(links: DataFrame) -> tuple:
@@ -40,11 +41,12 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     links = stored(links.distinct(), "components")
     before = _mark(links)
     for _ in range(most_rounds):
-        links = stored(_small_star(_large_star(links)).distinct(), "components")
+        rows = before[0]  # the large star gives no more, nor do both parts of the small star
+        links = stored(few_tasks(_small_star(_large_star(links, rows), rows).distinct(), 2 * rows), "components")
         now = _mark(links)
         if now == before:
             roots = links.select(F.col("v").alias("u"), "v")
-            return stored(links.union(roots).distinct().toDF("node", "component"), "components")
+            return stored(few_tasks(links.union(roots), 2 * now[0]).distinct().toDF("node", "component"), "components")
         before = now
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 

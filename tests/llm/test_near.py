@@ -184,3 +184,32 @@ def test_signatures_do_not_depend_on_the_size_of_a_batch():
     for i in (0, 1, 65_535, 65_536, n - 1):
         alone = pa.Table.from_batches(bagminhash._sign(iter([batch.slice(i, 1)]))).column("sig")
         assert whole[i] == alone[0]
+
+
+def test_small_tables_are_written_by_few_tasks(spark, monkeypatch):
+    """Where adaptive execution does not merge them, a shuffle's partitions would each write a file."""
+    from cyclemart.llm import components as steps
+
+    files = {}
+
+    def watched(stored):
+        def write(df, name):
+            out = stored(df, name)
+            files[name] = max(files.get(name, 0), len(out.inputFiles()))
+            return out
+        return write
+
+    monkeypatch.setattr(bag, "stored", watched(bag.stored))
+    monkeypatch.setattr(steps, "stored", watched(steps.stored))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        words = [f"w{i}" for i in range(400)]
+        rows = [(d, " ".join(words[d % 7 * 40:][:100] + [f"own{d}"])) for d in range(60)]
+        out = bag.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert {r.doc_id: r.class_id for r in out.collect()} == {d: d % 7 for d in range(60)}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    for name in ("texts", "buckets", "likely-drawn", "candidate-texts", "links-drawn"):
+        assert files[name] == 1, files
