@@ -217,6 +217,18 @@ def test_matched_keys_are_broadcast_once(spark):
     assert {r[ACTION_COL]: r.rows for r in merge_counts(out).collect()} == {"updated": 100_000}
 
 
+def test_delta_of_many_rows_in_few_bytes_is_not_broadcast(spark, scratch):
+    """Stored bytes do not bound the rows that the driver would hash: a second run's delta is counted."""
+    path = scratch("delta")
+    spark.range(0, 200_000, numPartitions=1).selectExpr("id", "'x' AS v").write.parquet(path)
+    delta, target = spark.read.parquet(path), spark.range(100).selectExpr("id", "'a' AS v")
+    bound = 8_000_000
+    for source, broadcast in ((delta, False), (delta.where("id < 1000").limit(1000), True)):
+        out = scd1_merge(target, source, ["id"], on_duplicate="trust", null_safe_keys=True, with_action=True, max_broadcast_bytes=bound)
+        assert ("strategy=broadcast" in out._jdf.queryExecution().optimizedPlan().toString()) is broadcast
+        assert {r[0]: r[1] for r in merge_counts(out).collect()} == {"updated": 100, "inserted": source.count() - 100}
+
+
 def test_read_as_of_an_instant(spark, scratch):
     table = VersionedTable(spark, scratch("asof"))
     frames = [sized(spark, [(str(n), "x", float(n))], "id string, name string, amount double") for n in range(6)]
